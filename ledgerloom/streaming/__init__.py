@@ -1,0 +1 @@
+"""Intentionally empty: every workload covered here is a batch job over finite tables."""
