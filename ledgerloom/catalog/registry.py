@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import Query, retail
+from . import Query, banking, retail
 
-MODULES = (retail,)
+MODULES = (retail, banking)
 
 
 def queries() -> dict[str, Query]:

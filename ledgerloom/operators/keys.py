@@ -59,6 +59,13 @@ def resolve_keys(facts: DataFrame, lookups: Mapping[str, tuple[DataFrame, str]])
     return facts
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match each other; the right side's keys are dropped."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    condition = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def not_yet_loaded(incoming: DataFrame, loaded: DataFrame, keys: Sequence[str]) -> DataFrame:
     return incoming.join(loaded.select(*keys), list(keys), "left_anti")
 

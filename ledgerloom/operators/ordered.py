@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keys import null_safe_join
+
 IDS_PER_CHUNK = 1_000_000
 
 
@@ -28,7 +30,7 @@ def running_sum(
     before = Window.partitionBy(key).orderBy(day, "_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(*chunk, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_carried"))
     inside = Window.partitionBy(*chunk).orderBy(row_id).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = chunked.join(carried, chunk)
+    joined = null_safe_join(chunked, carried, chunk)
     return joined.withColumn(name, F.col("_carried") + F.sum(amount).over(inside)).select(*df.columns, name)
 
 
@@ -74,14 +76,14 @@ def dense_rank_desc(df: DataFrame, key: str, amount: str, name: str) -> DataFram
     The rank only depends on the distinct amounts of a key. Those are grouped by whole unit:
     the units' counts are added up per key, the amounts inside a unit are ranked on their own.
     """
-    distinct = df.groupBy(key, amount).agg(F.floor(F.first(amount)).alias("_unit"))
+    distinct = df.select(key, amount).distinct().withColumn("_unit", F.floor(amount))
     units = distinct.groupBy(key, "_unit").agg(F.count("*").alias("_amounts"))
     above = Window.partitionBy(key).orderBy(F.col("_unit").desc()).rowsBetween(Window.unboundedPreceding, -1)
     units = units.select(key, "_unit", F.coalesce(F.sum("_amounts").over(above), F.lit(0)).alias("_above"))
     inside = Window.partitionBy(key, "_unit").orderBy(F.col(amount).desc())
-    ranks = distinct.withColumn("_inside", F.row_number().over(inside)).join(units, [key, "_unit"])
+    ranks = null_safe_join(distinct.withColumn("_inside", F.row_number().over(inside)), units, [key, "_unit"])
     rank: Column = (F.col("_above") + F.col("_inside")).cast("int")
-    return df.join(ranks.select(key, amount, rank.alias(name)), [key, amount])
+    return null_safe_join(df, ranks.select(key, amount, rank.alias(name)), [key, amount])
 
 
 def with_at_least(df: DataFrame, key: str, rows: int) -> DataFrame:
