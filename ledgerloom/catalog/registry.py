@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import Query, banking, retail
+from . import Query, banking, insurance, retail
 
-MODULES = (retail, banking)
+MODULES = (retail, banking, insurance)
 
 
 def queries() -> dict[str, Query]:
