@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import Query, banking, insurance, retail
+from . import Query, banking, bookstore, insurance, retail
 
-MODULES = (retail, banking, insurance)
+MODULES = (retail, banking, insurance, bookstore)
 
 
 def queries() -> dict[str, Query]:

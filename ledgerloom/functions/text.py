@@ -11,6 +11,8 @@ from .conditions import ColumnLike, as_column
 EMAIL_PATTERN = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 BLANKS = " \t\n\r\f\x0b"
 
+CASED = r"\p{Lu}\p{Ll}\p{Lt}"
+
 
 def strip(c: ColumnLike) -> Column:
     """Remove blanks of every kind at both ends."""
@@ -21,9 +23,9 @@ def title_case(c: ColumnLike) -> Column:
     """Capital after every non-letter, lower case elsewhere: ``o'brien-SMITH`` to ``O'Brien-Smith``.
 
     ``initcap`` alone starts a new word only after a space, so the text is cut into runs of
-    letters and runs of other characters first.
+    letters that have a case and runs of other characters first.
     """
-    runs = F.regexp_extract_all(as_column(c), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
+    runs = F.regexp_extract_all(as_column(c), F.lit(rf"([{CASED}]+|[^{CASED}]+)"), F.lit(1))
     return F.array_join(F.transform(runs, F.initcap), "")
 
 
