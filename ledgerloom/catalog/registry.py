@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import Query, banking, bookstore, insurance, retail
+from . import Query, banking, bookstore, fraud, insurance, retail
 
-MODULES = (retail, banking, insurance, bookstore)
+MODULES = (retail, banking, insurance, bookstore, fraud)
 
 
 def queries() -> dict[str, Query]:
