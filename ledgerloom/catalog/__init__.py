@@ -22,10 +22,21 @@ def r2(expression: str, digits: int = 2) -> str:
     return f"CAST(round(CAST({expression} AS DECIMAL(28,8)), {digits}) AS DOUBLE)"
 
 
-def dsum(expression: str) -> str:
+def dsum(expression: str, digits: int = 4) -> str:
     """SQL for an exact sum, shown as a double."""
-    return f"CAST(sum(CAST({expression} AS DECIMAL(18,4))) AS DOUBLE)"
+    return f"CAST(sum(CAST({expression} AS DECIMAL(18,{digits}))) AS DOUBLE)"
 
 
-def davg(expression: str) -> str:
-    return f"({dsum(expression)} / count({expression}))"
+def davg(expression: str, digits: int = 4) -> str:
+    return f"({dsum(expression, digits)} / count({expression}))"
+
+
+def metric_rows(source: str, metrics: list[tuple[str, str, str]], kind: bool = True) -> str:
+    """SQL that turns a one-row query into metric rows."""
+    rows = " UNION ALL ".join(
+        f"SELECT '{name}' AS metric_name, CAST({value} AS DOUBLE) AS metric_value"
+        + (f", '{unit}' AS metric_type" if kind else "")
+        + " FROM one_row"
+        for name, value, unit in metrics
+    )
+    return f"SELECT * FROM (WITH one_row AS ({source}) {rows})"

@@ -12,7 +12,7 @@ from ..functions.conditions import case_bucket
 from ..operators.aggregates import precision_recall
 from ..plans import fraud
 from ..session import tune
-from . import Query, davg, dsum, r2, table
+from . import Query, davg, dsum, metric_rows, r2, table
 
 RULES = fraud.RuleSettings(high_amount=150, max_transactions=65, merchants=("ERROR", "SIGNUP"))
 FLAT = fraud.FlatSettings(high_amount=150)
@@ -192,14 +192,6 @@ _CUSTOMER_SUMMARY = f"""SELECT *, {_RATE} AS fraud_rate, CASE WHEN avg_risk_scor
   WHERE avg_risk_score >= 30 OR fraud_count > 0 OR previous_fraud_incidents > 0"""
 
 
-def _metric_rows(source: str, metrics: list[tuple[str, str, str]], kind: bool = True) -> str:
-    rows = " UNION ALL ".join(
-        f"SELECT '{name}' AS metric_name, CAST({value} AS DOUBLE) AS metric_value" + (f", '{unit}' AS metric_type" if kind else "") + " FROM one_row"
-        for name, value, unit in metrics
-    )
-    return f"SELECT * FROM (WITH one_row AS ({source}) {rows})"
-
-
 _SQL = {
     "rule_high_amount": "SELECT transaction_id, high_amount_risk FROM scored",
     "rule_velocity": "SELECT transaction_id, velocity_risk FROM scored",
@@ -257,7 +249,7 @@ _SQL = {
         coalesce({davg("CASE WHEN is_fraud = 1 THEN amount END")}, 0) AS avg_fraud_amount FROM flat)""",
     "kpi_averages": f"""SELECT {davg("amount")} AS average_transaction_size,
         coalesce({davg("CASE WHEN risk_category = 'High Risk' THEN amount END")}, 0) AS average_risk_amount FROM flat""",
-    "executive_kpis_fraud": _metric_rows(
+    "executive_kpis_fraud": metric_rows(
         f"""SELECT count(*) AS n, count(*) FILTER (WHERE risk_category = 'High Risk') AS h, {dsum("amount")} AS a,
         coalesce({dsum("CASE WHEN risk_category = 'High Risk' THEN amount END")}, 0) AS ha FROM flat""",
         [
@@ -270,7 +262,7 @@ _SQL = {
             ("Fraud Prevention", "ha", "currency"),
         ],
     ),
-    "executive_summary_export": _metric_rows(
+    "executive_summary_export": metric_rows(
         f"""SELECT count(*) AS n, count(*) FILTER (WHERE risk_score >= 80) AS h, {dsum("amount")} AS a,
         coalesce({dsum("CASE WHEN risk_score >= 80 THEN amount END")}, 0) AS ha, {davg("amount")} AS av,
         {davg("CASE WHEN risk_score >= 80 THEN amount END")} AS hav, sum(is_fraud) AS f FROM flat""",
@@ -312,7 +304,7 @@ _SQL = {
     "high_risk_export": f"""SELECT customer_id, customer_name, age, credit_score, account_type, count(*) AS high_risk_transaction_count,
         {dsum("amount")} AS total_high_risk_amount, {r2(davg("risk_score"))} AS avg_risk_score, max(risk_score) AS max_risk_score
         FROM flat WHERE risk_score >= 80 GROUP BY ALL""",
-    "data_profile": _metric_rows(
+    "data_profile": metric_rows(
         """SELECT count(*) AS n, count(DISTINCT transaction_id) AS ids, sum(is_fraud) AS f, count(DISTINCT merchant_category) AS m,
         count(DISTINCT transaction_type) AS ty, (SELECT count(*) FROM customers) AS c,
         (SELECT count(DISTINCT customer_id) FROM customers) AS ci FROM transactions""",

@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from . import Query, banking, bookstore, fraud, insurance, retail
-
-MODULES = (retail, banking, insurance, bookstore, fraud)
+from . import Query, analytics, banking, bookstore, fraud, insurance, retail
 
 
 def queries() -> dict[str, Query]:
     merged: dict[str, Query] = {}
-    for module in MODULES:
-        clash = merged.keys() & module.QUERIES.keys()
+    for part in (
+        retail.QUERIES,
+        banking.QUERIES,
+        insurance.QUERIES,
+        bookstore.QUERIES,
+        fraud.QUERIES,
+        analytics.queries(),
+    ):
+        clash = merged.keys() & part.keys()
         if clash:
             raise ValueError(f"query names used twice: {sorted(clash)}")
-        merged.update(module.QUERIES)
+        merged.update(part)
     return merged
 
 
 def oracles() -> dict[str, str]:
     merged: dict[str, str] = {}
-    for module in MODULES:
+    for module in (retail, banking, insurance, bookstore, fraud, analytics):
         merged.update(module.ORACLES)
     return merged

@@ -9,8 +9,14 @@ from .conditions import ColumnLike, as_column
 from .text import strip
 
 # Sums run over decimals: the result is exact and does not depend on how Spark
-# partitions the rows, which sums of doubles would.
-EXACT = "decimal(18,4)"
+# partitions the rows, which sums of doubles would. Money keeps 4 digits, shares and
+# probabilities 10.
+MONEY_DIGITS = 4
+SHARE_DIGITS = 10
+
+
+def exact(c: ColumnLike, digits: int = MONEY_DIGITS) -> Column:
+    return as_column(c).cast(f"decimal(18,{digits})")
 
 
 def safe_double(c: ColumnLike, default: float = 0.0) -> Column:
@@ -52,18 +58,18 @@ def percent(part: Column, whole: Column, digits: int | None = 2) -> Column:
     return value if digits is None else round_to(value, digits)
 
 
-def exact_sum(c: ColumnLike) -> Column:
-    return F.sum(as_column(c).cast(EXACT)).cast("double")
+def exact_sum(c: ColumnLike, digits: int = MONEY_DIGITS) -> Column:
+    return F.sum(exact(c, digits)).cast("double")
 
 
-def exact_avg(c: ColumnLike) -> Column:
-    value = as_column(c).cast(EXACT)
+def exact_avg(c: ColumnLike, digits: int = MONEY_DIGITS) -> Column:
+    value = exact(c, digits)
     return ratio(F.sum(value), F.count(value))
 
 
 def sum_where(condition: Column, c: ColumnLike) -> Column:
     """Sum over the rows that satisfy the condition, 0 when none does."""
-    return F.coalesce(F.sum(F.when(condition, as_column(c).cast(EXACT))), F.lit(0).cast(EXACT)).cast("double")
+    return F.coalesce(exact_sum(F.when(condition, as_column(c))), F.lit(0.0))
 
 
 def count_where(condition: Column) -> Column:
