@@ -71,7 +71,7 @@ class Roles:
         return self.read("orders").select(
             F.col("o_orderkey").alias("policy_id"),
             F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderpriority").alias("policy_type"),
+            case_bucket([(price >= 450_000, "Life"), (price >= 400_000, "Home")], "Auto").alias("policy_type"),
             (price * F.lit(Decimal("0.01"))).alias("premium_amount"),
             price.alias("coverage_amount"),
             start.alias("start_date"),
@@ -156,7 +156,7 @@ class Roles:
 
     @property
     def cross_sell(self) -> DataFrame:
-        return dashboard.cross_sell_analysis(self.value, below_types=5)
+        return dashboard.cross_sell_analysis(self.value)
 
     @property
     def figures(self) -> DataFrame:
@@ -191,7 +191,8 @@ WITH customers AS (
   FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN (SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS acquisition_date
     FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey),
 policies AS (
-  SELECT o_orderkey AS policy_id, o_custkey AS customer_id, o_orderpriority AS policy_type,
+  SELECT o_orderkey AS policy_id, o_custkey AS customer_id,
+    CASE WHEN o_totalprice >= 450000 THEN 'Life' WHEN o_totalprice >= 400000 THEN 'Home' ELSE 'Auto' END AS policy_type,
     CAST(o_totalprice AS DECIMAL(12,2)) * 0.01 AS premium_amount, CAST(o_totalprice AS DECIMAL(12,2)) AS coverage_amount,
     CAST(o_orderdate AS DATE) AS start_date, CAST(o_orderdate AS DATE) + 365 AS renewal_date,
     CASE o_orderstatus WHEN 'O' THEN 'Active' WHEN 'P' THEN 'Renewed' ELSE 'Lapsed' END AS policy_status,
@@ -339,7 +340,7 @@ cross_sell AS (
   SELECT customer_id, first_name, last_name, risk_category, clpv_segment, policy_types_count, total_premium, customer_lifetime_premium_value,
     CASE WHEN clpv_segment IN ('Premium', 'High Value') AND risk_category = 'Low' THEN 'High Priority'
       WHEN clpv_segment = 'Medium Value' AND risk_category IN ('Low', 'Medium') THEN 'Medium Priority' ELSE 'Low Priority' END AS cross_sell_priority
-  FROM value WHERE policy_types_count < 5)),
+  FROM value WHERE policy_types_count < 3)),
 figures AS (
   SELECT * FROM (SELECT count(*) AS customers FROM customers),
   (SELECT count(*) AS policies, {dsum("premium_amount")} AS premium, {davg("premium_amount")} AS avg_policy_premium, {dsum("coverage_amount")} AS coverage,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import Query, analytics, banking, bookstore, fraud, insurance, retail
+from . import Query, analytics, banking, bookstore, fraud, insurance, relational, retail
 
 
 def queries() -> dict[str, Query]:
     merged: dict[str, Query] = {}
     for part in (
+        relational.QUERIES,
         retail.QUERIES,
         banking.QUERIES,
         insurance.QUERIES,
@@ -24,6 +25,6 @@ def queries() -> dict[str, Query]:
 
 def oracles() -> dict[str, str]:
     merged: dict[str, str] = {}
-    for module in (retail, banking, insurance, bookstore, fraud, analytics):
+    for module in (relational, retail, banking, insurance, bookstore, fraud, analytics):
         merged.update(module.ORACLES)
     return merged
