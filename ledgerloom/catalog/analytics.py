@@ -1,7 +1,7 @@
 """Insurance analytics queries: orders are policies, line items claims and payments, events interactions.
 
-The customer risk and lifetime-value tables are stage tables: written once, read by every
-later report. One ``Stages`` object, and so one set of stage tables, belongs to each call of
+Customer risk, lifetime value, renewals and scored claims are stage tables: written once, read
+by every later report. One ``Stages`` object, and so one set of stage tables, belongs to each call of
 ``queries()``.
 """
 
@@ -140,7 +140,10 @@ class Roles:
 
     @property
     def renewals(self) -> DataFrame:
-        return value.renewal_score(value.renewal_features(self.policies, self.value, AS_OF))
+        def build() -> DataFrame:
+            return stage_table(value.renewal_score(value.renewal_features(self.policies, self.value, AS_OF)), "renewals")
+
+        return self.stage("renewals", build)
 
     @property
     def at_risk(self) -> DataFrame:
@@ -148,7 +151,10 @@ class Roles:
 
     @property
     def scored_claims(self) -> DataFrame:
-        return value.claim_fraud_score(self.claims, self.value, self.policies)
+        def build() -> DataFrame:
+            return stage_table(value.claim_fraud_score(self.claims, self.value, self.policies), "scored-claims")
+
+        return self.stage("scored_claims", build)
 
     @property
     def investment(self) -> DataFrame:

@@ -116,7 +116,7 @@ def precision_recall(df: DataFrame, flagged: Column, actual: Column) -> DataFram
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], scale: int = 4, buckets: int = 65_536
+    df: DataFrame, column: str, probabilities: Sequence[float], scale: int = 4, buckets: int = 2**18
 ) -> list[Decimal | None]:
     """Smallest value whose cumulative share reaches each probability, exact to ``scale`` digits.
 

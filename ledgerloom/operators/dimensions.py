@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.conditions import case_bucket
 from ..functions.dates import date_key, day_name, is_weekend, month_name
+from ..session import stage_table
 from .keys import assign_surrogate_keys, first_per_key, highest_key
 
 
@@ -56,22 +57,27 @@ def missing_date_keys(needed: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def insert_only(dimension: DataFrame, incoming: DataFrame, key: str, surrogate: str, order: Sequence[str]) -> DataFrame:
-    """New members only, first row per key, numbered after the keys in use."""
+    """New members only, first row per key, numbered after the keys in use.
+
+    The new members are stored before they are numbered, which reads them twice.
+    """
     new = first_per_key(incoming, [key], order).join(dimension.select(key), key, "left_anti")
-    return assign_surrogate_keys(new, key, surrogate, highest_key(dimension, surrogate))
+    return assign_surrogate_keys(stage_table(new, "new-members"), key, surrogate, highest_key(dimension, surrogate))
 
 
 def scd1_upsert(dimension: DataFrame, incoming: DataFrame, key: str, surrogate: str) -> DataFrame:
     """Overwrite the attributes of known members, add new ones, keep every surrogate key.
 
-    ``incoming`` holds one row per key. The result is the whole new dimension.
+    ``incoming`` holds one row per key. The result is the whole new dimension. The incoming
+    rows are matched once and stored; the three parts of the result read the stored rows.
     """
     columns = dimension.columns
-    known = dimension.select(key, surrogate)
-    untouched = dimension.join(incoming.select(key), key, "left_anti").select(*columns)
-    updated = incoming.join(known, key).select(*columns)
+    matched = stage_table(incoming.join(dimension.select(key, surrogate), key, "left"), "matched-members")
+    new = F.col(surrogate).isNull()
+    untouched = dimension.join(matched.select(key), key, "left_anti").select(*columns)
+    updated = matched.where(~new).select(*columns)
     added = assign_surrogate_keys(
-        incoming.join(known, key, "left_anti"), key, surrogate, highest_key(dimension, surrogate)
+        matched.where(new).drop(surrogate), key, surrogate, highest_key(dimension, surrogate)
     ).select(*columns)
     return untouched.unionByName(updated).unionByName(added)
 
@@ -104,10 +110,10 @@ def scd2_apply(
     """The dimension after loading ``staged`` (one row per member) on ``as_of``.
 
     Changed members get their current version expired and a new one added; new members get
-    their first version. Every staged row is classified once and the dimension is read from
-    the state before the load, so loading the same rows again changes nothing.
+    their first version. Every staged row is classified once, against the state before the
+    load, and stored; loading the same rows again changes nothing.
     """
-    detected = scd2_detect(dimension, staged, key, surrogate, tracked)
+    detected = stage_table(scd2_detect(dimension, staged, key, surrogate, tracked), "detected-changes")
     changed = detected.where("change_type = 'CHANGED'").select(surrogate, F.lit(True).alias("_changed"))
     kept = dimension.join(changed, surrogate, "left")
     expired_now = F.col("_changed").isNotNull()

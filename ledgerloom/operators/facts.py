@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.conditions import case_bucket
 from ..functions.numbers import percent
+from ..session import stage_table
 from .keys import resolve_keys
 
 
@@ -36,6 +37,7 @@ def load_facts(
     surrogate key, or when its business key is loaded already. Of several acceptable rows
     with one business key the first in ``order`` is loaded.
 
+    Every row is classified once and stored; facts, rejects and counters read the stored rows.
     Copies of one key are reduced before they meet in a task: the loaded row is chosen by a
     group limit that also runs map-side, and the rest are counted, not listed.
     """
@@ -46,9 +48,10 @@ def load_facts(
         seen = already_loaded.select(business_key, F.lit(True).alias("_seen")).distinct()
         resolved = resolved.join(seen, business_key, "left")
         reasons.insert(0, (F.col("_seen").isNotNull(), "duplicate"))
-    classified = resolved.withColumn("reject_reason", case_bucket(reasons))
-
-    acceptable = classified.where("reject_reason is null").drop("reject_reason", "_seen")
+    classified = stage_table(
+        resolved.withColumn("reject_reason", case_bucket(reasons)).drop("_seen"), "classified-facts"
+    )
+    acceptable = classified.where("reject_reason is null").drop("reject_reason")
     rank = F.row_number().over(Window.partitionBy(business_key).orderBy(*order))
     facts = acceptable.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 

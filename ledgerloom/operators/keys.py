@@ -26,6 +26,7 @@ def assign_surrogate_keys(
     The rows are spread over ``16 ** hex_digits`` buckets by a digest of the key and numbered
     inside their bucket; the buckets' offsets come from their counts. No task ever sorts all
     rows, and the numbers depend on the keys alone, so a recomputed task gives them again.
+    ``df`` is read twice: hand in a stored table when it is costly to compute.
     """
     bucketed = df.withColumn("_bucket", F.substring(F.md5(F.col(business_key).cast("string")), 1, hex_digits))
     # At most 16 ** hex_digits rows reach this window.

@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.conditions import at_least, below, case_bucket, flag
-from ..functions.numbers import cap, count_where, exact_avg, exact_sum, percent, ratio, round_to, sum_where
-from ..operators.aggregates import metric_rows, totals, with_share
+from ..functions.numbers import cap, count_where, exact, exact_avg, exact_sum, percent, ratio, round_to, sum_where
+from ..operators.aggregates import metric_rows, with_share
 
 AGE_BANDS = [(25, "18-24"), (35, "25-34"), (45, "35-44"), (55, "45-54"), (65, "55-64")]
 
@@ -294,33 +294,44 @@ def merchant_risk_summary(flat: DataFrame, high: float = 10, medium: float = 5)
 
 
 def geo_risk_summary(flat: DataFrame, high: float = 8, medium: float = 4) -> DataFrame:
-    """Risk per state and location. Customers are counted apart from the sums, each distinct
-    customer once per group, so that neither step expands the transactions."""
+    """Risk per state and location."""
     keys = ["state", "location"]
-    sums = flat.groupBy(*keys).agg(*_group_metrics())
-    people = flat.groupBy(*keys).agg(F.countDistinct("customer_id").alias("unique_customers"))
-    same_group = [F.col(f"s.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys]
-    joined = sums.alias("s").join(people.alias("p"), same_group).select("s.*", "p.unique_customers")
+    grouped = flat.groupBy(*keys).agg(*_group_metrics(), F.countDistinct("customer_id").alias("unique_customers"))
     return (
-        joined.withColumn("fraud_rate", _fraud_rate())
+        grouped.withColumn("fraud_rate", _fraud_rate())
         .withColumn("geographic_risk_level", _level("fraud_rate", high, medium))
         .orderBy(F.desc("fraud_rate"), *keys)
     )
 
 
 def fraud_summary(flat: DataFrame) -> DataFrame:
-    """One-row portfolio summary of the monitoring score."""
-    one_row = flat.agg(
-        F.count("transaction_id").alias("total_transactions"),
-        exact_sum("amount").alias("total_amount"),
-        exact_avg("amount").alias("avg_transaction_amount"),
-        F.sum("is_fraud").alias("actual_fraud_count"),
+    """One-row portfolio summary of the monitoring score.
+
+    Transactions are summed per customer and merchant category first: several distinct counts
+    in one aggregate copy their input once per count.
+    """
+    amount, high, fraud = exact("amount"), _is_high(), F.col("is_fraud") == 1
+    partial = flat.groupBy("customer_id", "state", "merchant_category").agg(
+        F.count("transaction_id").alias("transactions"),
+        F.sum(amount).alias("amount"),
+        F.count("amount").alias("amounts"),
+        F.sum("is_fraud").alias("fraud"),
+        count_where(high).alias("high"),
+        F.sum(F.when(high, amount)).alias("high_amount"),
+        F.sum(F.when(fraud, amount)).alias("fraud_amount"),
+        count_where(fraud & F.col("amount").isNotNull()).alias("fraud_amounts"),
+    )
+    one_row = partial.agg(
+        F.coalesce(F.sum("transactions"), F.lit(0)).alias("total_transactions"),
+        F.sum("amount").cast("double").alias("total_amount"),
+        ratio(F.sum("amount"), F.sum("amounts")).alias("avg_transaction_amount"),
+        F.sum("fraud").alias("actual_fraud_count"),
         F.countDistinct("customer_id").alias("unique_customers"),
         F.countDistinct("merchant_category").alias("unique_merchants"),
         F.countDistinct("state").alias("unique_states"),
-        count_where(_is_high()).alias("high_risk_transactions"),
-        sum_where(_is_high(), "amount").alias("high_risk_amount"),
-        F.coalesce(exact_avg(F.when(F.col("is_fraud") == 1, F.col("amount"))), F.lit(0.0)).alias("avg_fraud_amount"),
+        F.coalesce(F.sum("high"), F.lit(0)).alias("high_risk_transactions"),
+        F.coalesce(F.sum("high_amount").cast("double"), F.lit(0.0)).alias("high_risk_amount"),
+        F.coalesce(ratio(F.sum("fraud_amount"), F.sum("fraud_amounts")), F.lit(0.0)).alias("avg_fraud_amount"),
     )
     total = F.col("total_transactions")
     return one_row.withColumns(
@@ -542,15 +553,23 @@ def high_risk_export(flat: DataFrame, high: int = 80) -> DataFrame:
 
 
 def data_profile(transactions: DataFrame, customers: DataFrame) -> DataFrame:
-    """Volume, duplicates, fraud rate, categories and date range as metric rows."""
-    people = totals(customers, rows=F.count("*"), ids=F.countDistinct("customer_id"))
-    one_row = transactions.agg(
-        F.count("*").alias("rows"),
-        F.countDistinct("transaction_id").alias("ids"),
-        F.sum("is_fraud").alias("fraud"),
-        F.countDistinct("merchant_category").alias("merchants"),
-        F.countDistinct("transaction_type").alias("types"),
-    ).withColumn("people", people)
+    """Volume, duplicates, fraud rate, categories and customers as metric rows.
+
+    Each distinct count reads its own column only.
+    """
+
+    def distinct(df: DataFrame, column: str) -> Column:
+        return df.agg(F.countDistinct(column).alias("n")).scalar()
+
+    one_row = transactions.agg(F.count("*").alias("rows"), F.sum("is_fraud").alias("fraud")).withColumns(
+        {
+            "ids": distinct(transactions, "transaction_id"),
+            "merchants": distinct(transactions, "merchant_category"),
+            "types": distinct(transactions, "transaction_type"),
+            "people": customers.agg(F.count("*").alias("n")).scalar(),
+            "people_ids": distinct(customers, "customer_id"),
+        }
+    )
     return metric_rows(
         one_row,
         [
@@ -559,8 +578,8 @@ def data_profile(transactions: DataFrame, customers: DataFrame) -> DataFrame:
             ("Fraud Rate", percent(F.col("fraud"), F.col("rows"), None), "percentage"),
             ("Merchant Categories", F.col("merchants"), "count"),
             ("Transaction Types", F.col("types"), "count"),
-            ("Customers", F.col("people.rows"), "count"),
-            ("Duplicate Customer IDs", F.col("people.rows") - F.col("people.ids"), "count"),
+            ("Customers", F.col("people"), "count"),
+            ("Duplicate Customer IDs", F.col("people") - F.col("people_ids"), "count"),
         ],
     )
 

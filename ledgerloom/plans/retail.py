@@ -124,7 +124,7 @@ def top_categories(products: DataFrame, sales: DataFrame, rows: int = 3) -> Data
 
 def multi_state_customers(customers: DataFrame, stores: DataFrame, sales: DataFrame) -> DataFrame:
     """Customers who bought in more than one store state."""
-    visited = sales.select("customer_id", "store_id").distinct().join(stores, "store_id")
+    visited = sales.select("customer_id", "store_id").join(stores.select("store_id", "store_state"), "store_id")
     states = visited.groupBy("customer_id").agg(F.countDistinct("store_state").alias("state_count"))
     return (
         states.where("state_count > 1")

@@ -63,6 +63,7 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     stage still scans only its own columns. The files survive the loss of any executor.
     """
     spark = df.sparkSession
-    path = f"{stage_folder(spark).rstrip('/')}/stage/{name}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    path = f"{stage_folder(spark).rstrip('/')}/{application}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
