@@ -16,6 +16,7 @@ from ..operators.dimensions import needed_date_keys, scd1_upsert
 from ..operators.facts import FactLoad, load_facts, safe_fraction
 from ..operators.keys import first_per_key
 from ..operators.quality import orphan_report
+from ..session import stage_table
 
 # Tier bounds, policy types and agent regions.
 PREMIUM_TIERS = [(2000, "Premium"), (1000, "Standard")]
@@ -199,8 +200,7 @@ def load_star(
     """Dimensions after an overwrite load of ``raw`` and the claims resolved against them.
 
     ``raw`` has customers, policies and claims; ``dimensions`` the current dim_customer,
-    dim_policy and dim_agent. The dimensions are to be written, and read back, before the
-    facts: their surrogate keys are decided by this load.
+    dim_policy and dim_agent. The new dimensions are stored before the claims look their keys up.
     """
     prepared = {
         "dim_customer": (prepare_customers(raw["customers"], as_of), "customer_id", "customer_key"),
@@ -210,6 +210,6 @@ def load_star(
     new = {}
     for name, (rows, key, surrogate) in prepared.items():
         one_each = first_per_key(rows, [key], [c for c in rows.columns if c != key])
-        new[name] = scd1_upsert(dimensions[name], one_each, key, surrogate)
+        new[name] = stage_table(scd1_upsert(dimensions[name], one_each, key, surrogate), name)
     claims = prepare_claims(raw["claims"])
     return new, load_claims(claims, new["dim_customer"], new["dim_policy"], new["dim_agent"], loaded)
