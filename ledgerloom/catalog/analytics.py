@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 from decimal import Decimal
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +28,15 @@ class Stages:
 
     def __init__(self) -> None:
         self._made: dict[tuple[str, str, str], DataFrame] = {}
+        # One stage is built on another by the same thread; other threads wait for it.
+        self._lock = RLock()
 
     def get(self, spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         key = (spark.sparkContext.applicationId, folder, name)
-        if key not in self._made:
-            self._made[key] = build()
-        return self._made[key]
+        with self._lock:
+            if key not in self._made:
+                self._made[key] = build()
+            return self._made[key]
 
 
 class Roles:

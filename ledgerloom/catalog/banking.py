@@ -384,8 +384,8 @@ _SQL = {
           CAST(transaction_amount AS DOUBLE) AS transaction_amount, product_name, product_category,
           CAST(account_holder_transaction_rank AS INT) AS account_holder_transaction_rank
         FROM (SELECT *, dense_rank() OVER (PARTITION BY account_holder_key ORDER BY transaction_amount DESC)
-            AS account_holder_transaction_rank FROM facts)
-          JOIN (SELECT * FROM holders WHERE is_current) USING (account_holder_key) JOIN products USING (banking_product_key)""",
+            AS account_holder_transaction_rank FROM facts JOIN products USING (banking_product_key))
+          JOIN (SELECT * FROM holders WHERE is_current) USING (account_holder_key)""",
     "final_row_counts": """SELECT 'stg_transactions_raw' AS table_name, count(*) AS row_count FROM staging
         UNION ALL SELECT 'fact_transactions', count(*) FROM facts UNION ALL SELECT 'dim_account_holder', count(*) FROM holders
         UNION ALL SELECT 'dim_banking_product', count(*) FROM products UNION ALL SELECT 'dim_date', count(*) FROM dates""",

@@ -1,9 +1,10 @@
 """Ordered calculations per key that hold when one key owns a large part of all rows.
 
-A plain window sorts a whole key in one task. Here the rows of a key are cut into chunks that
-follow the order - the day, then a range of ids - so a chunk holds at most ``ids_per_chunk``
-rows (ids are unique). Work on rows happens inside chunks; only one small row per chunk
-is brought together per key.
+A window sorts a whole key in one task. That is right for keys of ordinary size. Keys with more
+than ``limit`` rows are found first, by a count that is combined map-side, and cut into
+chunks that follow the order - the day, then a range of ids. Ids are unique, so a chunk holds at
+most ``limit`` rows. Work on rows happens inside chunks; only a few rows per chunk of a hot key
+are brought together per key.
 """
 
 from __future__ import annotations
@@ -11,79 +12,109 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage_table
 from .keys import null_safe_join
 
-IDS_PER_CHUNK = 1_000_000
+ROWS_PER_TASK = 1_000_000
+_CHUNK = ("_chunk_day", "_chunk_range")
 
 
-def _chunked(df: DataFrame, row_id: str, ids_per_chunk: int) -> DataFrame:
-    return df.withColumn("_chunk", F.floor(F.col(row_id) / F.lit(ids_per_chunk)))
+def hot_keys(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """Keys with more than ``limit`` rows, stored: at most one per ``limit`` rows of ``df``.
+
+    The stored size lets Spark decide between a broadcast and a shuffle for the joins below.
+    """
+    counts = df.groupBy(key).count()
+    return stage_table(counts.where(F.col("count") > limit).select(key, F.lit(True).alias("_hot")), "hot-keys")
+
+
+def _in_chunks(df: DataFrame, hot: DataFrame, key: str, day: str, row_id: str, limit: int, how: str) -> DataFrame:
+    """Mark the rows of hot keys and give them a chunk; other keys are one chunk each."""
+    marked = null_safe_join(df, hot, [key], how)
+    return marked.withColumns(
+        {
+            "_chunk_day": F.when(F.col("_hot"), F.col(day)),
+            "_chunk_range": F.when(F.col("_hot"), F.floor(F.col(row_id) / F.lit(limit))),
+        }
+    )
 
 
 def running_sum(
-    df: DataFrame, key: str, day: str, row_id: str, amount: str, name: str, ids_per_chunk: int = IDS_PER_CHUNK
+    df: DataFrame, key: str, day: str, row_id: str, amount: str, name: str, limit: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Sum of ``amount`` from the key's first row up to each row, ordered by day and id."""
-    chunked = _chunked(df, row_id, ids_per_chunk)
-    chunk = [key, day, "_chunk"]
-    totals = chunked.groupBy(*chunk).agg(F.sum(amount).alias("_total"))
-    before = Window.partitionBy(key).orderBy(day, "_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*chunk, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_carried"))
-    inside = Window.partitionBy(*chunk).orderBy(row_id).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = null_safe_join(chunked, carried, chunk)
-    return joined.withColumn(name, F.col("_carried") + F.sum(amount).over(inside)).select(*df.columns, name)
+    hot = hot_keys(df, key, limit)
+    chunk = [key, *_CHUNK]
+    order = Window.partitionBy(*chunk).orderBy(day, row_id)
+    inside = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = _in_chunks(df, hot, key, day, row_id, limit, "left").withColumn("_inside", F.sum(amount).over(inside))
+
+    totals = _in_chunks(df, hot, key, day, row_id, limit, "inner").groupBy(*chunk).agg(F.sum(amount).alias("_total"))
+    before = Window.partitionBy(key).orderBy(*_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(*chunk, F.sum("_total").over(before).alias("_carried"))
+
+    joined = null_safe_join(summed, carried, chunk, "left")
+    total = F.coalesce(F.col("_inside") + F.col("_carried"), F.col("_inside"), F.col("_carried"))
+    return joined.select(*df.columns, total.alias(name))
 
 
 def moving_average(
-    df: DataFrame,
-    key: str,
-    day: str,
-    row_id: str,
-    amount: str,
-    name: str,
-    rows: int = 3,
-    ids_per_chunk: int = IDS_PER_CHUNK,
+    df: DataFrame, key: str, day: str, row_id: str, amount: str, name: str, rows: int = 3, limit: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Average of ``amount`` over each row and the ``rows - 1`` before it, ordered by day and id.
 
-    Inside a chunk a window does it. The first rows of a chunk also need the last rows of
-    earlier chunks: those edge rows, ``2 * (rows - 1)`` per chunk, get their own window.
+    The first rows of a hot key's chunk also need the last rows of earlier chunks: those edge
+    rows, ``2 * (rows - 1)`` per chunk, get their own window.
     """
     back = rows - 1
-    chunk = [key, day, "_chunk"]
-    up = Window.partitionBy(*chunk).orderBy(row_id)
-    down = Window.partitionBy(*chunk).orderBy(F.col(row_id).desc())
-    placed = _chunked(df, row_id, ids_per_chunk).withColumns(
+    hot = hot_keys(df, key, limit)
+    whole = Window.partitionBy(key, *_CHUNK)
+    order = whole.orderBy(day, row_id)
+    frame = order.rowsBetween(-back, Window.currentRow)
+    summed = _in_chunks(df, hot, key, day, row_id, limit, "left").withColumns(
         {
-            "_from_start": F.row_number().over(up),
-            "_from_end": F.row_number().over(down),
-            "_sum": F.sum(amount).over(up.rowsBetween(-back, 0)),
-            "_count": F.count(amount).over(up.rowsBetween(-back, 0)),
+            "_from_start": F.row_number().over(order),
+            "_sum": F.sum(amount).over(frame),
+            "_count": F.count(amount).over(frame),
         }
     )
-    across = Window.partitionBy(key).orderBy(day, row_id).rowsBetween(-back, 0)
-    edges = placed.where((F.col("_from_start") <= back) | (F.col("_from_end") <= back)).withColumns(
-        {"_sum": F.sum(amount).over(across), "_count": F.count(amount).over(across)}
+    settled = summed.where(F.col("_hot").isNull() | (F.col("_from_start") > back))
+
+    placed = _in_chunks(df, hot, key, day, row_id, limit, "inner").withColumns(
+        {"_from_start": F.row_number().over(order), "_rows": F.count("*").over(whole)}
+    )
+    edges = placed.where((F.col("_from_start") <= back) | (F.col("_from_start") > F.col("_rows") - back))
+    across = Window.partitionBy(key).orderBy(day, row_id).rowsBetween(-back, Window.currentRow)
+    starts = edges.withColumns({"_sum": F.sum(amount).over(across), "_count": F.count(amount).over(across)}).where(
+        F.col("_from_start") <= back
     )
-    result = placed.where(F.col("_from_start") > back).unionByName(edges.where(F.col("_from_start") <= back))
+    columns = [*df.columns, "_sum", "_count"]
     average = F.try_divide(F.col("_sum").cast("double"), F.col("_count").cast("double"))
-    return result.select(*df.columns, average.alias(name))
+    return settled.select(*columns).unionByName(starts.select(*columns)).select(*df.columns, average.alias(name))
 
 
-def dense_rank_desc(df: DataFrame, key: str, amount: str, name: str) -> DataFrame:
+def dense_rank_desc(df: DataFrame, key: str, amount: str, name: str, limit: int = ROWS_PER_TASK) -> DataFrame:
     """Dense rank by ``amount``, highest first.
 
-    The rank only depends on the distinct amounts of a key. Those are grouped by whole unit:
-    the units' counts are added up per key, the amounts inside a unit are ranked on their own.
+    A hot key is ranked by its distinct amounts, grouped by whole unit: the units' counts are
+    added up per key, the amounts inside a unit are ranked on their own.
     """
-    distinct = df.select(key, amount).distinct().withColumn("_unit", F.floor(amount))
+    hot = hot_keys(df, key, limit)
+    marked = null_safe_join(df, hot, [key], "left")
+    plain = marked.where("_hot is null").select(
+        *df.columns, F.dense_rank().over(Window.partitionBy(key).orderBy(F.col(amount).desc())).alias(name)
+    )
+
+    rows = null_safe_join(df, hot, [key]).drop("_hot")
+    distinct = rows.select(key, amount).distinct().withColumn("_unit", F.floor(amount))
     units = distinct.groupBy(key, "_unit").agg(F.count("*").alias("_amounts"))
     above = Window.partitionBy(key).orderBy(F.col("_unit").desc()).rowsBetween(Window.unboundedPreceding, -1)
     units = units.select(key, "_unit", F.coalesce(F.sum("_amounts").over(above), F.lit(0)).alias("_above"))
     inside = Window.partitionBy(key, "_unit").orderBy(F.col(amount).desc())
     ranks = null_safe_join(distinct.withColumn("_inside", F.row_number().over(inside)), units, [key, "_unit"])
     rank: Column = (F.col("_above") + F.col("_inside")).cast("int")
-    return null_safe_join(df, ranks.select(key, amount, rank.alias(name)), [key, amount])
+    ranked = null_safe_join(rows, ranks.select(key, amount, rank.alias(name)), [key, amount])
+    return plain.unionByName(ranked)
 
 
 def with_at_least(df: DataFrame, key: str, rows: int) -> DataFrame:

@@ -233,38 +233,39 @@ def _holder_columns(holders: DataFrame, *columns: str) -> DataFrame:
     return holders.where("is_current").select(HOLDER_SURROGATE, "account_holder_name", "relationship_tier", *columns)
 
 
+def _amounts(facts: DataFrame, dates: DataFrame) -> DataFrame:
+    """What the ordered calculations need. The date key orders like the date, so the dates
+    themselves are only joined to filter; the operators read this several times."""
+    return facts.select(HOLDER_SURROGATE, "date_key", "transaction_id", "transaction_amount").join(
+        dates.select("date_key"), "date_key", "left_semi"
+    )
+
+
+_ORDERED = (HOLDER_SURROGATE, "date_key", "transaction_id", "transaction_amount")
+
+
 def moving_average_3(facts: DataFrame, holders: DataFrame, dates: DataFrame) -> DataFrame:
     """Average over the last three transactions, for holders with at least three."""
-    frequent = ordered.with_at_least(facts, HOLDER_SURROGATE, 3)
-    averaged = ordered.moving_average(
-        _dated(frequent, dates).select(HOLDER_SURROGATE, "transaction_date", "transaction_id", "transaction_amount"),
-        HOLDER_SURROGATE,
-        "transaction_date",
-        "transaction_id",
-        "transaction_amount",
-        "moving_3_transaction_avg",
-    )
-    return averaged.join(_holder_columns(holders), HOLDER_SURROGATE)
+    averaged = ordered.moving_average(_amounts(facts, dates), *_ORDERED, "moving_3_transaction_avg")
+    frequent = facts.groupBy(HOLDER_SURROGATE).count().where("count >= 3").select(HOLDER_SURROGATE)
+    shown = _holder_columns(holders).join(frequent, HOLDER_SURROGATE, "left_semi")
+    return _dated(averaged, dates).join(shown, HOLDER_SURROGATE).drop("date_key")
 
 
 def running_balance(facts: DataFrame, holders: DataFrame, dates: DataFrame) -> DataFrame:
     """Balance after each transaction."""
-    summed = ordered.running_sum(
-        _dated(facts, dates).select(HOLDER_SURROGATE, "transaction_date", "transaction_id", "transaction_amount"),
-        HOLDER_SURROGATE,
-        "transaction_date",
-        "transaction_id",
-        "transaction_amount",
-        "account_running_balance",
-    )
-    return summed.join(_holder_columns(holders, "address"), HOLDER_SURROGATE)
+    summed = ordered.running_sum(_amounts(facts, dates), *_ORDERED, "account_running_balance")
+    return _dated(summed, dates).join(_holder_columns(holders, "address"), HOLDER_SURROGATE).drop("date_key")
 
 
 def transaction_dense_rank(
     facts: DataFrame, holders: DataFrame, products: DataFrame, dates: DataFrame
 ) -> DataFrame:
-    """Rank of each transaction among its holder's amounts, the highest first."""
-    ranked = ordered.dense_rank_desc(facts, HOLDER_SURROGATE, "transaction_amount", "account_holder_transaction_rank")
+    """Rank of each transaction among its holder's amounts, the highest first. Only transactions
+    with a known product and day count."""
+    known = facts.select(*_ORDERED, "banking_product_key").join(dates.select("date_key"), "date_key", "left_semi")
+    known = known.join(products.select("banking_product_key"), "banking_product_key", "left_semi")
+    ranked = ordered.dense_rank_desc(known, HOLDER_SURROGATE, "transaction_amount", "account_holder_transaction_rank")
     return (
         _dated(ranked, dates)
         .join(products.select("banking_product_key", "product_name", "product_category"), "banking_product_key")

@@ -57,30 +57,34 @@ def transactions(spark):
     return spark.createDataFrame(data, "k int, day date, id bigint, amount decimal(12,2)")
 
 
-def test_running_sum_equals_plain_window(transactions):
+# 1: every key is hot; 600: some are; 10**6: none is.
+@pytest.mark.parametrize("limit", [1, 40, 600, 10**6])
+def test_running_sum_equals_plain_window(transactions, limit):
     w = Window.partitionBy("k").orderBy("day", "id").rowsBetween(Window.unboundedPreceding, 0)
-    plain = transactions.withColumn("total", F.coalesce(F.sum("amount").over(w), F.lit(0)))
-    mine = ordered.running_sum(transactions, "k", "day", "id", "amount", "total", ids_per_chunk=17)
-    mine = mine.withColumn("total", F.coalesce("total", F.lit(0)))
-    # A chunk of missing amounts gives NULL plus what came before; compare where a row has an amount.
-    assert rows(mine.where("amount is not null")) == rows(plain.where("amount is not null"))
-    assert mine.count() == transactions.count()
+    plain = transactions.withColumn("total", F.sum("amount").over(w))
+    assert rows(ordered.running_sum(transactions, "k", "day", "id", "amount", "total", limit)) == rows(plain)
 
 
-@pytest.mark.parametrize("size,chunk", [(3, 1), (3, 17), (3, 10**6), (5, 4), (2, 100)])
-def test_moving_average_equals_plain_window(transactions, size, chunk):
+@pytest.mark.parametrize("size,limit", [(3, 1), (3, 40), (3, 600), (3, 10**6), (5, 4), (2, 100)])
+def test_moving_average_equals_plain_window(transactions, size, limit):
     w = Window.partitionBy("k").orderBy("day", "id").rowsBetween(-(size - 1), 0)
     plain = transactions.withColumn(
         "m", F.try_divide(F.sum("amount").over(w).cast("double"), F.count("amount").over(w).cast("double"))
     )
-    mine = ordered.moving_average(transactions, "k", "day", "id", "amount", "m", size, chunk)
+    mine = ordered.moving_average(transactions, "k", "day", "id", "amount", "m", size, limit)
     assert rows(mine) == rows(plain)
 
 
-def test_dense_rank_equals_plain_window(transactions):
+@pytest.mark.parametrize("limit", [1, 600, 10**6])
+def test_dense_rank_equals_plain_window(transactions, limit):
     w = Window.partitionBy("k").orderBy(F.desc("amount"))
     plain = transactions.withColumn("r", F.dense_rank().over(w))
-    assert rows(ordered.dense_rank_desc(transactions, "k", "amount", "r")) == rows(plain)
+    assert rows(ordered.dense_rank_desc(transactions, "k", "amount", "r", limit)) == rows(plain)
+
+
+def test_hot_keys_include_null(spark):
+    df = spark.createDataFrame([(None,), (None,), (1,), (2,)], "k int")
+    assert rows(ordered.hot_keys(df, "k", 1)) == [(None, True)]
 
 
 def test_with_at_least(transactions):
