@@ -142,6 +142,7 @@ QUERIES: dict[str, Query] = {
         "final_risk": lambda r: r.scored.select(
             "transaction_id", "customer_risk_factor", "final_risk_score", "final_risk_category", "is_final_high_risk"
         ),
+        "customer_risk_factor": lambda r: r.customers.select("customer_id", fraud.customer_risk_factor().alias("factor")),
         "triggered_rules": lambda r: r.scored.groupBy(F.array_join("triggered_rules", ",").alias("rules")).agg(
             F.count("*").alias("transactions")
         ),
@@ -199,6 +200,8 @@ _SQL = {
     "rule_location": "SELECT transaction_id, location_risk FROM scored",
     "composite_risk": "SELECT transaction_id, risk_score, risk_category, is_high_risk FROM scored",
     "final_risk": """SELECT transaction_id, customer_risk_factor, final_risk_score, final_risk_category, is_final_high_risk FROM scored""",
+    "customer_risk_factor": """SELECT customer_id, CASE WHEN credit_score < 600 THEN 20 WHEN age < 25 THEN 15 WHEN previous_fraud_incidents > 0
+        THEN 30 ELSE 0 END AS factor FROM customers""",
     "triggered_rules": """SELECT concat_ws(',', CASE WHEN high_amount_risk > 0 THEN 'high_amount' END, CASE WHEN velocity_risk > 0 THEN 'velocity' END,
         CASE WHEN merchant_risk > 0 THEN 'merchant' END, CASE WHEN location_risk > 0 THEN 'location' END) AS rules, count(*) AS transactions
         FROM scored GROUP BY 1""",

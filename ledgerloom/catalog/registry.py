@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import Query, analytics, banking, bookstore, fraud, insurance, relational, retail
+from . import Query, analytics, banking, bookstore, fraud, insurance, relational, retail, roundtrips
 
 
 def queries() -> dict[str, Query]:
     merged: dict[str, Query] = {}
     for part in (
         relational.QUERIES,
+        roundtrips.QUERIES,
         retail.QUERIES,
         banking.QUERIES,
         insurance.QUERIES,
@@ -25,6 +26,6 @@ def queries() -> dict[str, Query]:
 
 def oracles() -> dict[str, str]:
     merged: dict[str, str] = {}
-    for module in (relational, retail, banking, insurance, bookstore, fraud, analytics):
+    for module in (relational, roundtrips, retail, banking, insurance, bookstore, fraud, analytics):
         merged.update(module.ORACLES)
     return merged

@@ -22,11 +22,11 @@ def strip(c: ColumnLike) -> Column:
 def title_case(c: ColumnLike) -> Column:
     """Capital after every non-letter, lower case elsewhere: ``o'brien-SMITH`` to ``O'Brien-Smith``.
 
-    ``initcap`` alone starts a new word only after a space, so the text is cut into runs of
-    letters that have a case and runs of other characters first.
+    ``initcap`` alone starts a new word only after a space, so the text is cut first wherever a
+    cased letter follows something else.
     """
-    runs = F.regexp_extract_all(as_column(c), F.lit(rf"([{CASED}]+|[^{CASED}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    words = F.split(as_column(c), f"(?<=[^{CASED}])(?=[{CASED}])")
+    return F.array_join(F.transform(words, F.initcap), "")
 
 
 def proper_case(c: ColumnLike) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import combine
+from .readers import ISO_TIMESTAMP
 
 
 def publish_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
@@ -37,8 +38,9 @@ def replace_period(df: DataFrame, path: str, partition_by: Sequence[str]) -> Non
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with header. ``single_file`` is for summaries of few rows only."""
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
+    """CSV with header and ISO timestamps. ``single_file`` is for summaries of few rows only."""
+    files = df.coalesce(1) if single_file else df
+    files.write.mode("overwrite").csv(path, header=True, timestampFormat=ISO_TIMESTAMP)
 
 
 def export_json(df: DataFrame, path: str) -> None:
