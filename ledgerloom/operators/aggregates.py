@@ -56,25 +56,30 @@ def column_summary(df: DataFrame, columns: Sequence[str], digits: int = 4) -> Da
     return df.agg(F.array(*stats).alias("stats")).select(F.inline("stats"))
 
 
+def _short(c: str) -> Column:
+    """The value as text, long texts as their SHA-256 digest."""
+    text = F.col(c).cast("string")
+    return F.when(F.length(text) > 64, F.sha2(text, 256)).otherwise(text)
+
+
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing count, missing percentage and distinct count per column, plus duplicate rows.
 
     One scan unpivots to (column, value) pairs which are combined map-side, so neither a wide
-    table nor a frequent value gathers in one task.
+    table nor a frequent value gathers in one task. Long texts travel as digests.
     """
     columns = list(columns or df.columns)
-    pairs = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
-        ).alias("pair")
-    ).select("pair.*")
+    short = df.select(*[_short(c).alias(c) for c in columns])
+    pairs = short.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns]))
+    )
     per_value = pairs.groupBy("column_name", "value").agg(F.count("*").alias("row_count"))
     per_column = per_value.groupBy("column_name").agg(
         F.sum("row_count").alias("row_count"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("row_count"))), F.lit(0)).alias("missing_values"),
         F.count("value").alias("unique_values"),
     )
-    copies = df.groupBy(*columns).agg((F.count("*") - 1).alias("surplus")).agg(
+    copies = short.groupBy(*columns).agg((F.count("*") - 1).alias("surplus")).agg(
         F.coalesce(F.sum("surplus"), F.lit(0)).alias("duplicate_rows")
     )
     return per_column.select(

@@ -11,11 +11,19 @@ from ..operators.quality import combine
 from .readers import ISO_TIMESTAMP
 
 
-def publish_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite a managed table."""
+def publish_table(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), bucket_by: tuple[int, str] | None = None
+) -> None:
+    """Overwrite a managed table.
+
+    ``bucket_by`` (number, key) stores the rows by key, so that later joins and aggregates of
+    tables with the same buckets need no shuffle.
+    """
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
     writer.saveAsTable(name)
 
 

@@ -129,6 +129,12 @@ def test_column_profile(spark):
     assert (found["y"].missing_values, found["y"].unique_values, found["y"].duplicate_rows) == (1, 2, 1)
 
 
+def test_column_profile_of_long_texts(spark):
+    df = spark.createDataFrame([("x" * 500,), ("x" * 500,), ("x" * 499 + "y",)], "x string")
+    found = aggregates.column_profile(df).first()
+    assert (found.unique_values, found.duplicate_rows) == (2, 1)
+
+
 def test_precision_recall_without_hits(spark):
     df = spark.createDataFrame([(0, 0), (0, 0)], "f int, a int")
     row = aggregates.precision_recall(df, F.col("f") == 1, F.col("a") == 1).first()

@@ -92,6 +92,22 @@ def test_tables(spark):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    names = [f"b_{uuid.uuid4().hex[:8]}" for _ in range(2)]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for name in names:
+            writers.publish_table(spark.range(100).toDF("customer_id"), name, bucket_by=(4, "customer_id"))
+        joined = spark.table(names[0]).join(spark.table(names[1]), "customer_id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_exports_and_views(spark, tmp_path):
     df = spark.range(100).select("id", (F.col("id") % 3).alias("part"))
     writers.export_csv(df.repartition(4), str(tmp_path / "many"))
