@@ -18,6 +18,7 @@ from ..operators.quality import (
     FieldRule,
     INFO,
     WARNING,
+    RunHealth,
     field_quality_gaps,
     findings_summary,
     quality_report_text,
@@ -215,6 +216,21 @@ def _gaps(r: Roles) -> DataFrame:
     )
 
 
+def _health(r: Roles) -> DataFrame:
+    """Time extraction, cleaning and validation of the customers; the durations are left out here."""
+    health = RunHealth()
+    with health.step("extract", sla_seconds=3600) as step:
+        step["records_processed"] = r.customers.count()
+    with health.step("clean", sla_seconds=3600) as step:
+        step["records_processed"] = bookstore.transform_customers(r.customers).count()
+    with health.step("validate", sla_seconds=3600) as step:
+        checked = r.customers.agg(
+            F.count("*").alias("n"), F.count(clean_email("email")).alias("good")
+        ).first()
+        step["records_processed"], step["quality_score"] = checked.n, checked.good / checked.n
+    return health.table(r.read("customer").sparkSession).drop("duration_seconds")
+
+
 def _query(build: Callable[[Roles], DataFrame]) -> Query:
     return lambda spark, folder: build(Roles(tune(spark), folder))
 
@@ -267,6 +283,7 @@ QUERIES: dict[str, Query] = {
         "validate_list_length": lambda r: validate_list_length(_words(r), "words", "doc_id", 20, 1000),
         "validate_schema": _schema_check,
         "field_quality_gaps": _gaps,
+        "run_health_report": _health,
         "column_profile": lambda r: column_profile(handle_missing(r.books, "leave")),
         "document_profile": lambda r: column_profile(r.documents, ["text", "lang", "source"]),
         "duplicate_values": lambda r: duplicate_values(r.documents, "text"),
@@ -342,6 +359,9 @@ _SQL = {
         UNION ALL SELECT 'phone', count(phone), count(*), CAST(0.7 AS DOUBLE) FROM customers
         UNION ALL SELECT 'name', count(name), count(*), CAST(0.9 AS DOUBLE) FROM customers
         UNION ALL SELECT 'age', 0, count(*), CAST(0.6 AS DOUBLE) FROM customers)""",
+    "run_health_report": """SELECT 'extract' AS step, count(*) AS records_processed, CAST(1 AS DOUBLE) AS quality_score, true AS sla_met FROM customers
+        UNION ALL SELECT 'clean', count(*), 1, true FROM customers WHERE email IS NOT NULL AND phone IS NOT NULL
+        UNION ALL SELECT 'validate', count(*), count(email) / count(*), true FROM customers""",
     "column_profile": f"""WITH raw_books AS (SELECT CASE WHEN p_size = 1 THEN ' ' ELSE '  ' || upper(p_name) || E'\\t' END AS title, author, lower(genre) AS genre,
           CASE WHEN isbn = 'Invalid' THEN 'INVALID' ELSE isbn END AS isbn, lower(series) AS series, nullif(recommended, '') AS recommended
           FROM books JOIN part USING (p_partkey, p_size)),

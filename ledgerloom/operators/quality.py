@@ -314,6 +314,12 @@ class RunHealth:
             record["sla_met"] = sla_seconds is None or seconds <= sla_seconds
             self.steps.append(record)
 
+    def table(self, spark: SparkSession) -> DataFrame:
+        """One row per step."""
+        schema = "step string, duration_seconds double, records_processed bigint, quality_score double, sla_met boolean"
+        columns = [c.split()[0] for c in schema.split(", ")]
+        return spark.createDataFrame([tuple(s[c] for c in columns) for s in self.steps], schema)
+
     def report(self, gaps: DataFrame | None = None) -> dict[str, Any]:
         scores = [s["quality_score"] for s in self.steps]
         return {

@@ -21,13 +21,20 @@ from .value import RENEWAL_BANDS
 
 TOP_SEGMENTS = ("Premium", "High Value")
 
-# Investment shares, uplifts and savings.
+# Investment shares, uplifts, savings, action items and lookup tables.
 INVESTMENT_SHARE = {"Critical": 0.05, "High": 0.03, "Medium": 0.02}
 CROSS_SELL_UPLIFT = {"High Priority": 0.6, "Medium Priority": 0.4}
 CROSS_SELL_CONVERSION = 0.25
 CROSS_SELL_PREMIUM_SHARE = 0.5
 FRAUD_SAVINGS = 0.15
 
+ACTION_ITEMS = [
+    ("Customer Retention", "Contact critical retention customers within 7 days", "retention.critical", "Critical"),
+    ("Cross-Selling", "Launch cross-selling campaign for high-priority customers", "cross_sell.high", "High"),
+    ("Fraud Investigation", "Investigate high-risk fraud claims", "fraud.high", "High"),
+    ("Pricing Optimization", "Implement risk-based pricing adjustments", "customers", "Medium"),
+    ("Portfolio Rebalancing", "Review high-risk customer concentration", "value.high_risk", "Medium"),
+]
 PRODUCT_RECOMMENDATIONS = [
     ("Auto Insurance", "Home Insurance", "Bundle Discount", 15),
     ("Home Insurance", "Auto Insurance", "Multi-Policy Discount", 20),
@@ -462,13 +469,7 @@ def kpi_summary(figures: DataFrame) -> DataFrame:
 
 
 def action_items(figures: DataFrame) -> DataFrame:
-    items = [
-        ("Customer Retention", "Contact critical retention customers within 7 days", "retention.critical", "Critical"),
-        ("Cross-Selling", "Launch cross-selling campaign for high-priority customers", "cross_sell.high", "High"),
-        ("Fraud Investigation", "Investigate high-risk fraud claims", "fraud.high", "High"),
-        ("Pricing Optimization", "Implement risk-based pricing adjustments", "customers", "Medium"),
-        ("Portfolio Rebalancing", "Review high-risk customer concentration", "value.high_risk", "Medium"),
-    ]
+    """What to do, with the number of customers or claims concerned."""
     rows = [
         F.struct(
             F.lit(category).alias("action_category"),
@@ -476,7 +477,7 @@ def action_items(figures: DataFrame) -> DataFrame:
             F.col(count).cast("double").alias("customer_count"),
             F.lit(priority).alias("priority"),
         )
-        for category, text, count, priority in items
+        for category, text, count, priority in ACTION_ITEMS
     ]
     return figures.select(F.inline(F.array(*rows)))
 

@@ -25,7 +25,17 @@ from ..functions.conditions import at_least, below, case_bucket, flag
 from ..functions.numbers import cap, count_where, exact, exact_avg, exact_sum, percent, ratio, round_to, sum_where
 from ..operators.aggregates import metric_rows, with_share
 
+# Bands and their labels.
 AGE_BANDS = [(25, "18-24"), (35, "25-34"), (45, "35-44"), (55, "45-54"), (65, "55-64")]
+OLDEST_BAND = "65+"
+SCORE_BUCKETS = [
+    (0, "0 - No Risk"),
+    (25, "1-25 - Low Risk"),
+    (50, "26-50 - Medium-Low Risk"),
+    (70, "51-70 - Medium Risk"),
+    (85, "71-85 - High Risk"),
+]
+HIGHEST_BUCKET = "86-100 - Critical Risk"
 
 
 @dataclass(frozen=True)
@@ -152,7 +162,7 @@ def high_risk_by(scored: DataFrame, *keys: str) -> DataFrame:
 
 def age_group_risk(scored: DataFrame) -> DataFrame:
     """High-risk share per age band; customers without an age are shown as Unknown."""
-    band = F.when(F.col("age").isNull(), "Unknown").otherwise(below("age", AGE_BANDS, "65+"))
+    band = F.when(F.col("age").isNull(), "Unknown").otherwise(below("age", AGE_BANDS, OLDEST_BAND))
     grouped = scored.groupBy(band.alias("age_group")).agg(
         F.count("*").alias("total_transactions"),
         F.sum("is_final_high_risk").alias("high_risk_transactions"),
@@ -453,16 +463,7 @@ def weekday_trend(flat: DataFrame) -> DataFrame:
 def risk_score_buckets(flat: DataFrame) -> DataFrame:
     """Transactions per score range, with their share."""
     score = F.col("risk_score")
-    bucket = case_bucket(
-        [
-            (score == 0, "0 - No Risk"),
-            (score <= 25, "1-25 - Low Risk"),
-            (score <= 50, "26-50 - Medium-Low Risk"),
-            (score <= 70, "51-70 - Medium Risk"),
-            (score <= 85, "71-85 - High Risk"),
-        ],
-        "86-100 - Critical Risk",
-    )
+    bucket = case_bucket([(score <= bound, label) for bound, label in SCORE_BUCKETS], HIGHEST_BUCKET)
     grouped = flat.groupBy(bucket.alias("risk_bucket")).agg(
         F.count("*").alias("transaction_count"),
         exact_sum("amount").alias("total_amount"),
