@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +25,7 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = 8, app_name: str = "ledgerloom") -> SparkSession:
+def local_session(cores: int | str = 8, app_name: str = "ledgerloom", checkpoint_dir: str | None = None) -> SparkSession:
     """A local session for tests and the benchmark. On a cluster, use its own session."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -36,24 +35,25 @@ def local_session(cores: int | str = 8, app_name: str = "ledgerloom") -> SparkSe
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(cores))
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)
 
 
 def stage_folder(spark: SparkSession) -> str:
-    """The shared folder for stage tables: the cluster's checkpoint folder.
+    """The shared folder for this application's stage tables.
 
-    Only a local session without that setting gets a folder of its own.
+    It lies in ``spark.checkpoint.dir``; where that is unset, in the warehouse folder, which
+    every executor reaches too. Spark's file system removes it when the session ends.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="ledgerloom-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+    folder = f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
@@ -63,7 +63,6 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     stage still scans only its own columns. The files survive the loss of any executor.
     """
     spark = df.sparkSession
-    application = spark.sparkContext.applicationId
-    path = f"{stage_folder(spark).rstrip('/')}/{application}/{name}-{uuid.uuid4().hex}"
+    path = f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,8 +11,8 @@ from ledgerloom.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "ledgerloom-tests")
+def spark(tmp_path_factory):
+    session = local_session(8, "ledgerloom-tests", str(tmp_path_factory.mktemp("shared")))
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()

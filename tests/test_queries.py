@@ -9,10 +9,11 @@ import pytest
 
 import __spark_entry__ as entry_module
 from check import compare, duck
+from ledgerloom.catalog import registry
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = registry.oracles()
 
 
 def run(spark, connection, name: str) -> tuple[str, str]:
@@ -32,6 +33,8 @@ def outcomes(spark, request):
 
 def test_every_query_has_a_twin():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= entry_module.queries().items()
+    assert ORACLES.items() <= entry_module.oracle_sql().items()
 
 
 def test_entry(spark):
