@@ -16,7 +16,7 @@ from . import Query, table
 
 
 def _place(spark: SparkSession, name: str) -> str:
-    return f"{stage_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def _csv(spark: SparkSession, folder: str) -> DataFrame:
