@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import compression_bands
+from . import compression_bands, mixing, pii, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_disclosure": pii.op3_disclosure,
+        "op5_stratified_interleaving": sharding.op5_stratified_interleaving,
+        "op6_weighted_mix": mixing.op6_weighted_mix,
         "op7_compression_bands": compression_bands.op7_compression_bands,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op5_stratified_interleaving": sharding.ORACLE, "op6_weighted_mix": mixing.ORACLE}
