@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import compression_bands, mixing, pii, sharding
+from . import compression_bands, mixing, pii, sentencepieces, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_stratified_interleaving": sharding.op5_stratified_interleaving,
         "op6_weighted_mix": mixing.op6_weighted_mix,
         "op7_compression_bands": compression_bands.op7_compression_bands,
+        "op10_sentencepiece": sentencepieces.op10_sentencepiece,
     }
 
 
