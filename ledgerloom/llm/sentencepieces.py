@@ -34,11 +34,16 @@ from .common import read
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Words that a worker remembers at most; then it starts anew. Bounds its memory only.
-REMEMBERED = 200_000
+REMEMBERED = 600_000
 
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 _WORDS = re.compile(rb"\n| *[^ \n]+| +")
 _LINES = re.compile(rb"\n|[^\n]+")
+#: Bytes of the character that begins with a byte.
+_CHARACTER = np.repeat([1, 2, 3, 4], [0xC0, 0x20, 0x10, 0x10])
+#: Words up to so many bytes are searched side by side, so many at a time: the work arrays stay below 30 MB.
+_SIDE_BY_SIDE = 48
+_TOGETHER = 16_384
 
 
 @dataclass(frozen=True)
@@ -72,32 +77,30 @@ def build_trie(keys: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, n
             at = nodes[at][byte]
         ends[at] = number
 
-    size = 2 * len(nodes) + 1024
-    base, check, piece = [0] * size, [-1] * size, [-1] * size
-    check[0] = 0
-    lowest = 1
+    # Bases are tried a window at a time; one window more than all nodes need is always free.
+    window = 4096
+    size = len(nodes) + 256 * window
+    base, check, piece = (np.full(size, fill, dtype=np.int32) for fill in (0, -1, -1))
+    free = np.ones(size, dtype=bool)
+    free[0], check[0] = False, 0
+    lowest, used = 1, 1
     waiting = [(0, 0)]
     for at, slot in waiting:
         piece[slot] = ends[at]
-        children = nodes[at]
-        if not children:
+        children = np.array(sorted(nodes[at]), dtype=np.int64)
+        if not len(children):
             continue
-        while check[lowest] >= 0:
+        while not free[lowest]:
             lowest += 1
-        first = min(children)
-        start = max(1, lowest - first)
-        while any(check[start + c] >= 0 for c in children):
-            start += 1
-            if start + 256 >= len(check):
-                grown = len(check)
-                base += [0] * grown
-                check += [-1] * grown
-                piece += [-1] * grown
-        base[slot] = start
-        for byte, child in children.items():
-            check[start + byte] = slot
-            waiting.append((child, start + byte))
-    return tuple(np.array(a, dtype=np.int32) for a in (base, check, piece))
+        start = max(1, lowest - int(children[0]))
+        while not (fits := np.logical_and.reduce([free[start + c : start + c + window] for c in children])).any():
+            start += window
+        start += int(fits.argmax())
+        places = start + children
+        base[slot], free[places], check[places] = start, False, slot
+        used = max(used, int(places[-1]) + 1)
+        waiting += zip((nodes[at][c] for c in children.tolist()), places.tolist(), strict=True)
+    return base[:used], check[:used], piece[:used]
 
 
 def load_pieces(path: str) -> PieceTrie:
@@ -131,31 +134,50 @@ def load_pieces(path: str) -> PieceTrie:
 
 
 class Segmenter:
-    """The Viterbi search, with plain lists for fast single steps."""
+    """Viterbi over words: many short words side by side in numpy, long ones alone."""
 
     def __init__(self, trie: PieceTrie):
-        self.base, self.check, self.piece = trie.base.tolist(), trie.check.tolist(), trie.piece.tolist()
-        self.scores, self.byte_ids, self.unknown = trie.scores.tolist(), trie.byte_ids, trie.unknown_score
+        pad = 256  # a step from any node stays inside
+        self.base = np.concatenate([trie.base, np.zeros(pad, np.int32)])
+        self.check = np.concatenate([trie.check, np.full(pad, -1, np.int32)])
+        self.piece = np.concatenate([trie.piece, np.full(pad, -1, np.int32)])
+        self.lists = self.base.tolist(), self.check.tolist(), self.piece.tolist(), trie.scores.tolist()
+        self.scores, self.byte_ids, self.unknown = trie.scores, trie.byte_ids, trie.unknown_score
+        self.bytes = np.array(trie.byte_ids, np.int32)
         self.cut = trie.cutter().findall
-        self.known: dict[bytes, list[int]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids, self.sizes, self.begins = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int64)
+
+    def path(self, word: bytes, begins: list[int], found: list[int]) -> list[int]:
+        """Ids of the path that ends at the word's end; ``begins`` and ``found`` by end."""
+        ids: list[int] = []
+        end = len(word)
+        while end > 0:
+            start = begins[end]
+            ids += [found[end]] if found[end] >= 0 else [self.byte_ids[b] for b in reversed(word[start:end])]
+            end = start
+        ids.reverse()
+        return ids
 
     def best(self, word: bytes) -> list[int]:
-        """Ids of the best path; of equal ones that with the longest last piece."""
-        base, check, piece, scores = self.base, self.check, self.piece, self.scores
-        size, slots = len(word), len(check)
+        """Ids of the best path; of equal ones that whose last piece starts first."""
+        base, check, piece, scores = self.lists
+        size = len(word)
         reached = [float("-inf")] * (size + 1)
         reached[0] = 0.0
-        came: list[tuple[int, int]] = [(0, -1)] * (size + 1)
+        begins, ids = [0] * (size + 1), [-1] * (size + 1)
         for start in range(size):
             so_far = reached[start]
             if so_far == float("-inf"):
                 continue  # inside a character
-            lead = word[start]
-            character = start + (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
+            character = start + int(_CHARACTER[word[start]])
             covered, node, end = False, 0, start
             while end < size:
                 step = base[node] + word[end]
-                if step >= slots or check[step] != node or step == 0:
+                if check[step] != node:
                     break
                 node, end = step, end + 1
                 found = piece[node]
@@ -163,30 +185,90 @@ class Segmenter:
                     covered = covered or end == character
                     score = so_far + scores[found]
                     if score > reached[end]:
-                        reached[end], came[end] = score, (start, found)
+                        reached[end], begins[end], ids[end] = score, start, found
             if not covered and so_far + self.unknown > reached[character]:
-                reached[character], came[character] = so_far + self.unknown, (start, -1)
-        ids: list[int] = []
-        end = size
-        while end > 0:
-            start, found = came[end]
-            ids += [found] if found >= 0 else [self.byte_ids[b] for b in reversed(word[start:end])]
-            end = start
-        ids.reverse()
-        return ids
-
-    def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        known, ids = self.known, []
-        for word in self.cut(b" " + text.encode()):
-            found = known.get(word)
-            if found is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                found = known[word] = self.best(word)
-            ids += found
-        return ids
+                reached[character], begins[character], ids[character] = so_far + self.unknown, start, -1
+        return self.path(word, begins, ids)
+
+    def best_of_many(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``best`` of each word, one step of all searches at a time: ids in one array, and how many each word has."""
+        sizes = np.array([len(w) for w in words])
+        width = int(sizes.max())
+        letters = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(len(words), width).astype(np.int32)
+        reached = np.full((len(words), width + 1), -np.inf)
+        reached[:, 0] = 0.0
+        begins = np.zeros((len(words), width + 1), np.int32)
+        ids = np.full((len(words), width + 1), -1, np.int32)
+        for start in range(width):
+            rows = np.flatnonzero((sizes > start) & (reached[:, start] > -np.inf))
+            all_rows, so_far = rows, reached[rows, start]
+            all_so_far, node = so_far, np.zeros(len(rows), np.int32)
+            character = start + _CHARACTER[letters[:, start]]
+            covered = np.zeros(len(words), bool)
+            for end in range(start, width):
+                step = self.base[node] + letters[rows, end]
+                on = (self.check[step] == node) & (sizes[rows] > end)
+                rows, so_far, node = rows[on], so_far[on], step[on]
+                if not len(rows):
+                    break
+                found = self.piece[node]
+                hit = found >= 0
+                covered[rows[hit & (character[rows] == end + 1)]] = True
+                score = so_far[hit] + self.scores[found[hit]]
+                better = score > reached[rows[hit], end + 1]
+                at = rows[hit][better]
+                reached[at, end + 1], begins[at, end + 1], ids[at, end + 1] = score[better], start, found[hit][better]
+            open_ = ~covered[all_rows]
+            at, score = all_rows[open_], all_so_far[open_] + self.unknown
+            better = score > reached[at, character[at]]
+            at = at[better]
+            reached[at, character[at]], begins[at, character[at]], ids[at, character[at]] = score[better], start, -1
+        out, count = np.zeros((len(words), width), np.int32), np.zeros(len(words), np.int64)
+        rows, end = np.arange(len(words)), sizes.copy()
+        while len(rows):
+            start, found = begins[rows, end], ids[rows, end]
+            whole = found >= 0
+            out[rows[whole], count[rows[whole]]] = found[whole]
+            count[rows[whole]] += 1
+            for back in range(1, 5):  # bytes of characters that no piece covers
+                some = ~whole & (end - back >= start)
+                at = rows[some]
+                out[at, count[at]] = self.bytes[letters[at, end[some] - back]]
+                count[at] += 1
+            on = start > 0
+            rows, end = rows[on], start[on]
+        return out[:, ::-1][np.arange(width)[::-1] < count[:, None]], count
+
+    def learn(self, words: list[bytes]) -> None:
+        """Segment words that are not known yet."""
+        words.sort(key=len)
+        short = sum(len(w) <= _SIDE_BY_SIDE for w in words)
+        done = [self.best_of_many(words[at : min(at + _TOGETHER, short)]) for at in range(0, short, _TOGETHER)]
+        for word in words[short:]:
+            ids = self.best(word)
+            done.append((np.array(ids, np.int32), np.array([len(ids)])))
+        sizes = np.concatenate([self.sizes, *(count for _, count in done)]).astype(np.int32)
+        self.known.update(zip(words, range(len(self.known), len(sizes)), strict=True))
+        self.ids = np.concatenate([self.ids, *(ids for ids, _ in done)])
+        self.sizes, self.begins = sizes, np.cumsum(sizes, dtype=np.int64) - sizes
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, and where each text's ids end."""
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        words: list[bytes] = []
+        ends = []
+        for text in texts:
+            if text:
+                words += self.cut(b" " + text.encode())
+            ends.append(len(words))
+        if new := list(set(words).difference(self.known)):
+            self.learn(new)
+        places = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        sizes = self.sizes[places]
+        before = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        flat = self.ids[np.repeat(self.begins[places] - before[:-1], sizes) + np.arange(before[-1])]
+        return flat, before[ends]
 
 
 def decode_ids(ids: np.ndarray, texts: list[bytes]) -> str:
@@ -201,11 +283,9 @@ def encode_pieces(text: Column, trie: PieceTrie) -> Column:
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         segmenter = Segmenter(shared.value)
         for texts in batches:
-            rows = [None if t is None else np.array(segmenter.encode(t), np.int32) for t in texts.to_pylist()]
-            ends = np.cumsum([0] + [0 if r is None else len(r) for r in rows])
-            flat = np.concatenate([r for r in rows if r is not None] or [np.empty(0, np.int32)])
-            nulls = pa.array([r is None for r in rows], pa.bool_())
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()), mask=nulls)
+            flat, ends = segmenter.encode(texts.to_pylist())
+            offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+            yield pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()), mask=texts.is_null())
 
     return encoded(text)
 
