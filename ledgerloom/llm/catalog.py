@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import compression_bands, mixing, pii, sentencepieces, sharding
+from . import byte_convolution, compression_bands, mixing, pii, sentencepieces, sharding, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_host_words": url_filter.op1_host_words,
         "op3_disclosure": pii.op3_disclosure,
+        "op4_byte_convolution": byte_convolution.op4_byte_convolution,
         "op5_stratified_interleaving": sharding.op5_stratified_interleaving,
         "op6_weighted_mix": mixing.op6_weighted_mix,
         "op7_compression_bands": compression_bands.op7_compression_bands,
