@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_convolution, compression_bands, mixing, pii, sentencepieces, sharding, url_filter
+from . import byte_convolution, compression_bands, group_matrix, mixing, pii, sentencepieces, sharding, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_host_words": url_filter.op1_host_words,
+        "op2_group_matrix": group_matrix.op2_group_matrix,
         "op3_disclosure": pii.op3_disclosure,
         "op4_byte_convolution": byte_convolution.op4_byte_convolution,
         "op5_stratified_interleaving": sharding.op5_stratified_interleaving,
