@@ -179,12 +179,11 @@ def training_sample(
 
 def quality_score(text: Column, net: Network) -> Column:
     """The probability of label 1 for a text column."""
-    shared = SparkSession.getActiveSession().sparkContext.broadcast(net)
 
     @F.arrow_udf("double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array([probability(shared.value, t.as_py()) for t in texts], pa.float64())
+            yield pa.array([probability(net, t.as_py()) for t in texts], pa.float64())
 
     return scored(text)
 

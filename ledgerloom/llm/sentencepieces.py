@@ -277,11 +277,10 @@ def decode_ids(ids: np.ndarray, texts: list[bytes]) -> str:
 
 def encode_pieces(text: Column, trie: PieceTrie) -> Column:
     """The ids of a text column, as ``array<int>``."""
-    shared = _shared(trie)
 
     @F.arrow_udf("array<int>")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        segmenter = Segmenter(shared.value)
+        segmenter = Segmenter(trie)
         for texts in batches:
             flat, ends = segmenter.encode(texts.to_pylist())
             offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
@@ -292,11 +291,10 @@ def encode_pieces(text: Column, trie: PieceTrie) -> Column:
 
 def decode_pieces(ids: Column, trie: PieceTrie) -> Column:
     """The text of an ``array<int>`` column of ids."""
-    shared = _shared(trie)
+    texts = trie.texts
 
     @F.arrow_udf("string")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        texts = shared.value.texts
         for rows in batches:
             flat, starts = rows.values.to_numpy(), rows.offsets.to_numpy()
             present = rows.is_valid().to_pylist()
@@ -307,10 +305,6 @@ def decode_pieces(ids: Column, trie: PieceTrie) -> Column:
     return decoded(ids)
 
 
-def _shared(trie: PieceTrie):
-    return SparkSession.getActiveSession().sparkContext.broadcast(trie)
-
-
 def default_pieces() -> str:
     import public_tokenizers
 
