@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_convolution, compression_bands, group_matrix, mixing, pii, pruned_graph, sentencepieces, sharding, url_filter
+from . import byte_convolution, compression_bands, group_matrix, mixing, pii, pruned_graph, sentencepieces, sharding, token_files, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_stratified_interleaving": sharding.op5_stratified_interleaving,
         "op6_weighted_mix": mixing.op6_weighted_mix,
         "op7_compression_bands": compression_bands.op7_compression_bands,
+        "op8_context_mixing": token_files.op8_context_mixing,
         "op9_pruned_graph": pruned_graph.op9_pruned_graph,
         "op10_sentencepiece": sentencepieces.op10_sentencepiece,
     }

@@ -30,11 +30,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
+from .words import WordMemory
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Words that a worker remembers at most; then it starts anew. Bounds its memory only.
-REMEMBERED = 600_000
 
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 _WORDS = re.compile(rb"\n| *[^ \n]+| +")
@@ -145,11 +144,7 @@ class Segmenter:
         self.scores, self.byte_ids, self.unknown = trie.scores, trie.byte_ids, trie.unknown_score
         self.bytes = np.array(trie.byte_ids, np.int32)
         self.cut = trie.cutter().findall
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ids, self.sizes, self.begins = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int64)
+        self.memory = WordMemory(self.best_of_all)
 
     def path(self, word: bytes, begins: list[int], found: list[int]) -> list[int]:
         """Ids of the path that ends at the word's end; ``begins`` and ``found`` by end."""
@@ -239,36 +234,19 @@ class Segmenter:
             rows, end = rows[on], start[on]
         return out[:, ::-1][np.arange(width)[::-1] < count[:, None]], count
 
-    def learn(self, words: list[bytes]) -> None:
-        """Segment words that are not known yet."""
+    def best_of_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``best`` of words of any length, which are put in order of length."""
         words.sort(key=len)
         short = sum(len(w) <= _SIDE_BY_SIDE for w in words)
         done = [self.best_of_many(words[at : min(at + _TOGETHER, short)]) for at in range(0, short, _TOGETHER)]
         for word in words[short:]:
             ids = self.best(word)
             done.append((np.array(ids, np.int32), np.array([len(ids)])))
-        sizes = np.concatenate([self.sizes, *(count for _, count in done)]).astype(np.int32)
-        self.known.update(zip(words, range(len(self.known), len(sizes)), strict=True))
-        self.ids = np.concatenate([self.ids, *(ids for ids, _ in done)])
-        self.sizes, self.begins = sizes, np.cumsum(sizes, dtype=np.int64) - sizes
+        return np.concatenate([ids for ids, _ in done]), np.concatenate([sizes for _, sizes in done])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and where each text's ids end."""
-        if len(self.known) > REMEMBERED:
-            self.forget()
-        words: list[bytes] = []
-        ends = []
-        for text in texts:
-            if text:
-                words += self.cut(b" " + text.encode())
-            ends.append(len(words))
-        if new := list(set(words).difference(self.known)):
-            self.learn(new)
-        places = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        sizes = self.sizes[places]
-        before = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        flat = self.ids[np.repeat(self.begins[places] - before[:-1], sizes) + np.arange(before[-1])]
-        return flat, before[ends]
+        return self.memory.encode([self.cut(b" " + t.encode()) if t else [] for t in texts])
 
 
 def decode_ids(ids: np.ndarray, texts: list[bytes]) -> str:
