@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import free_name, read
 from .words import WordMemory
 
 MARKER = "▁"
@@ -294,14 +294,15 @@ def with_pieces(df: DataFrame, text: str = "text", ids: str = "ids", path: str |
     return df.withColumn(ids, encode_pieces(F.col(text), load_pieces(path or default_pieces())))
 
 
-def op10_sentencepiece(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
-    """Every document's ids, and whether decoding them gives the text back."""
+def round_trips(df: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
+    """Add ``ids``, ``n_pieces`` and ``round_trip``, whether decoding the ids gives the text back (replaced where they exist)."""
     trie = load_pieces(path or default_pieces())
-    encoded = read(spark, sf_dir, "documents").select("doc_id", "text", encode_pieces(F.col("text"), trie).alias("ids"))
-    decoded = encoded.withColumn("decoded", decode_pieces(F.col("ids"), trie))
-    return decoded.select(
-        "doc_id",
-        "ids",
-        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"),
-        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
-    )
+    decoded = free_name(df, "_decoded")
+    encoded = df.withColumn("ids", encode_pieces(F.col(text), trie)).withColumn(decoded, decode_pieces(F.col("ids"), trie))
+    counted = encoded.withColumn("n_pieces", F.coalesce(F.size("ids"), F.lit(0)).cast("long"))
+    return counted.withColumn("round_trip", F.col(decoded).eqNullSafe(F.col(text))).drop(decoded)
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, and whether they decode to its text."""
+    return round_trips(read(spark, sf_dir, "documents")).select("doc_id", "ids", "n_pieces", "round_trip")
