@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, seeded_hash
+from .common import bounded, read, seeded_hash
 
 TAPS = 6
 FILTERS = 16
@@ -192,6 +192,6 @@ def op4_byte_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     labels = read(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out)
-    net = fit(*training_sample(documents, labels, "doc_id", "text", "quality"))
+    net = fit(*training_sample(bounded(documents), labels, "doc_id", "text", "quality"))
     scored = documents.select("doc_id", held_out.alias("held_out"), quality_score(F.col("text"), net).alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).cast("int"))

@@ -11,16 +11,20 @@ from pyspark.sql import functions as F
 from ..session import tune
 
 #: Rows in one Arrow batch: Python workers hold one batch of texts at a time.
-BATCH_ROWS = 512
+BATCH_ROWS = 256
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the corpus, with the settings that bound what a Python worker holds."""
-    tune(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """A table of the corpus."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, after the settings that bound what a Python worker holds. Every operator passes its input through this."""
+    tune(df.sparkSession).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it (whatever its case)."""
     taken = {c.lower() for c in df.columns}

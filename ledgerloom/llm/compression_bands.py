@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_name, read
+from .common import bounded, free_name, read
 
 LEVEL = 3
 CHUNK_BYTES = 4096
@@ -121,7 +121,7 @@ def base_failed(measures: str) -> Column:
 
 def with_quality(df: DataFrame, text: str = "text", name: str = "quality", **limits) -> DataFrame:
     """Add the struct ``name``: the measures, ``base_failed`` and ``kept``."""
-    measured = df.withColumn(name, quality_measures(F.col(text), **limits))
+    measured = bounded(df).withColumn(name, quality_measures(F.col(text), **limits))
     failed = base_failed(name)
     verdict = F.struct(f"{name}.*", failed.alias("base_failed"), (~failed & F.col(f"{name}.in_band")).alias("kept"))
     return measured.withColumn(name, verdict)

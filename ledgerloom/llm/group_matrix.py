@@ -36,15 +36,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import free_name, read
+from .common import bounded, free_name, read
 from .components import components
 from .shingles import shingle_sets
 
 WIDTH = 4
 #: Threshold in percent.
 PERCENT = 85
-#: Sets in a block. A unit holds two blocks.
+#: Sets in a block, and tokens in a block of long sets. A unit holds two blocks.
 BLOCK = 512
+BLOCK_TOKENS = 500_000
 
 
 def least_overlap(n, percent: int):
@@ -124,10 +125,10 @@ def with_groups(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def meetings(sets: DataFrame) -> DataFrame:
-    """Pairs (``set_id``, ``grp``) of sets and groups that share a token, a set's own group and later ones only."""
-    queries = sets.select("set_id", F.col("grp").alias("own"), F.explode("prefix").alias("token"))
+    """Pairs (``set_id``, ``grp``) of sets and groups that share a token, a set's own group (``own``) and later ones only."""
+    queries = sets.select("set_id", "n", F.col("grp").alias("own"), F.explode("prefix").alias("token"))
     matrix = sets.select("grp", F.explode("prefix").alias("token")).distinct()
-    return queries.join(matrix, "token").where("own <= grp").select("set_id", "own", "grp").distinct()
+    return queries.join(matrix, "token").where("own <= grp").select("set_id", "n", "own", "grp").distinct()
 
 
 def units(sets: DataFrame, met: DataFrame, block: int) -> DataFrame:
@@ -135,10 +136,10 @@ def units(sets: DataFrame, met: DataFrame, block: int) -> DataFrame:
 
     A group's own blocks meet each other once; sets of other groups are dealt into blocks of their own.
     """
-    members = sets.groupBy("grp").agg(F.count("*").alias("members"))
-    strangers = met.where("own <> grp").groupBy("grp").agg(F.count("*").alias("strangers"))
-    sizes = members.join(strangers, "grp", "left").fillna(0, ["strangers"]).where("members > 1 OR strangers > 0")
-    blocks = sizes.select("grp", F.ceil(F.col("members") / block).alias("bi"), F.ceil(F.col("strangers") / block).alias("bj"), "members")
+    needed_blocks = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / BLOCK_TOKENS))
+    members = sets.groupBy("grp").agg(F.count("*").alias("members"), needed_blocks.alias("bi"))
+    strangers = met.where("own <> grp").groupBy("grp").agg(needed_blocks.alias("bj"))
+    blocks = members.join(strangers, "grp", "left").fillna(0, ["bj"]).where("members > 1 OR bj > 0")
 
     def dealt(into: str) -> Column:
         return F.pmod(F.xxhash64("set_id"), F.greatest(F.col(into), F.lit(1)))
@@ -243,7 +244,7 @@ def opened(rows: DataFrame, percent: int) -> DataFrame:
 
 def near_copies(df: DataFrame, row_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` (smallest id reachable by links) of every row. Ids are integers."""
-    df = df.select(F.col(row_id).cast("long").alias(row_id), text)
+    df = bounded(df).select(F.col(row_id).cast("long").alias(row_id), text)
     documents = stage_table(document_sets(df, row_id, text, width, percent), "document-sets")
     sets = documents.where("n > 0 AND doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("set_id"), F.first("n").alias("n"), F.first("head").alias("head"))
     sets = stage_table(sets, "distinct-sets")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import free_name, read, seeded_hash, slices_for, sums_before, unit_interval
+from .common import bounded, free_name, read, seeded_hash, slices_for, sums_before, unit_interval
 
 WEIGHTS = (3, 1, 2)
 #: The mix holds this share of all words, as numerator and denominator.
@@ -36,12 +36,16 @@ SEED = "mix-1"
 _SYMBOLS = b"#*$%&|<>"
 
 
-@F.pandas_udf("size long, symbols long")
-def text_measures(texts: pd.Series) -> pd.DataFrame:
-    """Words split at ASCII white space, and marks that are rare in prose."""
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    sizes = [len(b.split()) for b in raw]  # bytes.split() splits at \x20 and \x09-\x0D
-    return pd.DataFrame({"size": sizes, "symbols": [sum(b.count(s) for s in _SYMBOLS) for b in raw]})
+def text_measures(text: Column) -> Column:
+    """A struct of ``size``, words split at ASCII white space, and ``symbols``, marks that are rare in prose."""
+
+    @F.pandas_udf("size long, symbols long")
+    def measured(texts: pd.Series) -> pd.DataFrame:
+        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        sizes = [len(b.split()) for b in raw]  # bytes.split() splits at \x20 and \x09-\x0D
+        return pd.DataFrame({"size": sizes, "symbols": [sum(b.count(s) for s in _SYMBOLS) for b in raw]})
+
+    return measured(text)
 
 
 def quality_weight(size: Column, symbols: Column) -> Column:
@@ -89,7 +93,7 @@ def mixed(
     seed: str = SEED,
 ) -> DataFrame:
     """Per row: ``row_id``, ``source``, ``text_md5``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` (words)."""
-    measured = df.select(
+    measured = bounded(df).select(
         F.col(row_id).alias("row_id"),
         F.col(source).alias("source"),
         F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_md5"),

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import free_name, read
+from .common import bounded, free_name, read
 
 # Kinds in the order of the digest, and their patterns. The guards in front keep the
 # search linear on long runs: a match starts at a run's first character or where the last match ended.
@@ -181,7 +181,7 @@ def with_spans(df: DataFrame, row_id: str, text: str = "text", name: str = "span
     Kinds are indices of ``KINDS``; the one after the last marks terms to be removed. ``df`` is
     read several times: hand in a table, not a costly plan.
     """
-    key = free_name(df, "_row_key")
+    key = free_name(bounded(df), "_row_key")
     terms = disclosing_spans(df, row_id, text).withColumnsRenamed({"row_key": key, "terms": "_right_terms"})
     marked = with_base_spans(df, text, name).withColumn(key, _row_key(row_id, text))
     joined = marked.join(terms, key, "left")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import free_name, read, seeded_hash, slices_for, sums_before, unit_interval
+from .common import bounded, free_name, read, seeded_hash, slices_for, sums_before, unit_interval
 
 SHARDS = 24
 SEED = "interleave-1"
@@ -36,7 +36,7 @@ def interleaved(df: DataFrame, row_id: str, source: str, shards: int = SHARDS, s
     columns named ``shard`` or ``slot`` are replaced. ``df`` is read several times: hand in a stored
     table when it is costly to compute.
     """
-    df = df.drop("shard", "slot")
+    df = bounded(df).drop("shard", "slot")
     digest, spot, rank, size = (free_name(df, n) for n in ("_digest", "_spot", "_rank", "_size"))
     slice_, place = free_name(df, "_slice"), free_name(df, "_place")
     total = df.count()

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import free_name, read
+from .common import bounded, free_name, read
 
 # Fixed values: (rule, verdict).
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
@@ -178,6 +178,7 @@ def site_scores(urls: DataFrame, words: DataFrame, seeds=SEEDS) -> DataFrame:
 def judged(df: DataFrame, url: str, html: str, rules=RULES, seeds=SEEDS) -> DataFrame:
     """Add ``host``, ``path``, ``rule``, ``verdict``, ``score`` and ``tokens`` (replaced where they exist)."""
     host, path = url_parts(F.col(url))
+    df = bounded(df)
     shape = free_name(df, "_shape")
     parted = df.withColumns({"host": host, "path": path}).withColumn(shape, F.concat_ws(" ", path_words(F.col("path"))))
     words = stage_table(with_seeds(stage_table(word_counts(df, html), "page-words"), seeds), "url-unigrams")
