@@ -28,16 +28,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import read, seeded_hash
+from .common import bounded, read, seeded_hash
 from .components import components
 from .group_matrix import forest
 
 THRESHOLD = 0.95
-#: Centres at most; they are sent to every task.
-CENTRES = 4096
-#: Sampled vectors per centre, for its mean.
-SAMPLE = 8
-BLOCK = 2048
+#: One centre for so many vectors, and centres at most: they are sent to every task.
+PER_CENTRE = 450
+CENTRES = 65_536
+#: Sampled vectors per centre, for its mean, and sampled vectors at most (but one for each centre).
+SAMPLE, SAMPLE_ROWS = 8, 32_768
+BLOCK = 1024
 ALPHA = 1.2
 NEAREST, RANDOM, DEGREE = 48, 24, 24
 MARGIN = 0.05
@@ -80,35 +81,29 @@ def pruned(near: np.ndarray, candidates: np.ndarray, degree: int = DEGREE, alpha
     return kept
 
 
-def block_graph(vectors: np.ndarray, seed: int = 3) -> tuple[np.ndarray, int]:
-    """Adjacency rows (-1 for none) and the medoid of a block of unit vectors."""
+def block_graph(vectors: np.ndarray, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """The links (from, to) of a block of unit vectors, by from."""
     n = len(vectors)
     low = vectors.astype(np.float32)
     near = low @ low.T
     medoid = int((low @ low.mean(axis=0)).argmax())
     if n == 1:
-        return np.full((1, 1), -1, np.int32), 0
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     width = min(n, NEAREST + 1)
     nearest = np.argpartition(-near, width - 1, axis=1)[:, :width]
     random = np.random.default_rng(seed).integers(0, n, (n, RANDOM))
     forward = pruned(near, np.hstack([nearest, random, np.full((n, 1), medoid)]))
-    # Links both ways, pruned again where that makes too many.
+    # Links both ways. A node that many choose keeps them all.
     a, b = np.repeat(np.arange(n), DEGREE), forward.ravel()
     a, b = a[b >= 0], b[b >= 0]
     pairs = np.unique(np.concatenate([a * n + b, b * n + a]))
-    return padded_rows(pairs // n, pairs % n, n), medoid
+    return pairs // n, pairs % n
 
 
-def padded_rows(owners: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Lists by owner (sorted) as rows of equal width, -1 for none."""
-    counts = np.bincount(owners, minlength=n)
-    rows = np.full((n, max(1, counts.max(initial=0))), -1, np.int32)
-    rows[owners, np.arange(len(owners)) - np.repeat(np.cumsum(counts) - counts, counts)] = values
-    return rows
-
-
-def walk(vectors: np.ndarray, edges: np.ndarray, medoid: int, queries: np.ndarray, threshold: float, steps: int) -> tuple[np.ndarray, np.ndarray]:
+def walk(vectors: np.ndarray, links: tuple[np.ndarray, np.ndarray], medoid: int, queries: np.ndarray, threshold: float, steps: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, node) that the search finds near the threshold; all queries move side by side."""
+    counts = np.bincount(links[0], minlength=len(vectors))
+    begins, to = np.cumsum(counts) - counts, links[1]
     low, asking = vectors.astype(np.float32), queries.astype(np.float32)
     n, m = len(low), len(asking)
     found = np.full((m, n), -2, np.float32)  # cosines of visited nodes
@@ -116,9 +111,14 @@ def walk(vectors: np.ndarray, edges: np.ndarray, medoid: int, queries: np.ndarra
     found[:, medoid] = asking @ low[medoid]
     rows = np.arange(m)
 
-    def visit(q: np.ndarray, node: np.ndarray) -> None:
-        new = (node >= 0) & (found[q, node] == -2)
-        pairs = np.unique(q[new].astype(np.int64) * n + node[new])
+    def expand(q: np.ndarray, node: np.ndarray) -> None:
+        """Visit all nodes that the given ones lead to."""
+        spent[q, node] = True
+        sizes = counts[node]
+        near = to[np.repeat(begins[node] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+        asked = np.repeat(q, sizes)
+        new = found[asked, near] == -2
+        pairs = np.unique(asked[new] * n + near[new])
         for at in range(0, len(pairs), 1 << 17):
             q_, node_ = np.divmod(pairs[at : at + (1 << 17)], n)
             found[q_, node_] = np.einsum("ij,ij->i", asking[q_], low[node_])
@@ -129,18 +129,13 @@ def walk(vectors: np.ndarray, edges: np.ndarray, medoid: int, queries: np.ndarra
         live = open_[rows, best] > -2
         if not live.any():
             break
-        q, node = rows[live], best[live]
-        spent[q, node] = True
-        near = edges[node]
-        visit(np.repeat(q, near.shape[1]), near.ravel())
+        expand(rows[live], best[live])
     while True:
         q, node = np.nonzero((found >= threshold - MARGIN) & ~spent)
         if not len(q):
             break
-        spent[q, node] = True
-        for at in range(0, len(q), 1 << 15):
-            near = edges[node[at : at + (1 << 15)]]
-            visit(np.repeat(q[at : at + (1 << 15)], near.shape[1]), near.ravel())
+        for at in range(0, len(q), 1 << 14):
+            expand(q[at : at + (1 << 14)], node[at : at + (1 << 14)])
     return np.nonzero(found >= threshold - 1e-3)
 
 
@@ -153,8 +148,9 @@ def valid_vectors(df: DataFrame, row_id: str, vector: str) -> DataFrame:
 
 
 def find_centres(nodes: DataFrame, count: int, dimension: int) -> np.ndarray:
-    """Unit centres: a few rounds of means over a sample of ``SAMPLE`` vectors per centre."""
-    rows = nodes.orderBy(seeded_hash("centres", "vec_id")).limit(count * SAMPLE).select("v").collect()
+    """Unit centres: a few rounds of means over a bounded sample."""
+    drawn = max(count, min(count * SAMPLE, SAMPLE_ROWS))
+    rows = nodes.orderBy(seeded_hash("centres", "vec_id")).limit(drawn).select("v").collect()
     sample = unit_rows(np.array([r.v for r in rows]).reshape(-1, dimension))
     centres = sample[:count].copy()
     for _ in range(4):
@@ -193,11 +189,10 @@ def adjacency(rows: DataFrame, dimension: int) -> DataFrame:
     def build(table: pa.Table) -> pa.Table:
         ids = table.column("vec_id").to_numpy()
         order = np.argsort(ids)
-        edges, _ = block_graph(unit_rows(matrix(table.column("v"), dimension)[order]))
         ids = ids[order]
-        lists = [ids[e[e >= 0]] for e in edges]
-        ends = np.cumsum([0, *map(len, lists)])
-        return pa.table({"vec_id": ids, "nbrs": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists)))})
+        a, b = block_graph(unit_rows(matrix(table.column("v"), dimension)[order]))
+        ends = np.searchsorted(a, np.arange(len(ids) + 1))
+        return pa.table({"vec_id": ids, "nbrs": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids[b]))})
 
     built = rows.select("shard", "i", "vec_id", "v").groupBy("shard", "i").applyInArrow(build, "vec_id long, nbrs array<long>")
     return built.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("nbrs"))).alias("nbrs"))
@@ -248,7 +243,7 @@ def searched(pairs: DataFrame, dimension: int, threshold: float, steps: int) ->
         local = np.searchsorted(inside, owner)
         ok = (here[place] == target) & host[owner]
         order = np.argsort(local[ok], kind="stable")
-        edges = padded_rows(local[ok][order], place[ok][order], len(inside))
+        edges = local[ok][order], place[ok][order]
         medoid = int((values[inside] @ values[inside].mean(axis=0)).argmax())
         q, m = walk(values[inside], edges, medoid, values[asking], threshold, steps)
         q, m = asking[q], inside[m]
@@ -298,7 +293,7 @@ def audited_recall(nodes: DataFrame, found: DataFrame, dimension: int, threshold
 
 def near_vectors(df: DataFrame, row_id: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD, block: int = BLOCK, attempts=ATTEMPTS) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id``, ``kept`` and ``audit_recall`` (of the whole run) of every row."""
-    all_rows = df.select(F.col(row_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
+    all_rows = bounded(df).select(F.col(row_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
     nodes = stage_table(valid_vectors(df, row_id, vector), "vectors")
     common = nodes.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").limit(1).collect()
     dimension = common[0]["size"] if common else 1
@@ -307,7 +302,7 @@ def near_vectors(df: DataFrame, row_id: str = "vec_id", vector: str = "embedding
 
     found, recall = nodes.select("vec_id", F.col("vec_id").alias("root"), F.lit(0).cast("long").alias("links")).limit(0), 1.0
     if total > 1:
-        centres = find_centres(nodes, max(1, min(CENTRES, int(np.ceil(total**0.5 / 2)))), dimension)
+        centres = find_centres(nodes, max(1, min(CENTRES, total // PER_CENTRE)), dimension)
         for overlap, steps in attempts:
             shards = stage_table(dealt_blocks(shard_rows(nodes, centres, overlap), block), "vector-shards")
             lists = stage_table(adjacency(shards, dimension), "vector-graph")
