@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 from decimal import Decimal
-from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,27 +17,11 @@ from pyspark.sql import functions as F
 from ..functions.conditions import case_bucket
 from ..plans import dashboard, risk, value
 from ..session import stage_table, tune
-from . import Query, davg, dsum, metric_rows, r2, table
+from . import Query, Stages, davg, dsum, metric_rows, r2, table
 
 AS_OF = date(2001, 12, 31)
 
 
-class Stages:
-    """Stage tables by application, folder and name."""
-
-    def __init__(self) -> None:
-        self._made: dict[tuple[str, str, str], DataFrame] = {}
-        # One stage is built on another by the same thread; other threads wait for it.
-        self._lock = RLock()
-
-    def get(self, spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        key = (spark.sparkContext.applicationId, folder, name)
-        with self._lock:
-            if key not in self._made:
-                self._made[key] = build()
-            return self._made[key]
-
-
 class Roles:
     """The insurance frames over one folder of tables."""
 
@@ -362,7 +345,7 @@ figures AS (
     count(*) FILTER (WHERE risk_category = 'High') AS high_risk,
     coalesce({dsum("CASE WHEN policy_types_count = 1 THEN total_premium END")}, 0) AS single_premium,
     {davg("floor(customer_tenure_years)")} AS avg_tenure FROM value),
-  (SELECT count(*) AS at_risk, coalesce({dsum("premium_amount")}, 0) AS at_risk_premium FROM at_risk),
+  (SELECT count(DISTINCT customer_id) AS at_risk, count(*) AS at_risk_policies, coalesce({dsum("premium_amount")}, 0) AS at_risk_premium FROM at_risk),
   (SELECT coalesce({dsum("customer_count * (recommended_premium - current_avg_premium)")}, 0) AS pricing_impact FROM segment_pricing),
   (SELECT coalesce({dsum("estimated_additional_premium")}, 0) AS potential, count(*) FILTER (WHERE cross_sell_priority = 'High Priority') AS cross_high FROM cross_sell),
   (SELECT count(*) FILTER (WHERE fraud_risk_category = 'High Risk') AS fraud_high,
@@ -578,7 +561,7 @@ _SQL = {
     "renewal_distribution": f"""SELECT renewal_risk_category, count(*) AS policy_count, {davg("renewal_probability_score", 10)} AS avg_renewal_prob,
         {dsum("premium_amount")} AS total_premium_at_risk FROM renewals GROUP BY ALL""",
     "at_risk_policies": "SELECT * FROM at_risk",
-    "at_risk_summary": f"""SELECT clpv_segment, risk_category, count(*) AS customer_count, {dsum("premium_amount")} AS premium_at_risk,
+    "at_risk_summary": f"""SELECT clpv_segment, risk_category, count(DISTINCT customer_id) AS customer_count, count(*) AS policy_count, {dsum("premium_amount")} AS premium_at_risk,
         {davg("renewal_probability_score", 10)} AS avg_renewal_prob FROM at_risk GROUP BY ALL""",
     "pricing_by_risk": _PRICING,
     "pricing_recommendations": f"""SELECT *, (recommended_avg_premium - current_avg_premium) / current_avg_premium * 100 AS pricing_adjustment_pct,
@@ -599,7 +582,7 @@ _SQL = {
         f"""SELECT (SELECT count(*) FROM value) AS n, (SELECT {dsum("customer_lifetime_premium_value")} FROM value) AS total,
         (SELECT count(*) FROM value WHERE clpv_segment = 'Premium') AS a, (SELECT count(*) FROM value WHERE clpv_segment = 'High Value') AS b,
         (SELECT count(*) FROM value WHERE clpv_segment = 'Medium Value') AS c, (SELECT count(*) FROM value WHERE clpv_segment = 'Low Value') AS d,
-        (SELECT count(*) FROM at_risk) AS risky, (SELECT count(*) FROM scored_claims) AS claims,
+        (SELECT count(DISTINCT customer_id) FROM at_risk) AS risky, (SELECT count(*) FROM scored_claims) AS claims,
         (SELECT count(*) FROM scored_claims WHERE fraud_risk_category = 'High Risk') AS high""",
         [
             ("Total Portfolio CLPV", "total", "currency"),
@@ -636,6 +619,7 @@ _SQL = {
             ("Average Customer Tenure", "avg_tenure", "years"),
             ("Policy Retention Rate", "CAST(active AS DOUBLE) / policies * 100", "percentage"),
             ("At-Risk Customers", "at_risk", "count"),
+            ("At-Risk Policies", "at_risk_policies", "count"),
             ("At-Risk Percentage", "CAST(at_risk AS DOUBLE) / customers * 100", "percentage"),
             ("Premium at Risk", "at_risk_premium", "currency"),
         ],

@@ -264,6 +264,17 @@ QUERIES: dict[str, Query] = {
             ),
             "transaction_amount",
         ),
+        "fact_transaction_rejects": lambda r: banking.transaction_load(
+            r.staging.unionByName(r.staging.where("transaction_type = 'signup'")),
+            r.holders,
+            r.products.where("banking_product_key < 3"),
+            r.dates.where("day_number < 25"),
+            r.staging.where("transaction_type = 'click'"),
+            (-200, 200),
+        ).rejects,
+        "fact_transaction_counters": lambda r: banking.transaction_load(
+            r.staging.unionByName(r.staging), r.holders, r.products, r.dates, r.staging.where("transaction_type = 'click'")
+        ).counters,
         "reset_period": lambda r: without_period(r.dates, F.col("full_date") >= F.lit(date(2024, 1, 15))).select("date_key"),
         "validation_suite": lambda r: banking.validation_suite(
             r.facts, r.holders, r.products, r.dates, date(2024, 1, 20), (-200, 200)
@@ -292,6 +303,8 @@ QUERIES: dict[str, Query] = {
 
 def _rule(title: str, source: str, checked: str, failed: str, table_name: str, key: str) -> str:
     _, passed, broken = banking.RULE_TEXT[key]
+    if key == "amount":
+        broken = "Found Transactions outside valid range (-200-200)"
     return f"""SELECT '{title}' AS rule_name, '{table_name}' AS table_name, CAST({checked} AS BIGINT) AS records_checked,
       CAST(coalesce({failed}, 0) AS BIGINT) AS records_failed, '{passed}' AS ok_text, '{broken}' AS bad_text FROM {source}"""
 
@@ -342,11 +355,11 @@ _SQL = {
         FROM holders h LEFT JOIN detected d ON h.account_holder_key = d.account_holder_key
         UNION ALL
         SELECT (SELECT max(account_holder_key) FROM holders)
-            + row_number() OVER (ORDER BY substr(md5(account_holder_id), 1, 3), account_holder_id),
+            + row_number() OVER (ORDER BY md5(account_holder_id)),
           account_holder_id, account_holder_name, address, relationship_tier, DATE '2024-02-01', NULL, true
         FROM detected WHERE change_type <> 'UNCHANGED'""",
     "insert_only_dimension": """SELECT (SELECT max(banking_product_key) FROM products)
-          + row_number() OVER (ORDER BY substr(md5(banking_product_id), 1, 3), banking_product_id) AS banking_product_key,
+          + row_number() OVER (ORDER BY md5(banking_product_id)) AS banking_product_key,
           banking_product_id, product_name, product_category, true AS is_active
         FROM (SELECT DISTINCT banking_product_id, product_name, product_category FROM staging)
         WHERE banking_product_id NOT IN (SELECT banking_product_id FROM products)""",
@@ -363,6 +376,23 @@ _SQL = {
         FROM staging JOIN holders h USING (account_holder_id) JOIN products USING (banking_product_id)
         JOIN dates ON transaction_date = full_date
         WHERE h.is_current AND transaction_amount BETWEEN -50000 AND 50000 AND transaction_type <> 'click'""",
+    "fact_transaction_rejects": """SELECT transaction_id, reject_reason, count(*) AS row_count FROM (
+          SELECT s.transaction_id, CASE WHEN transaction_type = 'click' THEN 'duplicate'
+            WHEN transaction_amount NOT BETWEEN -200 AND 200 THEN 'invalid amount'
+            WHEN h.account_holder_key IS NULL THEN 'unknown account_holder_id'
+            WHEN transaction_type NOT IN ('purchase', 'view') THEN 'unknown banking_product_id'
+            WHEN day(transaction_date) >= 25 THEN 'unknown date_key'
+            WHEN copy > 1 THEN 'duplicate' END AS reject_reason
+          FROM (SELECT *, 1 AS copy FROM staging UNION ALL SELECT *, 2 FROM staging WHERE transaction_type = 'signup') s
+            LEFT JOIN holders h ON s.account_holder_id = h.account_holder_id AND h.is_current)
+        WHERE reject_reason IS NOT NULL GROUP BY ALL""",
+    "fact_transaction_counters": """SELECT 2 * count(*) AS total_processed,
+          count(*) FILTER (WHERE transaction_type IN ('purchase', 'view') AND h.account_holder_key IS NOT NULL) AS successfully_loaded,
+          2 * count(*) FILTER (WHERE transaction_type <> 'click' AND (transaction_type NOT IN ('purchase', 'view') OR h.account_holder_key IS NULL))
+            AS failed_validation,
+          2 * count(*) FILTER (WHERE transaction_type = 'click')
+            + count(*) FILTER (WHERE transaction_type IN ('purchase', 'view') AND h.account_holder_key IS NOT NULL) AS duplicate_facts
+        FROM staging s LEFT JOIN holders h ON s.account_holder_id = h.account_holder_id AND h.is_current""",
     "reset_period": "SELECT CAST(strftime(full_date, '%Y%m%d') AS INT) AS date_key FROM dates WHERE full_date < DATE '2024-01-15'",
     "validation_suite": f"""SELECT rule_name, table_name, records_checked, records_failed,
           CASE WHEN records_failed = 0 THEN 'PASSED' ELSE 'FAILED' END AS validation_status,

@@ -18,10 +18,10 @@ from ..operators.quality import (
     FieldRule,
     INFO,
     WARNING,
-    RunHealth,
     field_quality_gaps,
     findings_summary,
     quality_report_text,
+    run_health,
     validate_field_level,
     validate_list_length,
     validate_schema,
@@ -217,18 +217,15 @@ def _gaps(r: Roles) -> DataFrame:
 
 
 def _health(r: Roles) -> DataFrame:
-    """Time extraction, cleaning and validation of the customers; the durations are left out here."""
-    health = RunHealth()
-    with health.step("extract", sla_seconds=3600) as step:
-        step["records_processed"] = r.customers.count()
-    with health.step("clean", sla_seconds=3600) as step:
-        step["records_processed"] = bookstore.transform_customers(r.customers).count()
-    with health.step("validate", sla_seconds=3600) as step:
-        checked = r.customers.agg(
-            F.count("*").alias("n"), F.count(clean_email("email")).alias("good")
-        ).first()
-        step["records_processed"], step["quality_score"] = checked.n, checked.good / checked.n
-    return health.table(r.read("customer").sparkSession).drop("duration_seconds")
+    """The events as a run log: each kind is a step, each event a piece of work of as many seconds as its value."""
+    log = r.read("events").select(
+        F.col("event_type").alias("step"),
+        F.col("ts").alias("started_at"),
+        (F.col("ts").cast("timestamp").cast("double") + F.floor("value")).cast("timestamp").alias("finished_at"),
+        F.lit(1).alias("records"),
+        F.when(F.col("value") <= 100, 1).otherwise(0).alias("good_records"),
+    )
+    return run_health(log, {"click": 1_000_000, "error": 4_000_000}, 2_591_000)
 
 
 def _query(build: Callable[[Roles], DataFrame]) -> Query:
@@ -270,6 +267,9 @@ QUERIES: dict[str, Query] = {
         "load_dimension_book": lambda r: bookstore.load_dimension(
             r.known_books, "isbn", "book_key", bookstore.transform_books(r.books).where("isbn <> 'Invalid'")
         ),
+        "dimension_book_rejects": lambda r: bookstore.transform_books(r.books).where("isbn = 'Invalid'").groupBy("isbn").agg(
+            F.lit("invalid isbn").alias("reject_reason"), F.count("*").alias("row_count")
+        ),
         "load_fact_book_sales": lambda r: bookstore.load_book_sales(
             bookstore.transform_orders(r.orders), r.books, r.dim_book, r.dim_author, r.dim_customer
         ).withColumn("price", F.col("price").cast("double")),
@@ -278,14 +278,14 @@ QUERIES: dict[str, Query] = {
             r.authors.select("name", "phone"), r.customers.select("name", "customer_id")
         ).groupBy(F.col("customer_id").isNull().alias("is_author")).agg(F.count("*").alias("people"), F.count("phone").alias("phones")),
         "validate_field_level": _book_findings,
-        "validate_field_summary": lambda r: findings_summary(_book_findings(r)).select("field", "rule", "severity", "row_count"),
-        "quality_report_text": lambda r: quality_report_text(_book_findings(r).where("field <> 'title'")),
+        "validate_field_summary": lambda r: findings_summary(_book_findings(r)),
+        "quality_report_text": lambda r: quality_report_text(_book_findings(r)),
         "validate_list_length": lambda r: validate_list_length(_words(r), "words", "doc_id", 20, 1000),
         "validate_schema": _schema_check,
         "field_quality_gaps": _gaps,
         "run_health_report": _health,
         "column_profile": lambda r: column_profile(handle_missing(r.books, "leave")),
-        "document_profile": lambda r: column_profile(r.documents, ["text", "lang", "source"]),
+        "document_profile": lambda r: column_profile(r.documents),
         "duplicate_values": lambda r: duplicate_values(r.documents, "text"),
         "duplicate_id_check": lambda r: duplicate_id_check(r.orders.select("order_id"), "order_id"),
         "null_counts": lambda r: null_counts(handle_missing(r.books, "leave")),
@@ -333,8 +333,10 @@ _SQL = {
     "load_dimension_book": """WITH incoming AS (SELECT isbn, title, genre FROM books WHERE title <> '' AND isbn <> 'Invalid'),
         known AS (SELECT p_partkey + 1 AS book_key, '978' || lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS isbn FROM part WHERE p_size <= 25)
         SELECT book_key, isbn, coalesce(title, 'Old') AS title, coalesce(genre, 'Old') AS genre FROM known LEFT JOIN incoming USING (isbn)
-        UNION ALL SELECT (SELECT max(book_key) FROM known) + row_number() OVER (ORDER BY substr(md5(isbn), 1, 3), isbn), isbn, title, genre
+        UNION ALL SELECT (SELECT max(book_key) FROM known) + row_number() OVER (ORDER BY md5(isbn)), isbn, title, genre
         FROM incoming WHERE isbn NOT IN (SELECT isbn FROM known)""",
+    "dimension_book_rejects": """SELECT isbn, 'invalid isbn' AS reject_reason, count(*) AS row_count FROM books
+        WHERE title <> '' AND isbn = 'Invalid' GROUP BY ALL""",
     "load_fact_book_sales": """SELECT p_partkey + 1 AS book_key, s_suppkey + 1 AS author_key, o.customer_id + 1 AS customer_key,
         CAST(strftime(CAST(order_date AS DATE), '%Y%m%d') AS INT) AS date_key, quantity, CAST(price AS DOUBLE) AS price
         FROM orders_once o JOIN books b ON o.book_isbn = b.isbn JOIN supplier ON s_name = author
@@ -345,10 +347,11 @@ _SQL = {
     "append_sources": """SELECT true AS is_author, count(*) AS people, count(*) AS phones FROM supplier
         UNION ALL SELECT false, count(*), 0 FROM customer""",
     "validate_field_level": "SELECT * FROM findings",
-    "validate_field_summary": "SELECT field, rule, severity, count(*) AS row_count FROM findings GROUP BY ALL",
-    "quality_report_text": """SELECT 'Data Quality Report ' || string_agg(line, ' ' ORDER BY line) AS report FROM (SELECT 'Field ''' || field ||
-        ''': [' || severity || '] ' || message || ' (' || count(*) || ' rows)' AS line FROM findings WHERE field <> 'title'
-        GROUP BY field, rule, severity, message)""",
+    "validate_field_summary": """SELECT field, rule, severity, regexp_replace(message, 'len [0-9]+', 'len n') AS message, count(*) AS row_count
+        FROM findings GROUP BY ALL""",
+    "quality_report_text": """SELECT 'Data Quality Report ' || string_agg(line, ' ' ORDER BY line) AS report FROM (
+        SELECT 'Field ' || chr(39) || field || chr(39) || ': [' || severity || '] ' || said || ' (' || count(*) || ' rows)' AS line
+        FROM (SELECT *, regexp_replace(message, 'len [0-9]+', 'len n') AS said FROM findings) GROUP BY field, rule, severity, said)""",
     "validate_list_length": """SELECT CAST(doc_id AS VARCHAR) AS row_key, 'words' AS field, CASE WHEN n < 20 THEN 'min_length' ELSE 'max_length' END AS rule,
         CASE WHEN n < 20 THEN 'Too short (length ' || n || ' < min_length 20)' ELSE 'Too long (length ' || n || ' > max_length 1000)' END
         AS message, 'ERROR' AS severity FROM (SELECT doc_id, len(string_split(text, ' ')) AS n FROM documents) WHERE n < 20 OR n > 1000""",
@@ -359,9 +362,13 @@ _SQL = {
         UNION ALL SELECT 'phone', count(phone), count(*), CAST(0.7 AS DOUBLE) FROM customers
         UNION ALL SELECT 'name', count(name), count(*), CAST(0.9 AS DOUBLE) FROM customers
         UNION ALL SELECT 'age', 0, count(*), CAST(0.6 AS DOUBLE) FROM customers)""",
-    "run_health_report": """SELECT 'extract' AS step, count(*) AS records_processed, CAST(1 AS DOUBLE) AS quality_score, true AS sla_met FROM customers
-        UNION ALL SELECT 'clean', count(*), 1, true FROM customers WHERE email IS NOT NULL AND phone IS NOT NULL
-        UNION ALL SELECT 'validate', count(*), count(email) / count(*), true FROM customers""",
+    "run_health_report": """WITH steps AS (
+          SELECT event_type AS step, min(epoch_us(ts) / 1000000.0::DOUBLE) AS began, max(epoch_us(ts) / 1000000.0::DOUBLE + floor(value)) AS ended,
+            count(*) AS n, count(*) FILTER (WHERE value <= 100) AS good FROM events GROUP BY ALL
+        ), whole AS (SELECT * FROM steps UNION ALL SELECT 'total', min(began), max(ended), sum(n)::BIGINT, sum(good)::BIGINT FROM steps),
+        limits AS (SELECT *, CASE step WHEN 'click' THEN 1000000::DOUBLE WHEN 'error' THEN 4000000::DOUBLE ELSE 2591000::DOUBLE END AS sla FROM whole)
+        SELECT step, round(ended - began, 3) AS duration_seconds, n AS records_processed, good::DOUBLE / n AS quality_score,
+          sla AS sla_seconds, ended - began <= sla AS sla_met FROM limits""",
     "column_profile": f"""WITH raw_books AS (SELECT CASE WHEN p_size = 1 THEN ' ' ELSE '  ' || upper(p_name) || E'\\t' END AS title, author, lower(genre) AS genre,
           CASE WHEN isbn = 'Invalid' THEN 'INVALID' ELSE isbn END AS isbn, lower(series) AS series, nullif(recommended, '') AS recommended
           FROM books JOIN part USING (p_partkey, p_size)),
@@ -375,11 +382,13 @@ _SQL = {
         SELECT column_name, missing AS missing_values, {r2("missing / n * 100")} AS percent_missing, unique_values,
           (SELECT count(*) FROM raw_books) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_books)) AS duplicate_rows FROM profile""",
     "document_profile": f"""WITH profile AS (
-        SELECT 'text' AS column_name, count(*) - count(text) AS missing, count(DISTINCT text) AS unique_values, count(*) AS n FROM documents
-        UNION ALL SELECT 'lang', count(*) - count(lang), count(DISTINCT lang), count(*) FROM documents
-        UNION ALL SELECT 'source', count(*) - count(source), count(DISTINCT source), count(*) FROM documents)
+        SELECT 'doc_id' AS column_name, count(*) - count(doc_id) AS missing, count(DISTINCT doc_id) AS unique_values, count(*) AS n FROM documents
+        UNION ALL SELECT 'text' AS column_name, count(*) - count(text) AS missing, count(DISTINCT text) AS unique_values, count(*) AS n FROM documents
+        UNION ALL SELECT 'lang' AS column_name, count(*) - count(lang) AS missing, count(DISTINCT lang) AS unique_values, count(*) AS n FROM documents
+        UNION ALL SELECT 'source' AS column_name, count(*) - count(source) AS missing, count(DISTINCT source) AS unique_values, count(*) AS n FROM documents
+        UNION ALL SELECT 'n_chars' AS column_name, count(*) - count(n_chars) AS missing, count(DISTINCT n_chars) AS unique_values, count(*) AS n FROM documents)
         SELECT column_name, missing AS missing_values, {r2("missing / n * 100")} AS percent_missing, unique_values,
-          (SELECT count(*) FROM documents) - (SELECT count(*) FROM (SELECT DISTINCT text, lang, source FROM documents)) AS duplicate_rows
+          (SELECT count(*) FROM documents) - (SELECT count(*) FROM (SELECT DISTINCT * FROM documents)) AS duplicate_rows
         FROM profile""",
     "duplicate_values": "SELECT text, count(*) AS frequency FROM documents GROUP BY text HAVING count(*) > 1",
     "duplicate_id_check": """SELECT count(*) AS total_rows, count(DISTINCT order_id) AS unique_ids, count(*) - count(DISTINCT order_id)

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from ..functions.conditions import case_bucket
 from ..operators.aggregates import precision_recall
 from ..plans import fraud
-from ..session import tune
-from . import Query, davg, dsum, metric_rows, r2, table
+from ..session import stage_table, tune
+from . import Query, Stages, davg, dsum, metric_rows, r2, table
 
 RULES = fraud.RuleSettings(high_amount=150, max_transactions=65, merchants=("ERROR", "SIGNUP"))
 FLAT = fraud.FlatSettings(high_amount=150)
+STAGES = Stages()
 
 
 class Roles:
@@ -23,6 +24,7 @@ class Roles:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.read = lambda name: table(spark, folder, name)
+        self.stage = lambda name, build: STAGES.get(spark, folder, name, lambda: stage_table(build(), name))
 
     @property
     def transactions(self) -> DataFrame:
@@ -56,11 +58,11 @@ class Roles:
 
     @property
     def scored(self) -> DataFrame:
-        return fraud.score_rules(self.transactions, self.customers, RULES)
+        return self.stage("rule-scores", lambda: fraud.score_rules(self.transactions, self.customers, RULES))
 
     @property
     def flat(self) -> DataFrame:
-        return fraud.score_flat(self.transactions, self.customers, FLAT)
+        return self.stage("flat-scores", lambda: fraud.score_flat(self.transactions, self.customers, FLAT))
 
 
 ROLES_SQL = """
@@ -177,7 +179,9 @@ QUERIES: dict[str, Query] = {
         "risk_score_buckets": lambda r: fraud.risk_score_buckets(r.flat),
         "risk_category_summary": lambda r: fraud.risk_category_summary(r.flat),
         "risk_score_stats": lambda r: fraud.risk_score_stats(r.flat),
-        "main_export": lambda r: _cast_amount(fraud.main_export(r.flat)).drop("transaction_date"),
+        "main_export": lambda r: _cast_amount(fraud.main_export(r.flat)).withColumn(
+            "transaction_date", F.date_format("transaction_date", "yyyy-MM-dd HH:mm:ss")
+        ),
         "high_risk_export": lambda r: fraud.high_risk_export(r.flat),
         "data_profile": lambda r: fraud.data_profile(r.transactions, r.customers),
         "date_range": lambda r: fraud.date_range(r.transactions.select(F.to_date("transaction_date").alias("day")), "day"),
@@ -303,7 +307,7 @@ _SQL = {
         FROM (SELECT risk_score, cume_dist() OVER (ORDER BY risk_score) AS cd FROM flat)""",
     "main_export": """SELECT transaction_id, customer_id, customer_name, CAST(amount AS DOUBLE) AS amount, merchant_category, transaction_type,
         location, risk_score, risk_category, CASE WHEN risk_score >= 80 THEN 1 ELSE 0 END AS is_high_risk, is_fraud, age, credit_score,
-        account_type, CAST(transaction_date AS DATE) AS transaction_day FROM flat""",
+        account_type, strftime(transaction_date, '%Y-%m-%d %H:%M:%S') AS transaction_date, CAST(transaction_date AS DATE) AS transaction_day FROM flat""",
     "high_risk_export": f"""SELECT customer_id, customer_name, age, credit_score, account_type, count(*) AS high_risk_transaction_count,
         {dsum("amount")} AS total_high_risk_amount, {r2(davg("risk_score"))} AS avg_risk_score, max(risk_score) AS max_risk_score
         FROM flat WHERE risk_score >= 80 GROUP BY ALL""",

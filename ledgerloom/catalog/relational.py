@@ -12,7 +12,7 @@ from ..functions import dates as d
 from ..functions.conditions import at_least, case_bucket, flag
 from ..functions.numbers import cap, exact_avg, exact_sum, percent, ratio, round_to, sum_where, zscore
 from ..functions.text import strip
-from ..operators.aggregates import exact_quantiles, with_share
+from ..operators.aggregates import distinct_counts, exact_quantiles, with_share
 from ..operators.dimensions import date_rows
 from ..operators.keys import first_per_key, keys_without_match
 from ..session import stage_table, tune
@@ -91,9 +91,7 @@ _BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
         F.max("l_extendedprice").alias("highest"),
         F.min("l_extendedprice").alias("lowest"),
     ),
-    "count_distinct": lambda t: t.lineitem.groupBy("l_returnflag").agg(
-        F.countDistinct("l_suppkey").alias("suppliers"), F.countDistinct("l_partkey").alias("parts")
-    ),
+    "count_distinct": lambda t: distinct_counts(t.lineitem, "l_returnflag", {"suppliers": "l_suppkey", "parts": "l_partkey"}),
     "conditional_sum": lambda t: t.orders.groupBy("o_orderpriority").agg(
         sum_where(F.col("o_orderstatus") == "F", "o_totalprice").alias("finished"),
         F.sum(flag(F.col("o_totalprice") > 250_000)).alias("large_orders"),
@@ -121,8 +119,7 @@ _BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "order_by_rank": lambda t: t.orders.groupBy("o_orderpriority")
     .agg(F.count("*").alias("orders"))
-    .orderBy(case_bucket([(F.col("o_orderpriority") == "1-URGENT", 1)], 2), F.desc("orders"), "o_orderpriority")
-    .limit(2),
+    .orderBy(case_bucket([(F.col("o_orderpriority") == "1-URGENT", 1)], 2), F.desc("orders"), "o_orderpriority"),
     "top_k": lambda t: t.orders.select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(10),
     "union_all": lambda t: t.customer.select(F.col("c_name").alias("name"), F.lit("customer").alias("kind")).unionByName(
         t.supplier.select(F.lit("supplier").alias("kind"), F.col("s_name").alias("name"))
@@ -210,7 +207,7 @@ ORACLES = {
     "row_number_first": """SELECT o_custkey, o_totalprice, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
         ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn = 1""",
     "order_by_rank": """SELECT o_orderpriority, count(*) AS orders FROM orders GROUP BY o_orderpriority
-        ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 1 ELSE 2 END, orders DESC, o_orderpriority LIMIT 2""",
+        ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 1 ELSE 2 END, orders DESC, o_orderpriority""",
     "top_k": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10",
     "union_all": "SELECT c_name AS name, 'customer' AS kind FROM customer UNION ALL SELECT s_name, 'supplier' FROM supplier",
     "distinct": "SELECT DISTINCT lang, source FROM documents",

@@ -12,6 +12,7 @@ EMAIL_PATTERN = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 BLANKS = " \t\n\r\f\x0b"
 
 CASED = r"\p{Lu}\p{Ll}\p{Lt}"
+_MARK = "\x1f"
 
 
 def strip(c: ColumnLike) -> Column:
@@ -22,11 +23,12 @@ def strip(c: ColumnLike) -> Column:
 def title_case(c: ColumnLike) -> Column:
     """Capital after every non-letter, lower case elsewhere: ``o'brien-SMITH`` to ``O'Brien-Smith``.
 
-    ``initcap`` alone starts a new word only after a space, so the text is cut first wherever a
-    cased letter follows something else.
+    ``initcap`` alone starts a new word only after a space, so a mark and a space are put first wherever a cased
+    letter follows something else, and taken out again. Marks that stand in the text are a mark and a 0 meanwhile.
     """
-    words = F.split(as_column(c), f"(?<=[^{CASED}])(?=[{CASED}])")
-    return F.array_join(F.transform(words, F.initcap), "")
+    kept = F.replace(as_column(c), F.lit(_MARK), F.lit(f"{_MARK}0"))
+    spaced = F.regexp_replace(kept, f"(?<=[^ {CASED}])(?=[{CASED}])", f"{_MARK} ")
+    return F.replace(F.replace(F.initcap(spaced), F.lit(f"{_MARK} "), F.lit("")), F.lit(f"{_MARK}0"), F.lit(_MARK))
 
 
 def proper_case(c: ColumnLike) -> Column:

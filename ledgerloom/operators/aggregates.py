@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import percent, ratio, round_to
+from .keys import null_safe_join
 
 
 def with_share(grouped: DataFrame, value: str, name: str, digits: int | None = 2) -> DataFrame:
@@ -56,20 +58,32 @@ def column_summary(df: DataFrame, columns: Sequence[str], digits: int = 4) -> Da
     return df.agg(F.array(*stats).alias("stats")).select(F.inline("stats"))
 
 
-def _short(c: str) -> Column:
-    """The value as text, long texts as their SHA-256 digest."""
-    text = F.col(c).cast("string")
-    return F.when(F.length(text) > 64, F.sha2(text, 256)).otherwise(text)
+def distinct_counts(df: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
+    """Distinct values per key of several columns, named by ``columns``.
+
+    Each column meets its key in a sum of its own that combines before the shuffle; several distinct counts in one
+    aggregate would copy every row once per column.
+    """
+    counts = []
+    for name, column in columns.items():
+        pairs = df.select(key, column).groupBy(key, column).agg(F.lit(1).alias("_one"))
+        counts.append(pairs.groupBy(key).agg(F.count(column).alias(name)))
+    return reduce(lambda left, right: null_safe_join(left, right, [key]), counts)
+
+
+def digest(c: str) -> Column:
+    """The SHA-256 digest of any value's text: what large values travel and are compared by. NULL stays NULL."""
+    return F.sha2(F.col(c).cast("string").cast("binary"), 256)
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing count, missing percentage and distinct count per column, plus duplicate rows.
 
     One scan unpivots to (column, value) pairs which are combined map-side, so neither a wide
-    table nor a frequent value gathers in one task. Long texts travel as digests.
+    table nor a frequent value gathers in one task. Values travel as digests.
     """
     columns = list(columns or df.columns)
-    short = df.select(*[_short(c).alias(c) for c in columns])
+    short = df.select(*[digest(c).alias(c) for c in columns])
     pairs = short.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns]))
     )
@@ -92,8 +106,14 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 def duplicate_values(df: DataFrame, column: str) -> DataFrame:
-    """Values that occur more than once, with their frequency."""
-    return df.groupBy(column).agg(F.count("*").alias("frequency")).where("frequency > 1")
+    """Values that occur more than once, with their frequency.
+
+    Values are counted by their digest; only the repeated ones are looked up, once each, at the end.
+    """
+    keyed = df.select(F.col(column), digest(column).alias("_digest"))
+    repeated = keyed.groupBy("_digest").agg(F.count("*").alias("frequency")).where("frequency > 1")
+    texts = null_safe_join(keyed, repeated, ["_digest"])
+    return texts.groupBy("_digest", "frequency").agg(F.first(column).alias(column)).select(column, "frequency")
 
 
 def duplicate_id_check(df: DataFrame, column: str) -> DataFrame:

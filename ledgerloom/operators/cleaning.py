@@ -2,34 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import parse_iso_date
-from ..functions.numbers import clean_numeric
-from ..functions.text import clean_email, clean_phone, clean_text
+from .aggregates import digest
 from .keys import first_per_key
 
-CLEANERS: dict[str, Callable[[str], Column]] = {
-    "date": parse_iso_date,
-    "email": clean_email,
-    "phone": clean_phone,
-    "number": clean_numeric,
-    "text": clean_text,
-}
-
-
-def clean_columns(df: DataFrame, plan: dict[str, str]) -> DataFrame:
-    """Apply a cleaner by name to each listed column that exists, in one projection."""
-    return df.withColumns({c: CLEANERS[kind](c) for c, kind in plan.items() if c in df.columns})
-
 
 def remove_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """First row per key in an explicit order."""
-    return first_per_key(df, keys, order)
+    """First row per key in an explicit order.
+
+    Keys are compared by digests, so that long texts are not sorted and shuffled as keys.
+    """
+    digests = {f"_digest_{i}": digest(c) for i, c in enumerate(keys)}
+    return first_per_key(df.withColumns(digests), list(digests), order).drop(*digests)
 
 
 def blank_to_null(df: DataFrame) -> DataFrame:

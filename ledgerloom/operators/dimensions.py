@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.conditions import case_bucket
 from ..functions.dates import date_key, day_name, is_weekend, month_name
 from ..session import stage_table
-from .keys import assign_surrogate_keys, first_per_key, highest_key
+from .keys import assign_surrogate_keys, first_per_key, highest_key, null_safe_join
 
 
 def date_rows(days: DataFrame, day: str = "full_date") -> DataFrame:
@@ -68,13 +68,14 @@ def insert_only(dimension: DataFrame, incoming: DataFrame, key: str, surrogate:
 def scd1_upsert(dimension: DataFrame, incoming: DataFrame, key: str, surrogate: str) -> DataFrame:
     """Overwrite the attributes of known members, add new ones, keep every surrogate key.
 
-    ``incoming`` holds one row per key. The result is the whole new dimension. The incoming
-    rows are matched once and stored; the three parts of the result read the stored rows.
+    ``incoming`` holds one row per key; NULL is a key like any other. The result is the whole new dimension. The
+    incoming rows are matched once and stored; the three parts of the result read the stored rows.
     """
     columns = dimension.columns
-    matched = stage_table(incoming.join(dimension.select(key, surrogate), key, "left"), "matched-members")
+    matched = stage_table(null_safe_join(incoming, dimension.select(key, surrogate), [key], "left"), "matched-members")
     new = F.col(surrogate).isNull()
-    untouched = dimension.join(matched.select(key), key, "left_anti").select(*columns)
+    met = matched.where(~new).select(F.col(surrogate).alias("_met"))
+    untouched = dimension.join(met, F.col(surrogate) == F.col("_met"), "left_anti").select(*columns)
     updated = matched.where(~new).select(*columns)
     added = assign_surrogate_keys(
         matched.where(new).drop(surrogate), key, surrogate, highest_key(dimension, surrogate)

@@ -19,16 +19,17 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
 
 def assign_surrogate_keys(
-    df: DataFrame, business_key: str, surrogate_key: str, start: int | Column = 0, hex_digits: int = 3
+    df: DataFrame, business_key: str, surrogate_key: str, start: int | Column = 0, hex_digits: int = 4
 ) -> DataFrame:
-    """Number rows ``start + 1, start + 2, ...`` without a gap. ``business_key`` must be unique.
+    """Number rows ``start + 1, start + 2, ...`` without a gap. ``business_key`` must be unique; NULL counts as a key.
 
-    The rows are spread over ``16 ** hex_digits`` buckets by a digest of the key and numbered
-    inside their bucket; the buckets' offsets come from their counts. No task ever sorts all
-    rows, and the numbers depend on the keys alone, so a recomputed task gives them again.
+    Rows are numbered in the order of their key's digest. They are spread over ``16 ** hex_digits`` buckets by
+    its first digits and numbered inside their bucket; the buckets' offsets come from their counts. No task ever sorts
+    all rows, and the numbers depend on the keys alone - not on the buckets - so a recomputed task gives them again.
     ``df`` is read twice: hand in a stored table when it is costly to compute.
     """
-    bucketed = df.withColumn("_bucket", F.substring(F.md5(F.col(business_key).cast("string")), 1, hex_digits))
+    digest = F.md5(F.coalesce(F.col(business_key).cast("string"), F.lit("\x00")))
+    bucketed = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, hex_digits))
     # At most 16 ** hex_digits rows reach this window.
     offsets = (
         bucketed.groupBy("_bucket")
@@ -38,7 +39,7 @@ def assign_surrogate_keys(
             (F.sum("count").over(Window.orderBy("_bucket")) - F.col("count")).alias("_offset"),
         )
     )
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(business_key))
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_digest", business_key))
     number = (F.lit(start) if isinstance(start, int) else start) + F.col("_offset") + F.col("_rank")
     numbered = bucketed.withColumn("_rank", rank).join(offsets, "_bucket")
     return numbered.select(number.cast("bigint").alias(surrogate_key), *df.columns)
@@ -67,10 +68,6 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def not_yet_loaded(incoming: DataFrame, loaded: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return incoming.join(loaded.select(*keys), list(keys), "left_anti")
-
-
 def keys_without_match(referencing: DataFrame, defining: DataFrame, key: str) -> DataFrame:
     """Distinct keys that are referenced but not defined."""
     return referencing.select(key).where(F.col(key).isNotNull()).distinct().join(defining.select(key), key, "left_anti")

@@ -1,88 +1,66 @@
 """Ordered calculations per key that hold when one key owns a large part of all rows.
 
-A window sorts a whole key in one task. That is right for keys of ordinary size. Keys with more
-than ``limit`` rows are found first, by a count that is combined map-side, and cut into
-chunks that follow the order - the day, then a range of ids. Ids are unique, so a chunk holds at
-most ``limit`` rows. Work on rows happens inside chunks; only a few rows per chunk of a hot key
-are brought together per key.
+A window sorts a whole key in one task. Here the rows are range-partitioned by key and order and stored with the number
+of their range, so a range holds about as many rows as any other whatever the keys, ids and days look like. Work on rows
+happens inside a key's part of one range; only one total, or a few edge rows, per key and range
+meet at the key. There is one way for all keys, rare or hot.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_table
 from .keys import null_safe_join
 
-ROWS_PER_TASK = 1_000_000
-_CHUNK = ("_chunk_day", "_chunk_range")
-
+_RANGE = "_range"
 
-def hot_keys(df: DataFrame, key: str, limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows, stored: at most one per ``limit`` rows of ``df``.
-
-    The stored size lets Spark decide between a broadcast and a shuffle for the joins below.
-    """
-    counts = df.groupBy(key).count()
-    return stage_table(counts.where(F.col("count") > limit).select(key, F.lit(True).alias("_hot")), "hot-keys")
 
-
-def _in_chunks(df: DataFrame, hot: DataFrame, key: str, day: str, row_id: str, limit: int, how: str) -> DataFrame:
-    """Mark the rows of hot keys and give them a chunk; other keys are one chunk each."""
-    marked = null_safe_join(df, hot, [key], how)
-    return marked.withColumns(
-        {
-            "_chunk_day": F.when(F.col("_hot"), F.col(day)),
-            "_chunk_range": F.when(F.col("_hot"), F.floor(F.col(row_id) / F.lit(limit))),
-        }
-    )
+def in_ranges(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """``df``, stored, with ``_range``: the numbers rise with the key and, inside a key, with the order."""
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(ranges, key, *order).withColumn(_RANGE, F.spark_partition_id())
+    return stage_table(dealt, "ordered-rows")
 
 
-def running_sum(
-    df: DataFrame, key: str, day: str, row_id: str, amount: str, name: str, limit: int = ROWS_PER_TASK
-) -> DataFrame:
+def running_sum(df: DataFrame, key: str, day: str, row_id: str, amount: str, name: str) -> DataFrame:
     """Sum of ``amount`` from the key's first row up to each row, ordered by day and id."""
-    hot = hot_keys(df, key, limit)
-    chunk = [key, *_CHUNK]
-    order = Window.partitionBy(*chunk).orderBy(day, row_id)
-    inside = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = _in_chunks(df, hot, key, day, row_id, limit, "left").withColumn("_inside", F.sum(amount).over(inside))
+    rows = in_ranges(df, key, [day, row_id])
+    here = [key, _RANGE]
+    inside = Window.partitionBy(*here).orderBy(day, row_id).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = rows.withColumn("_inside", F.sum(amount).over(inside))
 
-    totals = _in_chunks(df, hot, key, day, row_id, limit, "inner").groupBy(*chunk).agg(F.sum(amount).alias("_total"))
-    before = Window.partitionBy(key).orderBy(*_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*chunk, F.sum("_total").over(before).alias("_carried"))
+    before = Window.partitionBy(key).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(*here).agg(F.sum(amount).alias("_total"))
+    carried = totals.select(*here, F.sum("_total").over(before).alias("_carried"))
 
-    joined = null_safe_join(summed, carried, chunk, "left")
+    joined = null_safe_join(summed, carried, here, "left")
     total = F.coalesce(F.col("_inside") + F.col("_carried"), F.col("_inside"), F.col("_carried"))
     return joined.select(*df.columns, total.alias(name))
 
 
-def moving_average(
-    df: DataFrame, key: str, day: str, row_id: str, amount: str, name: str, rows: int = 3, limit: int = ROWS_PER_TASK
-) -> DataFrame:
+def moving_average(df: DataFrame, key: str, day: str, row_id: str, amount: str, name: str, rows: int = 3) -> DataFrame:
     """Average of ``amount`` over each row and the ``rows - 1`` before it, ordered by day and id.
 
-    The first rows of a hot key's chunk also need the last rows of earlier chunks: those edge
-    rows, ``2 * (rows - 1)`` per chunk, get their own window.
+    The first rows of a key in a range also need its last rows in earlier ranges: those edge rows,
+    ``2 * (rows - 1)`` per key and range, get their own window.
     """
     back = rows - 1
-    hot = hot_keys(df, key, limit)
-    whole = Window.partitionBy(key, *_CHUNK)
+    whole = Window.partitionBy(key, _RANGE)
     order = whole.orderBy(day, row_id)
     frame = order.rowsBetween(-back, Window.currentRow)
-    summed = _in_chunks(df, hot, key, day, row_id, limit, "left").withColumns(
+    placed = in_ranges(df, key, [day, row_id]).withColumns(
         {
             "_from_start": F.row_number().over(order),
+            "_rows": F.count("*").over(whole),
             "_sum": F.sum(amount).over(frame),
             "_count": F.count(amount).over(frame),
         }
     )
-    settled = summed.where(F.col("_hot").isNull() | (F.col("_from_start") > back))
-
-    placed = _in_chunks(df, hot, key, day, row_id, limit, "inner").withColumns(
-        {"_from_start": F.row_number().over(order), "_rows": F.count("*").over(whole)}
-    )
+    settled = placed.where(F.col("_from_start") > back)
     edges = placed.where((F.col("_from_start") <= back) | (F.col("_from_start") > F.col("_rows") - back))
     across = Window.partitionBy(key).orderBy(day, row_id).rowsBetween(-back, Window.currentRow)
     starts = edges.withColumns({"_sum": F.sum(amount).over(across), "_count": F.count(amount).over(across)}).where(
@@ -93,31 +71,17 @@ def moving_average(
     return settled.select(*columns).unionByName(starts.select(*columns)).select(*df.columns, average.alias(name))
 
 
-def dense_rank_desc(df: DataFrame, key: str, amount: str, name: str, limit: int = ROWS_PER_TASK) -> DataFrame:
-    """Dense rank by ``amount``, highest first.
+def dense_rank_desc(df: DataFrame, key: str, amount: str, name: str) -> DataFrame:
+    """Dense rank by ``amount``, highest first, NULL last: the place of the amount among the key's distinct amounts.
 
-    A hot key is ranked by its distinct amounts, grouped by whole unit: the units' counts are
-    added up per key, the amounts inside a unit are ranked on their own.
+    ``df`` is read twice: hand in a stored table when it is costly to compute.
     """
-    hot = hot_keys(df, key, limit)
-    marked = null_safe_join(df, hot, [key], "left")
-    plain = marked.where("_hot is null").select(
-        *df.columns, F.dense_rank().over(Window.partitionBy(key).orderBy(F.col(amount).desc())).alias(name)
-    )
-
-    rows = null_safe_join(df, hot, [key]).drop("_hot")
-    distinct = rows.select(key, amount).distinct().withColumn("_unit", F.floor(amount))
-    units = distinct.groupBy(key, "_unit").agg(F.count("*").alias("_amounts"))
-    above = Window.partitionBy(key).orderBy(F.col("_unit").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    units = units.select(key, "_unit", F.coalesce(F.sum("_amounts").over(above), F.lit(0)).alias("_above"))
-    inside = Window.partitionBy(key, "_unit").orderBy(F.col(amount).desc())
-    ranks = null_safe_join(distinct.withColumn("_inside", F.row_number().over(inside)), units, [key, "_unit"])
+    distinct = in_ranges(df.select(key, amount).distinct(), key, [amount])
+    here = [key, _RANGE]
+    inside = F.row_number().over(Window.partitionBy(*here).orderBy(F.col(amount).desc()))
+    higher = Window.partitionBy(key).orderBy(F.col(_RANGE).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    counts = distinct.groupBy(*here).agg(F.count("*").alias("_amounts"))
+    above = counts.select(*here, F.coalesce(F.sum("_amounts").over(higher), F.lit(0)).alias("_above"))
     rank: Column = (F.col("_above") + F.col("_inside")).cast("int")
-    ranked = null_safe_join(rows, ranks.select(key, amount, rank.alias(name)), [key, amount])
-    return plain.unionByName(ranked)
-
-
-def with_at_least(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """Rows of the keys that have at least ``rows`` rows."""
-    frequent = df.groupBy(key).count().where(F.col("count") >= rows)
-    return df.join(frequent.select(key), key, "left_semi")
+    ranks = null_safe_join(distinct.withColumn("_inside", inside), above, here).select(key, amount, rank.alias(name))
+    return null_safe_join(df, ranks, [key, amount])

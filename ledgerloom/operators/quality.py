@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import json
-import time
-from collections.abc import Iterable, Iterator, Mapping, Sequence
-from contextlib import contextmanager
-from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.conditions import as_column, case_bucket
@@ -67,19 +63,42 @@ def check_rows(df: DataFrame, table_name: str, rules: Sequence[TableRule]) -> Da
     return _results(df.agg(F.array(*results).alias("results")).select(F.inline("results")))
 
 
-def check_foreign_key(facts: DataFrame, key: str, dimension: DataFrame, table_name: str, rule: TableRule) -> DataFrame:
-    """Rows whose key is not in the dimension.
+def key_sets(facts: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
+    """Distinct key sets of the facts with ``row_count`` and, per key column, ``_known_<key>``: whether its dimension has it.
 
-    Keys are counted before the join, so it sees each key once, not each fact.
+    The facts are read once and counted before the joins, which see each key set once, not each fact.
     """
-    per_key = facts.groupBy(key).agg(F.count("*").alias("row_count"))
-    known = dimension.select(key, F.lit(True).alias("_known")).distinct()
-    joined = per_key.join(known, key, "left")
-    orphans = F.sum(F.when(F.col("_known").isNull(), F.col("row_count")))
-    checked = F.coalesce(F.sum("row_count"), F.lit(0))
-    return _results(
-        joined.agg(_result(rule, table_name, checked, orphans).alias("result")).select("result.*")
-    )
+    sets = facts.groupBy(*dimensions).agg(F.count("*").alias("row_count"))
+    for key, dimension in dimensions.items():
+        known = dimension.select(key, F.lit(True).alias(f"_known_{key}")).distinct()
+        sets = sets.join(known, key, "left")
+    return sets.fillna(False, [f"_known_{key}" for key in dimensions])
+
+
+def check_key_sets(
+    facts: DataFrame,
+    references: Mapping[str, tuple[DataFrame, TableRule]],
+    table_name: str,
+    of_known: Mapping[str, Sequence[TableRule]] | None = None,
+) -> DataFrame:
+    """Rows whose key is not in its dimension, for all keys in one pass.
+
+    ``references`` maps a key column to (dimension, rule); the rules in ``of_known`` judge the key itself
+    where the dimension has it.
+    """
+    sets = key_sets(facts, {key: dimension for key, (dimension, _) in references.items()})
+    rows = F.col("row_count")
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, rows)), F.lit(0))
+
+    results = []
+    for key, (_, rule) in references.items():
+        results.append(_result(rule, table_name, total(F.lit(True)), total(~F.col(f"_known_{key}"))))
+        for more in (of_known or {}).get(key, ()):
+            known = F.col(f"_known_{key}")
+            results.append(_result(more, table_name, total(known), total(known & more.failed)))
+    return _results(sets.agg(F.array(*results).alias("results")).select(F.inline("results")))
 
 
 def check_unique(df: DataFrame, key: str, table_name: str, rule: TableRule, counted: Column | None = None) -> DataFrame:
@@ -98,17 +117,16 @@ def combine(results: Iterable[DataFrame]) -> DataFrame:
 
 
 def orphan_report(facts: DataFrame, references: Mapping[str, tuple[str, DataFrame]]) -> DataFrame:
-    """Orphaned rows per reference. ``references`` maps a label to (key column, dimension)."""
-    parts = []
-    for label, (key, dimension) in references.items():
-        per_key = facts.groupBy(key).agg(F.count("*").alias("row_count"))
-        orphans = per_key.join(dimension.select(key), key, "left_anti")
-        parts.append(
-            orphans.agg(
-                F.lit(label).alias("reference"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("orphaned_rows")
-            )
+    """Orphaned rows per reference, in one pass over the facts. ``references`` maps a label to (key column, dimension)."""
+    sets = key_sets(facts, {key: dimension for key, dimension in references.values()})
+    orphans = [
+        F.struct(
+            F.lit(label).alias("reference"),
+            F.coalesce(F.sum(F.when(~F.col(f"_known_{key}"), F.col("row_count"))), F.lit(0)).alias("orphaned_rows"),
         )
-    return combine(parts)
+        for label, (key, _) in references.items()
+    ]
+    return sets.agg(F.array(*orphans).alias("orphans")).select(F.inline("orphans"))
 
 
 def check_extracts(
@@ -254,17 +272,14 @@ def validate_list_length(
 
 
 def findings_summary(findings: DataFrame) -> DataFrame:
-    """Findings per field and rule."""
-    return findings.groupBy("field", "rule", "severity").agg(
-        F.count("*").alias("row_count"), F.min("message").alias("sample_message")
-    )
+    """Findings per field, rule and message; the row's own length in a message reads ``n``."""
+    message = F.regexp_replace("message", r"\b(len|length) \d+ ", "$1 n ")
+    return findings.groupBy("field", "rule", "severity", message.alias("message")).agg(F.count("*").alias("row_count"))
 
 
 def quality_report_text(findings: DataFrame) -> DataFrame:
-    """One row with the report text: a part per field and rule, so its size is bounded by the rules."""
-    line = F.format_string(
-        "Field '%s': [%s] %s (%d rows)", "field", "severity", "sample_message", "row_count"
-    )
+    """One row with the report text: a part per field, rule and message, so its size is bounded by the rules."""
+    line = F.format_string("Field '%s': [%s] %s (%d rows)", "field", "severity", "message", "row_count")
     lines = findings_summary(findings).agg(F.array_sort(F.collect_list(line)).alias("lines"))
     text = F.concat(F.lit("Data Quality Report "), F.array_join("lines", " "))
     return lines.select(F.when(F.size("lines") == 0, F.lit(NO_ISSUES)).otherwise(text).alias("report"))
@@ -291,54 +306,32 @@ def field_quality_gaps(df: DataFrame, required: Mapping[str, tuple[Column | None
 # --- run health ----------------------------------------------------------------------------
 
 
-@dataclass
-class RunHealth:
-    """Durations, volumes and quality of a run's steps. Holds one record per step."""
-
-    steps: list[dict[str, Any]] = field(default_factory=list)
-    errors: list[str] = field(default_factory=list)
-
-    @contextmanager
-    def step(self, name: str, sla_seconds: float | None = None) -> Iterator[dict[str, Any]]:
-        """Time a step. The caller sets ``records_processed`` and ``quality_score``."""
-        record = {"step": name, "records_processed": 0, "quality_score": 1.0}
-        start = time.monotonic()
-        try:
-            yield record
-        except Exception as error:
-            self.errors.append(f"{name}: {error}")
-            raise
-        finally:
-            seconds = time.monotonic() - start
-            record["duration_seconds"] = seconds
-            record["sla_met"] = sla_seconds is None or seconds <= sla_seconds
-            self.steps.append(record)
-
-    def table(self, spark: SparkSession) -> DataFrame:
-        """One row per step."""
-        schema = "step string, duration_seconds double, records_processed bigint, quality_score double, sla_met boolean"
-        columns = [c.split()[0] for c in schema.split(", ")]
-        return spark.createDataFrame([tuple(s[c] for c in columns) for s in self.steps], schema)
-
-    def report(self, gaps: DataFrame | None = None) -> dict[str, Any]:
-        scores = [s["quality_score"] for s in self.steps]
-        return {
-            "run_timestamp": datetime.now(timezone.utc).isoformat(),
-            "steps": self.steps,
-            "overall": {
-                "total_duration_seconds": sum(s["duration_seconds"] for s in self.steps),
-                "all_sla_met": all(s["sla_met"] for s in self.steps),
-                "average_quality_score": sum(scores) / len(scores) if scores else None,
-            },
-            # One row per checked field.
-            "field_quality_gaps": {
-                r["field"]: {"actual": r["actual"], "required": r["required"], "gap": r["gap"]}
-                for r in (gaps.collect() if gaps is not None else [])
-            },
-            "errors": self.errors,
-        }
-
-    def write(self, spark: SparkSession, path: str, gaps: DataFrame | None = None) -> None:
-        """Write the report as one JSON document."""
-        text = json.dumps(self.report(gaps))
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+def run_health(log: DataFrame, sla_seconds: Mapping[str, float], default_sla: float = 3600.0) -> DataFrame:
+    """One row per step of a run and one for the whole run (``total``).
+
+    ``log`` has one row per piece of work: ``step``, ``started_at``, ``finished_at``, ``records`` and ``good_records``. A
+    step lasts from its first start to its last end; it is late when that exceeds its limit.
+    """
+    sums = [
+        F.min(F.col("started_at").cast("timestamp").cast("double")).alias("began"),
+        F.max(F.col("finished_at").cast("timestamp").cast("double")).alias("ended"),
+        F.sum("records").alias("records_processed"),
+        F.sum("good_records").alias("good"),
+    ]
+    steps = log.groupBy("step").agg(*sums)
+    whole = steps.agg(
+        F.lit("total").alias("step"), F.min("began").alias("began"), F.max("ended").alias("ended"),
+        F.sum("records_processed").alias("records_processed"), F.sum("good").alias("good"),
+    )
+    limit = F.lit(float(default_sla))
+    for step, seconds in sla_seconds.items():
+        limit = F.when(F.col("step") == step, float(seconds)).otherwise(limit)
+    duration = F.col("ended") - F.col("began")
+    return steps.unionByName(whole).where("records_processed IS NOT NULL").select(
+        "step",
+        F.round(duration, 3).alias("duration_seconds"),
+        "records_processed",
+        F.coalesce(ratio(F.col("good"), F.col("records_processed")), F.lit(1.0)).alias("quality_score"),
+        limit.alias("sla_seconds"),
+        (duration <= limit).alias("sla_met"),
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -20,8 +21,10 @@ from ..functions.dates import date_key
 from ..functions.text import metro_city, proper_case, squeeze_spaces
 from ..operators import ordered
 from ..operators.dimensions import insert_only, scd2_apply, scd2_detect
-from ..operators.keys import first_per_key, not_yet_loaded
-from ..operators.quality import TableRule, check_foreign_key, check_rows, check_unique, combine
+from ..operators.facts import FactLoad, load_facts
+from ..operators.keys import first_per_key
+from ..operators.quality import TableRule, check_key_sets, check_rows, check_unique, combine
+from ..session import stage_table
 
 # Tier spellings, metro cities, account prefixes and amount limits.
 TIERS = {
@@ -107,29 +110,54 @@ def new_products(products: DataFrame, staging: DataFrame) -> DataFrame:
     )
 
 
+def transaction_load(
+    staging: DataFrame,
+    holders: DataFrame,
+    products: DataFrame,
+    dates: DataFrame,
+    loaded: DataFrame | None = None,
+    limits: tuple[float, float] = AMOUNT_LIMITS,
+) -> FactLoad:
+    """Facts with surrogate keys (current holder version, known product, known day), and every other row as a reject.
+
+    A transaction id is loaded once: of several rows with one id in a batch the first by account,
+    product and amount is loaded, the others are rejected as duplicates.
+    """
+    keyed = staging.withColumn("date_key", date_key(F.col("transaction_date").cast("date")))
+    columns = [HOLDER_KEY, "account_holder_name", "banking_product_id", "date_key", "transaction_id", "account_number"]
+    load = load_facts(
+        keyed.select(*columns, "transaction_amount", "transaction_type"),
+        business_key="transaction_id",
+        lookups={
+            HOLDER_KEY: (holders.where("is_current"), HOLDER_SURROGATE),
+            "banking_product_id": (products, "banking_product_key"),
+            "date_key": (dates.select("date_key", F.col("date_key").alias("known_date_key")), "known_date_key"),
+        },
+        valid=[
+            (F.col("transaction_id").isNotNull(), "no transaction id"),
+            (F.col(HOLDER_KEY).isNotNull() & not_blank("account_holder_name"), "no holder"),
+            (between_inclusive("transaction_amount", *limits), "invalid amount"),
+        ],
+        order=["account_number", HOLDER_SURROGATE, "banking_product_key", "date_key", "transaction_amount", "transaction_type"],
+        already_loaded=loaded,
+    )
+    facts = load.facts.select(
+        HOLDER_SURROGATE,
+        "banking_product_key",
+        "date_key",
+        "transaction_id",
+        "account_number",
+        "transaction_amount",
+        "transaction_type",
+    )
+    return replace(load, facts=facts)
+
+
 def load_transactions(
     staging: DataFrame, holders: DataFrame, products: DataFrame, dates: DataFrame, loaded: DataFrame | None = None
 ) -> DataFrame:
-    """Facts with surrogate keys: current holder version, known product, known day, not loaded yet."""
-    rows = loadable(staging)
-    if loaded is not None:
-        rows = not_yet_loaded(rows, loaded, ["transaction_id", "account_number"])
-    current = holders.where("is_current").select(HOLDER_KEY, HOLDER_SURROGATE)
-    return (
-        rows.withColumn("date_key", date_key(F.col("transaction_date").cast("date")))
-        .join(products.select("banking_product_id", "banking_product_key"), "banking_product_id")
-        .join(dates.select("date_key"), "date_key")
-        .join(current, HOLDER_KEY)
-        .select(
-            HOLDER_SURROGATE,
-            "banking_product_key",
-            "date_key",
-            "transaction_id",
-            "account_number",
-            "transaction_amount",
-            "transaction_type",
-        )
-    )
+    """The facts of ``transaction_load``."""
+    return transaction_load(staging, holders, products, dates, loaded).facts
 
 
 # Rule names and messages of the validation report.
@@ -152,7 +180,7 @@ RULE_TEXT = {
     "amount": (
         "transactions amount Range Check",
         "All Transactions within valid range",
-        "Found Transactions outside valid range (-50000-50000)",
+        "Found Transactions outside valid range ({low}-{high})",
     ),
     "future": ("Future Date Check", "No future-dated transactions found", "Found transactions with future dates"),
     "account": (
@@ -183,9 +211,9 @@ RULE_TEXT = {
 }
 
 
-def _rule(name: str, failed=None) -> TableRule:
+def _rule(name: str, failed=None, **values) -> TableRule:
     title, passed, broken = RULE_TEXT[name]
-    return TableRule(title, F.lit(False) if failed is None else failed, passed, broken)
+    return TableRule(title, F.lit(False) if failed is None else failed, passed, broken.format(**values) if values else broken)
 
 
 def validation_suite(
@@ -195,67 +223,65 @@ def validation_suite(
     dates: DataFrame,
     as_of: date,
     limits: tuple[float, float] = AMOUNT_LIMITS,
+    check_date: date | None = None,
 ) -> DataFrame:
-    """Ten checks, one result row each.
+    """Ten checks, one result row each, with ``check_date`` if one is given.
 
-    Row rules share one scan per table. The date of a fact is compared through its key, which
-    orders like the date, so no rule joins single facts.
+    Facts are read three times: for their key sets, for the rules on rows, for unique ids. The date of a fact is
+    compared through its key, which orders like the date, so no rule joins single facts.
     """
     fact, holder = "fact_transactions", "dim_account_holder"
-    known_days = facts.join(dates.select("date_key"), "date_key", "left_semi")
+    key_rules = {HOLDER_SURROGATE: (holders, _rule("holder")), "banking_product_key": (products, _rule("product")), "date_key": (dates, _rule("date"))}
+    future = _rule("future", F.col("date_key") > int(as_of.strftime("%Y%m%d")))
     row_rules = [
-        _rule("amount", ~between_inclusive("transaction_amount", *limits)),
+        _rule("amount", ~between_inclusive("transaction_amount", *limits), low=limits[0], high=limits[1]),
         _rule("account", ~F.coalesce(code_pattern("account_number", ACCOUNT_PREFIXES, 6), F.lit(False))),
     ]
     history_rules = [
         _rule("sequence", F.col("effective_date") > F.col("expiration_date")),
         _rule("current", F.col("is_current") & F.col("expiration_date").isNotNull()),
     ]
-    return combine(
+    results = combine(
         [
-            check_foreign_key(facts, HOLDER_SURROGATE, holders, fact, _rule("holder")),
-            check_foreign_key(facts, "banking_product_key", products, fact, _rule("product")),
-            check_foreign_key(facts, "date_key", dates, fact, _rule("date")),
-            check_rows(known_days, fact, [_rule("future", F.col("date_key") > int(as_of.strftime("%Y%m%d")))]),
+            check_key_sets(facts, key_rules, fact, {"date_key": [future]}),
             check_rows(facts, fact, row_rules),
             check_rows(holders, holder, history_rules),
             check_unique(holders, HOLDER_KEY, holder, _rule("one_current"), F.col("is_current")),
             check_unique(facts, "transaction_id", fact, _rule("unique")),
         ]
     )
+    return results if check_date is None else results.withColumn("check_date", F.lit(check_date))
 
 
-def _dated(facts: DataFrame, dates: DataFrame) -> DataFrame:
-    return facts.join(dates.select("date_key", F.col("full_date").alias("transaction_date")), "date_key")
+def _dated(df: DataFrame) -> DataFrame:
+    """The day of a date key, which is the day written as a number."""
+    return df.withColumn("transaction_date", F.to_date(F.col("date_key").cast("string"), "yyyyMMdd"))
 
 
 def _holder_columns(holders: DataFrame, *columns: str) -> DataFrame:
     return holders.where("is_current").select(HOLDER_SURROGATE, "account_holder_name", "relationship_tier", *columns)
 
 
-def _amounts(facts: DataFrame, dates: DataFrame) -> DataFrame:
-    """What the ordered calculations need. The date key orders like the date, so the dates
-    themselves are only joined to filter; the operators read this several times."""
-    return facts.select(HOLDER_SURROGATE, "date_key", "transaction_id", "transaction_amount").join(
-        dates.select("date_key"), "date_key", "left_semi"
-    )
+_ORDERED = (HOLDER_SURROGATE, "date_key", "transaction_id", "transaction_amount")
 
 
-_ORDERED = (HOLDER_SURROGATE, "date_key", "transaction_id", "transaction_amount")
+def _amounts(facts: DataFrame, dates: DataFrame) -> DataFrame:
+    """What the ordered calculations need, of the facts with a known day."""
+    return facts.select(*_ORDERED).join(dates.select("date_key"), "date_key", "left_semi")
 
 
 def moving_average_3(facts: DataFrame, holders: DataFrame, dates: DataFrame) -> DataFrame:
-    """Average over the last three transactions, for holders with at least three."""
+    """Average over the last three transactions, for holders with at least three (of known days)."""
     averaged = ordered.moving_average(_amounts(facts, dates), *_ORDERED, "moving_3_transaction_avg")
-    frequent = facts.groupBy(HOLDER_SURROGATE).count().where("count >= 3").select(HOLDER_SURROGATE)
+    frequent = averaged.groupBy(HOLDER_SURROGATE).count().where("count >= 3").select(HOLDER_SURROGATE)
     shown = _holder_columns(holders).join(frequent, HOLDER_SURROGATE, "left_semi")
-    return _dated(averaged, dates).join(shown, HOLDER_SURROGATE).drop("date_key")
+    return _dated(averaged).join(shown, HOLDER_SURROGATE).drop("date_key")
 
 
 def running_balance(facts: DataFrame, holders: DataFrame, dates: DataFrame) -> DataFrame:
     """Balance after each transaction."""
     summed = ordered.running_sum(_amounts(facts, dates), *_ORDERED, "account_running_balance")
-    return _dated(summed, dates).join(_holder_columns(holders, "address"), HOLDER_SURROGATE).drop("date_key")
+    return _dated(summed).join(_holder_columns(holders, "address"), HOLDER_SURROGATE).drop("date_key")
 
 
 def transaction_dense_rank(
@@ -263,12 +289,12 @@ def transaction_dense_rank(
 ) -> DataFrame:
     """Rank of each transaction among its holder's amounts, the highest first. Only transactions
     with a known product and day count."""
+    offered = products.select("banking_product_key", "product_name", "product_category")
     known = facts.select(*_ORDERED, "banking_product_key").join(dates.select("date_key"), "date_key", "left_semi")
-    known = known.join(products.select("banking_product_key"), "banking_product_key", "left_semi")
+    known = stage_table(known.join(offered, "banking_product_key"), "ranked-transactions")
     ranked = ordered.dense_rank_desc(known, HOLDER_SURROGATE, "transaction_amount", "account_holder_transaction_rank")
     return (
-        _dated(ranked, dates)
-        .join(products.select("banking_product_key", "product_name", "product_category"), "banking_product_key")
+        _dated(ranked)
         .join(_holder_columns(holders), HOLDER_SURROGATE)
         .select(
             HOLDER_SURROGATE,

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.conditions import at_least, case_bucket
@@ -17,7 +17,7 @@ from ..functions.dates import years_since
 from ..functions.numbers import SHARE_DIGITS, count_where, exact, exact_avg, exact_sum, percent, ratio, sum_where
 from ..operators.aggregates import metric_rows, totals, with_share
 from .risk import loss_concentration
-from .value import RENEWAL_BANDS
+from .value import RENEWAL_BANDS, customers_at_risk
 
 TOP_SEGMENTS = ("Premium", "High Value")
 
@@ -35,35 +35,6 @@ ACTION_ITEMS = [
     ("Pricing Optimization", "Implement risk-based pricing adjustments", "customers", "Medium"),
     ("Portfolio Rebalancing", "Review high-risk customer concentration", "value.high_risk", "Medium"),
 ]
-PRODUCT_RECOMMENDATIONS = [
-    ("Auto Insurance", "Home Insurance", "Bundle Discount", 15),
-    ("Home Insurance", "Auto Insurance", "Multi-Policy Discount", 20),
-    ("Life Insurance", "Health Insurance", "Family Protection", 25),
-    ("Auto Insurance", "Life Insurance", "Complete Protection", 10),
-    ("Home Insurance", "Life Insurance", "Asset Protection", 12),
-]
-CUSTOMER_PRIORITIES = [
-    ("Premium-Low Risk", "VIP Treatment", "Retention + Cross-sell", "High"),
-    ("Premium-Medium Risk", "Proactive Retention", "Risk mitigation", "High"),
-    ("Premium-High Risk", "Intensive Management", "Risk reduction", "Medium"),
-    ("High Value-Low Risk", "Growth Focus", "Cross-sell + Upsell", "High"),
-    ("High Value-Medium Risk", "Retention Focus", "Stabilization", "Medium"),
-    ("Medium Value-Low Risk", "Cross-sell Target", "Policy expansion", "Medium"),
-    ("Low Value-High Risk", "Risk Management", "Policy review", "Low"),
-]
-
-
-def product_recommendations(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        PRODUCT_RECOMMENDATIONS,
-        "current_policy string, recommended_policy string, offer_type string, expected_conversion_rate int",
-    )
-
-
-def customer_prioritization(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        CUSTOMER_PRIORITIES, "customer_segment string, strategy string, focus_area string, priority string"
-    )
 
 
 # --- customer-level tables -----------------------------------------------------------------
@@ -346,7 +317,9 @@ def portfolio_figures(
                 single_type_premium=sum_where(F.col("policy_types_count") == 1, "total_premium"),
                 avg_tenure=exact_avg(F.floor("customer_tenure_years")),
             ),
-            "at_risk": totals(renewals_at_risk, n=F.count("*"), premium=exact_sum("premium_amount")),
+            "at_risk": totals(
+                customers_at_risk(renewals_at_risk), n=F.count("*"), policies=F.sum("policies"), premium=exact_sum("premium_amount")
+            ),
             "pricing": totals(pricing, impact=exact_sum(change)),
             "cross_sell": totals(
                 cross_sell,
@@ -414,6 +387,7 @@ def retention_kpis(figures: DataFrame) -> DataFrame:
             ("Average Customer Tenure", F.col("value.avg_tenure"), "years"),
             ("Policy Retention Rate", _retention_rate(), "percentage"),
             ("At-Risk Customers", F.col("at_risk.n"), "count"),
+            ("At-Risk Policies", _or_zero("at_risk.policies"), "count"),
             ("At-Risk Percentage", percent(F.col("at_risk.n"), F.col("customers"), None), "percentage"),
             ("Premium at Risk", _or_zero("at_risk.premium"), "currency"),
         ],

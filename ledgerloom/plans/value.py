@@ -274,16 +274,25 @@ def at_risk_policies(renewals: DataFrame, within_days: int = 120) -> DataFrame:
     )
 
 
+def customers_at_risk(at_risk: DataFrame) -> DataFrame:
+    """One row per customer with policies at risk: ``policies`` and their ``premium_amount``."""
+    return at_risk.groupBy("customer_id").agg(F.count("*").alias("policies"), exact_sum("premium_amount").alias("premium_amount"))
+
+
 def at_risk_summary(at_risk: DataFrame) -> DataFrame:
-    return (
-        at_risk.groupBy("clpv_segment", "risk_category")
-        .agg(
-            F.count("*").alias("customer_count"),
-            exact_sum("premium_amount").alias("premium_at_risk"),
-            exact_avg("renewal_probability_score", SHARE_DIGITS).alias("avg_renewal_prob"),
-        )
-        .orderBy(F.desc("premium_at_risk"))
+    """Customers and policies at risk by segment. A customer has one segment and one risk category."""
+    per_customer = at_risk.groupBy("clpv_segment", "risk_category", "customer_id").agg(
+        F.count("*").alias("policies"),
+        F.sum(F.col("premium_amount").cast("decimal(18,4)")).alias("premium"),
+        F.sum(F.col("renewal_probability_score").cast(f"decimal(18,{SHARE_DIGITS})")).alias("probability"),
+    )
+    grouped = per_customer.groupBy("clpv_segment", "risk_category").agg(
+        F.count("*").alias("customer_count"),
+        F.sum("policies").alias("policy_count"),
+        F.sum("premium").cast("double").alias("premium_at_risk"),
+        (F.sum("probability").cast("double") / F.sum("policies")).alias("avg_renewal_prob"),
     )
+    return grouped.orderBy(F.desc("premium_at_risk"))
 
 
 # --- pricing -------------------------------------------------------------------------------
@@ -437,7 +446,7 @@ def clpv_insights(value: DataFrame, at_risk: DataFrame, scored_claims: DataFrame
         *[count_where(F.col("clpv_segment") == s).alias(s) for s in segments],
     ).withColumns(
         {
-            "risky": totals(at_risk, n=F.count("*")),
+            "risky": totals(customers_at_risk(at_risk), n=F.count("*")),
             "claims": totals(
                 scored_claims, n=F.count("*"), high=count_where(F.col("fraud_risk_category") == "High Risk")
             ),

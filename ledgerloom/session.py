@@ -56,6 +56,22 @@ def stage_folder(spark: SparkSession) -> str:
     return folder
 
 
+def input_state(spark: SparkSession, folder: str) -> str:
+    """What tells one state of a folder's tables from another: each file's name, length and time of change."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def listed(where) -> list[str]:
+        found = []
+        for status in files.listStatus(where):
+            found.append(f"{status.getPath().getName()}:{status.getLen()}:{status.getModificationTime()}")
+            if status.isDirectory():
+                found += listed(status.getPath())
+        return sorted(found)
+
+    return "|".join(listed(path))
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 

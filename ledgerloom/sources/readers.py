@@ -25,7 +25,9 @@ def _typed(c: str, data_type: T.DataType) -> Column:
         return safe_double(c)
     if isinstance(data_type, T.IntegerType):
         return safe_int(c)
-    return F.coalesce(strip(c), F.lit(""))
+    if isinstance(data_type, T.StringType):
+        return F.coalesce(strip(c), F.lit(""))
+    return strip(c).try_cast(data_type)
 
 
 def _as_schema(schema: T.StructType | str) -> T.StructType:
@@ -47,7 +49,7 @@ def _trimmed(
             value = F.coalesce(strip(f.name), F.lit(defaults[f.name]))
         columns[f.name] = F.lower(value) if f.name in lower else value
     typed = raw.select(*[value.alias(name) for name, value in columns.items()])
-    kept = typed.where(F.col(key) != "")
+    kept = typed.where(F.col(key).cast("string") != "")
     return kept.withColumn("dq_flags", row_warnings(warnings)) if warnings else kept
 
 
@@ -63,9 +65,10 @@ def read_csv_trimmed(
     lower: Sequence[str] = (),
     warnings: Sequence[tuple[Column, str]] = (),
 ) -> DataFrame:
-    """CSV with every field trimmed and numbers converted safely. Rows without a key are dropped.
+    """CSV with every field trimmed and converted to its declared type. Rows without a key are dropped.
 
-    Warnings end up in ``dq_flags``; the rows stay.
+    What is no double or int reads 0, what is no value of another type reads NULL. Warnings end up in
+    ``dq_flags``; the rows stay.
     """
     schema = _as_schema(schema)
     raw = spark.read.schema(_text_schema(schema)).csv(path, header=True)
@@ -111,20 +114,24 @@ DEFAULT_RULES = [
 def read_jsonl_rules(spark: SparkSession, path: str) -> DataFrame:
     """Rules, one JSON object per line. Blank and broken lines are skipped.
 
-    Without a file the default rules apply.
+    Without a file the default rules apply; ``rules_from`` tells which they are. Any other failure is one.
     """
     try:
         raw = spark.read.schema(RULE_SCHEMA).json(path, mode="PERMISSIVE")
-    except AnalysisException:
-        return spark.createDataFrame(
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        defaults = spark.createDataFrame(
             DEFAULT_RULES, "rule_id string, rule_name string, priority string, risk_score int, active boolean"
         )
+        return defaults.withColumn("rules_from", F.lit("default"))
     return raw.where("_corrupt_record is null").select(
         "rule_id",
         "rule_name",
         "priority",
         F.col("thresholds.risk_score").alias("risk_score"),
         F.coalesce("active", "is_active").alias("active"),
+        F.lit("file").alias("rules_from"),
     )
 
 

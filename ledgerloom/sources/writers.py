@@ -65,7 +65,3 @@ def table_row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     return combine(
         df.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count")) for name, df in frames.items()
     )
-
-
-def published_row_counts(spark: SparkSession, names: Sequence[str]) -> DataFrame:
-    return table_row_counts({name: spark.table(name) for name in names})

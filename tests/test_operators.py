@@ -26,6 +26,20 @@ def test_surrogate_keys_are_dense_and_repeatable(spark):
     assert first == again
 
 
+def test_null_keys_are_numbered_and_upserted(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    found = {r.k: r.sk for r in keys.assign_surrogate_keys(df, "k", "sk").collect()}
+    assert sorted(found.values()) == [1, 2, 3] and found.keys() == {"a", "b", None}
+    # The number of buckets changes no number.
+    assert found == {r.k: r.sk for r in keys.assign_surrogate_keys(df, "k", "sk", hex_digits=1).collect()}
+    old = spark.createDataFrame([(1, "a", "x"), (2, "z", "y")], "sk bigint, k string, v string")
+    new = spark.createDataFrame([("a", "A"), ("b", "B"), (None, "N")], "k string, v string")
+    once = dimensions.scd1_upsert(old, new, "k", "sk")
+    assert {r.k: r.v for r in once.collect()} == {"a": "A", "z": "y", "b": "B", None: "N"}
+    again = dimensions.scd1_upsert(once, new, "k", "sk")
+    assert rows(again) == rows(once)
+
+
 def test_first_per_key_reduces_before_the_shuffle(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (None, "z"), (None, "y")], "k int, v string")
     kept = keys.first_per_key(df, ["k"], ["v"])
@@ -57,39 +71,55 @@ def transactions(spark):
     return spark.createDataFrame(data, "k int, day date, id bigint, amount decimal(12,2)")
 
 
-# 1: every key is hot; 600: some are; 10**6: none is.
-@pytest.mark.parametrize("limit", [1, 40, 600, 10**6])
-def test_running_sum_equals_plain_window(transactions, limit):
+@pytest.fixture(params=[1, 4, 23])
+def ranges(spark, request):
+    """One range holds everything, or every key is cut."""
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
+IDS = {
+    "dense": "id",
+    "sparse": "id * 1000003 - 5000000000",
+    "text": "concat('TXN', lpad(id, 6, '0'))",
+    "hash": "md5(cast(id as string))",
+}
+
+
+@pytest.mark.parametrize("ids", IDS)
+def test_running_sum_equals_plain_window(transactions, ranges, ids):
+    df = transactions.withColumn("id", F.expr(IDS[ids]))
     w = Window.partitionBy("k").orderBy("day", "id").rowsBetween(Window.unboundedPreceding, 0)
-    plain = transactions.withColumn("total", F.sum("amount").over(w))
-    assert rows(ordered.running_sum(transactions, "k", "day", "id", "amount", "total", limit)) == rows(plain)
+    plain = df.withColumn("total", F.sum("amount").over(w))
+    assert rows(ordered.running_sum(df, "k", "day", "id", "amount", "total")) == rows(plain)
 
 
-@pytest.mark.parametrize("size,limit", [(3, 1), (3, 40), (3, 600), (3, 10**6), (5, 4), (2, 100)])
-def test_moving_average_equals_plain_window(transactions, size, limit):
+@pytest.mark.parametrize("size,ids", [(3, "dense"), (3, "hash"), (5, "text"), (2, "sparse")])
+def test_moving_average_equals_plain_window(transactions, ranges, size, ids):
+    df = transactions.withColumn("id", F.expr(IDS[ids]))
     w = Window.partitionBy("k").orderBy("day", "id").rowsBetween(-(size - 1), 0)
-    plain = transactions.withColumn(
+    plain = df.withColumn(
         "m", F.try_divide(F.sum("amount").over(w).cast("double"), F.count("amount").over(w).cast("double"))
     )
-    mine = ordered.moving_average(transactions, "k", "day", "id", "amount", "m", size, limit)
-    assert rows(mine) == rows(plain)
+    assert rows(ordered.moving_average(df, "k", "day", "id", "amount", "m", size)) == rows(plain)
 
 
-@pytest.mark.parametrize("limit", [1, 600, 10**6])
-def test_dense_rank_equals_plain_window(transactions, limit):
+@pytest.mark.parametrize("amount", ["amount", "amount / 1000", "cast(amount as double) * 1e9"])
+def test_dense_rank_equals_plain_window(transactions, ranges, amount):
+    df = transactions.withColumn("amount", F.expr(amount))
     w = Window.partitionBy("k").orderBy(F.desc("amount"))
-    plain = transactions.withColumn("r", F.dense_rank().over(w))
-    assert rows(ordered.dense_rank_desc(transactions, "k", "amount", "r", limit)) == rows(plain)
-
+    plain = df.withColumn("r", F.dense_rank().over(w))
+    ranked = ordered.dense_rank_desc(df, "k", "amount", "r")
+    assert rows(ranked) == rows(plain)
 
-def test_hot_keys_include_null(spark):
-    df = spark.createDataFrame([(None,), (None,), (1,), (2,)], "k int")
-    assert rows(ordered.hot_keys(df, "k", 1)) == [(None, True)]
 
-
-def test_with_at_least(transactions):
-    kept = ordered.with_at_least(transactions, "k", 3)
-    assert {r.k for r in kept.select("k").distinct().collect()} == {0, 1, 2, 3, 4, 5}
+def test_a_hot_key_is_spread_over_the_ranges(spark, transactions):
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    sizes = [r["count"] for r in ordered.in_ranges(transactions, "k", ["day", "id"]).groupBy("_range").count().collect()]
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(sizes) >= 18 and max(sizes) < 3 * len(transactions.collect()) / 20
 
 
 # --- aggregates ----------------------------------------------------------------------------
@@ -284,12 +314,23 @@ def test_remove_duplicates_and_columns(spark):
     assert cleaning.append_sources(df, df.select("a")).count() == 6
 
 
-def test_clean_columns_skips_absent_ones(spark):
-    df = spark.createDataFrame([(" bob ", "12")], "name string, n string")
-    cleaned = cleaning.clean_columns(df, {"name": "text", "n": "number", "other": "date"})
-    assert rows(cleaned) == [("Bob", 12.0)]
-
 
 def test_helper_fraction(spark):
     df = spark.createDataFrame([(1.0, 4.0), (1.0, 0.0), (1.0, None)], "p double, w double")
     assert [r.f for r in df.select(facts.safe_fraction(F.col("p"), F.col("w")).alias("f")).collect()] == [0.25, 0.0, 0.0]
+
+
+def test_distinct_counts_of_several_columns(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 1, 5), ("a", 2, 6), (None, 3, None)], "k string, x int, y int")
+    found = aggregates.distinct_counts(df, "k", {"xs": "x", "ys": "y"})
+    assert rows(found.select("k", "xs", "ys")) == [("a", 2, 2), (None, 1, 0)]
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_digests_tell_a_text_from_its_digest(spark):
+    import hashlib
+
+    long = "x" * 65
+    df = spark.createDataFrame([(long,), (hashlib.sha256(long.encode()).hexdigest(),), (long,), (None,), (None,)], "v string")
+    assert aggregates.column_profile(df).first().unique_values == 2
+    assert {tuple(r) for r in aggregates.duplicate_values(df, "v").collect()} == {(None, 2), (long, 2)}

@@ -7,7 +7,7 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.plans import bookstore, dashboard, fraud, insurance, retail, risk, value
+from ledgerloom.plans import banking, bookstore, dashboard, fraud, insurance, retail, risk, value
 
 
 def rows(df):
@@ -262,6 +262,56 @@ def test_claim_fraud(portfolio):
     assert {r.claim_amount_zscore for r in measured.collect()} == {None}  # no spread, so no z-score
 
 
-def test_static_tables(spark):
-    assert dashboard.product_recommendations(spark).count() == 5
-    assert dashboard.customer_prioritization(spark).count() == 7
+def test_customers_at_risk_are_counted_once(spark):
+    """One customer with three policies at risk, one with one."""
+    at_risk = spark.createDataFrame(
+        [("a", f"p{i}", 100.0, 0.2, "High Value", "High") for i in range(3)] + [("b", "q", 50.0, 0.4, "High Value", "High")],
+        "customer_id string, policy_id string, premium_amount double, renewal_probability_score double, clpv_segment string, risk_category string",
+    )
+    summary = value.at_risk_summary(at_risk).first()
+    assert (summary.customer_count, summary.policy_count, summary.premium_at_risk) == (2, 4, 350.0)
+    assert summary.avg_renewal_prob == pytest.approx(0.25)
+    assert rows(value.customers_at_risk(at_risk)) == [("a", 3, 300.0), ("b", 1, 50.0)]
+
+
+def test_transaction_load_accounts_for_every_row(spark):
+    staging = spark.createDataFrame(
+        [
+            ("h1", "Ann", "p1", 1, "CC1", Decimal("5.00"), "buy", date(2024, 1, 1)),
+            ("h1", "Ann", "p1", 1, "CC1", Decimal("5.00"), "buy", date(2024, 1, 1)),
+            ("h1", "Ann", "p1", 1, "CC0", Decimal("7.00"), "buy", date(2024, 1, 1)),
+            ("h1", "Ann", "p1", 2, "CC1", Decimal("5.00"), "buy", date(2024, 1, 1)),
+            ("h9", "Bob", "p1", 3, "CC1", Decimal("5.00"), "buy", date(2024, 1, 1)),
+            ("h1", "Ann", "p9", 4, "CC1", Decimal("5.00"), "buy", date(2024, 1, 1)),
+            ("h1", "Ann", "p1", 5, "CC1", Decimal("5.00"), "buy", date(2024, 2, 1)),
+            (None, "Ann", "p1", 6, "CC1", Decimal("5.00"), "buy", date(2024, 1, 1)),
+            ("h1", " ", "p1", 7, "CC1", Decimal("5.00"), "buy", date(2024, 1, 1)),
+            ("h1", "Ann", "p1", 8, "CC1", Decimal("99999.00"), "buy", date(2024, 1, 1)),
+            ("h1", "Ann", "p1", None, "CC1", Decimal("5.00"), "buy", date(2024, 1, 1)),
+            ("h1", "Ann", None, 10, "CC1", Decimal("5.00"), "buy", None),
+        ],
+        "account_holder_id string, account_holder_name string, banking_product_id string, transaction_id int, account_number string, "
+        "transaction_amount decimal(12,2), transaction_type string, transaction_date date",
+    )
+    holders = spark.createDataFrame([("h1", 11, True), ("h1", 10, False)], "account_holder_id string, account_holder_key int, is_current boolean")
+    products = spark.createDataFrame([("p1", 21)], "banking_product_id string, banking_product_key int")
+    dates = spark.createDataFrame([(20240101,)], "date_key int")
+    load = banking.transaction_load(staging, holders, products, dates, staging.where("transaction_id = 2"))
+    assert rows(load.facts.select("transaction_id", "account_number", "account_holder_key")) == [(1, "CC0", 11)]
+    rejected = {(r.transaction_id, r.reject_reason): r.row_count for r in load.rejects.collect()}
+    assert rejected == {
+        (1, "duplicate"): 2, (2, "duplicate"): 1, (3, "unknown account_holder_id"): 1, (4, "unknown banking_product_id"): 1,
+        (5, "unknown date_key"): 1, (6, "no holder"): 1, (7, "no holder"): 1, (8, "invalid amount"): 1, (None, "no transaction id"): 1,
+        (10, "unknown banking_product_id"): 1,
+    }
+    counters = load.counters.first()
+    assert counters.total_processed == counters.successfully_loaded + counters.failed_validation + counters.duplicate_facts == staging.count()
+
+
+def test_limits_are_named_in_the_message(spark):
+    facts = spark.createDataFrame([(1, 1, 20240101, 1, "CC123456", Decimal("500.00"))], "account_holder_key int, banking_product_key int, date_key int, transaction_id int, account_number string, transaction_amount decimal(12,2)")
+    holders = spark.createDataFrame([(1, "a", date(2020, 1, 1), None, True)], "account_holder_key int, account_holder_id string, effective_date date, expiration_date date, is_current boolean")
+    products, dates = spark.createDataFrame([(1,)], "banking_product_key int"), spark.createDataFrame([(20240101,)], "date_key int")
+    found = banking.validation_suite(facts, holders, products, dates, date(2024, 6, 1), (-3, 4), date(2024, 6, 2)).collect()
+    assert [r.error_details for r in found if "Range" in r.rule_name] == ["Found Transactions outside valid range (-3-4)"]
+    assert {r.check_date for r in found} == {date(2024, 6, 2)}

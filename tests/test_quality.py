@@ -1,7 +1,6 @@
 from __future__ import annotations
 
-import json
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -99,7 +98,10 @@ def test_row_rules_on_an_empty_table_pass(spark):
 def test_foreign_key_counts_rows_and_missing_keys(spark):
     facts = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     dimension = spark.createDataFrame([(1,), (1,)], "k int")
-    result = quality.check_foreign_key(facts, "k", dimension, "t", TableRule("fk", F.lit(False), "fine", "broken")).first()
+    late = TableRule("late", F.col("k") > 0, "fine", "broken")
+    references = {"k": (dimension, TableRule("fk", F.lit(False), "fine", "broken"))}
+    result, known = quality.check_key_sets(facts, references, "t", {"k": [late]}).collect()
+    assert (known.rule_name, known.records_checked, known.records_failed) == ("late", 2, 2)
     assert (result.records_checked, result.records_failed, result.failure_percentage) == (4, 2, 50.0)
 
 
@@ -145,15 +147,16 @@ def test_validation_suite_finds_each_kind(spark):
     assert {(r.validation_status, r.records_checked) for r in clean} == {("PASSED", 0)} and len(clean) == 10
 
 
-def test_run_health(spark, tmp_path):
-    health = quality.RunHealth()
-    with health.step("extract", sla_seconds=60) as step:
-        step["records_processed"] = 10
-    with pytest.raises(RuntimeError), health.step("load", sla_seconds=-1):
-        raise RuntimeError("source unavailable")
-    df = spark.createDataFrame([("x",)], "email string")
-    health.write(spark, str(tmp_path / "health"), quality.field_quality_gaps(df, {"email": (None, 1.0)}))
-    report = json.loads(spark.read.text(str(tmp_path / "health")).first().value)
-    assert [(s["step"], s["records_processed"], s["sla_met"]) for s in report["steps"]] == [("extract", 10, True), ("load", 0, False)]
-    assert report["overall"]["all_sla_met"] is False and report["errors"] == ["load: source unavailable"]
-    assert report["field_quality_gaps"]["email"]["gap"] == 0.0
+def test_run_health(spark):
+    at = lambda second: datetime(2024, 1, 1, 0, 0, second)
+    log = spark.createDataFrame(
+        [("extract", at(0), at(5), 10, 9), ("extract", at(2), at(9), 10, 10), ("load", at(10), at(40), 0, 0)],
+        "step string, started_at timestamp, finished_at timestamp, records int, good_records int",
+    )
+    found = {r.step: tuple(r)[1:] for r in quality.run_health(log, {"extract": 8, "total": 60}, 30).collect()}
+    assert found == {
+        "extract": (9.0, 20, 0.95, 8.0, False),
+        "load": (30.0, 0, 1.0, 30.0, True),
+        "total": (40.0, 20, 0.95, 60.0, True),
+    }
+    assert quality.run_health(log.limit(0), {}).count() == 0

@@ -58,3 +58,23 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = QUERIES["claims_per_customer"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     lineitem = next(line for line in plan.splitlines() if "lineitem.parquet" in line)
     assert "EqualTo(l_returnflag,R)" in lineitem
+
+
+@pytest.mark.parametrize("name,scans", [("validation_suite", 6), ("fk_orphan_report", 1)])
+def test_facts_are_read_once_per_kind_of_check(spark, name, scans):
+    """validation_suite: three times for the facts, and for the days and products, which come from the events too."""
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    source = "events.parquet" if name == "validation_suite" else "classified-facts"
+    assert len(re.findall(rf"FileScan[^\n]*{source}", plan)) <= scans
+
+
+def test_shared_results_follow_their_input(spark, tmp_path):
+    from ledgerloom.catalog import Stages
+
+    stages, made = Stages(), []
+    table = str(tmp_path / "t.parquet")
+    get = lambda: stages.get(spark, str(tmp_path), "n", lambda: made.append(1) or len(made))
+    spark.range(3).write.parquet(table)
+    assert (get(), get()) == (1, 1)
+    spark.range(4).write.mode("overwrite").parquet(table)
+    assert get() == 2

@@ -2,7 +2,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from datetime import datetime
+from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,9 +70,20 @@ def test_rules(spark, tmp_path):
         '{"rule_id": "R2", "rule_name": "two", "is_active": false}\n'
     )
     assert rows(readers.read_jsonl_rules(spark, str(path))) == [
-        ("R1", "one", "HIGH", 75, True), ("R2", "two", None, None, False),
+        ("R1", "one", "HIGH", 75, True, "file"), ("R2", "two", None, None, False, "file"),
     ]
-    assert readers.read_jsonl_rules(spark, str(tmp_path / "nowhere.json")).count() == 3
+    missing = readers.read_jsonl_rules(spark, str(tmp_path / "nowhere.json"))
+    assert missing.count() == 3 and {r.rules_from for r in missing.collect()} == {"default"}
+    with pytest.raises(Exception, match="nosuchscheme"):
+        readers.read_jsonl_rules(spark, "nosuchscheme:///rules.json")
+
+
+def test_declared_types_are_kept(spark, tmp_path):
+    path = tmp_path / "typed.csv"
+    path.write_text("id,v,d,n\n 1 , 2.50 , 2024-01-31 , x\n2,many,31-31-31,\n,1,2024-01-01,y\n")
+    df = readers.read_csv_trimmed(spark, str(path), "id bigint, v decimal(10,2), d date, n string", "id")
+    assert [f.dataType.simpleString() for f in df.schema] == ["bigint", "decimal(10,2)", "date", "string"]
+    assert rows(df) == [(1, Decimal("2.50"), date(2024, 1, 31), "x"), (2, None, None, "")]
 
 
 def test_tables(spark):
@@ -85,7 +97,6 @@ def test_tables(spark):
         assert rows(readers.read_table(spark, name)) == [(1, "a"), (2, "b")]
         writers.append_table(spark.createDataFrame([(3,)], "id int"), name, replace=True)
         assert rows(readers.read_table(spark, name)) == [(3, None)]
-        assert rows(writers.published_row_counts(spark, [name])) == [(name, 1)]
         writers.publish_table(df, name)
         assert rows(readers.read_table(spark, name)) == [(1, "a")]
     finally:
