@@ -33,6 +33,7 @@ _TOP, _LOW = np.int64(1 << 32), np.int64(1 << 30)
 #: Bits of the place in a bucket for the first three classes of 64 buckets; the last class holds all other ids.
 _WIDTHS = (2, 4, 7)
 _LEARN, _MIX, _MIX_LIMIT = 12, 24, 1 << 14
+_SHIFT = np.array([[0, _MIX, _MIX, _MIX], [0, 0, _MIX, _MIX], [0, 0, 0, _MIX]], np.int32)
 _RAISE = np.triu(np.full((16, 16), _LEARN, np.int32))
 #: Bits of a place that are coded together with its bucket.
 _NEAR = 12
@@ -51,7 +52,8 @@ class _Model:
         kind = np.int32 if last < 22 else np.int64
         self.lane = np.arange(lanes)
         self.second, self.first = (np.zeros(lanes * _SLOTS, kind) for _ in range(2))
-        self.shares = np.tile(np.array([2, 2, 8], np.int64), (lanes * 16, 1))
+        # Running sums of the models' shares (order 2, order 1, order 0) by context.
+        self.shares = np.tile(np.array([0, 2, 4, 12], np.int32), (lanes * 16, 1))
         # Running sums of the frequencies: of 16 groups of buckets, and of the 16 buckets in each.
         self.groups = np.tile(np.arange(16, 257, 16, dtype=np.int32), (lanes, 1))
         self.buckets = np.tile(np.arange(1, 17, dtype=np.int32), (lanes * 16, 1))
@@ -68,20 +70,20 @@ class _Model:
         self.guess1, self.guess2 = self.slot1 >> 2, self.slot2 >> 2
         self.context = lane * 16 + (self.slot2 & 3) * 4 + (self.slot1 & 3)
         self.share = self.shares[self.context]
-        self.mark1 = self.share[:, 0]
-        self.mark2 = self.mark1 + self.share[:, 1]
-        self.total = self.mark2 + self.share[:, 2]
+        self.total = self.share[:, 3].astype(np.int64)
 
     def part(self, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the share of a kind (0: order 2, 1: order 1, 2: order 0) begins, and its size."""
-        below = np.where(kind == 2, self.mark2, np.where(kind == 1, self.mark1, 0))
-        return below, np.where(kind == 2, self.total, np.where(kind == 1, self.mark2, self.mark1)) - below
+        lane = self.lane[: len(kind)]
+        below = self.share[lane, kind].astype(np.int64)
+        return below, self.share[lane, kind + 1] - below
 
     def learn(self, ids: np.ndarray, kind: np.ndarray) -> None:
         n = len(ids)
-        self.shares[self.context, kind] += _MIX
+        self.shares[self.context] = self.share + _SHIFT[kind]
         if (large := self.context[self.total > _MIX_LIMIT]).size:
-            self.shares[large] = (self.shares[large] + 1) >> 1
+            halves = (np.diff(self.shares[large], axis=1) + 1) >> 1
+            self.shares[large, 1:] = np.cumsum(halves, axis=1)
         self.first[self.at1] = np.where(self.guess1 == ids, np.minimum(self.slot1 + 1, self.slot1 | 3), ids << 2)
         self.second[self.at2] = np.where(self.guess2 == ids, np.minimum(self.slot2 + 1, self.slot2 | 3), ids << 2)
         self.a[:n], self.b[:n] = self.b[:n].copy(), ids
@@ -92,7 +94,9 @@ class _Model:
         self.buckets[lane * 16 + high] += _RAISE[bucket & 15]
 
     def bucket_of(self, ids: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.base, ids, side="right") - 1
+        """The class of 64 buckets by its bounds, and the bucket by the class's width."""
+        kind = (ids >= self.base[64]).astype(np.int64) + (ids >= self.base[128]) + (ids >= self.base[192])
+        return 64 * kind + ((ids - self.base[64 * kind]) >> self.width[64 * kind])
 
 
 class _Coder:
@@ -235,7 +239,7 @@ def decode_blocks(payloads: Sequence[bytes]) -> list[np.ndarray]:
             n = int(np.searchsorted(-lengths, -step, side="left"))
             model.predict(n)
             spot = reader.ask(slice(0, n), model.total)
-            kind = (spot >= model.mark1).astype(np.int64) + (spot >= model.mark2)
+            kind = (spot >= model.share[:, 1]).astype(np.int64) + (spot >= model.share[:, 2])
             reader.take(slice(0, n), *model.part(kind))
             now = np.where(kind == 0, model.guess2, model.guess1).astype(np.int64)
             lane = np.flatnonzero(kind == 2)

@@ -32,15 +32,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_folder
-from .common import read
+from .common import bounded, read
 from .context_mixing import BLOCK_IDS, decode_blocks, encode_blocks
 from .words import WordMemory
 
 END_ID = 0
 #: Blocks coded side by side.
-LANES = 1024
-#: Words remembered: fewer than elsewhere, as the coder's tables need room too.
-REMEMBERED = 300_000
+LANES = 2048
+#: Words remembered: most of a partition's, as new words cost most of the encoding.
+REMEMBERED = 400_000
 
 SCHEMA = "part int, offset long, n_ids long, payload binary, rows array<long>, doc_ids array<long>, counts array<long>"
 
@@ -117,7 +117,7 @@ def coded_blocks(df: DataFrame, row_id: str, text: str, tokenizer_json: str, pat
         if total := sum(sizes):
             yield flush(total)
 
-    chosen = df.select(F.col(row_id).cast("long").alias("id"), F.col(text).alias("text"))
+    chosen = bounded(df).select(F.col(row_id).cast("long").alias("id"), F.col(text).alias("text"))
     ordered = chosen.repartitionByRange(parts, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
     return ordered.mapInArrow(code, SCHEMA)
 
