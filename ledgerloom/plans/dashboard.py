@@ -1,7 +1,7 @@
 """Executive layer over the insurance analytics tables.
 
-Figures of one table come from one scan of it. Figures of several tables meet as scalar
-subqueries of one row each, in a single plan.
+Figures of one table come from one scan of it; a table derived from it (segment prices, cross-selling, investments) is
+scanned on its own. Figures of several tables meet as scalar subqueries of one row each, in a single plan.
 """
 
 from __future__ import annotations

@@ -3,8 +3,9 @@
 Frames: ``customers`` (customer_id, first_name, last_name, state, loyalty_member), ``stores``
 (store_id, store_name, store_state), ``products`` (product_id, product_name, category,
 unit_price) and ``sales`` (sale_id, customer_id, store_id, product_id, sale_date, quantity,
-total_amount). Sales are summed per foreign key before they meet a dimension, so a join sees one row
-per key and a popular product or store costs no more than any other.
+total_amount). Where a report needs one dimension, sales are summed per foreign key before they meet it, so the join sees
+one row per key and a popular product or store costs no more than any other. ``sales_report`` and
+``multi_state_customers`` need several at once and join single sales; skewed keys are left to AQE.
 """
 
 from __future__ import annotations
