@@ -190,7 +190,8 @@ def quality_score(text: Column, net: Network) -> Column:
 
 def op4_byte_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    # Rows without an id are not held out; they have no label either.
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     labels = read(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out)
     net = fit(*training_sample(bounded(documents), labels, "doc_id", "text", "quality"))
     scored = documents.select("doc_id", held_out.alias("held_out"), quality_score(F.col("text"), net).alias("score"))
