@@ -36,6 +36,7 @@ LABELS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]", "")
 
 _BYTE = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _TERM = r"\p{L}{4,}+"
+_FILLER = "\ua7f7"  # a letter of medieval epigraphy; a text's own words with it are no terms
 _TERM_KIND = KINDS.index("term")
 _REMOVED = _TERM_KIND + 1
 
@@ -58,25 +59,27 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _places(found: Column, lengths: Column, gaps: Column) -> Column:
-    """Structs (start, value): ``gaps`` are the lengths of the parts between the matches ``found``."""
+def _starts(lengths: Column, gaps: Column) -> Column:
+    """Where each match starts, from the lengths of the matches and of the parts before them, in one pass."""
+    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(lengths)), lengths, lambda g, n: F.struct(g.alias("gap"), n.alias("size")))
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
 
-    def total(values: Column, count: Column) -> Column:
-        return F.aggregate(F.slice(values, F.lit(1), count), F.lit(0), lambda a, x: a + x)
+    def step(done: Column, pair: Column) -> Column:
+        start = done["at"] + pair["gap"]
+        return F.struct((start + pair["size"]).alias("at"), F.concat(done["starts"], F.array(start)).alias("starts"))
 
-    return F.transform(
-        found, lambda value, i: F.struct((total(gaps, i + 1) + total(lengths, i)).alias("start"), value.alias("value"))
-    )
+    return F.aggregate(pairs, begin, step, lambda done: done["starts"])
 
 
 def _located(df: DataFrame, text: Column, pattern: str, name: str, possible: Column) -> DataFrame:
     """Add ``name``: the matches of a pattern as structs (start, value), in code points."""
-    found, gaps, lengths = (free_name(df, f"_{part}") for part in ("found", "gaps", "lengths"))
+    found, starts = free_name(df, "_found"), free_name(df, "_starts")
     none = F.array().cast("array<string>")
     df = df.withColumn(found, F.when(possible, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none))
     parts = F.when(F.size(found) > 0, F.split(text, pattern, -1)).otherwise(none)
-    df = df.withColumns({gaps: F.transform(parts, F.length), lengths: F.transform(found, F.length)})
-    return df.withColumn(name, _places(F.col(found), F.col(lengths), F.col(gaps))).drop(found, gaps, lengths)
+    df = df.withColumn(starts, _starts(F.transform(found, F.length), F.transform(parts, F.length)))
+    places = F.zip_with(starts, found, lambda start, value: F.struct(start.alias("start"), value.alias("value")))
+    return df.withColumn(name, places).drop(found, starts)
 
 
 def with_base_spans(df: DataFrame, text: str = "text", name: str = "spans") -> DataFrame:
@@ -113,36 +116,49 @@ def _row_key(row_id: str, text: str) -> Column:
     return F.md5(F.concat(F.coalesce(F.col(row_id).cast("string"), F.lit("")), F.lit("\x00"), value).cast("binary"))
 
 
+def _hidden(text: Column, spans: Column) -> Column:
+    """The text with the letters inside spans replaced by ``_FILLER``; every other character stays in its place."""
+    by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+
+    def step(done: Column, s: Column) -> Column:
+        start = F.greatest(done["upto"], s["start"])
+        before = F.substr(text, done["upto"] + 1, start - done["upto"])
+        inside = F.regexp_replace(F.substr(text, start + 1, s["end"] - start), r"\p{L}", _FILLER)
+        more = F.struct(s["end"].alias("upto"), F.concat(done["out"], before, inside).alias("out"))
+        return F.when(s["end"] > done["upto"], more).otherwise(done)
+
+    begin = F.struct(F.lit(0).alias("upto"), F.lit("").alias("out"))
+    return F.aggregate(by_start, begin, step, lambda done: F.concat(done["out"], F.substr(text, done["upto"] + 1, F.length(text))))
+
+
 def term_places(df: DataFrame, row_id: str, text: str) -> DataFrame:
-    """One row per term near an entity: ``row_key``, ``entity`` (digest), ``term`` (lower case), ``start``, ``end``."""
+    """One row per term near an entity: ``row_key``, ``entity`` (digest), ``term`` (lower case), ``start``, ``end``.
+
+    Words that the window cuts, and words that reach into an entity, are no terms. Rows carry the windows, not the text.
+    """
     marked = with_base_spans(df.select(row_id, text), text, "_spans").where(F.size("_spans") > 0)
-    entities = marked.select(_row_key(row_id, text).alias("row_key"), F.col(text).alias("_text"), "_spans", F.explode("_spans").alias("s"))
-    left = F.greatest(F.col("s.start") - WINDOW, F.lit(0))
-    around = entities.select(
-        "row_key",
-        "_spans",
-        F.md5(F.concat_ws(":", "s.kind", "s.value").cast("binary")).alias("entity"),
-        F.length("_text").alias("_end"),
-        F.explode(
-            F.array(
-                F.struct(left.alias("from"), F.substr("_text", left + 1, F.col("s.start") - left).alias("words")),
-                F.struct(F.col("s.end").alias("from"), F.substr("_text", F.col("s.end") + 1, F.lit(WINDOW)).alias("words")),
-            )
-        ).alias("side"),
-    )
-    sides = around.select("row_key", "_spans", "entity", "_end", F.col("side.from").alias("_from"), F.col("side.words").alias("_words"))
-    placed = _located(sides, F.col("_words"), _TERM, "_terms", F.lit(True)).withColumn("_stop", F.col("_from") + F.length("_words"))
-    terms = placed.select("row_key", "_spans", "entity", "_end", "_from", "_stop", F.explode("_terms").alias("t"))
+    hidden = marked.select(_row_key(row_id, text).alias("row_key"), "_spans", _hidden(F.col(text), F.col("_spans")).alias("_text"))
+
+    def sides(s: Column) -> Column:
+        left = F.greatest(s["start"] - WINDOW, F.lit(0))
+        entity = F.md5(F.concat_ws(":", s["kind"], s["value"]).cast("binary")).alias("entity")
+        return F.array(
+            F.struct(entity, left.alias("from"), F.substr("_text", left + 1, s["start"] - left).alias("words")),
+            F.struct(entity, s["end"].alias("from"), F.substr("_text", s["end"] + 1, F.lit(WINDOW)).alias("words")),
+        )
+
+    around = hidden.select("row_key", F.length("_text").alias("_end"), F.explode(F.flatten(F.transform("_spans", sides))).alias("side"))
+    windows = around.select("row_key", "_end", "side.entity", F.col("side.from").alias("_from"), F.col("side.words").alias("_words"))
+    placed = _located(windows, F.col("_words"), _TERM, "_terms", F.lit(True)).withColumn("_stop", F.col("_from") + F.length("_words"))
+    terms = placed.select("row_key", "entity", "_end", "_from", "_stop", F.explode("_terms").alias("t"))
     terms = terms.select(
         "*",
         F.lower("t.value").alias("term"),
         (F.col("_from") + F.col("t.start")).alias("start"),
         (F.col("_from") + F.col("t.start") + F.length("t.value")).alias("end"),
     )
-    # Words that the window cuts, and parts of entities, are no terms.
     whole = ((F.col("start") > F.col("_from")) | (F.col("_from") == 0)) & ((F.col("end") < F.col("_stop")) | (F.col("end") == F.col("_end")))
-    free = ~F.exists("_spans", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"]))
-    return terms.where(whole & free).select("row_key", "entity", "term", "start", "end")
+    return terms.where(whole & ~F.contains("t.value", F.lit(_FILLER))).select("row_key", "entity", "term", "start", "end")
 
 
 def term_documents(df: DataFrame, text: str) -> DataFrame:

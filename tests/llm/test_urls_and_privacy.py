@@ -154,6 +154,12 @@ def test_long_runs_stay_linear(frame):
     assert {r.doc_id: len(r.spans) for r in rows} == {0: 0, 1: 0, 2: 12_500, 3: 1, 4: 0, 5: 0, 6: 300}
 
 
+def test_many_entities_in_one_text(frame):
+    text = " ".join(f"Gartenweg p{i}@x.org" for i in range(3000))
+    found = pii.term_places(frame([(1, text, "s"), (2, text, "s")]), "doc_id", "text")
+    assert found.where("term = 'gartenweg'").count() > 2 * 3000 and found.where("term <> 'gartenweg'").count() == 0
+
+
 def test_disclosing_terms_match_brute_force(spark, frame, folder):
     draw = random.Random(4)
     common = [f"{a}{b}word" for a in "bcdfg" for b in "aeiou"]
@@ -165,6 +171,7 @@ def test_disclosing_terms_match_brute_force(spark, frame, folder):
         if i == 7:
             words.insert(3, "Gartenweg")
         texts.append(" ".join(words))
+    texts += ["Mirabella+49301234567 ñandú", "ñandúperson0@mail.example.com Mirabella", "person0@mail.example.comñandú Mirabella"]
     texts += [None, "", texts[0], "person0@mail.example.com", "cut" * 30 + " person0@mail.example.com " + "x" * 80]
     rows = [(i, t, "s") for i, t in enumerate(texts)]
     found = {r.doc_id: r for r in pii.op3_disclosure(spark, folder(documents=frame(rows))).collect()}
