@@ -94,11 +94,11 @@ def label_splits(labels: DataFrame, words: DataFrame) -> DataFrame:
     ``labels`` has distinct labels. All their parts up to ``LONGEST_WORD`` letters meet the model in a join; a label is
     at most as long as a url allows, so its parts found are gathered per label.
     """
-    longest = F.least(F.length("label"), F.lit(LONGEST_WORD))
     starts = F.sequence(F.lit(1), F.length("label"))
-    places = labels.where(F.length("label") > 0).select("label", F.explode(starts).alias("start"), longest.alias("longest"))
-    places = places.select("label", "start", F.explode(F.sequence(F.lit(1), F.least("longest", F.length("label") - F.col("start") + 1))).alias("size"))
-    parts = places.select("label", "start", "size", F.substr("label", F.col("start"), F.col("size")).alias("word"))
+    places = labels.where(F.length("label") > 0).select("label", F.explode(starts).alias("start"))
+    places = places.select("label", "start", F.substr("label", F.col("start"), F.lit(LONGEST_WORD)).alias("ahead"))
+    sized = places.select("label", "start", "ahead", F.explode(F.sequence(F.lit(1), F.length("ahead"))).alias("size"))
+    parts = sized.select("label", "start", "size", F.substr("ahead", F.lit(1), F.col("size")).alias("word"))
     found = parts.join(words, "word").groupBy("label").agg(F.collect_list(F.struct("start", "size", "n")).alias("found"))
     total = words.agg(F.sum("n").cast("double").alias("total")).scalar()
 
@@ -112,18 +112,19 @@ def label_splits(labels: DataFrame, words: DataFrame) -> DataFrame:
 def best_split(label: str, found, total: float) -> list[str]:
     """Viterbi: ``found`` has (start from 1, size, count) of the known words in the label.
 
-    A part that is no known word counts ``10 / (total * 10 ** size)``, so unknown stretches stay whole. Of equal
+    A part that is no known word counts ``10 / (total * 10 ** size)``, so unknown stretches stay whole; the best
+    unknown stretch up to a letter goes on from the one before or starts anew, so long labels take linear time. Of equal
     splits the one with the longest last word wins.
     """
-    known = {(f["start"] - 1, f["size"]): f["n"] for f in found}
+    ending: dict[int, list[tuple[int, int]]] = {}
+    for f in found:
+        ending.setdefault(f["start"] - 1 + f["size"], []).append((f["start"] - 1, f["n"]))
     best, begin = [0.0], [0]
+    unknown, letter = math.log(10 / total), math.log(10)
+    stretch = (-math.inf, 0)  # score and minus the start of the best unknown stretch
     for end in range(1, len(label) + 1):
-        options = []
-        for start in range(max(0, end - max(LONGEST_WORD, len(label))), end):
-            count = known.get((start, end - start))
-            score = math.log(count / total) if count else math.log(10 / total) - (end - start) * math.log(10)
-            options.append((best[start] + score, -start))
-        top = max(options)
+        stretch = max((stretch[0] - letter, stretch[1]), (best[end - 1] + unknown - letter, 1 - end))
+        top = max([stretch, *((best[start] + math.log(count / total), -start) for start, count in ending.get(end, ()))])
         best.append(top[0])
         begin.append(-top[1])
     words, end = [], len(label)

@@ -121,6 +121,12 @@ def test_best_split_matches_all_splits():
         assert sum(map(score, got)) == pytest.approx(max(sum(map(score, s)) for s in splits(label)))
 
 
+def test_long_labels_stay_linear():
+    assert url_filter.best_split("x" * 200_000, [], 1000.0) == ["x" * 200_000]
+    found = [{"start": k + 1, "size": 2, "n": 500} for k in range(0, 60_000, 2)]
+    assert url_filter.best_split("ab" * 30_000, found, 1000.0) == ["ab"] * 30_000
+
+
 def test_empty_and_seedless_pages(pages):
     assert url_filter.judged(pages.limit(0), "url", "html").count() == 0
     plain = pages.where(F.col("url").contains("quietgarden") & ~F.col("url").contains("bets"))
