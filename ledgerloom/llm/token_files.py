@@ -73,8 +73,8 @@ def text_encoder(tokenizer_json: str, pattern: str):
     return lambda texts: memory.encode([split(t) if t else [] for t in texts])
 
 
-def coded_blocks(df: DataFrame, row_id: str, text: str, tokenizer_json: str, pattern: str, parts: int, lanes: int = LANES, end_id: int = END_ID) -> DataFrame:
-    """The rows of the file format, in ascending order of ids."""
+def coded_blocks(df: DataFrame, row_id: str, text: str, tokenizer_json: str, pattern: str, parts: int | None = None, lanes: int = LANES, end_id: int = END_ID) -> DataFrame:
+    """The rows of the file format, in ascending order of ids. Without a number of ``parts`` Spark joins small ones."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, encode = TaskContext.get().partitionId(), text_encoder(tokenizer_json, pattern)
@@ -118,7 +118,9 @@ def coded_blocks(df: DataFrame, row_id: str, text: str, tokenizer_json: str, pat
             yield flush(total)
 
     chosen = bounded(df).select(F.col(row_id).cast("long").alias("id"), F.col(text).alias("text"))
-    ordered = chosen.repartitionByRange(parts, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
+    ascending = F.col("id").asc_nulls_first()
+    ranged = chosen.repartitionByRange(parts, ascending) if parts else chosen.repartitionByRange(ascending)
+    ordered = ranged.sortWithinPartitions(ascending)
     return ordered.mapInArrow(code, SCHEMA)
 
 
@@ -224,8 +226,7 @@ def write_tokens(df: DataFrame, path: str, row_id: str = "doc_id", text: str = "
     """Write the ids of all texts to a folder in the file format."""
     import public_tokenizers
 
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    coded_blocks(df, row_id, text, tokenizer_json or default_tokenizer(), pattern or public_tokenizers.PATTERN, parts).write.parquet(path)
+    coded_blocks(df, row_id, text, tokenizer_json or default_tokenizer(), pattern or public_tokenizers.PATTERN).write.parquet(path)
 
 
 def op8_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
