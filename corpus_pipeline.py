@@ -26,8 +26,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies stays."""
-    return group_matrix.one_of_each(docs)
+    """One document of each class of near copies stays: sets of five-word shingles that share at least 0.8."""
+    return group_matrix.one_of_each(docs, width=5, percent=80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from test_copies import brute_classes
+from test_copies import brute_classes, shingles
 
 import __spark_entry__ as entry_module
 import corpus_pipeline
@@ -258,6 +258,21 @@ def test_stages_do_what_they_say(spark, frame, tmp_path):
             assert all(r.round_trip and sentencepieces.decode_ids(np.array(r.ids), trie.texts) == texts[r.doc_id] for r in kept[name])
 
 
+def test_near_copies_stage_takes_five_words_and_four_fifths(spark, frame):
+    draw = random.Random(7)
+    rows = []
+    for i, changes in enumerate((0, 1, 2, 2, 3, 4)):
+        words = [f"w{draw.randrange(10**6)}" for _ in range(100)]
+        changed = ["other" if k in range(20, 20 + 20 * changes, 20) else w for k, w in enumerate(words)]
+        rows += [(i, " ".join(words)), (10 + i, " ".join(changed))]
+    sets = {i: shingles(t, 5) for i, t in rows}
+    copies = {10 + i for i in range(6) if 5 * len(sets[i] & sets[10 + i]) >= 4 * len(sets[i] | sets[10 + i])}
+    # Two changed words lie between op2's limit and the stage's.
+    assert copies == {10, 11, 12, 13} and {c for i, (_, c) in brute_classes(rows, 85).items() if i != c} == {0, 1}
+    docs = frame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, FOLDER).collect()} == {i for i, _ in rows} - copies
+
+
 def test_pipeline_over_tables(spark, frame, folder):
     rows = corpus_pipeline.run(spark, folder(documents=pipeline_documents(frame))).collect()
     assert rows and all(r.round_trip and r.n_pieces == len(r.ids) for r in rows)
