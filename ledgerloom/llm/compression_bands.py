@@ -2,9 +2,13 @@
 
 The ratio of a text is its UTF-8 bytes divided by its compressed bytes. Repetitive text has a high
 ratio, random text one near 1. What is usual depends on the length, as a short text gives the
-compressor little to work with, so each length class has its own band. Besides the whole text, each
-full chunk of fixed size is judged, which finds long stretches of noise or repetition that the rest of
-a document would hide.
+compressor little to work with, so each length class has its own band. Besides the whole text, its
+chunks are judged, which finds long stretches of noise or repetition that the rest of a document would
+hide. Chunks of one size follow each other from the start, and one more ends where the text ends, so every
+byte lies in a judged chunk; shorter texts have smaller chunks with limits of their own. Texts below the smallest
+chunk are one chunk already and have the whole text's band only. What counts is the share of the text's bytes in
+chunks outside the band, each byte in the first chunk that holds it, so the last chunk weighs what it adds.
+Noise much shorter than a chunk is judged together with the text beside it and may pass.
 
 NULL and empty texts have no words and fail the base rules. The measures join the other columns as
 one struct, so no input column can clash but the one that has the struct's own name, which is replaced.
@@ -24,7 +28,6 @@ from pyspark.sql import functions as F
 from .common import bounded, free_name, read
 
 LEVEL = 3
-CHUNK_BYTES = 4096
 #: Smallest byte length of a class, lowest and highest ratio kept. Texts below the first class are not judged.
 WHOLE_BANDS = (
     (64, 0.60, 2.2),
@@ -34,8 +37,13 @@ WHOLE_BANDS = (
     (16384, 1.50, 2.95),
     (65536, 1.50, 3.5),
 )
-CHUNK_BAND = (1.35, 2.7)
-#: Share of chunks that may lie outside the band.
+#: Bytes of a chunk, lowest and highest ratio of one. A text has chunks of the largest size that it fills.
+CHUNK_BANDS = (
+    (256, 1.12, 2.4),
+    (1024, 1.35, 2.5),
+    (4096, 1.35, 2.7),
+)
+#: Share of the bytes that may lie in chunks outside the band.
 CHUNK_SHARE = 0.25
 REPEAT_WORDS = 5
 
@@ -75,17 +83,28 @@ def band_of(length: int, bands: Sequence[tuple[int, float, float]]) -> tuple[flo
     return found
 
 
-def measure(text: str | None, compress, whole_bands=WHOLE_BANDS, chunk_band=CHUNK_BAND, chunk_bytes=CHUNK_BYTES, chunk_share=CHUNK_SHARE) -> tuple:
+def chunk_starts(length: int, chunk_bands: Sequence[tuple[int, float, float]]) -> tuple[list[int], int]:
+    """Where the chunks of a text of ``length`` bytes start, and their size. The last one ends with the text."""
+    size = max((least for least, _, _ in chunk_bands if least <= length), default=0)
+    if not size:
+        return [], 0
+    starts = list(range(0, length - size + 1, size))
+    return starts + [length - size] * (length % size > 0), size
+
+
+def measure(text: str | None, compress, whole_bands=WHOLE_BANDS, chunk_bands=CHUNK_BANDS, chunk_share=CHUNK_SHARE) -> tuple:
     """The measures of one text; ``compress`` maps bytes to compressed bytes."""
     text = text or ""
     raw = text.encode("utf-8", "surrogatepass")
     words = _WORD.findall(text)
     ratio = len(raw) / len(compress(raw)) if raw else None
-    full = [raw[k : k + chunk_bytes] for k in range(0, len(raw) - chunk_bytes + 1, chunk_bytes)]
-    chunks = [len(c) / len(compress(c)) for c in full]
-    odd = sum(not chunk_band[0] <= c <= chunk_band[1] for c in chunks)
+    starts, size = chunk_starts(len(raw), chunk_bands)
+    chunks = [size / len(compress(raw[k : k + size])) for k in starts]
+    low, high = band_of(len(raw), chunk_bands) or (0, 0)
+    odd = [k for k, c in zip(starts, chunks, strict=True) if not low <= c <= high]
+    odd_bytes = sum(len(raw) % size if k % size else size for k in odd)
     band = band_of(len(raw), whole_bands)
-    in_band = (band is None or band[0] <= ratio <= band[1]) and odd <= chunk_share * len(chunks)
+    in_band = (band is None or band[0] <= ratio <= band[1]) and odd_bytes <= chunk_share * len(raw)
     return (
         len(words),
         sum(map(len, words)),
@@ -95,7 +114,7 @@ def measure(text: str | None, compress, whole_bands=WHOLE_BANDS, chunk_band=CHUN
         ratio,
         min(chunks, default=None),
         max(chunks, default=None),
-        odd,
+        len(odd),
         len(chunks),
         in_band,
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import random
 import zlib
 
@@ -63,6 +64,25 @@ def test_bands_reject_repetitive_and_random_text():
     assert not keep(mixed)
 
 
+def test_every_byte_lies_in_a_judged_chunk():
+    for length in (*range(256, 1100), 1500, 4095, 4096, 4097, 7996, 8192, 12289):
+        starts, size = bands.chunk_starts(length, bands.CHUNK_BANDS)
+        assert {b for k in starts for b in range(k, k + size)} == set(range(length)) and starts == sorted(set(starts))
+    assert bands.chunk_starts(255, bands.CHUNK_BANDS) == ([], 0)
+
+
+def test_noise_is_found_wherever_it_stands():
+    compress = zstandard.ZstdCompressor(level=bands.LEVEL).compress
+    keep = lambda t: bands.measure(t, compress)[-1]
+    draw = random.Random(3)
+    for size, tail in ((4096, 3900), (1024, 900), (256, 240)):
+        text, noise = prose(2000, size)[:size], base64.b64encode(draw.randbytes(tail)).decode()[:tail]
+        repeats = ("again and again " * tail)[:tail]
+        assert keep(text) and keep(prose(2000, size)[: size + tail])
+        assert not keep(text + noise) and not keep(noise + text), size
+        assert not keep(text + repeats) and not keep(repeats + text), size
+
+
 def test_keep_quality_keeps_columns_with_clashing_names(spark):
     df = spark.createDataFrame([(1, prose(40), True, 7), (2, "too short", False, 8)], "doc_id long, text string, kept boolean, _quality int")
     kept = bands.keep_quality(df)
