@@ -6,7 +6,9 @@ strongly is estimated from the corpus: with document counts ``n``, ``n(e)``, ``n
 documents in which the term stands within ``WINDOW`` characters of the entity - the pointwise mutual
 information ``ln(n n(e, t) / (n(e) n(t)))`` is set against the entity's own information ``ln(n / n(e))``. A term
 that discloses at least ``GENERALISE`` of it is replaced by a general label, from ``REMOVE`` on it is taken
-out. One document alone is no evidence, so a pair counts from ``LEAST_DOCUMENTS`` on.
+out - wherever it stands in the documents that hold the entity, near it or not. One document alone is no
+evidence, so a pair counts from ``LEAST_DOCUMENTS`` on. The window bounds the evidence only: a term that never stands
+within it is not estimated. Terms are runs of letters of any length.
 
 Only DataFrame functions are used. Counts cover all documents and are combined before the shuffle;
 no entity, term or document is gathered in one task.
@@ -35,12 +37,12 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 LABELS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]", "")
 
 _BYTE = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
-_TERM = r"\p{L}{4,}+"
+_TERM = r"\p{L}++"
 _FILLER = "\ua7f7"  # a letter of medieval epigraphy; a text's own words with it are no terms
 _TERM_KIND = KINDS.index("term")
 _REMOVED = _TERM_KIND + 1
 
-#: Characters on either side of an entity in which terms are looked for.
+#: Characters on either side of an entity in which a term counts as standing with it.
 WINDOW = 64
 LEAST_DOCUMENTS = 2
 GENERALISE = 0.8
@@ -131,17 +133,31 @@ def _hidden(text: Column, spans: Column) -> Column:
     return F.aggregate(by_start, begin, step, lambda done: F.concat(done["out"], F.substr(text, done["upto"] + 1, F.length(text))))
 
 
+def _entity(span: Column) -> Column:
+    """The digest of a base span's kind and value."""
+    return F.md5(F.concat_ws(":", span["kind"], span["value"]).cast("binary")).alias("entity")
+
+
+def hidden_texts(df: DataFrame, row_id: str, text: str) -> DataFrame:
+    """The rows with entities: ``row_key``, ``_spans`` and ``_text``, the text without the letters of entities."""
+    marked = with_base_spans(df.select(row_id, text), text, "_spans").where(F.size("_spans") > 0)
+    return marked.select(_row_key(row_id, text).alias("row_key"), "_spans", _hidden(F.col(text), F.col("_spans")).alias("_text"))
+
+
 def term_places(df: DataFrame, row_id: str, text: str) -> DataFrame:
     """One row per term near an entity: ``row_key``, ``entity`` (digest), ``term`` (lower case), ``start``, ``end``.
 
     Words that the window cuts, and words that reach into an entity, are no terms. Rows carry the windows, not the text.
     """
-    marked = with_base_spans(df.select(row_id, text), text, "_spans").where(F.size("_spans") > 0)
-    hidden = marked.select(_row_key(row_id, text).alias("row_key"), "_spans", _hidden(F.col(text), F.col("_spans")).alias("_text"))
+    return _places_near(hidden_texts(df, row_id, text))
+
+
+def _places_near(hidden: DataFrame) -> DataFrame:
+    """``term_places`` from ``hidden_texts``."""
 
     def sides(s: Column) -> Column:
         left = F.greatest(s["start"] - WINDOW, F.lit(0))
-        entity = F.md5(F.concat_ws(":", s["kind"], s["value"]).cast("binary")).alias("entity")
+        entity = _entity(s)
         return F.array(
             F.struct(entity, left.alias("from"), F.substr("_text", left + 1, s["start"] - left).alias("words")),
             F.struct(entity, s["end"].alias("from"), F.substr("_text", s["end"] + 1, F.lit(WINDOW)).alias("words")),
@@ -164,7 +180,7 @@ def term_places(df: DataFrame, row_id: str, text: str) -> DataFrame:
 def term_documents(df: DataFrame, text: str) -> DataFrame:
     """Each term of the corpus and the number of rows that hold it."""
     words = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+"))
-    terms = df.select(F.explode(F.filter(words, lambda w: F.length(w) >= 4)).alias("term"))
+    terms = df.select(F.explode(F.filter(words, lambda w: w != "")).alias("term"))
     return terms.groupBy("term").agg(F.count("*").alias("n_t"))
 
 
@@ -181,14 +197,38 @@ def disclosing_pairs(df: DataFrame, places: DataFrame, text: str) -> DataFrame:
     return counted.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
 
 
-def disclosing_spans(df: DataFrame, row_id: str, text: str) -> DataFrame:
-    """Per ``row_key`` an array ``terms`` of (kind, start, end, value) of the terms to be generalised or removed."""
-    places = stage_table(term_places(df, row_id, text), "term-places")
+def disclosing_terms(df: DataFrame, row_id: str, text: str) -> DataFrame:
+    """Per ``row_key`` an array ``terms`` of (term, kind): words anywhere in the text that disclose an entity of the row.
+
+    Words with letters of an entity are in no pair, as they are no terms.
+    """
+    hidden = stage_table(hidden_texts(df, row_id, text), "entity-texts")
+    places = stage_table(_places_near(hidden), "term-places")
     pairs = disclosing_pairs(df, places, text)
     kind = F.when(F.col("share") >= REMOVE, F.lit(_REMOVED)).otherwise(F.lit(_TERM_KIND))
-    found = places.join(pairs, ["entity", "term"]).groupBy("row_key", "start", "end", "term").agg(F.max(kind).alias("kind"))
-    span = F.struct(F.col("kind").cast("int").alias("kind"), "start", "end", F.col("term").alias("value"))
-    return found.groupBy("row_key").agg(F.collect_list(span).alias("terms"))
+    pairs = stage_table(pairs.select("entity", "term", kind.alias("kind")), "disclosing-pairs")
+    words = F.array_distinct(F.split(F.lower("_text"), r"[^\p{L}]+"))
+    # A disclosing term is about as rare as its entity, so words meet few pairs; rows of an entity would meet all its terms.
+    held = hidden.select("row_key", F.explode(words).alias("term")).join(pairs, "term")
+    entities = hidden.select("row_key", F.explode(F.array_distinct(F.transform("_spans", _entity))).alias("entity"))
+    found = held.join(entities.distinct(), ["row_key", "entity"]).groupBy("row_key", "term").agg(F.max("kind").cast("int").alias("kind"))
+    return found.groupBy("row_key").agg(F.collect_list(F.struct("term", "kind")).alias("terms"))
+
+
+def _occurrences(text: Column, kinds: Column) -> Column:
+    """All places of the words that ``kinds`` maps to a kind, as (kind, start, end, value)."""
+    words, gaps = F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)), F.split(text, _TERM, -1)
+    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(words)), words, lambda g, w: F.struct(F.length(g).alias("gap"), w.alias("word")))
+    none = F.array().cast("array<struct<kind:int,start:int,end:int,value:string>>")
+
+    def step(done: Column, pair: Column) -> Column:
+        start = done["at"] + pair["gap"]
+        end, term = start + F.length(pair["word"]), F.lower(pair["word"])
+        span = F.struct(kinds[term].alias("kind"), start.alias("start"), end.alias("end"), term.alias("value"))
+        spans = F.when(kinds[term].isNotNull(), F.concat(done["spans"], F.array(span))).otherwise(done["spans"])
+        return F.struct(end.alias("at"), spans.alias("spans"))
+
+    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda done: done["spans"])
 
 
 def with_spans(df: DataFrame, row_id: str, text: str = "text", name: str = "spans") -> DataFrame:
@@ -198,11 +238,13 @@ def with_spans(df: DataFrame, row_id: str, text: str = "text", name: str = "span
     read several times: hand in a table, not a costly plan.
     """
     key = free_name(bounded(df), "_row_key")
-    terms = disclosing_spans(df, row_id, text).withColumnsRenamed({"row_key": key, "terms": "_right_terms"})
+    right = free_name(df, "_right_terms")
+    terms = disclosing_terms(df, row_id, text).withColumnsRenamed({"row_key": key, "terms": right})
     marked = with_base_spans(df, text, name).withColumn(key, _row_key(row_id, text))
     joined = marked.join(terms, key, "left")
-    both = F.concat(F.col(name), F.coalesce("_right_terms", F.array().cast(terms.schema["_right_terms"].dataType)))
-    return joined.withColumn(name, F.array_sort(both)).drop(key, "_right_terms")
+    places = _occurrences(_hidden(F.col(text), F.col(name)), F.map_from_entries(right))
+    both = F.when(F.col(right).isNull(), F.col(name)).otherwise(F.concat(F.col(name), places))
+    return joined.withColumn(name, F.array_sort(both)).drop(key, right)
 
 
 def masked(text: Column, spans: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
 import brute_pii as brute
 import pytest
@@ -190,6 +191,21 @@ def test_disclosing_terms_match_brute_force(spark, frame, folder):
         assert found[i].n_email == sum(k == "email" for k, _, _ in base) and found[i].n_term == len(hidden[i])
 
 
+def test_disclosing_terms_go_wherever_they_stand(frame):
+    far = "the quiet garden of the house " * 20
+    rows = [(i, f"Mirabella and MIRABELLA and Mirabellas, {far} Kim {far} Mirabella Kim, call +49 30 1234567, {far} mirabella.", "s") for i in range(2)]
+    rows += [(2, f"Call +49 30 1234567 {far} Mirabella", "s"), (3, f"Call +49 30 9999999 {far} Octavian", "s")]
+    rows += [(4 + i, f"{far} call and and", "s") for i in range(30)]
+    found = {r.doc_id: r for r in pii.with_spans(frame(rows), "doc_id").collect()}
+    out = {r.doc_id: r.text for r in pii.sanitised(frame(rows), "doc_id").collect()}
+    word = re.compile(r"[^\W\d_]+")
+    for i, text, _ in rows[:3]:
+        places = [(m.start(), m.end()) for m in word.finditer(text) if m.group().lower() in ("mirabella", "kim")]
+        assert places == sorted((s.start, s.end) for s in found[i].spans if s.value in ("mirabella", "kim"))
+        assert not {"mirabella", "kim"} & {w.lower() for w in word.findall(out[i])}
+    assert "Mirabellas" in out[0] and "quiet garden" in out[0] and "Octavian" in out[3] and out[4] == rows[4][1]
+
+
 def test_sanitised_text(frame):
     rows = [(i, f"Call Mirabella at +49 30 1234567 or mail m{i // 2}@x.org, thanks", "s") for i in range(4)]
     rows += [(9, "no such data, Mirabella", None), (10, None, None), (11, "", "s"), (None, "ip 10.0.0.1!", "s"), (12, "a@b.co.4111111111111111", "s")]
