@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_convolution, compression_bands, group_matrix, mixing, pii, pruned_graph, sentencepieces, sharding, token_files, url_filter
+from . import (
+    byte_convolution,
+    compression_bands,
+    group_matrix,
+    language_families,
+    merkle,
+    mixing,
+    periodic_runs,
+    pii,
+    pruned_graph,
+    sentencepieces,
+    sharding,
+    token_files,
+    url_filter,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +35,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_context_mixing": token_files.op8_context_mixing,
         "op9_pruned_graph": pruned_graph.op9_pruned_graph,
         "op10_sentencepiece": sentencepieces.op10_sentencepiece,
+        "op11_checkpoint_manifest": merkle.op11_checkpoint_manifest,
+        "op12_language_families": language_families.op12_language_families,
+        "op13_maximal_pairs": periodic_runs.op13_maximal_pairs,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op5_stratified_interleaving": sharding.ORACLE, "op6_weighted_mix": mixing.ORACLE}
+    return {"op5_stratified_interleaving": sharding.ORACLE, "op6_weighted_mix": mixing.ORACLE, "op11_checkpoint_manifest": merkle.ORACLE}

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ..session import tune
 
-#: Rows in one Arrow batch: Python workers hold one batch of texts at a time.
+#: Rows and bytes in one Arrow batch: Python workers hold one batch of texts at a time. A longer text is a batch of its own.
 BATCH_ROWS = 256
+BATCH_BYTES = 8 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +22,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bounded(df: DataFrame) -> DataFrame:
     """``df``, after the settings that bound what a Python worker holds. Every operator passes its input through this."""
-    tune(df.sparkSession).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf = tune(df.sparkSession).conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df
 
 
