@@ -12,12 +12,16 @@ bound are opened, and their members compared exactly.
    that is nearly all text that has no near copy. Of the rest, the ``needed - 1`` most frequent tokens may be left out, since
    linked sets must share one of the others; so passages that many documents hold cost little.
 3. The group of a set is its token with the lowest digest among those about as frequent as its median token: near copies share
-   it, whatever words they change. The matrix holds each group's union of tokens; it meets the sets in a join on the token.
-4. Sets that meet a group are compared in units of bounded size (a block of members, a block of queries), so no
-   group is ever in one task. A unit first bounds every query against the union of its members' whole sets and opens the block
-   only for those that can pass, then counts exact overlaps. It returns a spanning forest of its links: as many edges as sets
-   at most, never all pairs, and no connection is lost.
-5. Components of these edges are the classes.
+   it, whatever words they change. In a few rounds, each with another digest, every set is compared with one *pivot* of its group, a
+   member of the group's largest class; linked sets take the pivot's class. So a large group of near copies becomes one class by
+   one comparison per set and round.
+4. From here on only tokens that two classes hold matter. All members of a class get one group. The matrix holds each group's
+   tokens; it meets the sets of other groups in a join on the token, the smaller group asking the larger.
+5. Sets that meet are compared in units of bounded size (a block of members, a block of queries), so no group is ever in one
+   task. Within a group its largest class only answers, and is never compared with itself. A unit first bounds every query against the
+   union of its members' whole sets and opens the block only for those that can pass, then counts exact overlaps. It
+   returns a spanning forest of its links: as many edges as sets at most, never all pairs, and no connection is lost.
+6. Components of all edges are the classes.
 
 Everything is exact: heads, counts and bounds only leave out pairs that can't link. No partner or candidate
 list has a cap. NULL and empty texts have empty sets and link with nothing, not with one another either. Rows without an id
@@ -46,6 +50,11 @@ PERCENT = 85
 #: Sets in a block, and tokens in a block of long sets. A unit holds two blocks.
 BLOCK = 512
 BLOCK_TOKENS = 500_000
+#: Rounds with a pivot per group at most; a round that links less than one in ``WORTHWHILE`` of the sets it asks is the last.
+ROUNDS = 5
+WORTHWHILE = 25
+#: Kinds of units: members of a group's smaller classes among themselves or asking its largest class; other groups' sets asking either.
+_AMONG, _TO_LARGEST, _GUESTS_TO_LARGEST, _GUESTS_TO_OTHERS = range(4)
 
 
 def least_overlap(n, percent: int):
@@ -115,52 +124,149 @@ def with_shared_tokens(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def with_groups(sets: DataFrame, percent: int) -> DataFrame:
-    """Add ``grp`` and ``prefix``, the rarest shared tokens of which linked sets share one."""
+    """Add ``grps``, a group for each round, and ``prefix``, the rarest shared tokens of which linked sets share one."""
     median = F.element_at("shared", (F.size("shared") / 2).cast("int") + 1)["df"]
-    usual = F.filter("shared", lambda t: 2 * t["df"] >= F.col("_median"))
-    lowest = F.array_min(F.transform(usual, lambda t: F.struct(F.xxhash64(t["token"]).alias("h"), t["token"].alias("t"))))["t"]
+    usual = F.transform(F.filter("shared", lambda t: 2 * t["df"] >= F.col("_median")), lambda t: t["token"])
+
+    def lowest(seed: int) -> Column:
+        return F.array_min(F.transform("_usual", lambda t: F.struct(F.xxhash64(t, F.lit(seed)).alias("h"), t.alias("t"))))["t"]
+
     prefix = F.slice("shared", F.lit(1), F.size("shared") - _needed(F.col("n"), percent) + 1)
-    grouped = sets.withColumn("_median", median).withColumn("grp", lowest).withColumn("prefix", prefix["token"])
-    return grouped.select("set_id", "n", "grp", "prefix")
+    grouped = sets.withColumn("_median", median).withColumn("_usual", usual)
+    return grouped.select("set_id", "n", F.array(*map(lowest, range(ROUNDS))).alias("grps"), prefix["token"].alias("prefix"))
 
 
-def meetings(sets: DataFrame) -> DataFrame:
-    """Pairs (``set_id``, ``grp``) of sets and groups that share a token, a set's own group (``own``) and later ones only."""
-    queries = sets.select("set_id", "n", F.col("grp").alias("own"), F.explode("prefix").alias("token"))
-    matrix = sets.select("grp", F.explode("prefix").alias("token")).distinct()
-    return queries.join(matrix, "token").where("own <= grp").select("set_id", "n", "own", "grp").distinct()
+def _blocks(count: Column, tokens: Column, block: int) -> Column:
+    return F.greatest(F.ceil(count / block), F.ceil(tokens / BLOCK_TOKENS))
 
 
-def units(sets: DataFrame, met: DataFrame, block: int) -> DataFrame:
-    """One row per set and unit: ``grp``, ``i`` (block of members), ``j`` (block of queries), ``foreign``, ``member``, ``set_id``.
+def _dealt(into: str) -> Column:
+    return F.pmod(F.xxhash64("set_id"), F.greatest(F.col(into), F.lit(1)))
+
+
+def _each(count: str) -> Column:
+    """The numbers of ``count`` blocks; none for 0."""
+    return F.when(F.col(count) > 0, F.sequence(F.lit(0).cast("long"), F.col(count) - 1)).otherwise(F.array().cast("array<bigint>"))
+
+
+def labelled(linking: DataFrame, labels: DataFrame) -> DataFrame:
+    """Add ``cls``: the label of the set, or the set itself."""
+    named = labels.select(F.col("set_id").alias("_set"), F.col("cls").alias("_cls"))
+    return linking.join(named, F.col("set_id") == F.col("_set"), "left").withColumn("cls", F.coalesce("_cls", "set_id")).drop("_set", "_cls")
+
+
+def pivot_units(sets: DataFrame, turn: int, block: int) -> DataFrame:
+    """One row per set to compare, in blocks of its group, and the group's pivot in every block: ``grp``, ``i``, ``pivot``, ``set_id``, ``cls`` (the pivot's).
+
+    ``sets``: ``set_id``, ``n``, ``grp``, ``cls``. The pivot's own class and groups of one class have no rows.
+    """
+    one = F.min(F.struct(F.xxhash64("set_id", F.lit(turn)).alias("h"), F.col("set_id").alias("id"))).alias("one")
+    classes = sets.groupBy("grp", "cls").agg(F.count("*").alias("size"), F.sum("n").alias("tokens"), one)
+    largest = F.max(F.struct("size", "cls", "one", "tokens")).alias("top")
+    groups = classes.groupBy("grp").agg(largest, F.sum("size").alias("sets"), F.sum("tokens").alias("all")).where("sets > top.size")
+    blocks = _blocks(F.col("sets") - F.col("top.size"), F.col("all") - F.col("top.tokens"), block)
+    groups = groups.select(F.col("grp").alias("_grp"), F.col("top.cls").alias("_cls"), F.col("top.one.id").alias("_pivot"), blocks.alias("blocks"))
+    asked = sets.join(groups, F.col("grp") == F.col("_grp")).where("cls <> _cls")
+    asked = asked.select("grp", _dealt("blocks").alias("i"), F.lit(False).alias("pivot"), "set_id", F.col("_cls").alias("cls"))
+    pivots = groups.select(F.col("_grp").alias("grp"), F.explode(_each("blocks")).alias("i"), F.lit(True).alias("pivot"), F.col("_pivot").alias("set_id"), F.col("_cls").alias("cls"))
+    return asked.unionByName(pivots)
+
+
+def pivot_links(rows: DataFrame, percent: int) -> DataFrame:
+    """The sets of ``pivot_units`` (with ``tokens``) that link with their pivot: ``a``, ``b`` (the pivot), ``cls``."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, pivot = table.column("set_id").to_numpy(), table.column("pivot").to_numpy()
+        sets = [np.frombuffer(b, np.uint64) for b in table.column("tokens").to_pylist()]
+        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "cls": pa.array([], pa.int64())})
+        if not pivot.any() or pivot.all():
+            return none
+        centre, asking = int(np.flatnonzero(pivot)[0]), np.flatnonzero(~pivot).tolist()
+        linked = [asking[q] for q, _ in links_between([sets[centre]], [sets[k] for k in asking], percent, False)]
+        cls = table.column("cls")[centre].as_py()
+        return pa.table({"a": ids[linked], "b": np.full(len(linked), ids[centre]), "cls": np.full(len(linked), cls, np.int64)}) if linked else none
+
+    return rows.groupBy("grp", "i").applyInArrow(compare, "a long, b long, cls long")
+
 
-    A group's own blocks meet each other once; sets of other groups are dealt into blocks of their own.
+def contracted(linking: DataFrame, tokens: DataFrame, percent: int, block: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Labels (``set_id``, ``cls``) that only connected sets share, and the links found on the way.
+
+    A set that links with a pivot takes its label; its old label stays with the others, which the links connect with it.
     """
-    needed_blocks = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / BLOCK_TOKENS))
-    members = sets.groupBy("grp").agg(F.count("*").alias("members"), needed_blocks.alias("bi"))
-    strangers = met.where("own <> grp").groupBy("grp").agg(needed_blocks.alias("bj"))
-    blocks = members.join(strangers, "grp", "left").fillna(0, ["bj"]).where("members > 1 OR bj > 0")
-
-    def dealt(into: str) -> Column:
-        return F.pmod(F.xxhash64("set_id"), F.greatest(F.col(into), F.lit(1)))
-
-    inside = sets.select("set_id", "grp").join(blocks, "grp").withColumn("at", dealt("bi"))
-    own = F.when((F.col("members") > 1), F.sequence(F.lit(0).cast("long"), F.col("bi") - 1)).otherwise(F.array().cast("array<bigint>"))
-    as_own = inside.select("grp", "set_id", "at", F.explode(own).alias("other")).select(
-        "grp",
-        F.least("at", "other").alias("i"),
-        F.greatest("at", "other").alias("j"),
-        F.lit(False).alias("foreign"),
-        (F.col("at") <= F.col("other")).alias("member"),
-        "set_id",
+    labels = linking.select("set_id", F.col("set_id").alias("cls")).limit(0)
+    edges = []
+    for turn in range(ROUNDS):
+        sets = labelled(linking.select("set_id", "n", F.col("grps")[turn].alias("grp")), labels)
+        rows = stage_table(pivot_units(sets, turn, block), "pivot-units")
+        found = stage_table(pivot_links(rows.join(tokens, "set_id"), percent), "pivot-links")
+        edges.append(found.select("a", "b"))
+        asked, linked = rows.where("NOT pivot").count(), found.count()
+        if linked:
+            new = found.select(F.col("a").alias("set_id"), "cls")
+            labels = stage_table(labels.join(new, "set_id", "left_anti").unionByName(new), "set-labels")
+        if linked * WORTHWHILE < asked or not asked:
+            break
+    return labels, edges
+
+
+def open_sets(sets: DataFrame) -> DataFrame:
+    """Sets with a token that another class holds too: ``set_id``, ``n``, ``cls``, ``live`` (those tokens), ``home`` (the group of the class)."""
+    tokens = sets.select("set_id", "n", "cls", F.element_at("grps", 1).alias("grp"), F.explode("prefix").alias("token"))
+    shared = tokens.groupBy("token").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high").select("token")
+    live = tokens.join(shared, "token").groupBy("set_id", "n", "cls", "grp").agg(F.collect_set("token").alias("live"))
+    live = stage_table(live, "open-sets")
+    homes = live.groupBy(F.col("cls").alias("_cls")).agg(F.min(F.struct(F.xxhash64("set_id").alias("h"), F.col("grp").alias("home")))["home"].alias("home"))
+    return live.join(homes, F.col("cls") == F.col("_cls")).select("set_id", "n", "cls", "live", "home")
+
+
+def meetings(sets: DataFrame) -> DataFrame:
+    """Pairs (``set_id``, ``home``) of sets and larger groups (ties: later ones) that share a token."""
+    sizes = sets.groupBy(F.col("home").alias("_home")).agg(F.count("*").alias("size"))
+    held = sets.join(sizes, F.col("home") == F.col("_home")).select("set_id", "n", F.struct("size", "home").alias("own"), F.explode("live").alias("token"))
+    matrix = held.select("token", F.col("own").alias("host")).distinct()
+    return held.join(matrix, "token").where("own < host").select("set_id", "n", F.col("host.home").alias("home")).distinct()
+
+
+def units(sets: DataFrame, met: DataFrame, block: int) -> DataFrame:
+    """One row per set and unit: ``home``, ``kind``, ``i`` (block of members), ``j`` (block of queries), ``member``, ``set_id``."""
+    classes = sets.groupBy("home", "cls").agg(F.count("*").alias("size"), F.sum("n").alias("tokens"))
+    groups = classes.groupBy("home").agg(F.max(F.struct("size", "cls", "tokens")).alias("top"), F.sum("size").alias("sets"), F.sum("tokens").alias("all"))
+    others = F.col("sets") - F.col("top.size")
+    groups = groups.select(
+        F.col("home").alias("_home"),
+        F.col("top.cls").alias("_top"),
+        _blocks(F.col("top.size"), F.col("top.tokens"), block).alias("_largest"),
+        F.when(others > 0, _blocks(others, F.col("all") - F.col("top.tokens"), block)).otherwise(0).alias("_others"),
     )
-    beside = F.when(F.col("bj") > 0, F.sequence(F.lit(0).cast("long"), F.col("bj") - 1)).otherwise(F.array().cast("array<bigint>"))
-    as_host = inside.select("grp", F.col("at").alias("i"), F.explode(beside).alias("j"), F.lit(True).alias("foreign"), F.lit(True).alias("member"), "set_id")
-    outside = met.where("own <> grp").select("set_id", "grp").join(blocks, "grp").withColumn("at", dealt("bj"))
-    as_guest = outside.select(
-        "grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bi") - 1)).alias("i"), F.col("at").alias("j"), F.lit(True).alias("foreign"), F.lit(False).alias("member"), "set_id"
+    guests = met.groupBy(F.col("home").alias("_to")).agg(_blocks(F.count("*"), F.sum("n"), block).alias("_guests"))
+    groups = groups.join(guests, F.col("_home") == F.col("_to"), "left").fillna(0, ["_guests"]).drop("_to").where("_others > 0 OR _guests > 0")
+
+    inside = sets.join(groups, F.col("home") == F.col("_home"))
+    largest = inside.where("cls = _top").withColumn("at", _dealt("_largest"))
+    smaller = inside.where("cls <> _top").withColumn("at", _dealt("_others"))
+    outside = met.join(groups, F.col("home") == F.col("_home")).withColumn("at", _dealt("_guests"))
+
+    def hosts(df: DataFrame, kind: int, askers: str) -> DataFrame:
+        return df.select("home", F.lit(kind).alias("kind"), F.col("at").alias("i"), F.explode(_each(askers)).alias("j"), F.lit(True).alias("member"), "set_id")
+
+    def askers(df: DataFrame, kind: int, hosts: str) -> DataFrame:
+        return df.select("home", F.lit(kind).alias("kind"), F.explode(_each(hosts)).alias("i"), F.col("at").alias("j"), F.lit(False).alias("member"), "set_id")
+
+    among = smaller.withColumn("other", F.explode(_each("_others"))).select(
+        "home", F.lit(_AMONG).alias("kind"), F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), (F.col("at") <= F.col("other")).alias("member"), "set_id"
     )
-    return as_own.unionByName(as_host).unionByName(as_guest)
+    parts = [
+        hosts(largest, _TO_LARGEST, "_others"),
+        askers(smaller, _TO_LARGEST, "_largest"),
+        hosts(largest, _GUESTS_TO_LARGEST, "_guests"),
+        askers(outside, _GUESTS_TO_LARGEST, "_largest"),
+        hosts(smaller, _GUESTS_TO_OTHERS, "_guests"),
+        askers(outside, _GUESTS_TO_OTHERS, "_others"),
+    ]
+    for part in parts:
+        among = among.unionByName(part)
+    return among
 
 
 def whole_sets(df: DataFrame, row_id: str, text: str, wanted: DataFrame, width: int) -> DataFrame:
@@ -229,7 +335,7 @@ def opened(rows: DataFrame, percent: int) -> DataFrame:
     def compare(table: pa.Table) -> pa.Table:
         ids, member = table.column("set_id").to_pylist(), table.column("member").to_numpy()
         sets = [np.frombuffer(b, np.uint64) for b in table.column("tokens").to_pylist()]
-        same = not table.column("foreign")[0].as_py() and table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        same = table.column("kind")[0].as_py() == _AMONG and table.column("i")[0].as_py() == table.column("j")[0].as_py()
         inside = np.flatnonzero(member).tolist()
         asking = inside if same else np.flatnonzero(~member).tolist()
         edges: list[tuple] = []
@@ -239,7 +345,7 @@ def opened(rows: DataFrame, percent: int) -> DataFrame:
         return pa.table({"a": pa.array([a for a, _ in edges], kind), "b": pa.array([b for _, b in edges], kind)})
 
     kind = pa.int64()
-    return rows.groupBy("grp", "i", "j", "foreign").applyInArrow(compare, "a long, b long")
+    return rows.groupBy("home", "kind", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def near_copies(df: DataFrame, row_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
@@ -249,11 +355,15 @@ def near_copies(df: DataFrame, row_id: str = "doc_id", text: str = "text", width
     sets = documents.where("n > 0 AND doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("set_id"), F.first("n").alias("n"), F.first("head").alias("head"))
     sets = stage_table(sets, "distinct-sets")
     linking = stage_table(with_groups(with_shared_tokens(sets, percent), percent), "linking-sets")
-    met = stage_table(meetings(linking), "set-group-meetings")
-    rows = stage_table(units(linking, met, block), "compare-units")
-    wanted = rows.select("set_id").distinct().join(sets.select("set_id", "fp"), "set_id")
+    wanted = linking.select("set_id").join(sets.select("set_id", "fp"), "set_id")
     tokens = stage_table(whole_sets(df, row_id, text, wanted, width), "whole-sets")
+    labels, found = contracted(linking, tokens, percent, block)
+    left = stage_table(open_sets(labelled(linking, labels)), "open-groups")
+    met = stage_table(meetings(left), "set-group-meetings")
+    rows = stage_table(units(left, met, block), "compare-units")
     edges = opened(rows.join(tokens, "set_id"), percent)
+    for links in found:
+        edges = edges.unionByName(links)
     classes = components(edges)
 
     named = sets.select("fp", "set_id").join(classes, F.col("set_id") == F.col("node"), "left")

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import group_matrix as gm
 from ledgerloom.llm import pruned_graph as pg
@@ -37,8 +38,8 @@ def shingles(text: str | None, width: int = 4) -> frozenset:
     return frozenset(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1)))
 
 
-def brute_classes(rows: list[tuple], percent: int) -> dict:
-    sets = {i: shingles(t) for i, t in rows}
+def brute_classes(rows: list[tuple], percent: int, width: int = 4) -> dict:
+    sets = {i: shingles(t, width) for i, t in rows}
     classes = Sets(sets)
     ids = sorted(sets)
     for k, a in enumerate(ids):
@@ -69,11 +70,53 @@ def corpus(seed: int) -> list[tuple]:
     return list(enumerate(texts, 100))
 
 
-@pytest.mark.parametrize(("seed", "percent", "block"), [(1, 85, 512), (2, 85, 7), (3, 70, 16), (4, 95, 512)])
-def test_classes_match_brute_force(spark, frame, seed, percent, block):
+@pytest.mark.parametrize(("seed", "percent", "block", "width"), [(1, 85, 512, 4), (2, 85, 7, 4), (3, 70, 16, 4), (4, 80, 512, 5), (5, 80, 5, 5)])
+def test_classes_match_brute_force(spark, frame, seed, percent, block, width):
     rows = corpus(seed)
-    found = gm.near_copies(frame(rows, "doc_id long, text string"), percent=percent, block=block).collect()
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_classes(rows, percent)
+    found = gm.near_copies(frame(rows, "doc_id long, text string"), percent=percent, block=block, width=width).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_classes(rows, percent, width)
+
+
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_classes_match_brute_force_whatever_the_pivots_leave(frame, monkeypatch, rounds):
+    """With few rounds or none, the units have to find what pivots find otherwise."""
+    rows = corpus(6)
+    if rounds:
+        monkeypatch.setattr(gm, "ROUNDS", rounds)
+    else:
+        monkeypatch.setattr(gm, "contracted", lambda linking, *_: (linking.select("set_id", F.col("set_id").alias("cls")).limit(0), []))
+    found = gm.near_copies(frame(rows, "doc_id long, text string"), block=9).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_classes(rows, 85)
+
+
+def near_group(size: int, edits: int) -> list[tuple]:
+    draw = random.Random(size)
+    origin = [f"o{i}" for i in range(200)]
+    rows = []
+    for i in range(size):
+        copy = list(origin)
+        for k in range(edits):
+            copy[draw.randrange(len(copy))] = f"x{i}_{k}"
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize(("edits", "width", "percent"), [(2, 5, 80), (1, 4, 85)])
+def test_work_grows_with_the_group_and_not_with_its_square(frame, monkeypatch, edits, width, percent):
+    counted = []
+
+    def counting(df, name, stage=gm.stage_table):
+        found = stage(df, name)
+        counted[-1] += found.count() if name in ("pivot-units", "compare-units", "set-group-meetings") else 0
+        return found
+
+    monkeypatch.setattr(gm, "stage_table", counting)
+    for size in (500, 1000, 2000):
+        counted.append(0)
+        found = gm.near_copies(frame(near_group(size, edits), "doc_id long, text string"), width=width, percent=percent)
+        assert {r.component_id for r in found.collect()} == {0}
+    assert counted[1] <= 2.2 * counted[0] and counted[2] <= 2.2 * counted[1], counted
+    assert counted[2] <= 2000 * (3 * gm.ROUNDS + 2)
 
 
 def test_hashed_sets_have_the_sizes_of_the_true_ones():
