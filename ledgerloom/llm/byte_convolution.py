@@ -83,8 +83,9 @@ def chunk_means(rows: np.ndarray) -> np.ndarray:
 
 
 def padded(text: str | None) -> np.ndarray:
+    """The text's bytes, with zeros up to a length that steps of two cover to the last byte."""
     raw = (text or "").encode("utf-8", "surrogatepass")
-    return np.frombuffer(raw + bytes(max(0, TAPS + 1 - len(raw))), np.uint8)
+    return np.frombuffer(raw + bytes(max(0, TAPS + 2 - len(raw)) or len(raw) % 2), np.uint8)
 
 
 def pooled(net: Network, text: str | None) -> np.ndarray:

@@ -22,14 +22,14 @@ manifest has no root. Other columns of the table are not read, whatever their na
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import bounded, read
+from .common import bounded, let, read
 
 ARITY = 2
 #: Levels from one stored level to the next.
@@ -62,11 +62,6 @@ def tree_key(value: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit("-"))
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often ``body`` names it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _height(size: Column, arity: int) -> Column:
     """Levels above ``size`` nodes until one is left."""
     powers = [1]
@@ -168,7 +163,7 @@ def build(leaves: DataFrame, arity: int = ARITY, every: int = EVERY) -> Manifest
     while levels[-1].where("size > 1").limit(1).count():
         subtrees = _subtrees(levels[-1], arity, every)
         size = F.floor((F.col("size") + (arity**every - 1)) / F.lit(arity**every)).cast("long")
-        top = _let(_levels(F.col("nodes.digest"), F.col("steps"), arity), lambda rows: F.element_at(F.element_at(rows, -1), 1))
+        top = let(_levels(F.col("nodes.digest"), F.col("steps"), arity), lambda rows: F.element_at(F.element_at(rows, -1), 1))
         above = subtrees.select("tree", size.alias("size"), F.col("run").alias("pos"), top.alias("digest"))
         levels.append(stage_table(above, "merkle-level"))
     return Manifest(levels, arity, every)
@@ -203,7 +198,7 @@ def proofs(manifest: Manifest, above: DataFrame, carried: Sequence[str] = ()) ->
                     ),
                 )
 
-            return _let(_levels(F.transform(nodes, lambda node: node["digest"]), steps, arity), emitted)
+            return let(_levels(F.transform(nodes, lambda node: node["digest"]), steps, arity), emitted)
 
         opened = subtrees.join(roots, ["tree", "run"]).select("tree", "rest", *given, F.inline(paths(F.col("nodes"), F.col("steps"))))
         opened = opened.withColumn("path", F.concat("local", "rest")).select("tree", "pos", "digest", *kept, "path", *given)

@@ -1,14 +1,19 @@
 """Personal data: base patterns, and terms that disclose what the patterns protect.
 
 Protected entities are the values that the base patterns find (e-mail, IP, card and phone numbers).
-A term near an entity may reveal it to who knows the corpus, even after the value itself is masked. How
-strongly is estimated from the corpus: with document counts ``n``, ``n(e)``, ``n(t)`` and ``n(e, t)`` - the
-documents in which the term stands within ``WINDOW`` characters of the entity - the pointwise mutual
-information ``ln(n n(e, t) / (n(e) n(t)))`` is set against the entity's own information ``ln(n / n(e))``. A term
-that discloses at least ``GENERALISE`` of it is replaced by a general label, from ``REMOVE`` on it is taken
-out - wherever it stands in the documents that hold the entity, near it or not. One document alone is no
-evidence, so a pair counts from ``LEAST_DOCUMENTS`` on. The window bounds the evidence only: a term that never stands
-within it is not estimated. Terms are runs of letters of any length.
+A term of the same document may reveal an entity to who knows the corpus, even after the value itself is masked. How
+strongly is estimated from the corpus, for every entity and every term of its documents: with document counts ``n``, ``n(e)``,
+``n(t)`` and ``n(e, t)`` the pointwise mutual information ``ln(p n / n(e))`` is set against the entity's own information
+``ln(n / n(e))``. ``p`` is the share of the term's documents that hold the entity, not as counted (``n(e, t) / n(t)``) but the lower end
+of its Wilson interval at ``Z``, so a term and an entity that met once are evidence, but less than those that met often. A
+term that discloses at least ``GENERALISE`` of the information is replaced by a general label, from ``REMOVE`` on it is taken
+out - wherever it stands in the documents that hold the entity. Terms are runs of letters of any length; words that touch an
+entity's letters are part of it.
+
+Work is linear in texts and matches. Entities that stand in the same documents are one *carrier*, as all counts agree, so a log with
+thousands of addresses pairs its words once. A pair can only reach the threshold where ``n(t) <= n(e)**GENERALISE *
+n**(1 - GENERALISE)``; other pairs are left out before they are formed. Places come from running sums in
+stretches, and texts are cut in pieces of ``PIECE`` characters, so no step copies what lies before it.
 
 Only DataFrame functions are used. Counts cover all documents and are combined before the shuffle;
 no entity, term or document is gathered in one task.
@@ -20,11 +25,13 @@ an empty result. Working columns take free names; ``spans`` and the text are the
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import bounded, free_name, read
+from .common import bounded, free_name, let, read
 
 # Kinds in the order of the digest, and their patterns. The guards in front keep the
 # search linear on long runs: a match starts at a run's first character or where the last match ended.
@@ -42,11 +49,13 @@ _FILLER = "\ua7f7"  # a letter of medieval epigraphy; a text's own words with it
 _TERM_KIND = KINDS.index("term")
 _REMOVED = _TERM_KIND + 1
 
-#: Characters on either side of an entity in which a term counts as standing with it.
-WINDOW = 64
-LEAST_DOCUMENTS = 2
+#: Normal quantile of the interval's confidence.
+Z = 1.96
 GENERALISE = 0.8
 REMOVE = 0.95
+#: Numbers that a running calculation goes through in one go, and characters in a piece of a text.
+STRETCH = 64
+PIECE = 1024
 
 
 def _valid(kind: str, value: Column) -> Column:
@@ -61,16 +70,63 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _before(numbers: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """For each number of an array what ``merge`` makes of 0 and the numbers before it.
+
+    Growing an array by one copies it, so stretches are worked on alone, after what lies before each is known.
+    """
+
+    def scanned(part: Column, first: Column) -> Column:
+        begin = F.struct(first.alias("now"), F.array().cast("array<int>").alias("out"))
+        step = lambda done, v: F.struct(merge(done["now"], v).alias("now"), F.concat(done["out"], F.array(done["now"])).alias("out"))
+        return F.aggregate(part, begin, step, lambda done: done["out"])
+
+    def joined(parts: Column) -> Column:
+        totals = F.transform(parts, lambda part: F.aggregate(part, F.lit(0), lambda a, b: merge(a, b)))
+        return F.flatten(F.zip_with(parts, scanned(totals, F.lit(0)), scanned))
+
+    def cut(all_: Column) -> Column:
+        begins = F.sequence(F.lit(1), F.size(all_), F.lit(STRETCH))
+        return F.when(F.size(all_) > 0, let(F.transform(begins, lambda at: F.slice(all_, at, STRETCH)), joined)).otherwise(F.array().cast("array<int>"))
+
+    return let(numbers, cut)
+
+
 def _starts(lengths: Column, gaps: Column) -> Column:
-    """Where each match starts, from the lengths of the matches and of the parts before them, in one pass."""
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(lengths)), lengths, lambda g, n: F.struct(g.alias("gap"), n.alias("size")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    """Where each match starts, from the lengths of the matches and of the parts before them."""
+
+    def placed(front: Column) -> Column:
+        return F.zip_with(_before(F.zip_with(front, lengths, lambda g, n: g + n), lambda a, b: a + b), front, lambda before, g: before + g)
+
+    return let(F.slice(gaps, F.lit(1), F.size(lengths)), placed)
+
+
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def _cut(pieces: Column, start: Column, end: Column) -> Column:
+    """The characters from ``start`` to ``end`` of a text in pieces; no more pieces than these are read."""
+    first = F.floor(start / PIECE).cast("int")
+    last = F.floor((end - 1) / PIECE).cast("int")
+    near = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+    return F.when(end > start, F.substr(near, start - first * PIECE + 1, end - start)).otherwise(F.lit(""))
+
+
+def _rewritten(text: Column, spans: Column, part: Callable[[Column, Column, Column], Column]) -> Column:
+    """The text with ``part`` (of pieces, span, and where the spans before it end) for each span by start; what follows the last stays."""
+
+    def parts(pieces: Column, by_start: Column, upto: Column) -> Column:
+        changed = F.zip_with(by_start, upto, lambda s, u: part(pieces, s, u))
+        end = F.greatest(F.array_max(F.transform(by_start, lambda s: s["end"])), F.lit(0))
+        return F.array_join(F.concat(changed, F.array(_cut(pieces, end, F.length(text)))), "")
 
-    def step(done: Column, pair: Column) -> Column:
-        start = done["at"] + pair["gap"]
-        return F.struct((start + pair["size"]).alias("at"), F.concat(done["starts"], F.array(start)).alias("starts"))
+    def placed(by_start: Column) -> Column:
+        upto = _before(F.transform(by_start, lambda s: s["end"]), F.greatest)
+        return let(F.struct(_pieces(text).alias("p"), upto.alias("u")), lambda both: parts(both["p"], by_start, both["u"]))
 
-    return F.aggregate(pairs, begin, step, lambda done: done["starts"])
+    by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    return F.when(F.size(spans) > 0, let(by_start, placed)).otherwise(text)
 
 
 def _located(df: DataFrame, text: Column, pattern: str, name: str, possible: Column) -> DataFrame:
@@ -120,17 +176,12 @@ def _row_key(row_id: str, text: str) -> Column:
 
 def _hidden(text: Column, spans: Column) -> Column:
     """The text with the letters inside spans replaced by ``_FILLER``; every other character stays in its place."""
-    by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
 
-    def step(done: Column, s: Column) -> Column:
-        start = F.greatest(done["upto"], s["start"])
-        before = F.substr(text, done["upto"] + 1, start - done["upto"])
-        inside = F.regexp_replace(F.substr(text, start + 1, s["end"] - start), r"\p{L}", _FILLER)
-        more = F.struct(s["end"].alias("upto"), F.concat(done["out"], before, inside).alias("out"))
-        return F.when(s["end"] > done["upto"], more).otherwise(done)
+    def part(pieces: Column, s: Column, upto: Column) -> Column:
+        start = F.greatest(upto, s["start"])
+        return F.concat(_cut(pieces, upto, start), F.regexp_replace(_cut(pieces, start, s["end"]), r"\p{L}", _FILLER))
 
-    begin = F.struct(F.lit(0).alias("upto"), F.lit("").alias("out"))
-    return F.aggregate(by_start, begin, step, lambda done: F.concat(done["out"], F.substr(text, done["upto"] + 1, F.length(text))))
+    return _rewritten(text, spans, part)
 
 
 def _entity(span: Column) -> Column:
@@ -144,39 +195,6 @@ def hidden_texts(df: DataFrame, row_id: str, text: str) -> DataFrame:
     return marked.select(_row_key(row_id, text).alias("row_key"), "_spans", _hidden(F.col(text), F.col("_spans")).alias("_text"))
 
 
-def term_places(df: DataFrame, row_id: str, text: str) -> DataFrame:
-    """One row per term near an entity: ``row_key``, ``entity`` (digest), ``term`` (lower case), ``start``, ``end``.
-
-    Words that the window cuts, and words that reach into an entity, are no terms. Rows carry the windows, not the text.
-    """
-    return _places_near(hidden_texts(df, row_id, text))
-
-
-def _places_near(hidden: DataFrame) -> DataFrame:
-    """``term_places`` from ``hidden_texts``."""
-
-    def sides(s: Column) -> Column:
-        left = F.greatest(s["start"] - WINDOW, F.lit(0))
-        entity = _entity(s)
-        return F.array(
-            F.struct(entity, left.alias("from"), F.substr("_text", left + 1, s["start"] - left).alias("words")),
-            F.struct(entity, s["end"].alias("from"), F.substr("_text", s["end"] + 1, F.lit(WINDOW)).alias("words")),
-        )
-
-    around = hidden.select("row_key", F.length("_text").alias("_end"), F.explode(F.flatten(F.transform("_spans", sides))).alias("side"))
-    windows = around.select("row_key", "_end", "side.entity", F.col("side.from").alias("_from"), F.col("side.words").alias("_words"))
-    placed = _located(windows, F.col("_words"), _TERM, "_terms", F.lit(True)).withColumn("_stop", F.col("_from") + F.length("_words"))
-    terms = placed.select("row_key", "entity", "_end", "_from", "_stop", F.explode("_terms").alias("t"))
-    terms = terms.select(
-        "*",
-        F.lower("t.value").alias("term"),
-        (F.col("_from") + F.col("t.start")).alias("start"),
-        (F.col("_from") + F.col("t.start") + F.length("t.value")).alias("end"),
-    )
-    whole = ((F.col("start") > F.col("_from")) | (F.col("_from") == 0)) & ((F.col("end") < F.col("_stop")) | (F.col("end") == F.col("_end")))
-    return terms.where(whole & ~F.contains("t.value", F.lit(_FILLER))).select("row_key", "entity", "term", "start", "end")
-
-
 def term_documents(df: DataFrame, text: str) -> DataFrame:
     """Each term of the corpus and the number of rows that hold it."""
     words = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+"))
@@ -184,51 +202,55 @@ def term_documents(df: DataFrame, text: str) -> DataFrame:
     return terms.groupBy("term").agg(F.count("*").alias("n_t"))
 
 
-def disclosing_pairs(df: DataFrame, places: DataFrame, text: str) -> DataFrame:
-    """Pairs (entity, term) above the threshold, with the share of the entity's information that the term discloses."""
-    pairs = places.select("row_key", "entity", "term").distinct()
-    together = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= LEAST_DOCUMENTS)
-    entities = places.select("row_key", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    counted = together.join(entities, "entity").join(term_documents(df, text), "term")
-    n = df.agg(F.count("*").cast("double").alias("n")).scalar()
-    own = F.log(n / F.col("n_e"))
-    mutual = F.log(n * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-    share = F.when(own > 0, mutual / own)
-    return counted.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
-
-
-def disclosing_terms(df: DataFrame, row_id: str, text: str) -> DataFrame:
-    """Per ``row_key`` an array ``terms`` of (term, kind): words anywhere in the text that disclose an entity of the row.
-
-    Words with letters of an entity are in no pair, as they are no terms.
-    """
-    hidden = stage_table(hidden_texts(df, row_id, text), "entity-texts")
-    places = stage_table(_places_near(hidden), "term-places")
-    pairs = disclosing_pairs(df, places, text)
-    kind = F.when(F.col("share") >= REMOVE, F.lit(_REMOVED)).otherwise(F.lit(_TERM_KIND))
-    pairs = stage_table(pairs.select("entity", "term", kind.alias("kind")), "disclosing-pairs")
-    words = F.array_distinct(F.split(F.lower("_text"), r"[^\p{L}]+"))
-    # A disclosing term is about as rare as its entity, so words meet few pairs; rows of an entity would meet all its terms.
-    held = hidden.select("row_key", F.explode(words).alias("term")).join(pairs, "term")
+def carriers(hidden: DataFrame) -> DataFrame:
+    """Per ``row_key`` the sets of documents that its entities stand in: ``carrier`` (the set's size and two sums of its keys)."""
     entities = hidden.select("row_key", F.explode(F.array_distinct(F.transform("_spans", _entity))).alias("entity"))
-    found = held.join(entities.distinct(), ["row_key", "entity"]).groupBy("row_key", "term").agg(F.max("kind").cast("int").alias("kind"))
-    return found.groupBy("row_key").agg(F.collect_list(F.struct("term", "kind")).alias("terms"))
+    sums = [F.bit_xor(F.xxhash64("row_key", F.lit(seed))).alias(f"x{seed}") for seed in (1, 2)]
+    sets = entities.groupBy("entity").agg(F.count("*").alias("n_e"), *sums)
+    return entities.join(sets, "entity").select("row_key", F.struct("n_e", "x1", "x2").alias("carrier")).distinct()
 
 
-def _occurrences(text: Column, kinds: Column) -> Column:
-    """All places of the words that ``kinds`` maps to a kind, as (kind, start, end, value)."""
-    words, gaps = F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)), F.split(text, _TERM, -1)
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(words)), words, lambda g, w: F.struct(F.length(g).alias("gap"), w.alias("word")))
-    none = F.array().cast("array<struct<kind:int,start:int,end:int,value:string>>")
+def lower_share(part: Column, whole: Column, z: float = Z) -> Column:
+    """The lower end of the Wilson interval of ``part / whole``."""
+    p, z2 = part / whole, z * z
+    spread = z * F.sqrt(p * (1 - p) / whole + z2 / (4 * whole * whole))
+    return (p + z2 / (2 * whole) - spread) / (1 + z2 / whole)
 
-    def step(done: Column, pair: Column) -> Column:
-        start = done["at"] + pair["gap"]
-        end, term = start + F.length(pair["word"]), F.lower(pair["word"])
-        span = F.struct(kinds[term].alias("kind"), start.alias("start"), end.alias("end"), term.alias("value"))
-        spans = F.when(kinds[term].isNotNull(), F.concat(done["spans"], F.array(span))).otherwise(done["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
 
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda done: done["spans"])
+def disclosing_terms(df: DataFrame, hidden: DataFrame, text: str) -> DataFrame:
+    """``row_key``, ``term``, ``kind``: words anywhere in a text of ``hidden_texts`` that disclose an entity of it."""
+    carried = stage_table(carriers(hidden), "entity-carriers")
+    n = df.agg(F.count("*").cast("double").alias("n")).scalar()
+    most = carried.agg(F.max("carrier.n_e").cast("double").alias("most")).scalar()
+
+    def highest(n_e: Column) -> Column:
+        """The documents of a term that may disclose an entity of ``n_e`` documents; rounding up loses none."""
+        return F.ceil(F.pow(n_e.cast("double"), F.lit(GENERALISE)) * F.pow(n, F.lit(1 - GENERALISE)) * (1 + 1e-9))
+
+    rare = term_documents(df, text).where(F.col("n_t") <= highest(most))
+    words = F.filter(F.array_distinct(F.split(F.lower("_text"), r"[^\p{L}]+")), lambda w: (w != "") & ~F.contains(w, F.lit(_FILLER)))
+    held = hidden.select("row_key", F.explode(words).alias("term")).join(rare, "term")
+    met = held.join(carried, "row_key").where(F.col("n_t") <= highest(F.col("carrier.n_e")))
+    met = stage_table(met.select("row_key", "carrier", "term", "n_t"), "terms-with-entities")
+
+    own = F.log(n / F.col("carrier.n_e"))
+    mutual = F.log(lower_share(F.col("n_et"), F.col("n_t")) * n / F.col("carrier.n_e"))
+    together = met.groupBy("carrier", "term").agg(F.count("*").alias("n_et"), F.first("n_t").alias("n_t"))
+    shares = together.select("carrier", "term", F.when(own > 0, mutual / own).alias("share")).where(F.col("share") >= GENERALISE)
+    kind = F.when(F.col("share") >= REMOVE, F.lit(_REMOVED)).otherwise(F.lit(_TERM_KIND)).alias("kind")
+    found = met.join(shares.select("carrier", "term", kind), ["carrier", "term"])
+    return found.groupBy("row_key", "term").agg(F.max("kind").cast("int").alias("kind"))
+
+
+def term_spans(df: DataFrame, row_id: str, text: str) -> DataFrame:
+    """Per ``row_key`` the places of its disclosing terms: ``terms``, an array of (kind, start, end, value)."""
+    hidden = stage_table(hidden_texts(df, row_id, text).dropDuplicates(["row_key"]), "entity-texts")
+    terms = stage_table(disclosing_terms(df, hidden, text), "disclosing-terms")
+    told = hidden.join(terms.select("row_key").distinct(), "row_key", "left_semi").select("row_key", "_text")
+    placed = _located(told, F.col("_text"), _TERM, "_words", F.lit(True)).select("row_key", F.explode("_words").alias("w"))
+    placed = placed.select("row_key", F.lower("w.value").alias("term"), "w.start", (F.col("w.start") + F.length("w.value")).alias("end"))
+    spans = F.struct("kind", "start", "end", F.col("term").alias("value"))
+    return placed.join(terms, ["row_key", "term"]).groupBy("row_key").agg(F.collect_list(spans).alias("terms"))
 
 
 def with_spans(df: DataFrame, row_id: str, text: str = "text", name: str = "spans") -> DataFrame:
@@ -239,27 +261,21 @@ def with_spans(df: DataFrame, row_id: str, text: str = "text", name: str = "span
     """
     key = free_name(bounded(df), "_row_key")
     right = free_name(df, "_right_terms")
-    terms = disclosing_terms(df, row_id, text).withColumnsRenamed({"row_key": key, "terms": right})
+    terms = term_spans(df, row_id, text).withColumnsRenamed({"row_key": key, "terms": right})
     marked = with_base_spans(df, text, name).withColumn(key, _row_key(row_id, text))
     joined = marked.join(terms, key, "left")
-    places = _occurrences(_hidden(F.col(text), F.col(name)), F.map_from_entries(right))
-    both = F.when(F.col(right).isNull(), F.col(name)).otherwise(F.concat(F.col(name), places))
+    both = F.when(F.col(right).isNull(), F.col(name)).otherwise(F.concat(F.col(name), F.col(right)))
     return joined.withColumn(name, F.array_sort(both)).drop(key, right)
 
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its label; what overlapping spans cover is replaced as a whole."""
-    by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     labels = F.array(*map(F.lit, LABELS))
 
-    def step(done: Column, s: Column) -> Column:
-        beside = s["start"] >= done["upto"]
-        more = F.concat(done["out"], F.substr(text, done["upto"] + 1, s["start"] - done["upto"]), F.element_at(labels, s["kind"] + 1))
-        return F.struct(F.greatest(done["upto"], s["end"]).alias("upto"), F.when(beside, more).otherwise(done["out"]).alias("out"))
+    def part(pieces: Column, s: Column, upto: Column) -> Column:
+        return F.when(s["start"] >= upto, F.concat(_cut(pieces, upto, s["start"]), F.element_at(labels, s["kind"] + 1))).otherwise(F.lit(""))
 
-    start = F.struct(F.lit(0).alias("upto"), F.lit("").alias("out"))
-    ended = F.aggregate(by_start, start, step, lambda done: F.concat(done["out"], F.substr(text, done["upto"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, ended).otherwise(text)
+    return _rewritten(text, spans, part)
 
 
 def sanitised(df: DataFrame, row_id: str, text: str = "text") -> DataFrame:

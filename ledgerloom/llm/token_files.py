@@ -56,14 +56,25 @@ def default_tokenizer() -> str:
 def text_encoder(tokenizer_json: str, pattern: str):
     """A function from texts to their ids, in one array, and the places where each text ends.
 
-    A byte-level tokenizer splits a text by its pattern before it merges bytes, and no merge crosses a split, so each
-    distinct part is encoded once.
+    A byte-level tokenizer cuts its special tokens out of a text, splits the rest by its pattern before it merges bytes, and no
+    merge crosses a split, so each distinct part is encoded once. Special tokens in a text become their own ids, as the
+    library has it by default; ``add_special_tokens=False`` only keeps it from adding some around the text.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(tokenizer_json)
-    tokenizer.encode_special_tokens = True
-    split = regex.compile(pattern).findall
+    plain = regex.compile(pattern).findall
+    specials = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+    special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
+
+    def split(text: str) -> list[str]:
+        if not special or not special.search(text):
+            return plain(text)
+        parts, at = [], 0
+        for match in special.finditer(text):
+            parts += [*plain(text[at : match.start()]), match.group()]
+            at = match.end()
+        return parts + plain(text[at:])
 
     def encode_parts(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = tokenizer.encode(parts, is_pretokenized=True, add_special_tokens=False)

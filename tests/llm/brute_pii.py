@@ -39,8 +39,8 @@ def base(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def disclosing(texts: list[str], window: int, least: int, threshold: float) -> list[list[tuple[int, int]]]:
-    """Per text the spans of terms that reveal an entity beside them."""
+def disclosing(texts: list[str], z: float, threshold: float) -> list[list[tuple[int, int]]]:
+    """Per text the spans of terms that reveal an entity of it."""
     word = re.compile(r"[^\W\d_]+")
     places = defaultdict(set)  # (entity, term): documents
     entities, documents = defaultdict(set), defaultdict(set)
@@ -49,26 +49,24 @@ def disclosing(texts: list[str], window: int, least: int, threshold: float) -> l
         for w in {w.lower() for w in word.findall(text)}:
             documents[w].add(i)
         spans, here = base(text), []
-        for kind, start, end in spans:
-            entity = (kind, text[start:end])
-            for low, high in ((max(0, start - window), start), (end, min(len(text), end + window))):
-                for m in word.finditer(text[low:high]):
-                    a, b = low + m.start(), low + m.end()
-                    if b - a < 4 or (a == low and low > 0) or (b == high and high < len(text) and high - low == window) or (b == high and high == start):
-                        continue
-                    if any(s < b and a < e for _, s, e in spans):
-                        continue
-                    places[entity, text[a:b].lower()].add(i)
-                    entities[entity].add(i)
-                    here.append((entity, text[a:b].lower(), a, b))
+        touched = [any(s < b and a < e for _, s, e in spans) for a, b in (m.span() for m in word.finditer(text))]
+        for m, inside in zip(word.finditer(text), touched, strict=True):
+            for kind, start, end in spans:
+                entity = (kind, text[start:end])
+                entities[entity].add(i)
+                if not inside:
+                    places[entity, m.group().lower()].add(i)
+                    here.append((entity, m.group().lower(), *m.span()))
         spots.append(here)
     n = len(texts)
 
     def share(entity, term):
         n_e, n_t, n_et = len(entities[entity]), len(documents[term]), len(places[entity, term])
-        if n_et < least or n_e == n:
+        if n_e == n:
             return 0.0
-        return math.log(n * n_et / (n_e * n_t)) / math.log(n / n_e)
+        p = n_et / n_t
+        low = (p + z * z / (2 * n_t) - z * math.sqrt(p * (1 - p) / n_t + z * z / (4 * n_t * n_t))) / (1 + z * z / n_t)
+        return math.log(low * n / n_e) / math.log(n / n_e)
 
     return [sorted({(a, b) for e, t, a, b in here if share(e, t) >= threshold}) for here in spots]
 

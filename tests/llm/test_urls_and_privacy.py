@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 
 import brute_pii as brute
 import pytest
@@ -162,9 +163,34 @@ def test_long_runs_stay_linear(frame):
 
 
 def test_many_entities_in_one_text(frame):
-    text = " ".join(f"Gartenweg p{i}@x.org" for i in range(3000))
-    found = pii.term_places(frame([(1, text, "s"), (2, text, "s")]), "doc_id", "text")
-    assert found.where("term = 'gartenweg'").count() > 2 * 3000 and found.where("term <> 'gartenweg'").count() == 0
+    """One text of many entities takes about as long as several of a part of them, to the sanitised text."""
+    def sanitise(texts):
+        df = frame([(i, " ".join(f"Gartenweg é p{i}_{k}@x.org" for k in range(n)), "s") for i, n in enumerate(texts)]).repartition(1)
+        begin = time.perf_counter()
+        found = pii.sanitised(df, "doc_id").collect()
+        assert sorted(r.text.count("[EMAIL]") for r in found) == sorted(texts) and not any("@" in r.text for r in found)
+        return time.perf_counter() - begin
+
+    sanitise([1000, 1000])
+    parts, whole = sanitise([8000] * 4), sanitise([32_000])
+    assert whole < 2 * parts + 3, (whole, parts)
+
+
+def test_running_calculations(spark):
+    lists = [[], [0], [5], list(range(1000)), [3, 1, 2] * 50, [1] * pii.STRETCH, [2] * (pii.STRETCH + 1)]
+    df = spark.createDataFrame(list(enumerate(lists)), "i int, v array<int>")
+    sums = df.select("i", pii._before(F.col("v"), lambda a, b: a + b).alias("s"), pii._before(F.col("v"), F.greatest).alias("m")).orderBy("i").collect()
+    for row, numbers in zip(sums, lists, strict=True):
+        assert row.s == [sum(numbers[:k]) for k in range(len(numbers))]
+        assert row.m == [max([0, *numbers[:k]]) for k in range(len(numbers))]
+
+
+def test_cut_texts(spark):
+    text = "aé😀\n" * 1500
+    places = [(0, 0), (0, 1), (1023, 1025), (1024, 1024), (0, 6000), (5999, 6000), (100, 3000), (2048, 4096), (4095, 4097)]
+    df = spark.createDataFrame([(text, a, b) for a, b in places], "t string, a int, b int")
+    found = df.select("a", "b", pii._cut(pii._pieces(F.col("t")), F.col("a"), F.col("b")).alias("cut")).collect()
+    assert all(r.cut == text[r.a : r.b] for r in found)
 
 
 def test_disclosing_terms_match_brute_force(spark, frame, folder):
@@ -180,10 +206,11 @@ def test_disclosing_terms_match_brute_force(spark, frame, folder):
         texts.append(" ".join(words))
     texts += ["Mirabella+49301234567 ñandú", "ñandúperson0@mail.example.com Mirabella", "person0@mail.example.comñandú Mirabella"]
     texts += [None, "", texts[0], "person0@mail.example.com", "cut" * 30 + " person0@mail.example.com " + "x" * 80]
+    texts += [" ".join(draw.choices(common, k=6)) for _ in range(3000)] + ["Rarely q@q.org Rarely seen", "Kim r@r.org " + "ip 1.2.3.4 5.6.7.8 Kim"]
     rows = [(i, t, "s") for i, t in enumerate(texts)]
     found = {r.doc_id: r for r in pii.op3_disclosure(spark, folder(documents=frame(rows))).collect()}
-    hidden = brute.disclosing([t or "" for t in texts], pii.WINDOW, pii.LEAST_DOCUMENTS, pii.GENERALISE)
-    assert any(hidden) and len(found) == len(texts)
+    hidden = brute.disclosing([t or "" for t in texts], pii.Z, pii.GENERALISE)
+    assert any(hidden[:60]) and all(hidden[-2:]) and len(found) == len(texts)
     for i, t in enumerate(texts):
         base = brute.base(t or "")
         assert found[i].base_sha256 == brute.digest(base)
@@ -195,7 +222,7 @@ def test_disclosing_terms_go_wherever_they_stand(frame):
     far = "the quiet garden of the house " * 20
     rows = [(i, f"Mirabella and MIRABELLA and Mirabellas, {far} Kim {far} Mirabella Kim, call +49 30 1234567, {far} mirabella.", "s") for i in range(2)]
     rows += [(2, f"Call +49 30 1234567 {far} Mirabella", "s"), (3, f"Call +49 30 9999999 {far} Octavian", "s")]
-    rows += [(4 + i, f"{far} call and and", "s") for i in range(30)]
+    rows += [(4 + i, f"{far} call and and kims", "s") for i in range(4000)]
     found = {r.doc_id: r for r in pii.with_spans(frame(rows), "doc_id").collect()}
     out = {r.doc_id: r.text for r in pii.sanitised(frame(rows), "doc_id").collect()}
     word = re.compile(r"[^\W\d_]+")
@@ -203,7 +230,8 @@ def test_disclosing_terms_go_wherever_they_stand(frame):
         places = [(m.start(), m.end()) for m in word.finditer(text) if m.group().lower() in ("mirabella", "kim")]
         assert places == sorted((s.start, s.end) for s in found[i].spans if s.value in ("mirabella", "kim"))
         assert not {"mirabella", "kim"} & {w.lower() for w in word.findall(out[i])}
-    assert "Mirabellas" in out[0] and "quiet garden" in out[0] and "Octavian" in out[3] and out[4] == rows[4][1]
+    # An entity of one document is estimated too: the word that only stands with it goes, frequent ones stay.
+    assert "Octavian" not in out[3] and "quiet garden" in out[0] and out[4] == rows[4][1]
 
 
 def test_sanitised_text(frame):
