@@ -11,7 +11,8 @@ The network is fitted on the driver, on at most ``TRAIN_ROWS`` labelled texts of
 (those with the lowest digest of their id, so the sample does not depend on partitions), with fixed seeds.
 
 NULL and empty texts have no response of any filter; their score is that of the logistic unit alone. Without labels,
-or with only one label, the fitted network gives that label's share (0.5 without any). Rows may repeat.
+or with only one label, the fitted network gives that label's share (0.5 without any). A score depends on the text alone: rows may
+repeat, ids may be NULL or tie, and extra columns don't matter. An empty table gives an empty result.
 """
 
 from __future__ import annotations

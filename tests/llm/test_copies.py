@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -192,6 +193,32 @@ def brute_vectors(rows: list[tuple], threshold: float) -> dict:
     return {i: (links[i], classes.root(i)) for i, _ in rows if i is not None}
 
 
+def brute_by_length(rows: list[tuple]) -> dict:
+    lengths = {len(v) for _, v, _ in rows}
+    return {i: found for n in lengths for i, found in brute_vectors([(i, v) for i, v, _ in rows if len(v) == n], 0.95).items()}
+
+
+def test_lengths_with_and_without_centres_match_brute_force(frame, monkeypatch):
+    monkeypatch.setattr(pg, "PER_CENTRE", 40)
+    rows = [(i, v[: 16 if i % 3 else 9], 1) for i, v in vectors(5) if v and len(v) == 16 and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    found = pg.near_vectors(frame(rows, "vec_id long, embedding array<float>, v int"), block=30).collect()
+    true = brute_by_length(rows)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in found}
+    assert got.keys() == true.keys() and sum(got[i] == true[i] for i in true) >= 0.98 * len(true)
+    assert all(got[i][0] <= true[i][0] for i in true)
+    # Planted pairs were asked for, and counted into the audit.
+    assert found[0].audit_links > pg.PLANTED / 2 and found[0].audit_recall >= 0.9
+
+
+def test_centres_take_bounded_memory():
+    sample = pg.unit_rows(np.random.default_rng(6).normal(size=(65_536, 16))).astype(np.float32)
+    tracemalloc.start()
+    centres = pg.improved(sample, 65_536, rounds=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(centres) == 65_536 and peak < 300 << 20
+
+
 def vectors(seed: int, spread: float = 0.1) -> list[tuple]:
     """Random vectors, copies, and groups of near ones of different sizes (one large)."""
     draw = np.random.default_rng(seed)
@@ -224,6 +251,10 @@ def test_vector_tables_of_odd_shape(frame):
     assert pg.near_vectors(frame([], schema)).count() == 0
     one = pg.near_vectors(frame([(4, [1.0, 0.0], 1)], schema)).collect()
     assert [(r.vec_id, r.n_links, r.component_id, r.kept) for r in one] == [(4, 0, 4, True)]
+    # The ends of a pair of any length link, also where it isn't the usual one.
+    rare = [(i, [1.0, 0.1 * i], 1) for i in range(3)] + [(10, [1.0, 2.0, 3.0], 1), (11, [1.0, 2.0, 3.1], 1), (12, [-1.0, 2.0, 3.0], 1), (13, [5.0], 1), (14, [2.0], 1)]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in pg.near_vectors(frame(rare, schema)).collect()}
+    assert found == brute_by_length(rare)
     odd = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0, 0.0], 1), (None, [1.0, 0.0], 1)]
     found = sorted(((r.vec_id, r.n_links, r.component_id) for r in pg.near_vectors(frame(odd, schema)).collect()), key=str)
     # Equal rows link with each other, scaled vectors too, other lengths and rows without an id do not.

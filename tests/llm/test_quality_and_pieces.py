@@ -101,6 +101,32 @@ def test_pooling_sees_the_whole_text_and_pieces_change_nothing(monkeypatch):
     assert np.allclose(conv.pooled(net, text), whole, atol=1e-6)
 
 
+def plain_score(net, text: str) -> float:
+    """The score by loops over bytes, steps, filters and chunks."""
+    raw = text.encode()
+    data = list(raw) + [0] * (max(conv.TAPS + 2, len(raw) + len(raw) % 2) - len(raw))
+    rows = []
+    for at in range(0, len(data) - conv.TAPS + 1, 2):
+        again = any(at >= lag and data[at : at + 4] == data[at - lag : at - lag + 4] for lag in conv.LAGS)
+        rows.append([max(0.0, net.offset[f] + again * net.repeat[f] + sum(net.taps[k][data[at + k]][f] for k in range(conv.TAPS))) for f in range(conv.FILTERS)])
+    blocks = [rows[at : at + conv.BLOCK] for at in range(0, len(rows), conv.BLOCK)]
+    chunks = [a + b for a, b in zip(blocks, blocks[1:], strict=False)] or blocks
+    best = [max(0.0, *(sum(r[f] for r in chunk) / (2 * conv.BLOCK) for chunk in chunks)) for f in range(conv.FILTERS)] if text else [0.0] * conv.FILTERS
+    return 1 / (1 + np.exp(-(sum(b * w for b, w in zip(best, net.weight, strict=True)) + net.bias[0])))
+
+
+def test_scores_match_plain_loops_and_see_every_byte():
+    net = conv.fit(["some good text", "bad bad bad"] * 3, [1, 0] * 3, epochs=1)
+    for size in [*range(41), 63, 64, 65, 66, 67, 68, 69, 70, 99, 131, 200]:
+        text = "".join(chr(97 + (i * i) % 23) for i in range(size))
+        assert conv.probability(net, text) == pytest.approx(plain_score(net, text), abs=1e-5), size
+        data = conv.padded(text)
+        for at in range(size):
+            changed = data.copy()
+            changed[at] ^= 64
+            assert not np.array_equal(conv.responses(net, data), conv.responses(net, changed)) or (net.taps[:, data[at]] == net.taps[:, changed[at]]).all(), (size, at)
+
+
 def test_gradients_match_differences():
     net = conv.fit(["abc def ghi jkl mno", "x" * 60], [1, 0], epochs=1)
     net = conv.Network(*(p.astype(np.float64) for p in net.parameters()))
