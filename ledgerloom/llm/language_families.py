@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, free_name, read, seeded_hash
+from .common import bounded, free_name, read, seeded_hash, unit_interval
 
 # Language codes by family. Languages that stand nowhere share the family "other".
 FAMILIES = {
@@ -53,6 +53,8 @@ TRAIN_ROWS = 3000
 LANGUAGES = 64
 #: Words of the short piece that a training text adds.
 PIECE_WORDS = 6
+#: Rows of a language that compete for its part of the sample, as a multiple of that part.
+CANDIDATES = 4
 ROUNDS = 300
 DECAY = 1e-4
 #: How fast a margin becomes a vote of 0 or 1.
@@ -208,15 +210,19 @@ def has_letters(text: Column) -> Column:
 def training_rows(df: DataFrame, row_id: str, text: str, language: str, rows: int = TRAIN_ROWS, languages: int = LANGUAGES) -> tuple[np.ndarray, list[str]]:
     """Features and languages of the sample: whole texts and short pieces of them.
 
-    Of each language the rows whose id has the lowest digest are drawn, before and after the shuffle, so no task holds more.
+    Of each language the rows with the lowest digests of id and text are drawn. Its row count says below which digest they lie, so
+    about ``CANDIDATES`` times as many rows as wanted are sent on, however many a language has.
     """
     df = df.select(F.col(row_id).alias("id"), F.col(text).alias("text"), F.col(language).cast("string").alias("lang"))
     usable = df.where(F.col("lang").isNotNull() & has_letters(F.col("text")))
-    frequent = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
-    names = [r.lang for r in frequent.select("lang").collect()]
-    each = max(1, rows // max(1, len(names)))
-    keyed = usable.where(F.col("lang").isin(names)).withColumn("key", seeded_hash("language", "id"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("key", F.md5(F.col("text").cast("binary"))))
+    frequent = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
+    each = max(1, rows // max(1, len(frequent)))
+    highest = F.lit(None).cast("double")
+    for r in frequent:
+        highest = F.when(F.col("lang") == r.lang, F.lit(CANDIDATES * each / r.n)).otherwise(highest)
+    digest = seeded_hash("language", F.concat_ws(":", F.col("id").cast("string"), F.md5(F.col("text").cast("binary"))))
+    keyed = usable.withColumn("key", digest).where(unit_interval(F.col("key")) <= highest)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
