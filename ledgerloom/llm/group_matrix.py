@@ -199,7 +199,8 @@ def contracted(linking: DataFrame, tokens: DataFrame, percent: int, block: int)
     for turn in range(ROUNDS):
         sets = labelled(linking.select("set_id", "n", F.col("grps")[turn].alias("grp")), labels)
         rows = stage_table(pivot_units(sets, turn, block), "pivot-units")
-        found = stage_table(pivot_links(rows.join(tokens, "set_id"), percent), "pivot-links")
+        # Texts that share an id may have one set, so a set may have been asked twice.
+        found = stage_table(pivot_links(rows.join(tokens, "set_id"), percent).distinct(), "pivot-links")
         edges.append(found.select("a", "b"))
         asked, linked = rows.where("NOT pivot").count(), found.count()
         if linked:
@@ -282,10 +283,11 @@ def whole_sets(df: DataFrame, row_id: str, text: str, wanted: DataFrame, width:
             )
 
     kind = df.schema[row_id].dataType.simpleString()
-    texts = df.select(F.col(row_id).alias("set_id"), text).join(wanted.select("set_id", "fp"), "set_id")
-    sets = texts.mapInArrow(compute, f"set_id {kind}, fp binary, tokens binary, found binary")
-    # Documents that share an id may differ in text.
-    return sets.where("fp = found").groupBy("set_id").agg(F.first("tokens").alias("tokens"))
+    texts = df.select(F.col(row_id).alias("set_id"), F.col(text).alias("text")).join(wanted.select("set_id", "fp"), "set_id")
+    # Repeated rows are dropped where the join has put them. Documents that share an id may differ in text.
+    texts = texts.withColumn("same", F.md5(F.col("text").cast("binary"))).dropDuplicates(["set_id", "same"])
+    sets = texts.select("set_id", "text", "fp").mapInArrow(compute, f"set_id {kind}, fp binary, tokens binary, found binary")
+    return sets.where("fp = found").select("set_id", "tokens")
 
 
 def links_between(members: list[np.ndarray], queries: list[np.ndarray], percent: int, same: bool) -> list[tuple[int, int]]:
