@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import Query, analytics, banking, bookstore, fraud, insurance, relational, retail, roundtrips
+from . import Query, analytics, banking, bookstore, fraud, history, insurance, relational, retail, roundtrips
 
 
 def queries() -> dict[str, Query]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
         insurance.QUERIES,
         bookstore.QUERIES,
         fraud.QUERIES,
+        history.QUERIES,
         analytics.queries(),
     ):
         clash = merged.keys() & part.keys()
@@ -26,6 +27,6 @@ def queries() -> dict[str, Query]:
 
 def oracles() -> dict[str, str]:
     merged: dict[str, str] = {}
-    for module in (relational, roundtrips, retail, banking, insurance, bookstore, fraud, analytics):
+    for module in (relational, roundtrips, retail, banking, insurance, bookstore, fraud, history, analytics):
         merged.update(module.ORACLES)
     return merged

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import percent, ratio, round_to
+from ..session import stage_table
 from .keys import null_safe_join
 
 
@@ -140,26 +141,96 @@ def precision_recall(df: DataFrame, flagged: Column, actual: Column) -> DataFram
     )
 
 
+def quantile_brackets(
+    values: DataFrame, probabilities: Sequence[float], accuracy: int
+) -> tuple[int, list[tuple[int, int]]]:
+    """Rows of ``values`` (a bigint column ``v`` without NULL) and, per probability, two values around its quantile.
+
+    One pass with a mergeable rank sketch: its answers lie at most ``1 / accuracy`` of all rows from the rank asked for. Asking
+    ``2 / accuracy`` below and above leaves the quantile between them.
+    """
+    slack = 2 / accuracy
+    asked = [end for p in probabilities for end in (max(0.0, p - slack), min(1.0, p + slack))]
+    one = values.agg(
+        F.count("*").alias("n"),
+        F.min("v").alias("low"),
+        F.max("v").alias("high"),
+        F.percentile_approx("v", asked, accuracy).alias("ends"),
+    ).first()
+    if not one["n"]:
+        return 0, []
+    brackets = []
+    for i in range(len(probabilities)):
+        below, above = asked[2 * i], asked[2 * i + 1]
+        brackets.append((one["ends"][2 * i] if below > 0 else one["low"], one["ends"][2 * i + 1] if above < 1 else one["high"]))
+    return one["n"], brackets
+
+
+def bracket_counts(values: DataFrame, spans: Sequence[tuple[int, int]]) -> DataFrame:
+    """``region``, ``v``, ``n``: each value inside the disjoint ascending ``spans`` with its rows, one row per gap around them.
+
+    Regions count from 0 (below the first span); odd ones are spans. One pass, combined before the shuffle.
+    """
+    region = F.lit(2 * len(spans))
+    inside = F.lit(False)
+    for i, (low, high) in reversed(list(enumerate(spans))):
+        region = F.when(F.col("v") < low, 2 * i).when(F.col("v") <= high, 2 * i + 1).otherwise(region)
+        inside = inside | F.col("v").between(low, high)
+    return values.groupBy(region.alias("region"), F.when(inside, F.col("v")).alias("v")).agg(F.count("*").alias("n"))
+
+
 def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], scale: int = 4, buckets: int = 2**18
+    df: DataFrame,
+    column: str,
+    probabilities: Sequence[float],
+    scale: int = 4,
+    buckets: int = 2**18,
+    accuracy: int = 10_000,
 ) -> list[Decimal | None]:
     """Smallest value whose cumulative share reaches each probability, exact to ``scale`` digits.
 
-    Counts the values in at most ``buckets`` equal ranges, keeps the range that holds the
-    wanted rank, divides that one again, until a range is a single value. Each pass is a
-    map-side combined count; what comes together is one small histogram, never the values.
-    ``df`` is read once per pass, so hand in a stored table.
+    ``df`` is read twice. The first pass sketches the ranks and brackets every quantile; the second counts the values inside the
+    brackets and the rows between them. These counts, some ``4 / accuracy`` of the rows per probability at most (but for
+    frequent values, which are one row each), are stored and searched: in at most ``buckets`` ranges at a time, of which the
+    one that holds the wanted rank is divided again. That the ranks lie inside their brackets is checked by the counts;
+    should one not, its search starts from all values instead, in more passes.
     """
     unit = 10**scale
     # The limits are set by the data: Spark fails on overflow rather than wrapping around.
     values = df.select((F.col(column).cast(f"decimal(18,{scale})") * unit).cast("bigint").alias("v")).where(
         "v is not null"
     )
-    span = values.agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
-    if not span["n"]:
+    total, brackets = quantile_brackets(values, probabilities, accuracy)
+    if not total:
         return [None] * len(probabilities)
-    # Per probability: lowest and highest candidate, and how many values lie below.
-    ranges = [(span["low"], span["high"], 0)] * len(probabilities)
+    spans: list[tuple[int, int]] = []
+    for low, high in sorted(brackets):
+        if spans and low <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(spans[-1][1], high))
+        else:
+            spans.append((low, high))
+    counts = stage_table(bracket_counts(values, spans), "quantile-counts")
+    sizes = dict(counts.groupBy("region").agg(F.sum("n")).collect())
+
+    found, outside = [], []
+    for p, (low, _) in zip(probabilities, brackets):
+        i = next(i for i, span in enumerate(spans) if span[0] <= low <= span[1])
+        below = sum(sizes.get(r, 0) for r in range(2 * i + 1))
+        held = below / total < p and (below + sizes.get(2 * i + 1, 0)) / total >= p
+        found.append((*spans[i], below))
+        outside += [] if held or p <= 0 else [p]
+    if outside:
+        counts = values.select("v", F.lit(1).alias("n"))
+        edges = values.agg(F.min("v").alias("low"), F.max("v").alias("high")).first()
+        found = [(edges["low"], edges["high"], 0)] * len(probabilities)
+    return [Decimal(v).scaleb(-scale) for v in _narrowed(counts, probabilities, found, total, buckets)]
+
+
+def _narrowed(
+    counts: DataFrame, probabilities: Sequence[float], ranges: list[tuple[int, int, int]], total: int, buckets: int
+) -> list[int]:
+    """The values at the probabilities' ranks. ``counts``: ``v`` and its rows ``n``; ``ranges``: per probability lowest and highest
+    candidate and the rows below. Each round counts at most ``buckets`` equal parts of a range and keeps the one that is wanted."""
     while any(low < high for low, high, _ in ranges):
         distinct = sorted({r for r in ranges if r[0] < r[1]})
         parts = F.array(
@@ -175,10 +246,10 @@ def exact_quantiles(
             ]
         )
         histogram = (
-            values.select(F.explode(parts).alias("place"))
+            counts.select(F.explode(parts).alias("place"), "n")
             .where("place is not null")
             .groupBy("place.part", "place.bucket")
-            .agg(F.count("*").alias("n"))
+            .agg(F.sum("n").alias("n"))
         )
         # At most ``buckets`` rows per part.
         cumulative = histogram.withColumn(
@@ -191,7 +262,7 @@ def exact_quantiles(
             *[
                 F.min(
                     F.when(
-                        (F.col("part") == part) & ((F.col("up_to") + r[2]) / F.lit(span["n"]) >= p),
+                        (F.col("part") == part) & ((F.col("up_to") + r[2]) / F.lit(total) >= p),
                         F.struct("bucket", "up_to", "n"),
                     )
                 ).alias(f"pick_{i}")
@@ -203,4 +274,4 @@ def exact_quantiles(
             width = (high - low) // buckets + 1
             start = low + pick["bucket"] * width
             ranges[i] = (start, min(high, start + width - 1), below + pick["up_to"] - pick["n"])
-    return [Decimal(low).scaleb(-scale) for low, _, _ in ranges]
+    return [low for low, _, _ in ranges]

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import random
-from datetime import date
+from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
@@ -148,6 +148,99 @@ def test_exact_quantiles(spark, name, numbers, buckets):
     assert found == [Decimal(brute_quantile(numbers, p)) / 100 for p in probabilities]
 
 
+def test_quantiles_read_their_input_twice(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    draw = random.Random(3)
+    numbers = [int(draw.gauss(0, 10**6)) for _ in range(30_000)] + [77] * 9_000
+    df = spark.createDataFrame([(n,) for n in numbers], "v long").mapInArrow(counting, "v long")
+    probabilities = [0.01, 0.5, 0.5001, 0.6, 0.85, 0.999]
+    found = aggregates.exact_quantiles(df, "v", probabilities, scale=0, buckets=64, accuracy=500)
+    assert found == [brute_quantile(numbers, p) for p in probabilities]
+    assert seen.value == 2 * len(numbers)
+
+
+def test_quantiles_outside_their_brackets_are_found(spark, monkeypatch):
+    """A sketch that errs costs time, not exactness."""
+    numbers = list(range(1000))
+    monkeypatch.setattr(aggregates, "quantile_brackets", lambda *_: (1000, [(3, 9), (400, 402)]))
+    df = spark.createDataFrame([(n,) for n in numbers], "v long")
+    assert aggregates.exact_quantiles(df, "v", [0.5, 0.9], scale=0) == [499, 899]
+
+
+def brute_as_of(facts, versions):
+    out = []
+    for key, day, fact in facts:
+        found = [v for v in versions if None not in (key, day, v[0], v[1]) and v[0] == key and v[1] <= day]
+        best = max(found, key=lambda v: (v[1], v[2]), default=(None,) * 4)
+        out.append((key, day, fact, best[1], best[3]))
+    return out
+
+
+@pytest.mark.parametrize("partitions", ["1", "7", "40"])
+def test_as_of_takes_the_version_of_the_day(spark, partitions):
+    draw = random.Random(11)
+    start = date(2020, 1, 1)
+
+    def day():
+        return None if draw.random() < 0.03 else start + timedelta(draw.randrange(90))
+
+    # One key owns half of all rows, and one has no version.
+    keys = ["hot"] * 8 + ["a", "b", "c", "d", None, "never", "hot2", "e"]
+    facts = [(draw.choice(keys), day(), n) for n in range(700)]
+    versions = [(draw.choice([k for k in keys if k != "never"]), day(), n, draw.choice([None, "x", "y"])) for n in range(200)]
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        found = ordered.as_of(
+            spark.createDataFrame(facts, "k string, day date, fact int"),
+            spark.createDataFrame(versions, "k string, since date, version int, tier string"), "k", "day", "since", ["since", "tier"], ["version"]
+        )
+        assert found.columns == ["k", "day", "fact", "since", "tier"]
+        assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, brute_as_of(facts, versions)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
+def brute_history(events):
+    out = []
+    for key in {e[0] for e in events}:
+        days = {}
+        for _, day, version, state in sorted((e for e in events if e[0] == key and e[1]), key=lambda e: e[2]):
+            days[day] = state
+        rows = []
+        for day, state in sorted(days.items()):
+            if not rows or rows[-1][1] != state:
+                rows.append((day, state))
+        for (day, state), following in zip(rows, [*rows[1:], None]):
+            out.append((key, day, state, following[0] - timedelta(1) if following else None, following is None))
+    return out
+
+
+@pytest.mark.parametrize("partitions", ["1", "9"])
+def test_history_is_the_same_in_any_order_of_arrival(spark, partitions):
+    draw = random.Random(5)
+    start = date(2021, 5, 1)
+    keys = ["hot"] * 6 + ["a", "b", None, "c"]
+    events = [(draw.choice(keys), start + timedelta(draw.randrange(60)), n, draw.choice([None, "x", "y"])) for n in range(400)]
+    events.append(("a", None, 999, "x"))
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        for part in (events[:150], events, list(reversed(events)), events + events[:50]):
+            df = spark.createDataFrame(part, "k string, day date, version int, state string")
+            found = ordered.history(df, "k", "day", ["state"], ["version"])
+            assert found.columns == ["k", "day", "state", "valid_to", "is_current"]
+            assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, brute_history(part)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
 def test_exact_quantiles_of_nothing(spark):
     assert aggregates.exact_quantiles(spark.createDataFrame([], "v double"), "v", [0.5]) == [None]
 
