@@ -71,7 +71,8 @@ def sums_before(df: DataFrame, groups: Sequence[str], slice_column: str, order:
     before = Window.partitionBy(*groups, slice_column).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     ranked = valued.withColumn(inside, F.coalesce(F.sum(part).over(before), F.lit(0)))
     keys = [*groups, slice_column]
-    totals = totals.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    match = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    right = {k: free_name(valued, f"_right_{k}") for k in keys}
+    totals = totals.withColumnsRenamed(right)
+    match = [F.col(k).eqNullSafe(F.col(right[k])) for k in keys]
     total = (F.col(inside) + F.col(carried)).alias(name)
     return ranked.join(totals, match).select(*df.columns, total)

@@ -125,12 +125,13 @@ def mix_rows(df: DataFrame, row_id: str, source: str, text: str, **options) -> D
     chosen = mixed(df, row_id, source, text, **options).where("copies > 0")
     ways = chosen.groupBy("row_id", "source", "text_md5").agg(F.collect_list("copies").alias("each"))
     digest, number, copies = (free_name(df, n) for n in ("_digest", "_number", "_copies"))
-    ways = ways.select(*[F.col(c).alias(f"_right_{c}") for c in ways.columns])
+    right = {c: free_name(df, f"_right_{c}") for c in ways.columns}
+    ways = ways.withColumnsRenamed(right)
     # Rows that agree in id, source and text are told apart by a number among themselves.
     same = Window.partitionBy(row_id, source, digest).orderBy(row_id)
     numbered = df.withColumn(digest, F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).withColumn(number, F.row_number().over(same))
-    match = F.col(row_id).eqNullSafe(F.col("_right_row_id")) & F.col(source).eqNullSafe(F.col("_right_source")) & (F.col(digest) == F.col("_right_text_md5"))
-    joined = numbered.join(ways, match).withColumn(copies, F.get(F.col("_right_each"), F.col(number) - 1))
+    match = F.col(row_id).eqNullSafe(F.col(right["row_id"])) & F.col(source).eqNullSafe(F.col(right["source"])) & (F.col(digest) == F.col(right["text_md5"]))
+    joined = numbered.join(ways, match).withColumn(copies, F.get(F.col(right["each"]), F.col(number) - 1))
     repeated = joined.where(F.col(copies).isNotNull()).withColumn(copies, F.explode(F.array_repeat(F.lit(1), F.col(copies).cast("int"))))
     return repeated.select(*df.columns)
 

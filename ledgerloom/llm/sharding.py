@@ -45,8 +45,9 @@ def interleaved(df: DataFrame, row_id: str, source: str, shards: int = SHARDS, s
     dealt = df.withColumn(digest, seeded_hash(seed, row_id))
     dealt = dealt.withColumn(slice_, F.floor(unit_interval(F.col(digest)) * slices))
     dealt = sums_before(dealt, [source], slice_, [digest, row_id, *ties], F.lit(1), rank)
-    sizes = df.groupBy(F.col(source).alias(f"_right{source}")).agg(F.count("*").alias(size))
-    sized = dealt.join(sizes, F.col(source).eqNullSafe(F.col(f"_right{source}"))).drop(f"_right{source}")
+    right = free_name(df, "_right_source")
+    sizes = df.groupBy(F.col(source).alias(right)).agg(F.count("*").alias(size))
+    sized = dealt.join(sizes, F.col(source).eqNullSafe(F.col(right))).drop(right)
     sized = sized.withColumn(spot, (2 * F.col(rank) + 1) / (2 * F.col(size)))
 
     sized = sized.withColumn(slice_, F.floor(F.col(spot) * slices))

@@ -47,7 +47,7 @@ NUMBER = "0"
 
 _HOST = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _MARKUP = re.compile(r"<(script|style)\b.*?</\1>|<!--.*?-->|<[^>]*>|&[a-z]+;", re.S | re.I)
-_WORD = re.compile(r"[a-z]{2,20}")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -68,13 +68,17 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def word_counts(pages: DataFrame, html: str) -> DataFrame:
-    """Words of all pages' text with their counts; each batch is counted before it is sent on."""
+    """Words of all pages' text with their counts; each batch is counted before it is sent on.
+
+    A word is a whole run of letters, of any script. Single letters and words over ``LONGEST_WORD`` letters are left out, not cut.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: Counter[str] = Counter()
             for page in batch.column(0).to_pylist():
-                counts.update(_WORD.findall(_MARKUP.sub(" ", page or "").lower()))
+                words = _WORD.findall(_MARKUP.sub(" ", page or "").lower())
+                counts.update(w for w in words if 2 <= len(w) <= LONGEST_WORD)
             yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
 
     return pages.select(html).mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -184,14 +188,15 @@ def judged(df: DataFrame, url: str, html: str, rules=RULES, seeds=SEEDS) -> Data
     parted = df.withColumns({"host": host, "path": path}).withColumn(shape, F.concat_ws(" ", path_words(F.col("path"))))
     words = stage_table(with_seeds(stage_table(word_counts(df, html), "page-words"), seeds), "url-unigrams")
     scores = site_scores(parted.select("host", F.col(shape).alias("shape")), words, seeds)
-    scores = scores.select(*[F.col(c).alias(f"_right_{c}") for c in scores.columns])
+    right = {c: free_name(parted, f"_right_{c}") for c in scores.columns}
+    scores = scores.withColumnsRenamed(right)
     # Every url finds its row, as the scores come from the urls themselves.
-    joined = parted.join(scores, (F.col("host") == F.col("_right_host")) & (F.col(shape) == F.col("_right_shape")))
+    joined = parted.join(scores, (F.col("host") == F.col(right["host"])) & (F.col(shape) == F.col(right["shape"])))
     match = matching_rule(F.col("host"), F.col("path"), rules)
     method = F.when((F.col("score") > 0) & (F.col("host") != ""), "block").otherwise("allow")
-    joined = joined.withColumns({"score": F.col("_right_score"), "tokens": F.col("_right_tokens"), "rule": match["rule"]})
+    joined = joined.withColumns({"score": F.col(right["score"]), "tokens": F.col(right["tokens"]), "rule": match["rule"]})
     joined = joined.withColumn("verdict", F.coalesce(match["verdict"], method))
-    return joined.drop(shape, "_right_host", "_right_shape", "_right_score", "_right_tokens")
+    return joined.drop(shape, *right.values())
 
 
 def op1_host_words(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_queries_are_registered_once_per_operator():
     names = list(catalog.queries())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert set(names) | {"pipeline"} <= entry_module.queries().keys() and catalog.oracles().keys() <= set(names)
 
 
