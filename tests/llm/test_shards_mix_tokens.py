@@ -50,7 +50,7 @@ def odd_documents(frame):
     draw = random.Random(6)
     rows = [(i, " ".join(draw.choices("ab cde fé|# x", k=draw.randint(0, 90))), f"s{min(i % 9, 4)}") for i in range(400)]
     rows += [(500, None, "s0"), (501, "", None), (None, "no id here", None), (None, "no id here", None), (3, rows[3][1], "s3"), (502, "é" * 3000, "Z"), (503, None, "only empty")]
-    return frame(rows)
+    return frame(rows).withColumns({"lang": F.when(F.col("doc_id") % 5 > 0, F.lit("en")), "n_chars": F.length("text").cast("long")})
 
 
 # --- sharding --------------------------------------------------------------------------------------
