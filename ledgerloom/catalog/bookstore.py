@@ -14,6 +14,7 @@ from ..functions.text import array_to_text, clean_email, clean_phone, clean_text
 from ..operators.aggregates import column_profile, column_summary, duplicate_id_check, duplicate_values, null_counts
 from ..operators.cleaning import append_sources, handle_missing, keep_expected_columns, remove_duplicates
 from ..operators.dimensions import covering_date_dimension
+from ..operators.facts import FactLoad
 from ..operators.quality import (
     FieldRule,
     INFO,
@@ -232,6 +233,12 @@ def _query(build: Callable[[Roles], DataFrame]) -> Query:
     return lambda spark, folder: build(Roles(tune(spark), folder))
 
 
+def _sales_load(r: Roles) -> FactLoad:
+    """Book sales, of which the partly delivered orders were loaded before."""
+    loaded = r.read("orders").where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("order_id"))
+    return bookstore.book_sales_load(bookstore.transform_orders(r.orders), r.books, r.dim_book, r.dim_author, r.dim_customer, loaded)
+
+
 QUERIES: dict[str, Query] = {
     name: _query(build)
     for name, build in {
@@ -273,6 +280,8 @@ QUERIES: dict[str, Query] = {
         "load_fact_book_sales": lambda r: bookstore.load_book_sales(
             bookstore.transform_orders(r.orders), r.books, r.dim_book, r.dim_author, r.dim_customer
         ).withColumn("price", F.col("price").cast("double")),
+        "fact_book_sales_rejects": lambda r: _sales_load(r).rejects,
+        "fact_book_sales_counters": lambda r: _sales_load(r).counters,
         "keep_expected_columns": lambda r: keep_expected_columns(r.customers, ["phone", "name", "no_such_column"]),
         "append_sources": lambda r: append_sources(
             r.authors.select("name", "phone"), r.customers.select("name", "customer_id")
@@ -298,6 +307,14 @@ QUERIES: dict[str, Query] = {
     }.items()
 }
 
+_SALES_OUTCOMES = """outcomes AS (
+          SELECT o.order_id, CASE WHEN o.order_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') THEN 'duplicate'
+            WHEN order_date = '2020-02-30' THEN 'invalid order_date' WHEN b.isbn IS NULL THEN 'unknown book_isbn'
+            WHEN s_suppkey IS NULL THEN 'unknown author' WHEN c.c_custkey IS NULL THEN 'unknown customer_id' END AS reject_reason
+          FROM orders_once o LEFT JOIN (SELECT * FROM books WHERE p_size < 50) b ON o.book_isbn = b.isbn
+            LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal >= 0) ON s_name = b.author
+            LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'FURNITURE') c ON o.customer_id = c.c_custkey)"""
+
 _SQL = {
     "clean_text": f"SELECT doc_id, {_title('text')} AS clean_text FROM documents",
     "strip": "SELECT doc_id, trim(text, E' \\t\\n\\r\\f\\x0b') AS stripped FROM documents",
@@ -342,6 +359,12 @@ _SQL = {
         FROM orders_once o JOIN books b ON o.book_isbn = b.isbn JOIN supplier ON s_name = author
         JOIN customer c ON o.customer_id = c_custkey
         WHERE order_date <> '2020-02-30' AND p_size < 50 AND s_acctbal >= 0 AND c_mktsegment <> 'FURNITURE'""",
+    "fact_book_sales_rejects": f"""WITH {_SALES_OUTCOMES}
+        SELECT order_id, reject_reason, count(*) AS row_count FROM outcomes WHERE reject_reason IS NOT NULL GROUP BY ALL""",
+    "fact_book_sales_counters": f"""WITH {_SALES_OUTCOMES}
+        SELECT count(*) AS total_processed, count(*) FILTER (WHERE reject_reason IS NULL) AS successfully_loaded,
+          count(*) FILTER (WHERE reject_reason <> 'duplicate') AS failed_validation,
+          count(*) FILTER (WHERE reject_reason = 'duplicate') AS duplicate_facts FROM outcomes""",
     "keep_expected_columns": """SELECT lower(c_name) AS name, CASE WHEN c_mktsegment = 'FURNITURE' THEN '12345' ELSE '(555) ' ||
         lpad(CAST(c_custkey AS VARCHAR), 7, '0') END AS phone FROM customer""",
     "append_sources": """SELECT true AS is_author, count(*) AS people, count(*) AS phones FROM supplier

@@ -15,6 +15,10 @@ from ..sources import readers, writers
 from . import Query, table
 
 
+#: Rows of one array file: the files, not the arrays, grow with the table.
+ARRAY_ROWS = 1_000
+
+
 def _place(spark: SparkSession, name: str) -> str:
     return f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -46,9 +50,9 @@ def _trimmed_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _json_array(spark: SparkSession, folder: str) -> DataFrame:
-    """Suppliers as a few files that each hold one array; some lack a phone, some a key."""
+    """Suppliers as files that each hold one array of at most ``ARRAY_ROWS``; some lack a phone, some a key."""
     suppliers = table(spark, folder, "supplier").select(
-        F.pmod("s_suppkey", F.lit(5)).alias("file"),
+        F.floor(F.col("s_suppkey") / ARRAY_ROWS).alias("file"),
         F.struct(
             F.when(F.col("s_acctbal") < -500, " ").otherwise(F.concat(F.lit(" S"), F.col("s_suppkey"))).alias("supplier_id"),
             F.when(F.col("s_acctbal") < 0, F.lit(None)).otherwise(F.col("s_name")).alias("name"),
@@ -57,7 +61,7 @@ def _json_array(spark: SparkSession, folder: str) -> DataFrame:
     )
     arrays = suppliers.groupBy("file").agg(F.to_json(F.collect_list("row")).alias("value"))
     path = _place(spark, "suppliers-json")
-    arrays.repartition(5, "file").write.option("lineSep", "\n").partitionBy("file").text(path)
+    arrays.write.option("lineSep", "\n").partitionBy("file").text(path)
     schema = "supplier_id string, name string, balance double"
     return readers.read_json_array(spark, f"{path}/*", schema, "supplier_id", {"name": "Unknown"})
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from ..functions.numbers import clean_numeric
 from ..functions.text import array_to_text, clean_email, clean_phone, clean_text, list_length
 from ..operators.cleaning import append_sources, handle_missing, keep_expected_columns, remove_duplicates
 from ..operators.dimensions import scd1_upsert
+from ..operators.facts import FactLoad, load_facts
 from ..operators.keys import first_per_key
 
 BOOK_COLUMNS = ("book_key", "isbn", "title", "genre", "series", "recommended")
@@ -138,24 +140,47 @@ def load_dimension(dimension: DataFrame, key: str, surrogate: str, *sources: Dat
     return scd1_upsert(dimension, incoming, key, surrogate)
 
 
-def load_book_sales(
-    orders: DataFrame, catalog: DataFrame, books: DataFrame, authors: DataFrame, customers: DataFrame
-) -> DataFrame:
-    """Sales facts; orders without a known book, author, customer or day are left out.
+def book_sales_load(
+    orders: DataFrame,
+    catalog: DataFrame,
+    books: DataFrame,
+    authors: DataFrame,
+    customers: DataFrame,
+    loaded: DataFrame | None = None,
+) -> FactLoad:
+    """Sales facts with rejects and counters: every order is loaded, or rejected with its first reason.
 
-    ``catalog`` links ``isbn`` to ``author`` name, one row per book; the dimensions are keyed by
-    isbn, name and customer_id.
+    ``catalog`` links ``isbn`` to ``author`` name, one row per book; the dimensions are keyed by isbn, name and customer_id.
+    Rejected are orders loaded before (``loaded`` holds their ``order_id``), without a valid day, quantity or price, of an unknown
+    book, of a book without a known author, or of an unknown customer. An order id is loaded once; NULL counts as one id.
     """
+    names = catalog.select("isbn", "author")
+    writers = authors.select(F.col("name").alias("author"), "author_key")
+    # One row per book: orders meet its keys in one join.
     links = (
-        catalog.select("isbn", "author")
-        .join(authors.select(F.col("name").alias("author"), "author_key"), "author")
-        .join(books.select("isbn", "book_key"), "isbn")
-        .select(F.col("isbn").alias("book_isbn"), "author_key", "book_key")
+        books.select("isbn", "book_key")
+        .join(names, "isbn", "left")
+        .join(writers, "author", "left")
+        .select(F.col("isbn").alias("book_isbn"), "book_key", "author_key")
     )
-    dated = orders.withColumn("date_key", date_key(parse_iso_date("order_date"))).where("date_key > 0")
-    return (
-        dated.join(links, "book_isbn")
-        .join(customers.select("customer_id", "customer_key"), "customer_id")
-        .select("book_key", "author_key", "customer_key", "date_key", "quantity", "price")
-        .dropna()
+    dated = orders.withColumn("date_key", date_key(parse_iso_date("order_date")))
+    valid = [
+        (F.col("date_key") > 0, "invalid order_date"),
+        (F.col("quantity").isNotNull(), "missing quantity"),
+        (F.col("price").isNotNull(), "missing price"),
+        (F.col("book_key").isNotNull(), "unknown book_isbn"),
+        (F.col("author_key").isNotNull(), "unknown author"),
+    ]
+    order = ["date_key", "book_isbn", "customer_id", "quantity", "price"]
+    load = load_facts(
+        dated.join(links, "book_isbn", "left"), "order_id", {"customer_id": (customers, "customer_key")}, valid, order, loaded
     )
+    facts = load.facts.select("book_key", "author_key", "customer_key", "date_key", "quantity", "price")
+    return replace(load, facts=facts)
+
+
+def load_book_sales(
+    orders: DataFrame, catalog: DataFrame, books: DataFrame, authors: DataFrame, customers: DataFrame
+) -> DataFrame:
+    """The facts of ``book_sales_load``."""
+    return book_sales_load(orders, catalog, books, authors, customers).facts

@@ -427,3 +427,56 @@ def test_digests_tell_a_text_from_its_digest(spark):
     df = spark.createDataFrame([(long,), (hashlib.sha256(long.encode()).hexdigest(),), (long,), (None,), (None,)], "v string")
     assert aggregates.column_profile(df).first().unique_values == 2
     assert {tuple(r) for r in aggregates.duplicate_values(df, "v").collect()} == {(None, 2), (long, 2)}
+
+
+# --- mergeable distinct counts -----------------------------------------------------------------
+
+
+def test_rolled_up_states_equal_states_of_all_rows(spark, tmp_path):
+    from ledgerloom.operators import distinct
+    from ledgerloom.sources.writers import replace_period
+
+    rows_of = lambda low, high, day: spark.range(low, high).select(
+        F.lit(day).alias("day"), F.when(F.col("id") % 3 == 0, "hot").otherwise("rare").alias("k"), (F.col("id") % 7000).alias("user"),
+        F.when(F.col("id") % 5 > 0, F.col("id").cast("string")).otherwise("").alias("text"),
+    )
+    columns = {"users": "user", "texts": "text"}
+    store = str(tmp_path / "states")
+    days = [rows_of(0, 9000, 1), rows_of(6000, 20000, 2)]
+    for day in [*days, rows_of(0, 10, 3), rows_of(20000, 21000, 3)]:  # the third day is loaded again
+        replace_period(distinct.distinct_states(day, ["day", "k"], columns), store, ["day"])
+    stored = spark.read.parquet(store)
+    whole = days[0].unionByName(days[1]).unionByName(rows_of(20000, 21000, 3))
+    rolled = distinct.roll_up(stored, ["k"], list(columns))
+    assert "states" in rolled.inputFiles()[0] and all("states" in f for f in rolled.inputFiles())
+    report = distinct.error_report(whole, rolled, "k", columns).collect()
+    assert len(report) == 4 and all(r.within_error for r in report), report
+    assert {(r.k, r.measure): r.exact_count for r in report}[("hot", "users")] == 7000
+    assert sum(r[distinct.ROWS] for r in rolled.collect()) == whole.count()
+
+
+def test_states_of_nulls_and_nothing(spark):
+    from ledgerloom.operators import distinct
+
+    df = spark.createDataFrame([("a", None, 1.5), ("a", "", 1.5), ("a", "x", None), (None, None, None)], "k string, t string, d double")
+    states = distinct.distinct_states(df, ["k"], {"texts": "t", "sizes": "d"})
+    found = rows(distinct.with_estimates(states, ["texts", "sizes"]).select("k", "row_count", "texts", "sizes"))
+    assert sorted(found, key=str) == sorted([("a", 3, 2, 1), (None, 1, 0, 0)], key=str)
+    report = distinct.error_report(df, states, "k", {"texts": "t", "sizes": "d"})
+    assert report.where("within_error").count() == 4
+    assert distinct.distinct_states(df.limit(0), ["k"], {"texts": "t"}).count() == 0
+
+
+def test_sketched_profile_equals_the_exact_one(spark):
+    from ledgerloom.operators import distinct
+
+    df = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), ("", 2), (None, None)], "t string, n int")
+    shown = ["column_name", "missing_values", "percent_missing", "unique_values", "duplicate_rows"]
+    assert rows(distinct.sketched_profile(df).select(shown)) == rows(aggregates.column_profile(df).select(shown))
+    assert rows(distinct.sketched_profile(df.limit(0)).select("column_name", "row_count", "unique_values")) == [("n", 0, 0), ("t", 0, 0)]
+    big = spark.range(50_000).select(F.col("id"), (F.col("id") % 900).alias("m"), F.md5(F.col("id").cast("string")).alias("x"))
+    plan = distinct.sketched_profile(big)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange SinglePartition") == 1 and "hashpartitioning" not in plan
+    off = {r.column_name: r.unique_values for r in distinct.sketched_profile(big).collect()}
+    for name, exact in (("id", 50_000), ("m", 900), ("x", 50_000)):
+        assert abs(off[name] - exact) <= distinct.stated_error() * exact
