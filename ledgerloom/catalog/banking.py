@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -10,14 +11,18 @@ from pyspark.sql import functions as F
 
 from ..functions.conditions import case_bucket, code_pattern, in_list, map_synonyms, not_blank
 from ..functions.text import metro_city, proper_case, squeeze_spaces
+from ..operators import distinct
+from ..operators.aggregates import column_profile
+from ..operators.daystates import DayPartitions
 from ..operators.dimensions import covering_date_dimension, without_period
 from ..operators.keys import first_per_key
 from ..plans import banking
-from ..session import tune
-from ..sources.writers import table_row_counts
+from ..session import stage_folder, stage_table, tune
+from ..sources.writers import replace_period, table_row_counts
 from . import Query, table
 
 AS_OF = date(2024, 2, 1)
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
 class Roles:
@@ -225,6 +230,49 @@ def _double(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in columns})
 
 
+def _by_days(r: Roles) -> DataFrame:
+    """The validation report from states per day: one day comes late and one is corrected, and only those two are read again."""
+    facts = r.facts
+    spark = facts.sparkSession
+    place = f"{stage_folder(spark)}/facts-by-day-{uuid.uuid4().hex}"
+    table_of_days = DayPartitions(spark, f"{place}/facts", "date_key", facts.schema)
+    limits = (-200, 200)
+    late, wrong = F.col("date_key") % 100 == 15, F.col("date_key") % 100 == 10
+
+    def load(rows: DataFrame) -> None:
+        replace_period(rows.hint("rebalance", "date_key"), table_of_days.path, ["date_key"])
+        banking.refresh_check_states(table_of_days, f"{place}/states", limits)
+
+    # The wrong day has its amounts doubled at first and no account numbers.
+    doubled = F.when(wrong, F.col("transaction_amount") * 2).otherwise(F.col("transaction_amount")).cast("decimal(12,2)")
+    first = facts.withColumn("transaction_amount", doubled).withColumn("account_number", F.when(~wrong, F.col("account_number")))
+    load(first.where(~late).select(facts.columns))
+    load(facts.where(late | wrong))
+    return banking.validation_from_states(f"{place}/states", r.holders, r.products, r.dates, date(2024, 1, 20), limits)
+
+
+_USERS = {"users": "user_id", "values": "value"}
+
+
+def _rolled_up(r: Roles) -> DataFrame:
+    """Distinct users and values per event type, rolled up from stored states per day and type, audited against exact counts."""
+    events = r.read("events").withColumn("day", F.to_date("ts"))
+    daily = stage_table(distinct.distinct_states(events, ["day", "event_type"], _USERS), "distinct-states")
+    rolled = distinct.roll_up(daily, ["event_type"], list(_USERS))
+    report = distinct.error_report(events, rolled, "event_type", _USERS)
+    return report.select("event_type", "measure", "exact_count", "within_error")
+
+
+def _event_profile(r: Roles) -> DataFrame:
+    """Rows and missing values per column of the events; distinct values from sketches, held against their exact count."""
+    events = r.read("events")
+    exact = column_profile(events).select("column_name", F.col("unique_values").alias("exact_unique"))
+    off = F.abs(F.col("unique_values") - F.col("exact_unique"))
+    sketched = distinct.sketched_profile(events).join(exact, "column_name")
+    within = (off <= F.col("exact_unique") * distinct.stated_error()) | (off <= 1)
+    return sketched.select("column_name", "row_count", "missing_values", "exact_unique", within.alias("within_error"))
+
+
 def _query(build: Callable[[Roles], DataFrame]) -> Query:
     return lambda spark, folder: build(Roles(tune(spark), folder))
 
@@ -279,6 +327,9 @@ QUERIES: dict[str, Query] = {
         "validation_suite": lambda r: banking.validation_suite(
             r.facts, r.holders, r.products, r.dates, date(2024, 1, 20), (-200, 200)
         ),
+        "validation_by_days": _by_days,
+        "distinct_rollup": _rolled_up,
+        "sketched_profile": _event_profile,
         "moving_average_3": lambda r: _double(
             banking.moving_average_3(r.facts, r.holders, r.dates), "transaction_amount"
         ),
@@ -398,6 +449,13 @@ _SQL = {
           CASE WHEN records_failed = 0 THEN 'PASSED' ELSE 'FAILED' END AS validation_status,
           CAST(round(CAST(records_failed * 100.0 / records_checked AS DECIMAL(28,8)), 2) AS DOUBLE) AS failure_percentage,
           CASE WHEN records_failed = 0 THEN ok_text ELSE bad_text END AS error_details FROM ({_RULES})""",
+    "distinct_rollup": """SELECT event_type, 'users' AS measure, count(DISTINCT user_id) AS exact_count, true AS within_error FROM events GROUP BY 1
+        UNION ALL SELECT event_type, 'values', count(DISTINCT value), true FROM events GROUP BY 1""",
+    "sketched_profile": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS missing_values, count(DISTINCT {c}) AS exact_unique, "
+        "true AS within_error FROM events"
+        for c in EVENT_COLUMNS
+    ),
     "moving_average_3": """SELECT account_holder_key, account_holder_name, relationship_tier, transaction_date, transaction_id,
           CAST(transaction_amount AS DOUBLE) AS transaction_amount,
           CAST(sum(transaction_amount) OVER w AS DOUBLE) / count(transaction_amount) OVER w AS moving_3_transaction_avg
@@ -421,4 +479,6 @@ _SQL = {
         UNION ALL SELECT 'dim_banking_product', count(*) FROM products UNION ALL SELECT 'dim_date', count(*) FROM dates""",
 }
 
+_SQL["validation_by_days"] = _SQL["validation_suite"]
+
 ORACLES = {name: ROLES_SQL + sql for name, sql in _SQL.items()}

@@ -17,11 +17,17 @@ from ..session import stage_table
 from .keys import null_safe_join
 
 _RANGE = "_range"
+#: Rows of a range, about: what one task sorts and what a window of it holds.
+RANGE_ROWS = 2_000_000
 
 
 def in_ranges(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """``df``, stored, with ``_range``: the numbers rise with the key and, inside a key, with the order."""
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """``df``, stored, with ``_range``: the numbers rise with the key and, inside a key, with the order.
+
+    There are as many ranges as the rows need, and at least one per shuffle partition. The rows are counted first.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(least, -(-df.count() // RANGE_ROWS))
     dealt = df.repartitionByRange(ranges, key, *order).withColumn(_RANGE, F.spark_partition_id())
     return stage_table(dealt, "ordered-rows")
 

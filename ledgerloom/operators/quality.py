@@ -63,12 +63,20 @@ def check_rows(df: DataFrame, table_name: str, rules: Sequence[TableRule]) -> Da
     return _results(df.agg(F.array(*results).alias("results")).select(F.inline("results")))
 
 
-def key_sets(facts: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
+def check_row_counts(counts: DataFrame, table_name: str, rules: Sequence[TableRule]) -> DataFrame:
+    """``check_rows`` from rows counted before: ``row_count`` and, per rule, ``failed_<i>`` are summed."""
+    checked = F.coalesce(F.sum("row_count"), F.lit(0))
+    results = [_result(rule, table_name, checked, F.sum(f"failed_{i}")) for i, rule in enumerate(rules)]
+    return _results(counts.agg(F.array(*results).alias("results")).select(F.inline("results")))
+
+
+def key_sets(facts: DataFrame, dimensions: Mapping[str, DataFrame], weight: str | None = None) -> DataFrame:
     """Distinct key sets of the facts with ``row_count`` and, per key column, ``_known_<key>``: whether its dimension has it.
 
-    The facts are read once and counted before the joins, which see each key set once, not each fact.
+    The facts are read once and counted before the joins, which see each key set once, not each fact. Where they were counted
+    before, ``weight`` names the column with the rows that one stands for.
     """
-    sets = facts.groupBy(*dimensions).agg(F.count("*").alias("row_count"))
+    sets = facts.groupBy(*dimensions).agg((F.sum(weight) if weight else F.count("*")).alias("row_count"))
     for key, dimension in dimensions.items():
         known = dimension.select(key, F.lit(True).alias(f"_known_{key}")).distinct()
         sets = sets.join(known, key, "left")
@@ -80,13 +88,14 @@ def check_key_sets(
     references: Mapping[str, tuple[DataFrame, TableRule]],
     table_name: str,
     of_known: Mapping[str, Sequence[TableRule]] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Rows whose key is not in its dimension, for all keys in one pass.
 
     ``references`` maps a key column to (dimension, rule); the rules in ``of_known`` judge the key itself
     where the dimension has it.
     """
-    sets = key_sets(facts, {key: dimension for key, (dimension, _) in references.items()})
+    sets = key_sets(facts, {key: dimension for key, (dimension, _) in references.items()}, weight)
     rows = F.col("row_count")
 
     def total(condition: Column) -> Column:
@@ -101,10 +110,13 @@ def check_key_sets(
     return _results(sets.agg(F.array(*results).alias("results")).select(F.inline("results")))
 
 
-def check_unique(df: DataFrame, key: str, table_name: str, rule: TableRule, counted: Column | None = None) -> DataFrame:
-    """Keys with more than one counted row (all rows by default)."""
+def check_unique(
+    df: DataFrame, key: str, table_name: str, rule: TableRule, counted: Column | None = None, weight: str | None = None
+) -> DataFrame:
+    """Keys with more than one counted row (all rows by default), each row standing for ``weight`` rows if that is named."""
     counted = F.lit(True) if counted is None else counted
-    per_key = df.groupBy(key).agg(F.count_if(counted).alias("counted_rows"))
+    rows = F.sum(F.when(counted, F.col(weight)).otherwise(F.lit(0))) if weight else F.count_if(counted)
+    per_key = df.groupBy(key).agg(rows.alias("counted_rows"))
     return _results(
         per_key.agg(
             _result(rule, table_name, F.count(key), F.count_if(F.col("counted_rows") > 1)).alias("result")

@@ -20,10 +20,11 @@ from ..functions.conditions import (
 from ..functions.dates import date_key
 from ..functions.text import metro_city, proper_case, squeeze_spaces
 from ..operators import ordered
+from ..operators.daystates import DayPartitions, DayStates
 from ..operators.dimensions import insert_only, scd2_apply, scd2_detect
 from ..operators.facts import FactLoad, load_facts
 from ..operators.keys import first_per_key
-from ..operators.quality import TableRule, check_key_sets, check_rows, check_unique, combine
+from ..operators.quality import TableRule, check_key_sets, check_row_counts, check_rows, check_unique, combine
 from ..session import stage_table
 
 # Tier spellings, metro cities, account prefixes and amount limits.
@@ -230,27 +231,90 @@ def validation_suite(
     Facts are read three times: for their key sets, for the rules on rows, for unique ids. The date of a fact is
     compared through its key, which orders like the date, so no rule joins single facts.
     """
-    fact, holder = "fact_transactions", "dim_account_holder"
-    key_rules = {HOLDER_SURROGATE: (holders, _rule("holder")), "banking_product_key": (products, _rule("product")), "date_key": (dates, _rule("date"))}
-    future = _rule("future", F.col("date_key") > int(as_of.strftime("%Y%m%d")))
-    row_rules = [
+    references, of_known, row_rules = _fact_rules(holders, products, dates, as_of, limits)
+    results = combine(
+        [
+            check_key_sets(facts, references, FACT_TABLE, of_known),
+            check_rows(facts, FACT_TABLE, row_rules),
+            check_unique(facts, "transaction_id", FACT_TABLE, _rule("unique")),
+            _check_holders(holders),
+        ]
+    )
+    return results if check_date is None else results.withColumn("check_date", F.lit(check_date))
+
+
+FACT_TABLE, HOLDER_TABLE = "fact_transactions", "dim_account_holder"
+
+
+def _row_rules(limits: tuple[float, float]) -> list[TableRule]:
+    return [
         _rule("amount", ~between_inclusive("transaction_amount", *limits), low=limits[0], high=limits[1]),
         _rule("account", ~F.coalesce(code_pattern("account_number", ACCOUNT_PREFIXES, 6), F.lit(False))),
     ]
+
+
+def _fact_rules(holders: DataFrame, products: DataFrame, dates: DataFrame, as_of: date, limits: tuple[float, float]):
+    """What facts are checked for: key columns with dimension and rule, rules on known keys, rules on rows."""
+    references = {
+        HOLDER_SURROGATE: (holders, _rule("holder")),
+        "banking_product_key": (products, _rule("product")),
+        "date_key": (dates, _rule("date")),
+    }
+    future = _rule("future", F.col("date_key") > int(as_of.strftime("%Y%m%d")))
+    return references, {"date_key": [future]}, _row_rules(limits)
+
+
+def _check_holders(holders: DataFrame) -> DataFrame:
     history_rules = [
         _rule("sequence", F.col("effective_date") > F.col("expiration_date")),
         _rule("current", F.col("is_current") & F.col("expiration_date").isNotNull()),
     ]
-    results = combine(
+    return combine(
         [
-            check_key_sets(facts, key_rules, fact, {"date_key": [future]}),
-            check_rows(facts, fact, row_rules),
-            check_rows(holders, holder, history_rules),
-            check_unique(holders, HOLDER_KEY, holder, _rule("one_current"), F.col("is_current")),
-            check_unique(facts, "transaction_id", fact, _rule("unique")),
+            check_rows(holders, HOLDER_TABLE, history_rules),
+            check_unique(holders, HOLDER_KEY, HOLDER_TABLE, _rule("one_current"), F.col("is_current")),
+        ]
+    )
+
+
+def refresh_check_states(facts: DayPartitions, store: str, limits: tuple[float, float] = AMOUNT_LIMITS) -> list[str]:
+    """Bring the check states of the facts' days up to date; returns the days that were read. See ``DayStates``."""
+    return _check_states(limits).refresh(facts, store)
+
+
+def _check_states(limits: tuple[float, float]) -> DayStates:
+    failed = [F.count_if(rule.failed).cast("bigint").alias(f"failed_{i}") for i, rule in enumerate(_row_rules(limits))]
+    count = F.count("*").alias("row_count")
+    return DayStates(
+        {
+            "keys": lambda rows: rows.groupBy("date_key", HOLDER_SURROGATE, "banking_product_key").agg(count),
+            "rows": lambda rows: rows.groupBy("date_key").agg(count, *failed),
+            "ids": lambda rows: rows.groupBy("date_key", "transaction_id").agg(count),
+        },
+        version=f"limits {limits}",
+    )
+
+
+def validation_from_states(
+    store: str,
+    holders: DataFrame,
+    products: DataFrame,
+    dates: DataFrame,
+    as_of: date,
+    limits: tuple[float, float] = AMOUNT_LIMITS,
+) -> DataFrame:
+    """``validation_suite`` from the days' stored check states. The facts are not read: keys were counted per day, rows were
+    judged, and ids are one narrow column, which alone still meets by value, as a copy may lie in another day."""
+    references, of_known, row_rules = _fact_rules(holders, products, dates, as_of, limits)
+    states = _check_states(limits).read(holders.sparkSession, store)
+    return combine(
+        [
+            check_key_sets(states["keys"], references, FACT_TABLE, of_known, "row_count"),
+            check_row_counts(states["rows"], FACT_TABLE, row_rules),
+            check_unique(states["ids"], "transaction_id", FACT_TABLE, _rule("unique"), weight="row_count"),
+            _check_holders(holders),
         ]
     )
-    return results if check_date is None else results.withColumn("check_date", F.lit(check_date))
 
 
 def _dated(df: DataFrame) -> DataFrame:

@@ -160,3 +160,51 @@ def test_run_health(spark):
         "total": (40.0, 20, 0.95, 60.0, True),
     }
     assert quality.run_health(log.limit(0), {}).count() == 0
+
+
+def test_validation_from_states_after_added_changed_and_removed_days(spark, tmp_path):
+    import shutil
+
+    from ledgerloom.operators.daystates import DayPartitions
+    from ledgerloom.sources.writers import replace_period
+
+    ids = spark.range(1, 400)
+    holders = spark.createDataFrame(
+        [(k, f"h{k}", date(2020, 1, 1), None, True) for k in range(5)],
+        "account_holder_key bigint, account_holder_id string, effective_date date, expiration_date date, is_current boolean",
+    )
+    products = spark.createDataFrame([(1,), (2,)], "banking_product_key bigint")
+    dates = spark.createDataFrame([(20240100 + d,) for d in range(1, 5)] + [(20240701,)], "date_key int")
+
+    def day(key, shift):
+        return ids.select(
+            (F.col("id") % 6).alias("account_holder_key"), (F.col("id") % 3).alias("banking_product_key"), F.lit(key).cast("int").alias("date_key"),
+            (F.col("id") + shift).alias("transaction_id"), F.when(F.col("id") % 7 > 0, "CC123456").alias("account_number"),
+            (F.col("id") * 200).cast("decimal(12,2)").alias("transaction_amount"),
+        )
+
+    path, store = str(tmp_path / "facts"), str(tmp_path / "states")
+    write = lambda df: replace_period(df, path, ["date_key"])
+    table = DayPartitions(spark, path, "date_key", day(1, 0).schema)
+    until = date(2024, 6, 1)
+
+    def same_as_full(expected, limits=banking.AMOUNT_LIMITS):
+        assert banking.refresh_check_states(table, store, limits) == [f"date_key={d}" for d in expected]
+        report = banking.validation_from_states(store, holders, products, dates, until, limits)
+        assert "facts" not in {f.split("/")[-3] for f in report.inputFiles()} and not any(path in f for f in report.inputFiles())
+        whole = spark.read.schema(table.schema).parquet(path)
+        full = banking.validation_suite(whole, holders, products, dates, until, limits)
+        assert sorted(map(tuple, report.collect())) == sorted(map(tuple, full.collect()))
+        return {r.rule_name: r.records_failed for r in full.collect()}
+
+    write(day(20240101, 0).unionByName(day(20240102, 1000)).unionByName(day(20240701, 2000)))
+    same_as_full(["20240101", "20240102", "20240701"])
+    assert banking.refresh_check_states(table, store) == []
+    write(day(20240103, 900))  # shares ids with the second day
+    found = same_as_full(["20240103"])
+    assert found[banking.RULE_TEXT["unique"][0]] == 299
+    write(day(20240102, 5000).limit(50))
+    assert same_as_full(["20240102"])[banking.RULE_TEXT["unique"][0]] == 0
+    shutil.rmtree(f"{path}/date_key=20240701")
+    assert same_as_full([])[banking.RULE_TEXT["future"][0]] == 0
+    assert len(banking.refresh_check_states(table, store, (-10, 10))) == 3  # other limits judge all days again
