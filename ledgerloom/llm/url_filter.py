@@ -5,8 +5,11 @@ the seed words below - splits each host label by a Viterbi search: the split wit
 word probabilities wins. Multinomial naive Bayes then scores a url by the words of its host and path.
 
 No page is labelled, so the Bayes model learns from seeds: a url whose words hold a seed word counts as an
-example to block, any other as one to allow. Counts cover all pages. Without an example to block, nothing is
-blocked by the method.
+example to block, any other as one to allow. Counts cover all pages. Each host counts once per word, in the share of its
+urls with the word that are to block, so no host with many pages outvotes the others; and a host's own urls never vote on
+its own words: it is judged by what other hosts show, and by the seeds, each of which counts as ``SEED_HOSTS`` hosts to
+block. So a host without a seed word is blocked when its words stand on blocked hosts elsewhere, and a word that no other
+host has says nothing. Without an example to block, nothing is blocked by the method.
 
 Everything the model knows stays in tables and meets the urls in joins: nothing that grows with the corpus
 is broadcast or collected. Hosts and paths are segmented once per distinct value, digits count as one
@@ -41,8 +44,14 @@ SEEDS = (
 #: A seed word counts as often as one word in so many.
 SEED_SHARE = 10_000
 LONGEST_WORD = 20
-#: Added to each word count of the Bayes model.
-SMOOTHING = 1.0
+#: A seed word counts as it would had it stood on so many hosts to block, besides the hosts that do have it.
+SEED_HOSTS = 1_000
+#: Hosts added to each word's count in the Bayes model, shared out as the classes share all words. Without other
+#: evidence, a word that blocks a host must stand on that many more hosts to block than hosts to allow.
+SMOOTHING = 5.0
+#: A url is blocked when that is so many times as likely as the contrary: words that go together (a host's name and its
+#: usual paths) each count in full, and a blocked clean host costs more than a missed one.
+BLOCK_ODDS = 2.0
 NUMBER = "0"
 
 _HOST = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -160,24 +169,28 @@ def site_scores(urls: DataFrame, words: DataFrame, seeds=SEEDS) -> DataFrame:
     marked = joined.withColumn("bad", F.arrays_overlap("tokens", F.array(*map(F.lit, seeds)))).drop("host_words")
     sites = stage_table(marked, "url-sites")
 
-    counts = sites.select(F.explode("tokens").alias("token"), "bad", "urls").groupBy("token")
-    counts = counts.agg(F.sum(F.when(F.col("bad"), F.col("urls")).otherwise(0)).alias("b"), F.sum(F.when(~F.col("bad"), F.col("urls")).otherwise(0)).alias("a"))
-    counts = stage_table(counts, "url-words")
-    totals = counts.agg(F.sum("b").alias("b"), F.sum("a").alias("a"), F.count("*").alias("v")).collect()[0]  # one row
-    classes = sites.agg(F.sum(F.when(F.col("bad"), F.col("urls"))).alias("b"), F.sum(F.when(~F.col("bad"), F.col("urls"))).alias("a")).collect()[0]
-    if not classes.b:
+    share = F.sum(F.when(F.col("bad"), F.col("urls")).otherwise(0)) / F.sum("urls")
+    places = sites.select("host", "shape", F.explode("tokens").alias("token"), "bad", "urls")
+    own = places.groupBy("host", "token").agg(share.alias("own_b")).withColumn("own_a", 1 - F.col("own_b"))
+    own = stage_table(own, "url-words")
+    both_sums = (F.sum("own_b").alias("b"), F.sum("own_a").alias("a"))
+    totals = own.agg(*both_sums).collect()[0]  # one row
+    hosts = sites.groupBy("host").agg(share.alias("own_b")).withColumn("own_a", 1 - F.col("own_b"))
+    classes = hosts.agg(*both_sums).collect()[0]
+    if not totals.b:
         return sites.select("host", "shape", F.lit(float("-inf")).alias("score"), "tokens")
     prior = math.log(classes.b) - math.log(classes.a or 0.5)
-    s, v = SMOOTHING, totals.v
-
-    def share(count: str, total: int) -> Column:
-        return F.log((F.col(count) + s) / ((total or 0) + s * v))
-
-    odds = counts.select("token", (share("b", totals.b) - share("a", totals.a)).alias("odds"))
-    scored = sites.select("host", "shape", F.posexplode("tokens").alias("at", "token")).join(odds, "token")
-    summed = scored.groupBy("host", "shape").agg(F.sum("odds").alias("sum"))
+    block, allow = totals.b / (totals.a + totals.b), (totals.a or 0.5) / (totals.a + totals.b)
+
+    counts = own.groupBy("token").agg(*both_sums)
+    seeded = F.when(F.col("token").isin(*seeds), SEED_HOSTS).otherwise(0)
+    for_block = F.col("b") - F.col("own_b") + seeded + SMOOTHING * block
+    for_allow = F.col("a") - F.col("own_a") + SMOOTHING * allow
+    odds = F.log(for_block / for_allow) - math.log(block / allow)
+    odds = own.join(counts, "token").select("host", "token", odds.alias("odds"))
+    summed = places.select("host", "shape", "token").join(odds, ["host", "token"]).groupBy("host", "shape").agg(F.sum("odds").alias("sum"))
     both = sites.select("host", "shape", "tokens").join(summed, ["host", "shape"], "left")
-    return both.select("host", "shape", (F.coalesce("sum", F.lit(0.0)) + prior).alias("score"), "tokens")
+    return both.select("host", "shape", F.round(F.coalesce("sum", F.lit(0.0)) + prior, 9).alias("score"), "tokens")
 
 
 def judged(df: DataFrame, url: str, html: str, rules=RULES, seeds=SEEDS) -> DataFrame:
@@ -193,7 +206,7 @@ def judged(df: DataFrame, url: str, html: str, rules=RULES, seeds=SEEDS) -> Data
     # Every url finds its row, as the scores come from the urls themselves.
     joined = parted.join(scores, (F.col("host") == F.col(right["host"])) & (F.col(shape) == F.col(right["shape"])))
     match = matching_rule(F.col("host"), F.col("path"), rules)
-    method = F.when((F.col("score") > 0) & (F.col("host") != ""), "block").otherwise("allow")
+    method = F.when((F.col("score") > math.log(BLOCK_ODDS)) & (F.col("host") != ""), "block").otherwise("allow")
     joined = joined.withColumns({"score": F.col(right["score"]), "tokens": F.col(right["tokens"]), "rule": match["rule"]})
     joined = joined.withColumn("verdict", F.coalesce(match["verdict"], method))
     return joined.drop(shape, *right.values())
