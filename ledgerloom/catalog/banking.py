@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.conditions import case_bucket, code_pattern, in_list, map_synonyms, not_blank
 from ..functions.text import metro_city, proper_case, squeeze_spaces
-from ..operators import distinct
+from ..operators import distinct, membership
 from ..operators.aggregates import column_profile
 from ..operators.daystates import DayPartitions
 from ..operators.dimensions import covering_date_dimension, without_period
@@ -254,6 +254,28 @@ def _by_days(r: Roles) -> DataFrame:
 _USERS = {"users": "user_id", "values": "value"}
 
 
+def _rejects_by_filter(r: Roles) -> DataFrame:
+    """The rejects of a load that finds loaded ids by the filters of two earlier loads."""
+    clicks = r.staging.where("transaction_type = 'click'")
+    ids = r.read("events").where("event_type = 'click'").select(F.col("event_id").alias("transaction_id"))
+    buckets = membership.buckets_for(ids.count())
+    even = F.col("transaction_id") % 2 == 0
+    first = membership.key_filter(ids.where(even), "transaction_id", buckets)
+    kept = first.united(membership.key_filter(ids.where(~even), "transaction_id", buckets))
+    place = f"{stage_folder(ids.sparkSession)}/loaded-ids-{uuid.uuid4().hex}"
+    kept.save(place)
+    staging = r.staging.unionByName(r.staging.where("transaction_type = 'signup'"))
+    return banking.transaction_load(
+        staging,
+        r.holders,
+        r.products.where("banking_product_key < 3"),
+        r.dates.where("day_number < 25"),
+        clicks,
+        (-200, 200),
+        membership.read_filter(ids.sparkSession, place, buckets),
+    ).rejects
+
+
 def _rolled_up(r: Roles) -> DataFrame:
     """Distinct users and values per event type, rolled up from stored states per day and type, audited against exact counts."""
     events = r.read("events").withColumn("day", F.to_date("ts"))
@@ -320,6 +342,7 @@ QUERIES: dict[str, Query] = {
             r.staging.where("transaction_type = 'click'"),
             (-200, 200),
         ).rejects,
+        "fact_rejects_by_filter": _rejects_by_filter,
         "fact_transaction_counters": lambda r: banking.transaction_load(
             r.staging.unionByName(r.staging), r.holders, r.products, r.dates, r.staging.where("transaction_type = 'click'")
         ).counters,
@@ -480,5 +503,6 @@ _SQL = {
 }
 
 _SQL["validation_by_days"] = _SQL["validation_suite"]
+_SQL["fact_rejects_by_filter"] = _SQL["fact_transaction_rejects"]
 
 ORACLES = {name: ROLES_SQL + sql for name, sql in _SQL.items()}

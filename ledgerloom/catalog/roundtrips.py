@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.text import clean_email
 from ..plans import insurance
 from ..session import stage_folder, tune
-from ..sources import readers, writers
+from ..sources import intake, readers, writers
 from . import Query, table
 
 
@@ -33,7 +33,11 @@ def _csv(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_csv_source(spark, path, schema).withColumn("o_orderdate", F.to_date("o_orderdate"))
 
 
-def _trimmed_csv(spark: SparkSession, folder: str) -> DataFrame:
+CUSTOMER_FIELDS = "customer_id string, email string, risk_score double, balance decimal(10,2), points bigint, since date"
+
+
+def _customer_csv(spark: SparkSession, folder: str) -> str:
+    """Customers as messy CSV: some lack a key, some hold words where numbers or days belong."""
     customers = table(spark, folder, "customer").select(
         F.when(F.col("c_acctbal") < -500, " ").otherwise(F.col("c_custkey").cast("string")).alias("customer_id"),
         F.concat(F.lit("C"), F.col("c_custkey"), F.when(F.col("c_acctbal") < 0, "").otherwise("@Mail.org")).alias("email"),
@@ -44,11 +48,41 @@ def _trimmed_csv(spark: SparkSession, folder: str) -> DataFrame:
     )
     path = _place(spark, "customers-csv")
     writers.export_csv(customers, path)
-    schema = "customer_id string, email string, risk_score double, balance decimal(10,2), points bigint, since date"
-    df = readers.read_csv_trimmed(spark, path, schema, "customer_id", ["email"], insurance.customer_warnings())
+    return path
+
+
+def _trimmed_csv(spark: SparkSession, folder: str) -> DataFrame:
+    path = _customer_csv(spark, folder)
+    df = readers.read_csv_trimmed(spark, path, CUSTOMER_FIELDS, "customer_id", ["email"], insurance.customer_warnings())
     return df.withColumns({"dq_flags": F.array_join("dq_flags", ","), "balance": F.col("balance").cast("double")})
 
 
+def _taken_in(spark: SparkSession, folder: str) -> intake.Intake:
+    """The same customers; who has no known day is set aside too."""
+    rejects = [(F.col("since").isNull(), "unknown day")]
+    options = {"lower": ["email"], "warnings": insurance.customer_warnings(), "rejects": rejects}
+    path = _customer_csv(spark, folder)
+    return intake.take_in_csv(spark, path, CUSTOMER_FIELDS, "customer_id", _place(spark, "customers-in"), **options)
+
+
+def _kept(spark: SparkSession, folder: str) -> DataFrame:
+    kept = _taken_in(spark, folder).kept
+    return kept.withColumns({"dq_flags": F.array_join("dq_flags", ","), "balance": F.col("balance").cast("double")})
+
+
+def _quarantined(spark: SparkSession, folder: str) -> DataFrame:
+    return _taken_in(spark, folder).quarantined.select("email", "points", "since", "reject_reason")
+
+
+def _intake_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows counted while the intake was written, beside the rows that it wrote."""
+    taken = _taken_in(spark, folder)
+    written = taken.kept.agg(F.count("*").alias("kept_written"))
+    aside = taken.quarantined.agg(F.count("*").alias("rows")).scalar()
+    counts = {name: F.lit(getattr(taken, name)).cast("bigint") for name in ("rows_read", "rows_kept", "rows_quarantined")}
+    return written.withColumns(counts | {"quarantined_written": aside})
+
+
 def _json_array(spark: SparkSession, folder: str) -> DataFrame:
     """Suppliers as files that each hold one array of at most ``ARRAY_ROWS``; some lack a phone, some a key."""
     suppliers = table(spark, folder, "supplier").select(
@@ -147,6 +181,9 @@ def _emails(spark: SparkSession, folder: str) -> DataFrame:
 _BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_csv_source": _csv,
     "read_csv_trimmed": _trimmed_csv,
+    "intake_kept": _kept,
+    "intake_quarantined": _quarantined,
+    "intake_counters": _intake_counters,
     "read_document_collection": _documents,
     "register_views": _views,
     "replace_period": _period,
@@ -190,3 +227,13 @@ ORACLES = {
         CAST(year(o_orderdate) AS INT) AS order_year FROM orders""",
     "page_emails": """SELECT page_id, 'p' || page_id || '@' || regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS email FROM pages""",
 }
+
+ORACLES["intake_kept"] = ORACLES["read_csv_trimmed"] + " AND c_nationkey <> 4"
+ORACLES["intake_quarantined"] = """SELECT 'C' || c_custkey || CASE WHEN c_acctbal < 0 THEN '' ELSE '@Mail.org' END AS email,
+    CASE WHEN c_nationkey = 3 THEN 'many' ELSE CAST(c_custkey AS VARCHAR) END AS points,
+    CASE WHEN c_nationkey = 4 THEN '31-31-31' ELSE '2001-02-03' END AS since,
+    CASE WHEN c_acctbal < -500 THEN 'missing key' ELSE 'unknown day' END AS reject_reason
+    FROM customer WHERE c_acctbal < -500 OR c_nationkey = 4"""
+ORACLES["intake_counters"] = """SELECT count(*) AS rows_read, count(*) FILTER (WHERE kept) AS rows_kept, count(*) FILTER (WHERE NOT kept) AS rows_quarantined,
+    count(*) FILTER (WHERE kept) AS kept_written, count(*) FILTER (WHERE NOT kept) AS quarantined_written
+    FROM (SELECT c_acctbal >= -500 AND c_nationkey <> 4 AS kept FROM customer)"""

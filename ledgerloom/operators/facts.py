@@ -12,6 +12,7 @@ from ..functions.conditions import case_bucket
 from ..functions.numbers import percent
 from ..session import stage_table
 from .keys import resolve_keys
+from .membership import KeyFilter, keys_in_both
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,7 @@ def load_facts(
     valid: Sequence[tuple[Column, str]],
     order: Sequence[str],
     already_loaded: DataFrame | None = None,
+    loaded_filter: KeyFilter | None = None,
 ) -> FactLoad:
     """Resolve, check and deduplicate facts.
 
@@ -37,6 +39,9 @@ def load_facts(
     surrogate key, or when its business key is loaded already. Of several acceptable rows
     with one business key the first in ``order`` is loaded.
 
+    With ``loaded_filter``, the filter kept beside the loaded facts, only the few keys that may be on both sides are
+    shuffled to find those loaded already; without it all loaded keys are.
+
     Every row is classified once and stored; facts, rejects and counters read the stored rows.
     Copies of one key are reduced before they meet in a task: the loaded row is chosen by a
     group limit that also runs map-side, and the rest are counted, not listed.
@@ -45,7 +50,10 @@ def load_facts(
     reasons = [(~F.coalesce(ok, F.lit(False)), reason) for ok, reason in valid]
     reasons += [(F.col(surrogate).isNull(), f"unknown {column}") for column, (_, surrogate) in lookups.items()]
     if already_loaded is not None:
-        seen = already_loaded.select(business_key, F.lit(True).alias("_seen")).distinct()
+        loaded = already_loaded.select(business_key).distinct()
+        if loaded_filter is not None:
+            loaded = keys_in_both(incoming, already_loaded, business_key, loaded_filter)
+        seen = loaded.withColumn("_seen", F.lit(True))
         resolved = resolved.join(seen, business_key, "left")
         reasons.insert(0, (F.col("_seen").isNotNull(), "duplicate"))
     classified = stage_table(

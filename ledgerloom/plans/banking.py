@@ -23,6 +23,7 @@ from ..operators import ordered
 from ..operators.daystates import DayPartitions, DayStates
 from ..operators.dimensions import insert_only, scd2_apply, scd2_detect
 from ..operators.facts import FactLoad, load_facts
+from ..operators.membership import KeyFilter
 from ..operators.keys import first_per_key
 from ..operators.quality import TableRule, check_key_sets, check_row_counts, check_rows, check_unique, combine
 from ..session import stage_table
@@ -118,6 +119,7 @@ def transaction_load(
     dates: DataFrame,
     loaded: DataFrame | None = None,
     limits: tuple[float, float] = AMOUNT_LIMITS,
+    loaded_filter: KeyFilter | None = None,
 ) -> FactLoad:
     """Facts with surrogate keys (current holder version, known product, known day), and every other row as a reject.
 
@@ -141,6 +143,7 @@ def transaction_load(
         ],
         order=["account_number", HOLDER_SURROGATE, "banking_product_key", "date_key", "transaction_amount", "transaction_type"],
         already_loaded=loaded,
+        loaded_filter=loaded_filter,
     )
     facts = load.facts.select(
         HOLDER_SURROGATE,

@@ -30,30 +30,45 @@ def _typed(c: str, data_type: T.DataType) -> Column:
     return strip(c).try_cast(data_type)
 
 
-def _as_schema(schema: T.StructType | str) -> T.StructType:
+def as_schema(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def _trimmed(
+def with_key(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("string") != "", F.lit(False))
+
+
+def typed_rows(
     raw: DataFrame,
     schema: T.StructType,
-    key: str,
     lower: Sequence[str],
     defaults: Mapping[str, str],
     warnings: Sequence[tuple[Column, str]],
+    keep: Sequence[str] = (),
 ) -> DataFrame:
+    """The text fields of ``raw`` converted to ``schema``, with ``dq_flags`` where there are warnings; ``keep`` stays as it is."""
     columns = {}
     for f in schema.fields:
         value = _typed(f.name, f.dataType)
         if f.name in defaults:
             value = F.coalesce(strip(f.name), F.lit(defaults[f.name]))
         columns[f.name] = F.lower(value) if f.name in lower else value
-    typed = raw.select(*[value.alias(name) for name, value in columns.items()])
-    kept = typed.where(F.col(key).cast("string") != "")
-    return kept.withColumn("dq_flags", row_warnings(warnings)) if warnings else kept
+    typed = raw.select(*[value.alias(name) for name, value in columns.items()], *keep)
+    return typed.withColumn("dq_flags", row_warnings(warnings)) if warnings else typed
+
+
+def _trimmed(
+    raw: DataFrame,
+    schema: T.StructType,
+    key: str,
+    lower: Sequence[str],
+    defaults: Mapping[str, str],
+    warnings: Sequence[tuple[Column, str]],
+) -> DataFrame:
+    return typed_rows(raw, schema, lower, defaults, warnings).where(with_key(key))
 
 
-def _text_schema(schema: T.StructType) -> T.StructType:
+def text_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
 
 
@@ -65,13 +80,14 @@ def read_csv_trimmed(
     lower: Sequence[str] = (),
     warnings: Sequence[tuple[Column, str]] = (),
 ) -> DataFrame:
-    """CSV with every field trimmed and converted to its declared type. Rows without a key are dropped.
+    """CSV with every field trimmed and converted to its declared type. Rows without a key are dropped;
+    ``intake.take_in_csv`` keeps them apart and counts them.
 
     What is no double or int reads 0, what is no value of another type reads NULL. Warnings end up in
     ``dq_flags``; the rows stay.
     """
-    schema = _as_schema(schema)
-    raw = spark.read.schema(_text_schema(schema)).csv(path, header=True)
+    schema = as_schema(schema)
+    raw = spark.read.schema(text_schema(schema)).csv(path, header=True)
     return _trimmed(raw, schema, key, lower, {}, warnings)
 
 
@@ -88,8 +104,8 @@ def read_json_array(
     Such a file cannot be split, so one task reads each; ship large extracts as many files or
     as JSON lines (``read_document_collection``). A broken file fails the read.
     """
-    schema = _as_schema(schema)
-    raw = spark.read.schema(_text_schema(schema)).json(path, multiLine=True, mode="FAILFAST")
+    schema = as_schema(schema)
+    raw = spark.read.schema(text_schema(schema)).json(path, multiLine=True, mode="FAILFAST")
     return _trimmed(raw, schema, key, (), defaults or {}, warnings)
 
 
