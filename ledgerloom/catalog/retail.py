@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -10,9 +11,10 @@ from pyspark.sql import functions as F
 
 from ..functions.conditions import at_least
 from ..operators.cleaning import add_constant_column
+from ..operators.daystates import DayPartitions
 from ..plans import retail
-from ..session import tune
-from ..sources.writers import table_row_counts
+from ..session import stage_folder, tune
+from ..sources.writers import replace_period, table_row_counts
 from . import Query, table
 
 
@@ -102,6 +104,28 @@ sales AS (
 RANGE = (date(1997, 1, 1), date(1997, 12, 31))
 
 
+PERIOD = "period"
+
+
+def _by_periods(r: Roles) -> tuple[SparkSession, str]:
+    """Where the sums of all quarters are stored: the third quarters come late and one quarter is loaded wrong first."""
+    quarter = (F.year("sale_date") * 10 + F.quarter("sale_date")).alias(PERIOD)
+    sales = r.sales.select("*", quarter)
+    spark = sales.sparkSession
+    place = f"{stage_folder(spark)}/sales-by-period-{uuid.uuid4().hex}"
+    quarters = DayPartitions(spark, f"{place}/sales", PERIOD, sales.schema)
+    late, wrong = F.col(PERIOD) % 10 == 3, F.col(PERIOD) == 19962
+
+    def load(rows: DataFrame) -> None:
+        replace_period(rows.hint("rebalance", PERIOD), quarters.path, [PERIOD])
+        retail.refresh_sales_states(quarters, f"{place}/states", r.products, r.stores)
+
+    doubled = F.when(wrong, F.col("total_amount") * 2).otherwise(F.col("total_amount")).cast("decimal(12,2)")
+    load(sales.where(~late).withColumn("total_amount", doubled))
+    load(sales.where(late | wrong))
+    return spark, f"{place}/states"
+
+
 def _query(build: Callable[[Roles], DataFrame]) -> Query:
     return lambda spark, folder: build(Roles(tune(spark), folder))
 
@@ -110,6 +134,8 @@ QUERIES: dict[str, Query] = {
     name: _query(build)
     for name, build in {
         "sales_report": lambda r: retail.sales_report(r.products, r.stores, r.sales),
+        "sales_report_by_periods": lambda r: retail.sales_report_from_states(*_by_periods(r), PERIOD),
+        "monthly_sales_by_periods": lambda r: retail.monthly_sales_from_states(*_by_periods(r), PERIOD),
         "sales_count_by_category": lambda r: retail.sales_count_by_category(r.products, r.store_sales),
         "premium_member_count": lambda r: retail.premium_members(r.customers, r.sales, 2_000_000).agg(
             F.count("*").alias("record_count")
@@ -204,4 +230,6 @@ _SQL = {
         UNION ALL SELECT 'sales', count(*) FROM sales""",
 }
 
+_SQL["sales_report_by_periods"] = _SQL["sales_report"]
+_SQL["monthly_sales_by_periods"] = _SQL["monthly_sales"]
 ORACLES = {name: ROLES_SQL + sql for name, sql in _SQL.items()}

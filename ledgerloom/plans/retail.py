@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.conditions import case_bucket
 from ..functions.numbers import ratio
+from ..operators.daystates import DayPartitions, DayStates
 from ..operators.dimensions import flag_members
 
 
@@ -170,3 +171,39 @@ def sales_report(products: DataFrame, stores: DataFrame, sales: DataFrame) -> Da
     return joined.groupBy("category", "store_state", F.year("sale_date").alias("sale_year")).agg(
         F.sum("total_amount").cast("double").alias("total_sales_amount"), F.sum("quantity").alias("total_quantity")
     )
+
+
+def _sales_states(period: str, products: DataFrame | None = None, stores: DataFrame | None = None, version: str = "") -> DayStates:
+    amount, quantity = F.sum("total_amount").alias("amount"), F.sum("quantity").alias("quantity")
+    year, month = F.year("sale_date").alias("sale_year"), F.month("sale_date").alias("sale_month")
+
+    def cells(sales: DataFrame) -> DataFrame:
+        joined = sales.join(products.select("product_id", "category"), "product_id")
+        joined = joined.join(stores.select("store_id", "store_state"), "store_id")
+        return joined.groupBy(period, "category", "store_state", year).agg(amount, quantity)
+
+    return DayStates({"cells": cells, "months": lambda sales: sales.groupBy(period, year, month).agg(amount)}, version)
+
+
+def refresh_sales_states(sales: DayPartitions, store: str, products: DataFrame, stores: DataFrame, version: str = "") -> list[str]:
+    """Bring the partial sums of the periods of ``sales`` up to date; returns the partitions that were read.
+
+    A period that was loaded again has its sums replaced, one that is gone loses them, so a corrected or withdrawn load is taken
+    back without reading other periods. Sums hold the categories and states of the time they were made: give another
+    ``version`` whenever ``products`` or ``stores`` change, and all periods are made anew.
+    """
+    return _sales_states(sales.day, products, stores, version).refresh(sales, store)
+
+
+def sales_report_from_states(spark: SparkSession, store: str, period: str) -> DataFrame:
+    """``sales_report`` from the periods' sums; the sales are not read."""
+    cells = _sales_states(period).read(spark, store)["cells"]
+    return cells.groupBy("category", "store_state", "sale_year").agg(
+        F.sum("amount").cast("double").alias("total_sales_amount"), F.sum("quantity").alias("total_quantity")
+    )
+
+
+def monthly_sales_from_states(spark: SparkSession, store: str, period: str) -> DataFrame:
+    """``monthly_sales`` from the periods' sums."""
+    months = _sales_states(period).read(spark, store)["months"]
+    return months.groupBy("sale_year", "sale_month").agg(F.sum("amount").cast("double").alias("total_sales"))

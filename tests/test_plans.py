@@ -28,6 +28,53 @@ def test_loyalty_text(spark):
     assert parts["stores"].count() == 1 and parts["sales"].count() == 5
 
 
+def test_sales_reports_from_states_after_added_changed_and_removed_periods(spark, tmp_path):
+    import shutil
+
+    from ledgerloom.operators.daystates import DayPartitions
+    from ledgerloom.sources.writers import replace_period
+
+    products = spark.createDataFrame([(p, "AB"[p % 2]) for p in range(4)], "product_id bigint, category string")
+    stores = spark.createDataFrame([(s, f"S{s % 2}") for s in range(3)], "store_id bigint, store_state string")
+
+    def month(number, factor=1):
+        ids = spark.range(number * 1000, number * 1000 + 300)
+        return ids.select(
+            (F.col("id") % 5).alias("product_id"), (F.col("id") % 4).alias("store_id"), F.col("id").alias("sale_id"),
+            F.make_date(F.lit(2023), F.lit(number), (F.col("id") % 28 + 1).cast("int")).alias("sale_date"), (F.col("id") % 3).cast("int").alias("quantity"),
+            F.when(F.col("id") % 11 > 0, F.col("id") % 97 * factor).cast("decimal(12,2)").alias("total_amount"), F.lit(202300 + number).alias("period"),
+        )
+
+    undated = month(9).withColumns({"sale_date": F.lit(None).cast("date"), "period": F.lit(None).cast("int")})
+    path, store = str(tmp_path / "sales"), str(tmp_path / "states")
+    table = DayPartitions(spark, path, "period", month(1).schema)
+
+    def same_as_full(read, stores=stores, version=""):
+        assert retail.refresh_sales_states(table, store, products, stores, version) == [f"period={p}" for p in read]
+        whole = spark.read.schema(table.schema).parquet(path)
+        report = retail.sales_report_from_states(spark, store, "period")
+        assert not any("/sales/" in f for f in report.inputFiles())
+        full = retail.sales_report(products, stores, whole)
+        assert report.columns == full.columns and rows(report) == rows(full)
+        assert rows(retail.monthly_sales_from_states(spark, store, "period")) == rows(retail.monthly_sales(whole))
+        return report
+
+    def write(df):
+        replace_period(df, path, ["period"])
+
+    write(month(1).unionByName(month(2)).unionByName(undated))
+    same_as_full([202301, 202302, "__HIVE_DEFAULT_PARTITION__"])
+    assert retail.refresh_sales_states(table, store, products, stores) == []
+    write(month(3))
+    same_as_full([202303])
+    write(month(2, factor=5).limit(40))
+    same_as_full([202302])
+    shutil.rmtree(f"{path}/period=202301")
+    same_as_full([])
+    moved = stores.withColumn("store_state", F.lit("S9"))
+    assert {r.store_state for r in same_as_full([202302, 202303, "__HIVE_DEFAULT_PARTITION__"], moved, "stores 2").collect()} == {"S9"}
+
+
 # --- fraud ---------------------------------------------------------------------------------
 
 CARDS = (
