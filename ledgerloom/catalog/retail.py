@@ -144,6 +144,7 @@ QUERIES: dict[str, Query] = {
         "mass_update": lambda r: retail.promote_premium_members(r.customers, r.sales, 2_000_000),
         "sales_by_store": lambda r: retail.sales_by_store(r.stores, r.store_sales),
         "top5_customers": lambda r: retail.top_customers(r.customers, r.sales),
+        "top5_customers_by_bounds": lambda r: retail.top_customers_by_bounds(r.customers, r.sales),
         "avg_sale_by_loyalty": lambda r: retail.avg_sale_by_loyalty(r.customers, r.sales),
         "best_store_by_avg": lambda r: retail.best_store_by_avg(r.stores, r.store_sales),
         "sales_over_amount": lambda r: retail.sales_over_amount(r.products, r.stores, r.sales),
@@ -230,6 +231,7 @@ _SQL = {
         UNION ALL SELECT 'sales', count(*) FROM sales""",
 }
 
+_SQL["top5_customers_by_bounds"] = _SQL["top5_customers"]
 _SQL["sales_report_by_periods"] = _SQL["sales_report"]
 _SQL["monthly_sales_by_periods"] = _SQL["monthly_sales"]
 ORACLES = {name: ROLES_SQL + sql for name, sql in _SQL.items()}

@@ -19,6 +19,7 @@ from ..functions.conditions import case_bucket
 from ..functions.numbers import ratio
 from ..operators.daystates import DayPartitions, DayStates
 from ..operators.dimensions import flag_members
+from ..operators.topk import top_by_sum
 
 
 def _per_key(sales: DataFrame, key: str) -> DataFrame:
@@ -85,6 +86,17 @@ def top_customers(customers: DataFrame, sales: DataFrame, rows: int = 5) -> Data
     )
 
 
+def top_customers_by_bounds(customers: DataFrame, sales: DataFrame, rows: int = 5) -> DataFrame:
+    """``top_customers``, summing only customers that bounds leave in question. Sales of unknown customers don't count."""
+    known = sales.join(customers.select("customer_id"), "customer_id", "left_semi")
+    best = top_by_sum(known, "customer_id", "total_amount", "amount", rows).rows
+    return (
+        best.join(customers, "customer_id")
+        .select("customer_id", "first_name", "last_name", F.col("amount").cast("double").alias("total_purchases"))
+        .orderBy(F.desc("total_purchases"), "customer_id")
+    )
+
+
 def _average() -> Column:
     return ratio(F.sum("amount"), F.sum("amount_count"))
 
