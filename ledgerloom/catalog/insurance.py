@@ -18,10 +18,9 @@ from ..operators.keys import assign_surrogate_keys, first_per_key, keys_without_
 from ..operators.quality import check_extracts, row_warnings
 from ..plans import insurance
 from ..session import tune
-from . import Query, Stages, r2, table
+from . import Query, r2, table
 
 AS_OF = date(2001, 12, 31)
-STAGES = Stages()
 
 
 def _day_text(c: str):
@@ -134,13 +133,9 @@ class Roles:
         return covering_date_dimension(self.read("orders").select(F.col("o_orderdate").cast("date").alias("day")), "day")
 
     def load(self):
-        """The load of all claims, done once for all queries on it."""
-
-        def build():
-            claims = insurance.prepare_claims(self.claims)
-            return insurance.load_claims(claims, self.dim_customer, self.dim_policy, self.dim_agent, self.loaded)
-
-        return STAGES.get(self.spark, self.folder, "claim-load", build)
+        """The load of all claims. Every query takes one of its outputs, so none is stored for the others."""
+        claims = insurance.prepare_claims(self.claims)
+        return insurance.load_claims(claims, self.dim_customer, self.dim_policy, self.dim_agent, self.loaded, store=False)
 
     @property
     def known_customers(self) -> DataFrame:

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.conditions import case_bucket
 from ..functions.numbers import percent
 from ..session import stage_table
-from .keys import resolve_keys
+from .keys import first_per_key, resolve_keys
 from .membership import KeyFilter, keys_in_both
 
 
@@ -32,36 +32,49 @@ def load_facts(
     order: Sequence[str],
     already_loaded: DataFrame | None = None,
     loaded_filter: KeyFilter | None = None,
+    store: bool = True,
 ) -> FactLoad:
     """Resolve, check and deduplicate facts.
 
-    A row is rejected when a condition in ``valid`` does not hold, when a lookup finds no
+    A row is rejected when a condition in ``valid`` (on columns of ``incoming``) does not hold, when a lookup finds no
     surrogate key, or when its business key is loaded already. Of several acceptable rows
     with one business key the first in ``order`` is loaded.
 
     With ``loaded_filter``, the filter kept beside the loaded facts, only the few keys that may be on both sides are
     shuffled to find those loaded already; without it all loaded keys are.
 
-    Every row is classified once and stored; facts, rejects and counters read the stored rows.
+    With ``store`` every row is classified once and stored; facts, rejects and counters read the stored rows. A report
+    that takes one of the three sets ``store=False``: it is then planned on its own, so that only its columns are
+    shuffled, invalid rows leave the facts before any shuffle, and nothing is written.
+
     Copies of one key are reduced before they meet in a task: the loaded row is chosen by a
     group limit that also runs map-side, and the rest are counted, not listed.
     """
-    resolved = resolve_keys(incoming, lookups)
-    reasons = [(~F.coalesce(ok, F.lit(False)), reason) for ok, reason in valid]
+    # Conditions are judged before the lookups: their columns need not travel with the row.
+    failed = case_bucket([(~F.coalesce(ok, F.lit(False)), reason) for ok, reason in valid]) if valid else F.lit(None).cast("string")
+    resolved = resolve_keys(incoming.withColumn("_failed", failed), lookups)
+    columns = [c for c in resolved.columns if c != "_failed"]
+    reasons = [(F.col("_failed").isNotNull(), F.col("_failed"))]
     reasons += [(F.col(surrogate).isNull(), f"unknown {column}") for column, (_, surrogate) in lookups.items()]
+    marked, loaded = resolved, None
     if already_loaded is not None:
         loaded = already_loaded.select(business_key).distinct()
         if loaded_filter is not None:
             loaded = keys_in_both(incoming, already_loaded, business_key, loaded_filter)
-        seen = loaded.withColumn("_seen", F.lit(True))
-        resolved = resolved.join(seen, business_key, "left")
+        marked = resolved.join(loaded.withColumn("_seen", F.lit(True)), business_key, "left")
         reasons.insert(0, (F.col("_seen").isNotNull(), "duplicate"))
-    classified = stage_table(
-        resolved.withColumn("reject_reason", case_bucket(reasons)).drop("_seen"), "classified-facts"
-    )
-    acceptable = classified.where("reject_reason is null").drop("reject_reason")
-    rank = F.row_number().over(Window.partitionBy(business_key).orderBy(*order))
-    facts = acceptable.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+        columns = [business_key, *[c for c in columns if c != business_key]]
+    classified = marked.withColumn("reject_reason", case_bucket(reasons)).select(*columns, "reject_reason")
+    if store:
+        classified = stage_table(classified, "classified-facts")
+        facts = first_per_key(classified.where("reject_reason is null").drop("reject_reason"), [business_key], order)
+    else:
+        acceptable = resolved.where("_failed is null")
+        for _, surrogate in lookups.values():
+            acceptable = acceptable.where(F.col(surrogate).isNotNull())
+        # Whether a key is loaded depends on the key alone: its first row meets the loaded keys.
+        facts = first_per_key(acceptable.drop("_failed"), [business_key], order)
+        facts = (facts if loaded is None else facts.join(loaded, business_key, "left_anti")).select(*columns)
 
     per_key = classified.groupBy(business_key, "reject_reason").agg(F.count("*").alias("row_count"))
     surplus = F.when(F.col("reject_reason").isNull(), F.col("row_count") - 1).otherwise(F.col("row_count"))

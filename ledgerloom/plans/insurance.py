@@ -146,9 +146,14 @@ def claim_date_keys(claims: DataFrame) -> DataFrame:
 
 
 def load_claims(
-    claims: DataFrame, customers: DataFrame, policies: DataFrame, agents: DataFrame, loaded: DataFrame | None = None
+    claims: DataFrame,
+    customers: DataFrame,
+    policies: DataFrame,
+    agents: DataFrame,
+    loaded: DataFrame | None = None,
+    store: bool = True,
 ) -> FactLoad:
-    """Claim facts with surrogate keys, rejects by reason, and counters."""
+    """Claim facts with surrogate keys, rejects by reason, and counters. ``store`` as in ``load_facts``."""
     amount_ok = valid_claim_amount(F.col("claim_amount"), F.col("coverage_amount"))
     load = load_facts(
         claims,
@@ -161,6 +166,7 @@ def load_claims(
         [(amount_ok, "invalid amount"), (F.col("filed_date_key") > 0, "invalid filed date")],
         ["claim_amount", "agent_id", "filed_date_key", "closed_date_key", "payout_amount"],
         loaded,
+        store=store,
     )
     facts = load.facts.select(
         "claim_id",
