@@ -69,3 +69,15 @@ def test_load_success_rate_carries_no_fact_columns(plan):
     text, made = plan("load_success_rate")
     assert not made and "classified-facts" not in text
     assert not re.search("l_discount|l_linestatus|l_shipdate", _scanned(text))
+
+
+def test_facts_planned_alone_are_those_of_the_stored_load(spark):
+    stored, alone = _load(spark, True).facts, _load(spark, False).facts
+    assert alone.columns == stored.columns
+    assert rows(alone) == rows(stored)
+    assert rows(alone.select("fid", "sk", "amount")) == [("f1", 1, 3), ("f4", 2, 2), ("f8", 3, 7), (None, 1, 2)]
+
+
+def test_fact_claim_ratio_drops_rejects_before_the_lookups(plan):
+    text, made = plan("fact_claim_ratio")
+    assert not made and "LeftOuter" not in text
