@@ -1,7 +1,8 @@
 """Insurance analytics queries: orders are policies, line items claims and payments, events interactions.
 
-Customer risk, lifetime value, renewals and scored claims are stage tables: written once, read
-by every later report. One ``Stages`` object, and so one set of stage tables, belongs to each call of
+Customer risk and lifetime value, of one row per customer, are stage tables: written once, read
+by every later report. Renewals and scored claims, of one row per policy and claim, are planned within
+each report, which so shuffles its own columns only. One ``Stages`` object, and so one set of stage tables, belongs to each call of
 ``queries()``.
 """
 
@@ -67,32 +68,49 @@ class Roles:
             case_bucket([(F.quarter(start) == 1, "Agent"), (F.quarter(start) == 2, "Online"), (F.quarter(start) == 3, "Broker")], "Referral").alias("acquisition_channel"),
         )
 
-    def _lines(self, condition: str) -> DataFrame:
+    def _lines(self, condition: str, **columns) -> DataFrame:
+        """Line items and the customers of their orders. ``columns`` are derived before the join, so that no more is shuffled."""
+        lines = self.read("lineitem").where(condition).select("l_orderkey", "l_linenumber", *[c.alias(n) for n, c in columns.items()])
         owners = self.read("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer_id"))
-        return self.read("lineitem").where(condition).join(owners, "l_orderkey")
+        return lines.join(owners, "l_orderkey")
 
     @property
     def claims(self) -> DataFrame:
-        return self._lines("l_returnflag = 'R'").select(
+        lines = self._lines(
+            "l_returnflag = 'R'",
+            claim_amount=F.col("l_extendedprice").cast("decimal(12,2)"),
+            claim_date=F.col("l_shipdate").cast("date"),
+            fraud_indicator=(F.col("l_linestatus") == "F") & (F.col("l_discount") >= 0.09),
+            days_to_settle=F.col("l_quantity").cast("int"),
+        )
+        return lines.select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("claim_id"),
             "customer_id",
             F.col("l_orderkey").alias("policy_id"),
-            F.col("l_extendedprice").cast("decimal(12,2)").alias("claim_amount"),
-            F.col("l_shipdate").cast("date").alias("claim_date"),
-            ((F.col("l_linestatus") == "F") & (F.col("l_discount") >= 0.09)).alias("fraud_indicator"),
-            F.col("l_quantity").cast("int").alias("days_to_settle"),
+            "claim_amount",
+            "claim_date",
+            "fraud_indicator",
+            "days_to_settle",
         )
 
     @property
     def payments(self) -> DataFrame:
-        return self._lines("l_returnflag <> 'R'").select(
+        lines = self._lines(
+            "l_returnflag <> 'R'",
+            payment_amount=F.col("l_extendedprice").cast("decimal(12,2)"),
+            payment_date=F.col("l_shipdate").cast("date"),
+            by_card=F.col("l_linestatus") == "F",
+            failed=F.col("l_tax") >= 0.08,
+            late_payment_flag=F.col("l_discount") >= 0.08,
+        )
+        return lines.select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("payment_id"),
             "customer_id",
-            F.col("l_extendedprice").cast("decimal(12,2)").alias("payment_amount"),
-            F.col("l_shipdate").cast("date").alias("payment_date"),
-            F.when(F.col("l_linestatus") == "F", "Card").otherwise("Transfer").alias("payment_method"),
-            F.when(F.col("l_tax") >= 0.08, "Failed").otherwise("Paid").alias("payment_status"),
-            (F.col("l_discount") >= 0.08).alias("late_payment_flag"),
+            "payment_amount",
+            "payment_date",
+            F.when(F.col("by_card"), "Card").otherwise("Transfer").alias("payment_method"),
+            F.when(F.col("failed"), "Failed").otherwise("Paid").alias("payment_status"),
+            "late_payment_flag",
         )
 
     @property
@@ -127,10 +145,7 @@ class Roles:
 
     @property
     def renewals(self) -> DataFrame:
-        def build() -> DataFrame:
-            return stage_table(value.renewal_score(value.renewal_features(self.policies, self.value, AS_OF)), "renewals")
-
-        return self.stage("renewals", build)
+        return value.renewal_score(value.renewal_features(self.policies, self.value, AS_OF))
 
     @property
     def at_risk(self) -> DataFrame:
@@ -138,10 +153,7 @@ class Roles:
 
     @property
     def scored_claims(self) -> DataFrame:
-        def build() -> DataFrame:
-            return stage_table(value.claim_fraud_score(self.claims, self.value, self.policies), "scored-claims")
-
-        return self.stage("scored_claims", build)
+        return value.claim_fraud_score(self.claims, self.value, self.policies)
 
     @property
     def investment(self) -> DataFrame:

@@ -81,3 +81,12 @@ def test_facts_planned_alone_are_those_of_the_stored_load(spark):
 def test_fact_claim_ratio_drops_rejects_before_the_lookups(plan):
     text, made = plan("fact_claim_ratio")
     assert not made and "LeftOuter" not in text
+
+
+PER_CUSTOMER = {"customer-risk", "lifetime-value", "quantile-counts"}
+
+
+@pytest.mark.parametrize("name", ["revenue_recommendations"])
+def test_only_customer_tables_are_written(plan, name):
+    _, made = plan(name)
+    assert made == PER_CUSTOMER
