@@ -361,7 +361,10 @@ def claim_fraud_score(
         "customer_id", "risk_category", "composite_risk_score", "total_claims", "payment_reliability_score"
     )
     starts = policies.select("policy_id", F.col("start_date").alias("_start"))
-    joined = claims.join(customers, "customer_id").join(starts, "policy_id", "left")
+    # The policy first: claims that come partitioned by it are not shuffled for it again.
+    started = claims.join(starts, "policy_id", "left")
+    columns = ["policy_id", "customer_id", *[c for c in claims.columns if c not in ("policy_id", "customer_id")]]
+    joined = started.join(customers, "customer_id").select(*columns, *customers.columns[1:], "_start")
     amount = F.col("claim_amount")
     return (
         joined.withColumns(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.catalog import registry
 from ledgerloom.operators import facts
+from ledgerloom.plans import value
 from ledgerloom.session import stage_folder
 
 FOLDER = "/root/testdata/sf0.001"
@@ -86,7 +87,27 @@ def test_fact_claim_ratio_drops_rejects_before_the_lookups(plan):
 PER_CUSTOMER = {"customer-risk", "lifetime-value", "quantile-counts"}
 
 
-@pytest.mark.parametrize("name", ["revenue_recommendations", "high_value_share"])
+@pytest.mark.parametrize("name", ["revenue_recommendations", "high_value_share", "high_risk_claims"])
 def test_only_customer_tables_are_written(plan, name):
     _, made = plan(name)
     assert made == PER_CUSTOMER
+
+
+def test_claims_meet_their_policy_without_a_further_shuffle(plan):
+    """Line items and orders, policies, claims by customer and customers."""
+    text, _ = plan("high_risk_claims")
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 5
+
+
+def test_scored_claims_with_repeated_policies_and_unknown_customers(spark):
+    day = "date '2001-01-01'"
+    claims = spark.sql(
+        f"select * from values ('c1', 1, 7, 10.0, {day}, true, 3), ('c2', 1, 8, 60000.0, {day}, false, 9), ('c3', 2, 7, 1.0, {day}, false, 9)"
+        " as t(claim_id, customer_id, policy_id, claim_amount, claim_date, fraud_indicator, days_to_settle)"
+    )
+    worth = spark.sql("select 1 as customer_id, 'Low' as risk_category, 1.0D as composite_risk_score, 1L as total_claims, 0.5D as payment_reliability_score")
+    policies = spark.sql("select * from values (7, date '2000-12-31'), (7, date '2000-12-30') as t(policy_id, start_date)")
+    scored = value.claim_fraud_score(claims, worth, policies)
+    assert scored.columns[:3] == ["policy_id", "customer_id", "claim_id"]
+    found = rows(scored.select("claim_id", "fraud_risk_score", "days_policy_to_claim"))
+    assert found == [("c1", 5, 1), ("c1", 5, 2), ("c2", 4, None)]
