@@ -87,7 +87,7 @@ def test_fact_claim_ratio_drops_rejects_before_the_lookups(plan):
 PER_CUSTOMER = {"customer-risk", "lifetime-value", "quantile-counts"}
 
 
-@pytest.mark.parametrize("name", ["revenue_recommendations", "high_value_share", "high_risk_claims"])
+@pytest.mark.parametrize("name", ["revenue_recommendations", "high_value_share", "high_risk_claims", "clpv_insights"])
 def test_only_customer_tables_are_written(plan, name):
     _, made = plan(name)
     assert made == PER_CUSTOMER
