@@ -84,6 +84,11 @@ def test_fact_claim_ratio_drops_rejects_before_the_lookups(plan):
     assert not made and "LeftOuter" not in text
 
 
+def test_fk_orphan_report_reads_no_stored_load(plan):
+    text, made = plan("fk_orphan_report")
+    assert not made and "classified-facts" not in text
+
+
 PER_CUSTOMER = {"customer-risk", "lifetime-value", "quantile-counts"}
 
 
