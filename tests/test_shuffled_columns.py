@@ -89,6 +89,11 @@ def test_fk_orphan_report_reads_no_stored_load(plan):
     assert not made and "classified-facts" not in text
 
 
+def test_resolve_surrogate_keys_reads_no_stored_load(plan):
+    text, made = plan("resolve_surrogate_keys")
+    assert not made and "classified-facts" not in text
+
+
 PER_CUSTOMER = {"customer-risk", "lifetime-value", "quantile-counts"}
 
 
