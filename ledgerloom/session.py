@@ -34,6 +34,8 @@ def local_session(cores: int | str = 8, app_name: str = "ledgerloom", checkpoint
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(cores))
+        # Plans name their files in full, however long the path.
+        .config("spark.sql.maxMetadataStringLength", "2000")
     )
     if checkpoint_dir:
         builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
