@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.conditions import case_bucket
@@ -89,9 +89,20 @@ class Roles:
     @property
     def claims(self) -> DataFrame:
         joined = self.read("lineitem").join(self.read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        return self._as_claims(joined.withColumn("policy_id", F.concat(F.lit("POL"), F.col("l_orderkey"))), F.col("l_orderkey"))
+
+    @property
+    def claims_by_policy(self) -> DataFrame:
+        """The same claims, joined by their policy's id: they come partitioned by it and meet the policies without a further shuffle."""
+        lines = self.read("lineitem").withColumn("policy_id", F.concat(F.lit("POL"), F.col("l_orderkey")))
+        orders = self.read("orders").withColumn("policy_id", F.concat(F.lit("POL"), F.col("o_orderkey")))
+        # The number is read from the id, so that only one of them is shuffled.
+        return self._as_claims(lines.join(orders, "policy_id"), F.expr("substring(policy_id, 4)"))
+
+    def _as_claims(self, joined: DataFrame, number: Column) -> DataFrame:
         return joined.select(
-            F.concat_ws("-", F.lit("CLM"), "l_orderkey", "l_linenumber").alias("claim_id"),
-            F.concat(F.lit("POL"), F.col("l_orderkey")).alias("policy_id"),
+            F.concat_ws("-", F.lit("CLM"), number, "l_linenumber").alias("claim_id"),
+            "policy_id",
             F.concat(F.lit("CUST"), F.col("o_custkey")).alias("customer_id"),
             F.concat(F.lit("AGT"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("agent_id"),
             F.col("l_extendedprice").alias("claim_amount"),
@@ -134,7 +145,7 @@ class Roles:
 
     def load(self):
         """The load of all claims. Every query takes one of its outputs, so none is stored for the others."""
-        claims = insurance.prepare_claims(self.claims)
+        claims = insurance.prepare_claims(self.claims_by_policy)
         return insurance.load_claims(claims, self.dim_customer, self.dim_policy, self.dim_agent, self.loaded, store=False)
 
     @property

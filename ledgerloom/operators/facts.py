@@ -33,6 +33,7 @@ def load_facts(
     already_loaded: DataFrame | None = None,
     loaded_filter: KeyFilter | None = None,
     store: bool = True,
+    first: Sequence[str] = (),
 ) -> FactLoad:
     """Resolve, check and deduplicate facts.
 
@@ -47,13 +48,17 @@ def load_facts(
     that takes one of the three sets ``store=False``: it is then planned on its own, so that only its columns are
     shuffled, invalid rows leave the facts before any shuffle, and nothing is written.
 
+    Rows meet the lookups named in ``first`` before the others: those by which ``incoming`` comes partitioned or that are small.
+    Rows with several faults get the reason that comes first in ``lookups`` all the same.
+
     Copies of one key are reduced before they meet in a task: the loaded row is chosen by a
     group limit that also runs map-side, and the rest are counted, not listed.
     """
     # Conditions are judged before the lookups: their columns need not travel with the row.
     failed = case_bucket([(~F.coalesce(ok, F.lit(False)), reason) for ok, reason in valid]) if valid else F.lit(None).cast("string")
-    resolved = resolve_keys(incoming.withColumn("_failed", failed), lookups)
-    columns = [c for c in resolved.columns if c != "_failed"]
+    met = {c: lookups[c] for c in [*first, *[c for c in lookups if c not in first]]}
+    resolved = resolve_keys(incoming.withColumn("_failed", failed), met)
+    columns = resolve_keys(incoming, lookups).columns
     reasons = [(F.col("_failed").isNotNull(), F.col("_failed"))]
     reasons += [(F.col(surrogate).isNull(), f"unknown {column}") for column, (_, surrogate) in lookups.items()]
     marked, loaded = resolved, None

@@ -167,6 +167,7 @@ def load_claims(
         ["claim_amount", "agent_id", "filed_date_key", "closed_date_key", "payout_amount"],
         loaded,
         store=store,
+        first=["policy_id", "agent_id"],
     )
     facts = load.facts.select(
         "claim_id",

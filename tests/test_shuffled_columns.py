@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.catalog import registry
+from ledgerloom.catalog import insurance, registry
 from ledgerloom.operators import facts
 from ledgerloom.plans import value
 from ledgerloom.session import stage_folder
@@ -84,6 +84,34 @@ def test_fact_claim_ratio_drops_rejects_before_the_lookups(plan):
     assert not made and "LeftOuter" not in text
 
 
+@pytest.mark.parametrize("name", ["fact_claim_ratio", "fk_orphan_report", "resolve_surrogate_keys"])
+def test_claims_meet_the_policies_as_they_come(plan, name):
+    """By policy are shuffled line items, orders and policies; claims of known policies and agents then go to customer and claim id."""
+    text, _ = plan(name)
+    keys = re.findall(r"Exchange hashpartitioning\((\w+)#", text)
+    assert keys.count("policy_id") == 3 and "l_orderkey" not in keys
+    assert keys.count("customer_id") == 2 and keys.count("claim_id") == 2
+
+
+@pytest.mark.parametrize("store", [True, False])
+def test_order_of_lookups_leaves_reasons_and_columns(spark, store):
+    incoming = spark.createDataFrame([("f1", "x", "x", 1), ("f2", "a", "x", 2), ("f3", "a", "b", 3)], "fid string, id string, at string, amount int")
+    lookups = {
+        "id": (spark.createDataFrame([("a", 1)], "id string, sk bigint"), "sk"),
+        "at": (spark.createDataFrame([("b", 2)], "at string, tk bigint"), "tk"),
+    }
+    plain, swapped = (facts.load_facts(incoming, "fid", lookups, [], ["amount"], store=store, first=first) for first in ((), ["at"]))
+    assert swapped.facts.columns == plain.facts.columns
+    assert rows(swapped.facts) == rows(plain.facts)
+    assert rows(swapped.rejects) == rows(plain.rejects) == [("f1", "unknown id", 1), ("f2", "unknown at", 1)]
+
+
+def test_claims_by_policy_are_the_claims(spark):
+    roles = insurance.Roles(spark, FOLDER)
+    assert roles.claims_by_policy.schema == roles.claims.schema
+    assert rows(roles.claims_by_policy) == rows(roles.claims)
+
+
 def test_fk_orphan_report_reads_no_stored_load(plan):
     text, made = plan("fk_orphan_report")
     assert not made and "classified-facts" not in text
