@@ -39,7 +39,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import stage_table
+from ..operators.membership import BROADCAST_BUCKETS, buckets_for, candidates, key_filter
+from ..session import stage_buckets, stage_table
 from .common import bounded, free_name, read
 from .components import components
 from .shingles import shingle_sets
@@ -283,7 +284,12 @@ def whole_sets(df: DataFrame, row_id: str, text: str, wanted: DataFrame, width:
             )
 
     kind = df.schema[row_id].dataType.simpleString()
-    texts = df.select(F.col(row_id).alias("set_id"), F.col(text).alias("text")).join(wanted.select("set_id", "fp"), "set_id")
+    texts = df.select(F.col(row_id).alias("set_id"), F.col(text).alias("text"))
+    buckets = buckets_for(wanted.count())
+    if buckets <= BROADCAST_BUCKETS:
+        # Texts that can't link are left out before the shuffle; the join settles the few that the filter lets pass.
+        texts = candidates(texts, "set_id", key_filter(wanted, "set_id", buckets))
+    texts = texts.join(wanted.select("set_id", "fp"), "set_id")
     # Repeated rows are dropped where the join has put them. Documents that share an id may differ in text.
     texts = texts.withColumn("same", F.md5(F.col("text").cast("binary"))).dropDuplicates(["set_id", "same"])
     sets = texts.select("set_id", "text", "fp").mapInArrow(compute, f"set_id {kind}, fp binary, tokens binary, found binary")
@@ -357,16 +363,17 @@ def near_copies(df: DataFrame, row_id: str = "doc_id", text: str = "text", width
     sets = documents.where("n > 0 AND doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("set_id"), F.first("n").alias("n"), F.first("head").alias("head"))
     sets = stage_table(sets, "distinct-sets")
     linking = stage_table(with_groups(with_shared_tokens(sets, percent), percent), "linking-sets")
-    wanted = linking.select("set_id").join(sets.select("set_id", "fp"), "set_id")
-    tokens = stage_table(whole_sets(df, row_id, text, wanted, width), "whole-sets")
-    labels, found = contracted(linking, tokens, percent, block)
-    left = stage_table(open_sets(labelled(linking, labels)), "open-groups")
-    met = stage_table(meetings(left), "set-group-meetings")
-    rows = stage_table(units(left, met, block), "compare-units")
-    edges = opened(rows.join(tokens, "set_id"), percent)
-    for links in found:
-        edges = edges.unionByName(links)
-    classes = components(edges)
+    wanted = stage_table(linking.select("set_id").join(sets.select("set_id", "fp"), "set_id"), "wanted-sets")
+    # Every round and the comparison at the end read the whole sets: they lie by id and are not shuffled for each.
+    with stage_buckets(whole_sets(df, row_id, text, wanted, width), "whole-sets", "set_id") as tokens:
+        labels, found = contracted(linking, tokens, percent, block)
+        left = stage_table(open_sets(labelled(linking, labels)), "open-groups")
+        met = stage_table(meetings(left), "set-group-meetings")
+        rows = stage_table(units(left, met, block), "compare-units")
+        edges = opened(rows.join(tokens, "set_id"), percent)
+        for links in found:
+            edges = edges.unionByName(links)
+        classes = components(edges)
 
     named = sets.select("fp", "set_id").join(classes, F.col("set_id") == F.col("node"), "left")
     named = named.select(F.col("fp").alias("_fp"), F.coalesce("component", "set_id").alias("component_id"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,3 +86,21 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stage_buckets(df: DataFrame, name: str, key: str) -> Iterator[DataFrame]:
+    """Write ``df`` like ``stage_table``, dealt by ``key`` into as many buckets as a shuffle has partitions.
+
+    Joins on ``key`` read it where it lies, so that only their other side is shuffled, however many joins there are.
+    The session's catalog has it by a name of its own while the block runs; its files stay as those of other stages do.
+    """
+    spark = df.sparkSession
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{stage_folder(spark)}/{table}"
+    df.write.mode("errorifexists").format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")

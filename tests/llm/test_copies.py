@@ -281,3 +281,31 @@ def test_recall_on_the_corpus_tables(spark):
     true = brute_vectors(rows, 0.95)
     found = pg.op9_pruned_graph(spark, "/root/testdata/sf0.01").collect()
     assert {r.vec_id: (r.n_links, r.component_id) for r in found} == true
+
+
+def test_only_sets_that_may_link_are_shuffled_and_once(spark, frame, monkeypatch):
+    """Texts without a near copy stay where they are read, and the rounds read the whole sets where they lie."""
+    alone = [(i, " ".join(f"t{i}w{k}" for k in range(40))) for i in range(200)]
+    near = [(i, text) for i, text in enumerate([" ".join(f"n{k}" for k in range(60)), " ".join(f"n{k}" for k in range(59))], 500)]
+    passed, plans = [], []
+
+    def filtered(df, key, members, found=gm.candidates):
+        passed.append(found(df, key, members))
+        return passed[-1]
+
+    def links(rows, percent, found=gm.pivot_links):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return found(rows, percent)
+
+    monkeypatch.setattr(gm, "candidates", filtered)
+    monkeypatch.setattr(gm, "pivot_links", links)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    before = len(spark.catalog.listTables())
+    try:
+        classes = {r.doc_id: r.component_id for r in gm.near_copies(frame(alone + near, "doc_id long, text string")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert classes == {i: min(i, 500) for i, _ in alone + near}
+    assert len(passed) == 1 and passed[0].where("set_id >= 500").count() == 2 and passed[0].count() < 20
+    assert plans and all(plan.count("Exchange hashpartitioning(set_id") == 1 for plan in plans)
+    assert len(spark.catalog.listTables()) == before
