@@ -1,18 +1,17 @@
-"""An adaptive context-mixing range coder for token ids.
+"""A context-mixing entropy coder for token ids.
 
-Ids are coded in blocks that start from the same state and carry their length and checksum, so each
-can be read alone. Inside a block three models predict the next id and learn from it at once:
+Ids are coded in blocks that carry their length, checksums and frequencies, so each can be read alone. A block is cut into
+lanes of ``LANE_IDS`` ids. Inside a lane three models predict the next id:
 
 * order 2: the id that last followed these two ids,
 * order 1: the id that last followed this id,
-* order 0: adaptive frequencies of all ids, in 256 buckets of growing width (tokenizers give common tokens low ids);
-  the place inside a bucket is taken as uniform.
+* order 0: how often the block's ids come that neither of the others predicts.
 
-They are mixed: a model's share of the code space is how often it was right before in the same context, which is how
-sure the order-2 and the order-1 prediction were lately. A 48-bit range coder without carry turns the shares
-into 16-bit words. All arithmetic is on integers, so every machine reads the same ids.
+They are mixed: a model's share of the code space is how often it is right in the block in the same context, which is how
+sure the order-2 and the order-1 prediction were lately. A 48-bit asymmetric numeral system (a range coder that writes
+backwards) turns the shares into 16-bit words. All results are integers, so every machine reads the same ids.
 
-Blocks are coded side by side in numpy, one id of each at a time.
+The lanes of all blocks are coded side by side in numpy, one id of each at a time.
 """
 
 from __future__ import annotations
@@ -23,249 +22,290 @@ from collections.abc import Sequence
 
 import numpy as np
 
-BLOCK_IDS = 4096
-MAGIC = b"CMR1"
-_HEADER = "<4sBII"  # magic, bits of the last bucket class, ids, crc32 of the ids
+LANE_IDS = 4096
+BLOCK_LANES = 64
+BLOCK_IDS = LANE_IDS * BLOCK_LANES
+MAGIC = b"CMR2"
+_HEADER = "<4sIIII"  # magic, ids, crc32 of the ids, crc32 of all that follows, bytes of the packed tables
 _HEADER_SIZE = struct.calcsize(_HEADER)
-_SLOTS = 4096
-_MASK = np.int64((1 << 48) - 1)
-_TOP, _LOW = np.int64(1 << 32), np.int64(1 << 30)
-#: Bits of the place in a bucket for the first three classes of 64 buckets; the last class holds all other ids.
-_WIDTHS = (2, 4, 7)
-_LEARN, _MIX, _MIX_LIMIT = 12, 24, 1 << 14
-_SHIFT = np.array([[0, _MIX, _MIX, _MIX], [0, 0, _MIX, _MIX], [0, 0, 0, _MIX]], np.int32)
-_RAISE = np.triu(np.full((16, 16), _LEARN, np.int32))
-#: Bits of a place that are coded together with its bucket.
-_NEAR = 12
+_SLOTS = 1024
+#: Bits of the shares of the models, and of the frequencies of ids.
+_MIX, _FREQUENCY = 12, 16
+_LOWEST, _TOP = 1 << 32, 48
+#: Ids with a frequency of their own; any others follow an escape, in two words.
+_SYMBOLS = 1 << 15
+#: Ids up to here are counted in a table by id.
+_DENSE = 1 << 20
+#: Blocks read side by side, as each has a table of all places in its code space.
+_TABLES = 64
+#: The code of a lane that has ended, and which codes say that neither model was right.
+_ENDED = 255
+_IS_MISS = (np.arange(256) % 3 == 2) & (np.arange(256) != _ENDED)
 
 
-def last_width(largest: int) -> int:
-    """Bits of the last bucket class, so that it holds every id up to ``largest``."""
-    rest = max(0, largest - sum(64 << w for w in _WIDTHS))
-    return max(0, (rest // 64).bit_length())
+class _Model:
+    """The models of all lanes. A slot holds ``4 * id + sure``: the id that came last, and how often in a row (to 3).
 
+    Ids from 2**30 on don't fit a slot, so the first two models never predict them.
+    """
 
-class _Model:
-    """The models of all blocks (lanes). A slot holds ``4 * id + sure``: the id that came last, and how often in a row (to 3)."""
-
-    def __init__(self, lanes: int, last: int):
-        kind = np.int32 if last < 22 else np.int64
-        self.lane = np.arange(lanes)
-        self.second, self.first = (np.zeros(lanes * _SLOTS, kind) for _ in range(2))
-        # Running sums of the models' shares (order 2, order 1, order 0) by context.
-        self.shares = np.tile(np.array([0, 2, 4, 12], np.int32), (lanes * 16, 1))
-        # Running sums of the frequencies: of 16 groups of buckets, and of the 16 buckets in each.
-        self.groups = np.tile(np.arange(16, 257, 16, dtype=np.int32), (lanes, 1))
-        self.buckets = np.tile(np.arange(1, 17, dtype=np.int32), (lanes * 16, 1))
-        self.a, self.b = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.width = np.repeat(np.array([*_WIDTHS, last], np.int64), 64)
-        self.base = np.concatenate([[0], np.cumsum(np.int64(1) << self.width)])[:256]
-
-    def predict(self, n: int) -> None:
-        """Look up both predictions for the first ``n`` lanes, and how the code space is shared."""
-        lane, a, b = self.lane[:n], self.a[:n], self.b[:n]
-        self.at1 = lane * _SLOTS + ((b ^ (b >> 12)) & (_SLOTS - 1))
-        self.at2 = lane * _SLOTS + (((a * 40503 + b * 9973) >> 3) & (_SLOTS - 1))
-        self.slot1, self.slot2 = self.first[self.at1], self.second[self.at2]
+    def __init__(self, lanes: int):
+        self.base = np.arange(lanes) * _SLOTS
+        self.second, self.first = (np.zeros(lanes * _SLOTS, np.uint32) for _ in range(2))
+        self.a, self.b = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+
+    def predict(self, n: int) -> np.ndarray:
+        """Look up both predictions for the first ``n`` lanes; returns the contexts, 0 to 15."""
+        a, b, base = self.a[:n], self.b[:n], self.base[:n]
+        self.at1 = ((b ^ (b >> 10)) & (_SLOTS - 1)) + base
+        self.at2 = (((a * np.uint32(0x9E3779B1) + b) * np.uint32(0x85EBCA6B)) >> 22) + base
+        self.slot1, self.slot2 = self.first.take(self.at1), self.second.take(self.at2)
         self.guess1, self.guess2 = self.slot1 >> 2, self.slot2 >> 2
-        self.context = lane * 16 + (self.slot2 & 3) * 4 + (self.slot1 & 3)
-        self.share = self.shares[self.context]
-        self.total = self.share[:, 3].astype(np.int64)
-
-    def part(self, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the share of a kind (0: order 2, 1: order 1, 2: order 0) begins, and its size."""
-        lane = self.lane[: len(kind)]
-        below = self.share[lane, kind].astype(np.int64)
-        return below, self.share[lane, kind + 1] - below
-
-    def learn(self, ids: np.ndarray, kind: np.ndarray) -> None:
-        n = len(ids)
-        self.shares[self.context] = self.share + _SHIFT[kind]
-        if (large := self.context[self.total > _MIX_LIMIT]).size:
-            halves = (np.diff(self.shares[large], axis=1) + 1) >> 1
-            self.shares[large, 1:] = np.cumsum(halves, axis=1)
-        self.first[self.at1] = np.where(self.guess1 == ids, np.minimum(self.slot1 + 1, self.slot1 | 3), ids << 2)
-        self.second[self.at2] = np.where(self.guess2 == ids, np.minimum(self.slot2 + 1, self.slot2 | 3), ids << 2)
-        self.a[:n], self.b[:n] = self.b[:n].copy(), ids
-
-    def learn_bucket(self, lane: np.ndarray, bucket: np.ndarray) -> None:
-        high = bucket >> 4
-        self.groups[lane] += _RAISE[high]
-        self.buckets[lane * 16 + high] += _RAISE[bucket & 15]
-
-    def bucket_of(self, ids: np.ndarray) -> np.ndarray:
-        """The class of 64 buckets by its bounds, and the bucket by the class's width."""
-        kind = (ids >= self.base[64]).astype(np.int64) + (ids >= self.base[128]) + (ids >= self.base[192])
-        return 64 * kind + ((ids - self.base[64 * kind]) >> self.width[64 * kind])
-
-
-class _Coder:
-    """What writer and reader share: the interval [low, low + range) of each lane, of which the first words are settled."""
+        return ((self.slot2 & 3) << 2) | (self.slot1 & 3)
 
+    def learn(self, ids: np.ndarray, right1: np.ndarray, right2: np.ndarray) -> None:
+        new = ids << 2
+        self.first[self.at1] = np.where(right1, self.slot1 + ((self.slot1 & 3) < 3), new)
+        self.second[self.at2] = np.where(right2, self.slot2 + ((self.slot2 & 3) < 3), new)
+        self.a, self.b = self.b, ids
+
+
+def _lanes(lengths: Sequence[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Block, place in it and length of each lane, the longest first."""
+    counts = [-(-n // LANE_IDS) for n in lengths]
+    block = np.repeat(np.arange(len(lengths)), counts)
+    start = np.concatenate([[0], *(np.arange(c) * LANE_IDS for c in counts)])[1:].astype(np.int64)
+    size = np.minimum(LANE_IDS, np.array(lengths, np.int64)[block] - start)
+    order = np.argsort(-size, kind="stable")
+    return block[order], start[order], size[order]
+
+
+def _active(size: np.ndarray) -> list[int]:
+    """How many lanes are that long, by step."""
+    return (len(size) - np.searchsorted(size[::-1], np.arange(int(size[0]) if len(size) else 0), side="right")).tolist()
+
+
+def _scaled(counts: np.ndarray, bits: int) -> np.ndarray:
+    """Frequencies of at least 1 that add up to ``2**bits``, along the last axis."""
+    space = (1 << bits) - counts.shape[-1]
+    out = 1 + counts * space // np.maximum(1, counts.sum(axis=-1, keepdims=True))
+    rest = (1 << bits) - out.sum(axis=-1)
+    np.put_along_axis(out, (most := counts.argmax(axis=-1)[..., None]), np.take_along_axis(out, most, -1) + rest[..., None], -1)
+    return out
+
+
+class _Writer:
     def __init__(self, lanes: int):
-        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, _MASK)
-        self.all = np.arange(lanes)
-
-    def settle(self, lane, low: np.ndarray, wide: np.ndarray) -> None:
-        """Shift out words while the first one is settled; an interval too narrow to settle is cut at a word's end."""
-        where = self.all[lane]
-        active = np.flatnonzero(((low ^ (low + wide)) < _TOP) | (wide < _LOW))
-        while len(active):
-            l, w = low[active], wide[active]
-            w = np.where((l ^ (l + w)) < _TOP, w, -l & (_LOW - 1))
-            self.shift(where[active], l >> 32)
-            l, w = (l << 16) & _MASK, (w << 16) & _MASK
-            low[active], wide[active] = l, w
-            active = active[((l ^ (l + w)) < _TOP) | (w < _LOW)]
-        self.low[lane], self.range[lane] = low, wide
-
-    def shift(self, lane: np.ndarray, word: np.ndarray) -> None:
-        raise NotImplementedError
-
-
-class _Writer(_Coder):
-    def __init__(self, lanes: int):
-        super().__init__(lanes)
-        self.out, self.size = np.zeros((lanes, BLOCK_IDS), np.uint16), np.zeros(lanes, np.int64)
-
-    def put(self, lane, below: np.ndarray, share: np.ndarray, total, place=0, bits=0) -> None:
-        """Narrow the lanes (an index or a slice) to ``share`` parts of ``total`` after ``below``, and there to one of ``2**bits`` places."""
-        part = self.range[lane] // total
-        wide = (part * share) >> bits
-        self.settle(lane, (self.low[lane] + below * part + place * wide) & _MASK, wide)
-
-    def shift(self, lane: np.ndarray, word: np.ndarray) -> None:
-        size = self.size[lane]
-        if (need := int(size.max()) + 4) > self.out.shape[1]:
-            self.out = np.concatenate([self.out, np.zeros((len(self.out), need), np.uint16)], axis=1)
-        self.out[lane, size] = word
-        self.size[lane] = size + 1
-
-    def finish(self) -> None:
-        for k in (32, 16, 0):
-            self.shift(self.all, (self.low >> k) & 0xFFFF)
-
-
-class _Reader(_Coder):
-    def __init__(self, codes: Sequence[bytes]):
-        super().__init__(len(codes))
-        sizes = [len(c) // 2 for c in codes]
-        self.data = np.zeros((len(codes), max(sizes, default=0) + 4), np.int64)
-        for row, size, code in zip(self.data, sizes, codes, strict=True):
-            row[:size] = np.frombuffer(code, "<u2", size)
-        self.code = (self.data[:, 0] << 32) | (self.data[:, 1] << 16) | self.data[:, 2]
-        self.at = np.full(len(codes), 3, np.int64)
-
-    def ask(self, lane, total) -> np.ndarray:
-        """Where in ``total`` the lanes' codes lie."""
-        self.part = self.range[lane] // total
-        return np.minimum(((self.code[lane] - self.low[lane]) & _MASK) // self.part, total - 1)
-
-    def take(self, lane, below: np.ndarray, share: np.ndarray, bits=0) -> np.ndarray:
-        """Narrow the lanes as the writer did; returns the places."""
-        low, wide = (self.low[lane] + below * self.part) & _MASK, (self.part * share) >> bits
-        place = np.minimum(((self.code[lane] - low) & _MASK) // wide, (np.int64(1) << bits) - 1)
-        self.settle(lane, (low + place * wide) & _MASK, wide)
-        return place
-
-    def shift(self, lane: np.ndarray, word: np.ndarray) -> None:
-        at = np.minimum(self.at[lane], self.data.shape[1] - 1)
-        self.code[lane] = ((self.code[lane] << 16) & _MASK) | self.data[lane, at]
-        self.at[lane] = at + 1
+        self.state = np.full(lanes, _LOWEST, np.int64)
+        self.out, self.size = np.zeros((lanes, LANE_IDS), np.uint16), np.zeros(lanes, np.int64)
+
+    def put(self, lane, state: np.ndarray, below: np.ndarray, share: np.ndarray, bits: int) -> np.ndarray:
+        """The lanes' states with ``share`` parts of ``2**bits`` after ``below``. ``lane``: their numbers, None for the first ones."""
+        if (full := np.flatnonzero(state >= share << (_TOP - bits))).size:
+            where, old = full if lane is None else lane[full], state[full]
+            size = self.size[where]
+            if (need := int(size.max()) + 4) > self.out.shape[1]:
+                self.out = np.concatenate([self.out, np.zeros((len(self.out), need // 2), np.uint16)], axis=1)
+            self.out[where, size] = old & 0xFFFF
+            self.size[where] = size + 1
+            state[full] = old >> 16
+        # Below 2**48 and divided by less than 2**16, a double is cut to the right integer.
+        return state + below + (state / share).astype(np.int64) * ((1 << bits) - share)
 
 
 def encode_blocks(blocks: Sequence[np.ndarray]) -> list[bytes]:
     """Each block of ids (0 to 2**32 - 1, at most ``BLOCK_IDS`` of them) as bytes."""
-    if not blocks:
-        return []
-    order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
-    lengths = np.array([len(blocks[i]) for i in order])
-    last = last_width(max(int(b.max()) if len(b) else 0 for b in blocks))
-    ids = np.zeros((max(1, lengths[0]), len(blocks)), np.int64)  # one row per step
-    for k, i in enumerate(order):
-        ids[: lengths[k], k] = blocks[i]
-    model, writer = _Model(len(blocks), last), _Writer(len(blocks))
-    bucket_of = model.bucket_of(ids)
-    for step in range(lengths[0]):
-        n = int(np.searchsorted(-lengths, -step, side="left"))
+    blocks = [np.asarray(b).astype("<u4") for b in blocks]
+    block, start, size = _lanes([len(b) for b in blocks])
+    active = _active(size)
+    ids, codes = np.zeros((len(active), len(size)), np.uint32), np.full((len(active), len(size)), _ENDED, np.uint8)
+    for k, (i, at, n) in enumerate(zip(block.tolist(), start.tolist(), size.tolist(), strict=True)):
+        ids[:n, k] = blocks[i][at : at + n]
+
+    # What the models predict: a code is three times the context and the kind (0: order 2 was right, 1: order 1, 2: neither).
+    model = _Model(len(size))
+    for step, n in enumerate(active):
         now = ids[step, :n]
-        model.predict(n)
-        kind = np.where(now == model.guess2, 0, np.where(now == model.guess1, 1, 2))
-        writer.put(slice(0, n), *model.part(kind), model.total)
-        lane = np.flatnonzero(kind == 2)
+        context = model.predict(n)
+        right1, right2 = model.guess1 == now, model.guess2 == now
+        codes[step, :n] = context * 3 + np.where(right2, 0, 2 - right1)
+        model.learn(now, right1, right2)
+    del model
+
+    shares, tables, symbols, frequencies = np.zeros((len(blocks), 48), np.int64), [], np.zeros_like(ids), [np.empty(0, np.int64)]
+    first_symbol = 0
+    for i, whole in enumerate(blocks):
+        mine = np.flatnonzero(block == i)
+        of_block, kinds = ids[:, mine], codes[:, mine]
+        shares[i] = _scaled(np.bincount(kinds.ravel(), minlength=256)[:48].reshape(16, 3), _MIX).ravel()
+        missed = of_block[_IS_MISS[kinds]]
+        dense = not len(whole) or int(whole.max()) < _DENSE
+        if dense:
+            counts = np.bincount(missed)
+            values = np.flatnonzero(counts)
+            counts = counts[values]
+        else:
+            values, counts = np.unique(missed, return_counts=True)
+        if len(values) > _SYMBOLS:
+            kept = np.sort(np.argsort(-counts, kind="stable")[:_SYMBOLS])
+            counts = np.concatenate([[counts.sum() - counts[kept].sum()], counts[kept]])
+            values = values[kept]
+        else:
+            counts = np.concatenate([[0], counts])
+        if len(whole) and len(values):
+            if dense:
+                number = np.zeros(int(whole.max()) + 1, np.uint32)
+                number[values] = np.arange(1, len(values) + 1)
+                found = number.take(of_block)
+            else:
+                found = np.minimum(np.searchsorted(values, of_block), len(values) - 1)
+                found = np.where(values[found] == of_block, found + 1, 0)
+            symbols[:, mine] = found + first_symbol
+        scaled = _scaled(counts, _FREQUENCY)
+        frequencies.append(scaled)
+        first_symbol += len(scaled)
+        tables.append(_pack_tables(shares[i], values, scaled))
+
+    # The writer works from the last id to the first, so that the reader meets them in order.
+    writer = _Writer(len(size))
+    share = shares.ravel()
+    below = (np.cumsum(shares.reshape(-1, 3), axis=1) - shares.reshape(-1, 3)).ravel()
+    frequency = np.concatenate(frequencies)
+    before = np.concatenate([np.cumsum(f) - f for f in frequencies])
+    escape = np.cumsum([0] + [len(f) for f in frequencies[1:]])[:-1]
+    escaping = np.array([f[0] > 1 for f in frequencies[1:]], bool)[block] if len(blocks) else np.empty(0, bool)
+    any_escape, own = bool(escaping.any()), block * 48
+    for step in range(len(active) - 1, -1, -1):
+        n = active[step]
+        code = codes[step, :n]
+        state = writer.state[:n]
+        lane = np.flatnonzero(_IS_MISS.take(code))
         if len(lane):
-            bucket = bucket_of[step, lane]
-            bits, place = model.width[bucket], now[lane] - model.base[bucket]
-            near = np.minimum(bits, _NEAR)
-            below, share, total = _bucket_share(model, lane, bucket)
-            writer.put(lane, below, share, total, place & ((1 << near) - 1), near)
-            far = np.flatnonzero(bits > near)
-            if len(far):
-                writer.put(lane[far], place[far] >> _NEAR, np.ones(len(far), np.int64), np.int64(1) << (bits - near)[far])
-            model.learn_bucket(lane, bucket)
-        model.learn(now, kind)
-    writer.finish()
-    out: list[bytes] = [b""] * len(blocks)
-    for k, i in enumerate(order):
-        crc = zlib.crc32(np.ascontiguousarray(blocks[i], dtype="<u4").tobytes())
-        out[i] = struct.pack(_HEADER, MAGIC, last, len(blocks[i]), crc) + writer.out[k, : writer.size[k]].astype("<u2").tobytes()
+            symbol, missed = symbols[step].take(lane), state.take(lane)
+            if any_escape:
+                far = np.flatnonzero(symbol == escape[block[lane]])
+                if len(far):
+                    raw = ids[step, lane[far]].astype(np.int64)
+                    one = np.ones(len(far), np.int64)
+                    missed[far] = writer.put(lane[far], missed[far], raw & 0xFFFF, one, 16)
+                    missed[far] = writer.put(lane[far], missed[far], raw >> 16, one, 16)
+            state[lane] = writer.put(lane, missed, before.take(symbol), frequency.take(symbol), _FREQUENCY)
+        at = own[:n] + code
+        writer.state[:n] = writer.put(None, state, below.take(at), share.take(at), _MIX)
+
+    lanes: list[list[int]] = [[] for _ in blocks]
+    for k in np.argsort(start, kind="stable").tolist():
+        lanes[block[k]].append(k)
+    out = []
+    for i, whole in enumerate(blocks):
+        mine = lanes[i]
+        words = [writer.out[k, : writer.size[k]][::-1] for k in mine]
+        states = writer.state[mine].astype("<u8").tobytes() + writer.size[mine].astype("<u4").tobytes()
+        body = tables[i] + states + b"".join(w.astype("<u2").tobytes() for w in words)
+        out.append(struct.pack(_HEADER, MAGIC, len(whole), zlib.crc32(whole.tobytes()), zlib.crc32(body), len(tables[i])) + body)
     return out
 
 
-def _bucket_share(model: _Model, lane: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Frequency of all buckets before, of the bucket, and of all."""
-    high, deep = bucket >> 4, bucket & 15
-    inside = lane * 16 + high
-    before = np.where(deep > 0, model.buckets[inside, deep - 1], 0)
-    start = np.where(high > 0, model.groups[lane, high - 1], 0)
-    below = (start + before).astype(np.int64)
-    return below, model.buckets[inside, deep] - before.astype(np.int64), model.groups[lane, 15].astype(np.int64)
+def _pack_tables(shares: np.ndarray, values: np.ndarray, frequencies: np.ndarray) -> bytes:
+    """The shares, the gaps between the ids, and the frequencies, the first of which is the escape's; equal bytes of numbers lie together."""
+    gaps = np.diff(values.astype(np.int64), prepend=0).astype("<u4")
+    parts = (shares.astype("<u2"), gaps, (frequencies - 1).astype("<u2"))
+    return zlib.compress(b"".join(p.view(np.uint8).reshape(-1, p.itemsize).T.tobytes() for p in parts), 1)
+
+
+def _unpack_tables(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = np.frombuffer(zlib.decompress(packed), np.uint8)
+    count = (len(raw) - 98) // 6
+    cuts = ((0, 96, "<u2"), (96, 96 + 4 * count, "<u4"), (96 + 4 * count, len(raw), "<u2"))
+    shares, gaps, frequencies = (np.ascontiguousarray(raw[a:b].reshape(np.dtype(t).itemsize, -1).T).view(t).ravel() for a, b, t in cuts)
+    return shares.astype(np.int64), np.cumsum(gaps, dtype=np.int64), frequencies.astype(np.int64) + 1
 
 
 def decode_blocks(payloads: Sequence[bytes]) -> list[np.ndarray]:
-    """The ids of each block. A block that does not match its checksum raises ``ValueError``."""
-    out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(payloads)
+    """The ids of each block. A block that does not match its checksums raises ``ValueError``."""
+    out: list[np.ndarray] = []
+    for at in range(0, len(payloads), _TABLES):
+        out += _decode(payloads[at : at + _TABLES])
+    return out
+
+
+def _decode(payloads: Sequence[bytes]) -> list[np.ndarray]:
     heads = []
     for payload in payloads:
         if len(payload) < _HEADER_SIZE or payload[:4] != MAGIC:
             raise ValueError("not a block of token ids")
-        heads.append(struct.unpack(_HEADER, payload[:_HEADER_SIZE]))
-    for last in sorted({h[1] for h in heads}):
-        chosen = sorted((i for i, h in enumerate(heads) if h[1] == last), key=lambda i: -heads[i][2])
-        lengths = np.array([heads[i][2] for i in chosen])
-        model, reader = _Model(len(chosen), last), _Reader([payloads[i][_HEADER_SIZE :] for i in chosen])
-        ids = np.zeros((lengths[0], len(chosen)), np.int64)
-        for step in range(lengths[0]):
-            n = int(np.searchsorted(-lengths, -step, side="left"))
-            model.predict(n)
-            spot = reader.ask(slice(0, n), model.total)
-            kind = (spot >= model.share[:, 1]).astype(np.int64) + (spot >= model.share[:, 2])
-            reader.take(slice(0, n), *model.part(kind))
-            now = np.where(kind == 0, model.guess2, model.guess1).astype(np.int64)
-            lane = np.flatnonzero(kind == 2)
-            if len(lane):
-                groups = model.groups[lane]
-                spot = reader.ask(lane, groups[:, 15].astype(np.int64))
-                high = (spot[:, None] >= groups).sum(axis=1)
-                start = np.where(high > 0, model.groups[lane, high - 1], 0)
-                deep = ((spot - start)[:, None] >= model.buckets[lane * 16 + high]).sum(axis=1)
-                bucket = high * 16 + deep
-                below, share, _ = _bucket_share(model, lane, bucket)
-                bits = model.width[bucket]
-                near = np.minimum(bits, _NEAR)
-                place = reader.take(lane, below, share, near)
-                far = np.flatnonzero(bits > near)
-                if len(far):
-                    more = reader.ask(lane[far], np.int64(1) << (bits - near)[far])
-                    reader.take(lane[far], more, np.ones(len(far), np.int64))
-                    place[far] |= more << _NEAR
-                now[lane] = model.base[bucket] + place
-                model.learn_bucket(lane, bucket)
-            model.learn(now, kind)
-            ids[step, :n] = now
-        for k, i in enumerate(chosen):
-            found = ids[: lengths[k], k].astype("<u4")
-            if zlib.crc32(found.tobytes()) != heads[i][3]:
-                raise ValueError("a block of token ids is damaged")
-            out[i] = found
+        heads.append(struct.unpack_from(_HEADER, payload))
+        if zlib.crc32(memoryview(payload)[_HEADER_SIZE:]) != heads[-1][3]:
+            raise ValueError("a block of token ids is damaged")
+    if not payloads:
+        return []
+    block, start, size = _lanes([h[1] for h in heads])
+    shares, values, frequencies, states, words = [], [], [], np.zeros(len(size), np.int64), []
+    at, total = np.zeros(len(size), np.int64), 0  # where a lane's next word is; words so far
+    by_block: list[list[int]] = [[] for _ in payloads]
+    for k in np.argsort(start, kind="stable").tolist():
+        by_block[block[k]].append(k)
+    for payload, head, mine in zip(payloads, heads, by_block, strict=True):
+        cut = _HEADER_SIZE + head[4]
+        table = _unpack_tables(payload[_HEADER_SIZE:cut])
+        shares.append(table[0])
+        values.append(np.concatenate([[0], table[1]]))
+        frequencies.append(table[2])
+        states[mine] = np.frombuffer(payload, "<u8", len(mine), cut)
+        sizes = np.frombuffer(payload, "<u4", len(mine), cut + 8 * len(mine)).astype(np.int64)
+        words.append(np.frombuffer(payload, "<u2", -1, cut + 12 * len(mine)) if sizes.sum() else np.empty(0, "<u2"))
+        at[mine] = total + np.cumsum(sizes) - sizes
+        total += len(words[-1])
+    words = np.concatenate([*words, np.zeros(1, "<u2")])
+    share = np.concatenate(shares)
+    below = (np.cumsum(share.reshape(-1, 3), axis=1) - share.reshape(-1, 3)).ravel()
+    bound1, bound2 = below[1::3].copy(), below[2::3].copy()
+    value, frequency = np.concatenate(values).astype(np.uint32), np.concatenate(frequencies)
+    before = np.concatenate([np.cumsum(f) - f for f in frequencies])
+    places = np.concatenate([np.repeat(np.arange(len(f), dtype=np.uint16), f) for f in frequencies])
+    escape = np.cumsum([0] + [len(f) for f in frequencies])[:-1]
+    own, own_places, own_symbols = block * 16, block << _FREQUENCY, escape[block]
+
+    def more(lane: np.ndarray | None, state: np.ndarray) -> np.ndarray:
+        """The states, with the next word where they are low."""
+        if (low := np.flatnonzero(state < _LOWEST)).size:
+            where = low if lane is None else lane[low]
+            place = at[where]
+            state[low] = (state[low] << 16) | words.take(place)
+            at[where] = place + 1
+        return state
+
+    active = _active(size)
+    ids, model = np.zeros((len(active), len(size)), np.uint32), _Model(len(size))
+    for step, n in enumerate(active):
+        context = model.predict(n) + own[:n]
+        state = states[:n]
+        spot = state & ((1 << _MIX) - 1)
+        is1, is2 = spot >= bound1.take(context), spot >= bound2.take(context)
+        code = context * 3 + is1 + is2
+        state = more(None, share.take(code) * (state >> _MIX) + spot - below.take(code))
+        now = np.where(is1, model.guess1, model.guess2)
+        lane = np.flatnonzero(is2)
+        if len(lane):
+            missed = state.take(lane)
+            spot = missed & ((1 << _FREQUENCY) - 1)
+            symbol = places.take(own_places.take(lane) + spot) + own_symbols.take(lane)
+            missed = more(lane, frequency.take(symbol) * (missed >> _FREQUENCY) + spot - before.take(symbol))
+            found = value.take(symbol)
+            far = np.flatnonzero(symbol == own_symbols.take(lane))
+            if len(far):
+                high = missed[far] & 0xFFFF
+                missed[far] = more(lane[far], missed[far] >> 16)
+                found[far] = (high << 16) | (missed[far] & 0xFFFF)
+                missed[far] = more(lane[far], missed[far] >> 16)
+            now[lane], state[lane] = found, missed
+        states[:n] = state
+        model.learn(now, model.guess1 == now, model.guess2 == now)
+        ids[step, :n] = now
+    out = []
+    for head, mine in zip(heads, by_block, strict=True):
+        found = np.ascontiguousarray(ids[:, mine].T).ravel()[: head[1]].astype("<u4", copy=False)
+        if zlib.crc32(found.tobytes()) != head[2]:
+            raise ValueError("a block of token ids is damaged")
+        out.append(found)
     return out

@@ -13,8 +13,8 @@ File format: a Parquet folder with one row per block.
 ``doc_ids``    their ids
 ``counts``     how many of their ids lie in this block; documents longer than a block go on in the next
 
-A block needs no other to be read, a lost task writes its part again, and a worker holds ``LANES`` blocks at a time however long
-a document is. NULL and empty texts have the end id alone. Rows may share an id or lack one (those come first); rows
+A block needs no other to be read, a lost task writes its part again, and a worker holds ``LANES`` lanes of ids at a
+time however long a document is. NULL and empty texts have the end id alone. Rows may share an id or lack one (those come first); rows
 that agree are in any order, as nothing tells them apart. An empty table gives files without rows.
 """
 
@@ -23,24 +23,27 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_folder
-from .common import bounded, read
-from .context_mixing import BLOCK_IDS, decode_blocks, encode_blocks
+from .common import BATCH_BYTES, bounded, read
+from .context_mixing import BLOCK_IDS, LANE_IDS, decode_blocks, encode_blocks
 from .words import WordMemory
 
 END_ID = 0
-#: Blocks coded side by side.
+#: Lanes of ``LANE_IDS`` ids coded side by side.
 LANES = 2048
-#: Words remembered: most of a partition's, as new words cost most of the encoding.
-REMEMBERED = 400_000
+#: New pieces of texts given to the tokenizer at once.
+TOGETHER = 500
+#: Pieces remembered: those of several partitions, as new ones cost most of the encoding.
+REMEMBERED = 1_000_000
 
 SCHEMA = "part int, offset long, n_ids long, payload binary, rows array<long>, doc_ids array<long>, counts array<long>"
 
@@ -53,35 +56,87 @@ def default_tokenizer() -> str:
         return file.read()
 
 
+def _starts() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By byte: whether no whitespace character begins with it, whether it is an ASCII letter, and any other ASCII character."""
+    solid, letter = np.zeros(256, bool), np.zeros(256, bool)
+    solid[0x21:0x80] = solid[0xC3:] = True
+    solid[[0xE1, 0xE2, 0xE3]] = False
+    letter[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+    return solid, letter, ~letter & (np.arange(256) < 0x80)
+
+
+_SOLID, _LETTER, _OTHER = _starts()
+
+
+def text_pieces(texts: pa.Array, specials: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The pieces of texts (no nulls) as bytes, and how many pieces come before the end of each text.
+
+    A text is cut where the byte-level pattern always splits it: before a space that a solid character follows, and after an
+    ASCII letter that an ASCII character other than a letter follows. Texts with special tokens, which the tokenizer takes out
+    before it splits, are one piece each.
+    """
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    cut = np.zeros(len(raw) + 1, bool)
+    cut[:-2] = (raw[:-1] == 0x20) & _SOLID[raw[1:]]
+    cut[np.maximum(offsets[1:] - 1, 0)] = False  # no character of a text follows its last one
+    cut[1:-1] |= _LETTER[raw[:-1]] & _OTHER[raw[1:]]
+    for special in specials:
+        for k in np.flatnonzero(pc.match_substring(texts, special).to_numpy(zero_copy_only=False)):
+            cut[offsets[k] : offsets[k + 1]] = False
+    cut[offsets] = True
+    bounds = np.flatnonzero(cut)
+    found = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(raw)])
+    return found.dictionary_encode(), np.searchsorted(bounds, offsets[1:])
+
+
+@lru_cache(maxsize=1)
 def text_encoder(tokenizer_json: str, pattern: str):
-    """A function from texts to their ids, in one array, and the places where each text ends.
+    """A function from texts to their ids, in one array, and the places where each text ends. A worker keeps it between tasks.
 
     A byte-level tokenizer cuts its special tokens out of a text, splits the rest by its pattern before it merges bytes, and no
-    merge crosses a split, so each distinct part is encoded once. Special tokens in a text become their own ids, as the
+    merge crosses a split, so each distinct piece of the text between two splits is encoded once. With a pattern other than
+    that of ``public_tokenizers``, whole texts are encoded. Special tokens in a text become their own ids, as the
     library has it by default; ``add_special_tokens=False`` only keeps it from adding some around the text.
     """
+    import public_tokenizers
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(tokenizer_json)
-    plain = regex.compile(pattern).findall
-    specials = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
-    special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
-
-    def split(text: str) -> list[str]:
-        if not special or not special.search(text):
-            return plain(text)
-        parts, at = [], 0
-        for match in special.finditer(text):
-            parts += [*plain(text[at : match.start()]), match.group()]
-            at = match.end()
-        return parts + plain(text[at:])
-
-    def encode_parts(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = tokenizer.encode(parts, is_pretokenized=True, add_special_tokens=False)
-        return np.array(found.ids, np.int32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(parts))
-
-    memory = WordMemory(encode_parts, REMEMBERED)
-    return lambda texts: memory.encode([split(t) if t else [] for t in texts])
+    specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    whole = [""] if pattern != public_tokenizers.PATTERN else specials
+
+    def encode_pieces(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = [np.empty(0, np.int32)], []
+        for at in range(0, len(pieces), TOGETHER):
+            some = [p.decode() for p in pieces[at : at + TOGETHER]]
+            found = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(found.ids, np.int32))
+            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    memory = WordMemory(encode_pieces, REMEMBERED)
+
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        pieces, ends = text_pieces(pc.fill_null(texts, ""), whole)
+        flat, bounds = memory.joined(memory.places(pieces.dictionary.to_pylist()).take(pieces.indices.to_numpy()))
+        return flat, bounds[ends]
+
+    return encode
+
+
+def larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined to ``BATCH_BYTES`` or just above, so that a word is looked up once for more of its places."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= BATCH_BYTES:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
 
 
 def coded_blocks(df: DataFrame, row_id: str, text: str, tokenizer_json: str, pattern: str, parts: int | None = None, lanes: int = LANES, end_id: int = END_ID) -> DataFrame:
@@ -90,6 +145,7 @@ def coded_blocks(df: DataFrame, row_id: str, text: str, tokenizer_json: str, pat
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, encode = TaskContext.get().partitionId(), text_encoder(tokenizer_json, pattern)
         waiting, sizes, names, first_row, offset = [], [], [], 0, 0  # ids not yet coded; per document ids left and id
+        together = lanes * LANE_IDS
 
         def flush(count: int) -> pa.RecordBatch:
             """Code the first ``count`` waiting ids."""
@@ -118,13 +174,13 @@ def coded_blocks(df: DataFrame, row_id: str, text: str, tokenizer_json: str, pat
             waiting, sizes, names, first_row, offset = [ids[count:]], left.tolist(), names[done:], first_row + done, offset + count
             return out
 
-        for batch in batches:
-            flat, ends = encode(batch.column(1).to_pylist())
+        for batch in larger(batches):
+            flat, ends = encode(batch.column(1))
             waiting.append(np.insert(flat, ends, end_id))
             sizes += (np.diff(ends, prepend=0) + 1).tolist()
             names += batch.column(0).to_pylist()
-            while sum(sizes) >= lanes * BLOCK_IDS:
-                yield flush(lanes * BLOCK_IDS)
+            while sum(sizes) >= together:
+                yield flush(together)
         if total := sum(sizes):
             yield flush(total)
 
@@ -135,38 +191,42 @@ def coded_blocks(df: DataFrame, row_id: str, text: str, tokenizer_json: str, pat
     return ordered.mapInArrow(code, SCHEMA)
 
 
-def pieces(blocks: DataFrame, lanes: int = LANES) -> DataFrame:
-    """Each document's ids in each block: ``part``, ``row``, ``doc_id``, ``at`` (place in the part), ``n``, ``crc``, ``ids``.
-
-    The columns that are not asked for are not computed for long: ``ids`` are sent on as binary of unsigned 32-bit numbers.
-    """
+def pieces(blocks: DataFrame, lanes: int = LANES, with_ids: bool = True) -> DataFrame:
+    """Each document's ids in each block: ``part``, ``row``, ``doc_id``, ``at`` (place in the part), ``n``, ``crc``, and if
+    asked for ``ids``, as binary of unsigned 32-bit numbers."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
+        room = lanes
 
         def flush() -> pa.RecordBatch:
-            nonlocal held
+            nonlocal held, room
             found: dict[str, list] = {k: [] for k in ("part", "row", "doc_id", "at", "n", "crc", "ids")}
             for block, ids in zip(held, decode_blocks([b["payload"] for b in held]), strict=True):
                 at = 0
                 for row, name, count in zip(block["rows"], block["doc_ids"], block["counts"], strict=True):
-                    raw = ids[at : at + count].tobytes()
-                    for k, v in zip(found, (block["part"], row, name, block["offset"] + at, count, zlib.crc32(raw), raw), strict=True):
+                    raw = ids[at : at + count]
+                    for k, v in zip(found, (block["part"], row, name, block["offset"] + at, count, zlib.crc32(raw)), strict=False):
                         found[k].append(v)
+                    if with_ids:
+                        found["ids"].append(raw.tobytes())
                     at += count
-            held = []
+            held, room = [], lanes
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(found.values(), kinds, strict=True)], list(found))
+            arrays = {k: pa.array(v, kind) for (k, v), kind in zip(found.items(), kinds, strict=True) if with_ids or k != "ids"}
+            return pa.RecordBatch.from_arrays(list(arrays.values()), list(arrays))
 
         for batch in batches:
             for row in batch.to_pylist():
                 held.append(row)
-                if len(held) == lanes:
+                room -= -(-row["n_ids"] // LANE_IDS)
+                if room <= 0:
                     yield flush()
         if held:
             yield flush()
 
-    return blocks.mapInArrow(decode, "part int, row long, doc_id long, at long, n long, crc long, ids binary")
+    schema = "part int, row long, doc_id long, at long, n long, crc long"
+    return blocks.mapInArrow(decode, f"{schema}, ids binary" if with_ids else schema)
 
 
 _SHIFTS: dict[int, tuple[int, ...]] = {0: tuple(1 << k for k in range(32))}
@@ -227,7 +287,7 @@ def documents_of(blocks: DataFrame) -> DataFrame:
     sizes = blocks.groupBy("part").agg(F.sum("n_ids").alias("ids"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
     starts = sizes.select("part", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("before"))
-    found = pieces(blocks).groupBy("part", "row").agg(
+    found = pieces(blocks, with_ids=False).groupBy("part", "row").agg(
         F.first("doc_id").alias("doc_id"), F.min("at").alias("at"), F.sum("n").alias("n_tokens"), F.collect_list(F.struct("at", "crc", "n")).alias("crcs")
     )
     return found.join(starts, "part").select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", whole_crc(F.col("crcs")).alias("ids_crc32"))

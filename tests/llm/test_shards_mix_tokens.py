@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -19,7 +20,7 @@ from test_copies import brute_classes, shingles
 import __spark_entry__ as entry_module
 import corpus_pipeline
 from check import TABLES, compare, duck
-from ledgerloom.llm import catalog, compression_bands, context_mixing, mixing, pii, sentencepieces, sharding, token_files
+from ledgerloom.llm import catalog, compression_bands, context_mixing, mixing, pii, sentencepieces, sharding, token_files, words
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -174,6 +175,71 @@ def test_damage_is_found():
             context_mixing.decode_blocks([bytes(broken)])
 
 
+def test_rare_and_large_ids_and_many_lanes():
+    draw = np.random.default_rng(5)
+    blocks = [
+        draw.permutation(70_000),  # more ids than have a frequency of their own
+        np.concatenate([draw.permutation(40_000), np.zeros(30_000, np.int64)]),
+        draw.integers(2**30 - 9, 2**30 + 9, 9000),
+        np.tile([2**32 - 1, 0, 2**30 - 1], 5000),
+        draw.integers(0, 2**32, 40_000),
+        np.array([], np.int64),
+        np.array([2**32 - 1]),
+        draw.zipf(1.2, context_mixing.BLOCK_IDS) % 50_257,
+    ]
+    coded = context_mixing.encode_blocks(blocks)
+    assert all(np.array_equal(a, b) for a, b in zip(context_mixing.decode_blocks(coded), blocks, strict=True))
+    assert all(np.array_equal(context_mixing.decode_blocks([c])[0], b) for c, b in zip(coded, blocks, strict=True))
+    assert context_mixing.encode_blocks([]) == [] == context_mixing.decode_blocks([])
+    # More blocks than are read side by side, of all lengths.
+    many = [draw.integers(0, 9, k * 61) for k in range(150)]
+    assert all(np.array_equal(a, b) for a, b in zip(context_mixing.decode_blocks(context_mixing.encode_blocks(many)), many, strict=True))
+
+
+def test_ids_without_order_cost_their_entropy():
+    draw = np.random.default_rng(6)
+    share = np.bincount(draw.integers(0, 3000, 9000) ** 2 // 3000, minlength=3000) + 1.0
+    share[::7] *= 30
+    ids = draw.choice(3000, 100_000, p=share / share.sum()) * 16
+    found = np.unique(ids, return_counts=True)[1] / len(ids)
+    entropy = -(found * np.log2(found)).sum() / 8 * len(ids)
+    assert sum(map(len, context_mixing.encode_blocks([ids]))) < 1.1 * entropy
+
+
+def test_pieces_are_encoded_as_the_library_does_whole_texts():
+    from tokenizers import Tokenizer
+
+    draw = random.Random(4)
+    parts = ["a", "Bc", " ", " ", "  ", "\n", "\t", "\r\n", "'s", "'ll", "'", "<|endoftext|>", "<|", "|>", "é", "漢", "\u3000", "\u2003", "\xa0", "\x85", "\x1c", "\x00", "7", "1.5", ",", "!?", "😀", "\u0301", "ß", "Ж"]
+    plain, encode = Tokenizer.from_str(token_files.default_tokenizer()), token_files.text_encoder(token_files.default_tokenizer(), public_tokenizers.PATTERN)
+    for k in range(60):
+        texts = ["".join(draw.choices(parts, k=draw.randint(0, 12))) for _ in range(50)] + [None, "", " "]
+        flat, ends = encode(pa.array(texts).slice(k % 3))
+        found = np.split(flat, ends[:-1])
+        assert [f.tolist() for f in found] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts[k % 3 :]]
+    assert [len(x) for x in encode(pa.array([None, ""]))] == [0, 2] and [len(x) for x in encode(pa.array([], pa.string()))] == [0, 0]
+    # A pattern that isn't known to split where texts are cut: whole texts.
+    whole = token_files.text_encoder.__wrapped__(token_files.default_tokenizer(), "other")(pa.array(["it's a  b, c"]))
+    assert whole[0].tolist() == plain.encode("it's a  b, c", add_special_tokens=False).ids
+
+
+def test_pieces_are_looked_up_once():
+    pieces, ends = token_files.text_pieces(pa.array(["and, and. and", "", "And and  and\n x "]), [])
+    assert sorted(pieces.dictionary.to_pylist()) == [b"\n", b" ", b" and", b" x", b",", b".", b"And", b"and"]
+    assert len(pieces) == ends[-1] and b"".join(pieces.to_pylist()) == b"and, and. andAnd and  and\n x "
+    # A worker keeps what it has encoded between tasks.
+    assert token_files.text_encoder(token_files.default_tokenizer(), public_tokenizers.PATTERN) is token_files.text_encoder(token_files.default_tokenizer(), public_tokenizers.PATTERN)
+
+
+def test_long_pieces_are_forgotten():
+    encode_new = lambda new: (np.concatenate([np.full(len(w), len(w), np.int32) for w in new]), np.array([len(w) for w in new]))
+    memory = words.WordMemory(encode_new, remembered=10)
+    for k in range(1, 60):
+        flat, ends = memory.encode([["x" * k, "ab"], [], ["ab"]])
+        assert flat.tolist() == [k] * k + [2] * 4 and ends.tolist() == [k + 2, k + 2, k + 4]
+        assert len(memory.ids) <= words.IDS_PER_WORD * 10 + k + 2
+
+
 def test_joined_checksums():
     draw = random.Random(2)
     for _ in range(50):
