@@ -22,13 +22,13 @@ from collections.abc import Sequence
 
 import numpy as np
 
-LANE_IDS = 4096
-BLOCK_LANES = 64
+LANE_IDS = 2048
+BLOCK_LANES = 128
 BLOCK_IDS = LANE_IDS * BLOCK_LANES
 MAGIC = b"CMR2"
 _HEADER = "<4sIIII"  # magic, ids, crc32 of the ids, crc32 of all that follows, bytes of the packed tables
 _HEADER_SIZE = struct.calcsize(_HEADER)
-_SLOTS = 1024
+_SLOTS = 512
 #: Bits of the shares of the models, and of the frequencies of ids.
 _MIX, _FREQUENCY = 12, 16
 _LOWEST, _TOP = 1 << 32, 48
@@ -38,36 +38,46 @@ _SYMBOLS = 1 << 15
 _DENSE = 1 << 20
 #: Blocks read side by side, as each has a table of all places in its code space.
 _TABLES = 64
+#: The kind by whether order 1 and order 2 (twice) were right.
+_KIND = np.array([2, 1, 0, 0], np.uint8)
 #: The code of a lane that has ended, and which codes say that neither model was right.
 _ENDED = 255
 _IS_MISS = (np.arange(256) % 3 == 2) & (np.arange(256) != _ENDED)
 
 
 class _Model:
-    """The models of all lanes. A slot holds ``4 * id + sure``: the id that came last, and how often in a row (to 3).
+    """The models of all lanes: a row for order 1, one for order 2.
 
-    Ids from 2**30 on don't fit a slot, so the first two models never predict them.
+    A slot holds ``4 * id + sure``: the id that came last, and how often in a row (to 3). Of ids from 2**30 on it holds the lower
+    bits, so that these two models never predict them.
     """
 
     def __init__(self, lanes: int):
-        self.base = np.arange(lanes) * _SLOTS
-        self.second, self.first = (np.zeros(lanes * _SLOTS, np.uint32) for _ in range(2))
-        self.a, self.b = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+        self.slots = np.zeros(2 * lanes * _SLOTS, np.uint32)
+        self.base = np.arange(2 * lanes).reshape(2, lanes) * _SLOTS
+        self.last, self.hash = np.zeros(lanes, np.uint32), np.zeros((2, lanes), np.uint32)
 
     def predict(self, n: int) -> np.ndarray:
         """Look up both predictions for the first ``n`` lanes; returns the contexts, 0 to 15."""
-        a, b, base = self.a[:n], self.b[:n], self.base[:n]
-        self.at1 = ((b ^ (b >> 10)) & (_SLOTS - 1)) + base
-        self.at2 = (((a * np.uint32(0x9E3779B1) + b) * np.uint32(0x85EBCA6B)) >> 22) + base
-        self.slot1, self.slot2 = self.first.take(self.at1), self.second.take(self.at2)
-        self.guess1, self.guess2 = self.slot1 >> 2, self.slot2 >> 2
-        return ((self.slot2 & 3) << 2) | (self.slot1 & 3)
-
-    def learn(self, ids: np.ndarray, right1: np.ndarray, right2: np.ndarray) -> None:
+        now = self.last[:n] * _HASH
+        self.hash[1, :n] += now
+        self.hash[0, :n] = now
+        self.at = (self.hash[:, :n] >> _HASH_SHIFT) + self.base[:, :n]
+        self.hash[1, :n] = now * _HASH
+        self.slot = self.slots.take(self.at)
+        self.sure = self.slot & _SURE
+        return (self.sure[1] << 2) + self.sure[0]
+
+    def learn(self, ids: np.ndarray) -> np.ndarray:
+        """Returns whether the predictions of order 1 and order 2 were right (on the lower 30 bits)."""
         new = ids << 2
-        self.first[self.at1] = np.where(right1, self.slot1 + ((self.slot1 & 3) < 3), new)
-        self.second[self.at2] = np.where(right2, self.slot2 + ((self.slot2 & 3) < 3), new)
-        self.a, self.b = self.b, ids
+        right = (self.slot ^ new) <= _SURE
+        self.slots[self.at] = np.where(right, self.slot + (self.sure < _SURE), new)
+        self.last = ids
+        return right
+
+
+_HASH, _HASH_SHIFT, _SURE = np.uint32(0x9E3779B1), np.uint32(32 - (_SLOTS.bit_length() - 1)), np.uint32(3)
 
 
 def _lanes(lengths: Sequence[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,7 +125,7 @@ class _Writer:
 
 def encode_blocks(blocks: Sequence[np.ndarray]) -> list[bytes]:
     """Each block of ids (0 to 2**32 - 1, at most ``BLOCK_IDS`` of them) as bytes."""
-    blocks = [np.asarray(b).astype("<u4") for b in blocks]
+    blocks = [np.asarray(b).astype("<u4", copy=False) for b in blocks]
     block, start, size = _lanes([len(b) for b in blocks])
     active = _active(size)
     ids, codes = np.zeros((len(active), len(size)), np.uint32), np.full((len(active), len(size)), _ENDED, np.uint8)
@@ -123,13 +133,14 @@ def encode_blocks(blocks: Sequence[np.ndarray]) -> list[bytes]:
         ids[:n, k] = blocks[i][at : at + n]
 
     # What the models predict: a code is three times the context and the kind (0: order 2 was right, 1: order 1, 2: neither).
-    model = _Model(len(size))
+    model, wide = _Model(len(size)), any(len(b) and int(b.max()) >= 1 << 30 for b in blocks)
     for step, n in enumerate(active):
         now = ids[step, :n]
         context = model.predict(n)
-        right1, right2 = model.guess1 == now, model.guess2 == now
-        codes[step, :n] = context * 3 + np.where(right2, 0, 2 - right1)
-        model.learn(now, right1, right2)
+        right1, right2 = model.learn(now)
+        if wide:
+            right1, right2 = right1 & (now < 1 << 30), right2 & (now < 1 << 30)
+        codes[step, :n] = context * 3 + _KIND.take(2 * right2.view(np.uint8) + right1)
     del model
 
     shares, tables, symbols, frequencies = np.zeros((len(blocks), 48), np.int64), [], np.zeros_like(ids), [np.empty(0, np.int64)]
@@ -284,7 +295,7 @@ def _decode(payloads: Sequence[bytes]) -> list[np.ndarray]:
         is1, is2 = spot >= bound1.take(context), spot >= bound2.take(context)
         code = context * 3 + is1 + is2
         state = more(None, share.take(code) * (state >> _MIX) + spot - below.take(code))
-        now = np.where(is1, model.guess1, model.guess2)
+        now = np.where(is1, *model.slot) >> 2
         lane = np.flatnonzero(is2)
         if len(lane):
             missed = state.take(lane)
@@ -300,7 +311,7 @@ def _decode(payloads: Sequence[bytes]) -> list[np.ndarray]:
                 missed[far] = more(lane[far], missed[far] >> 16)
             now[lane], state[lane] = found, missed
         states[:n] = state
-        model.learn(now, model.guess1 == now, model.guess2 == now)
+        model.learn(now)
         ids[step, :n] = now
     out = []
     for head, mine in zip(heads, by_block, strict=True):

@@ -20,6 +20,7 @@ that agree are in any order, as nothing tells them apart. An empty table gives f
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -39,11 +40,11 @@ from .words import WordMemory
 
 END_ID = 0
 #: Lanes of ``LANE_IDS`` ids coded side by side.
-LANES = 2048
+LANES = 4096
 #: New pieces of texts given to the tokenizer at once.
-TOGETHER = 500
+TOGETHER = 100
 #: Pieces remembered: those of several partitions, as new ones cost most of the encoding.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_300_000
 
 SCHEMA = "part int, offset long, n_ids long, payload binary, rows array<long>, doc_ids array<long>, counts array<long>"
 
@@ -56,33 +57,42 @@ def default_tokenizer() -> str:
         return file.read()
 
 
-def _starts() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """By byte: whether no whitespace character begins with it, whether it is an ASCII letter, and any other ASCII character."""
-    solid, letter = np.zeros(256, bool), np.zeros(256, bool)
-    solid[0x21:0x80] = solid[0xC3:] = True
-    solid[[0xE1, 0xE2, 0xE3]] = False
-    letter[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
-    return solid, letter, ~letter & (np.arange(256) < 0x80)
+def _flags() -> bytes:
+    """By byte: 1 ASCII letter, 2 printed ASCII, 4 ASCII but no letter, 8 ASCII blank, 16 space, 32 no whitespace character begins with it, 64 line break or tab."""
+    out = np.zeros(256, np.uint8)
+    out[:0x80] |= 4
+    for letters in (slice(0x41, 0x5B), slice(0x61, 0x7B)):
+        out[letters] = 1
+    out[0x21:0x7F] |= 2
+    out[0x09:0x0E] |= 8 | 64
+    out[0x20] |= 8 | 16
+    out[0x21:0x80] |= 32
+    out[0xC3:] |= 32
+    out[0xE1:0xE4] = 0
+    return out.tobytes()
 
 
-_SOLID, _LETTER, _OTHER = _starts()
+_FLAGS = _flags()
 
 
 def text_pieces(texts: pa.Array, specials: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
     """The pieces of texts (no nulls) as bytes, and how many pieces come before the end of each text.
 
-    A text is cut where the byte-level pattern always splits it: before a space that a solid character follows, and after an
-    ASCII letter that an ASCII character other than a letter follows. Texts with special tokens, which the tokenizer takes out
-    before it splits, are one piece each.
+    A text is cut where the byte-level pattern always splits it: before a space that a solid character follows, after an
+    ASCII letter that an ASCII character other than a letter follows, and before and after a line break between a printed
+    ASCII character and a solid one. Texts with special tokens, which the tokenizer takes out before it splits, are one piece each.
     """
     texts = texts.cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
+    flags = np.frombuffer(raw.tobytes().translate(_FLAGS), np.uint8)
+    left, right = flags[:-1], flags[1:]
     cut = np.zeros(len(raw) + 1, bool)
-    cut[:-2] = (raw[:-1] == 0x20) & _SOLID[raw[1:]]
+    cut[:-2] = left & (right >> 1) & 16
     cut[np.maximum(offsets[1:] - 1, 0)] = False  # no character of a text follows its last one
-    cut[1:-1] |= _LETTER[raw[:-1]] & _OTHER[raw[1:]]
+    cut[1:-1] |= (left & (right >> 2) & 3).astype(bool)
+    cut[2:-1] |= ((left[:-1] << 5) & left[1:] & (right[1:] << 1) & 64).astype(bool)
     for special in specials:
         for k in np.flatnonzero(pc.match_substring(texts, special).to_numpy(zero_copy_only=False)):
             cut[offsets[k] : offsets[k + 1]] = False
@@ -97,30 +107,48 @@ def text_encoder(tokenizer_json: str, pattern: str):
     """A function from texts to their ids, in one array, and the places where each text ends. A worker keeps it between tasks.
 
     A byte-level tokenizer cuts its special tokens out of a text, splits the rest by its pattern before it merges bytes, and no
-    merge crosses a split, so each distinct piece of the text between two splits is encoded once. With a pattern other than
-    that of ``public_tokenizers``, whole texts are encoded. Special tokens in a text become their own ids, as the
+    merge crosses a split, so each distinct piece of the text between two splits is encoded once. With another pattern than
+    that of ``public_tokenizers`` or another kind of tokenizer, whole texts are encoded. Special tokens in a text become their own ids, as the
     library has it by default; ``add_special_tokens=False`` only keeps it from adding some around the text.
     """
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_str(tokenizer_json)
+    tokenizer, spec = Tokenizer.from_str(tokenizer_json), json.loads(tokenizer_json)
     specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    whole = [""] if pattern != public_tokenizers.PATTERN else specials
+    splits = spec.get("pre_tokenizer") or {}
+    known = splits.get("type") == "ByteLevel" and splits.get("use_regex", True) and not splits.get("add_prefix_space") and not spec.get("normalizer")
+    cuts = known and pattern == public_tokenizers.PATTERN
+    # Letters and line breaks form no special token when they are joined.
+    glue = tokenizer.encode("\n", add_special_tokens=False).ids
+    joins = cuts and len(glue) == 1 and not any(s.replace(" ", "").replace("\n", "").isalpha() for s in specials)
+
+    def encode_joined(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces of letters and how many each has: a line break between them is always split off."""
+        found = tokenizer.encode_batch_fast(["\n".join(pieces)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, np.int32)
+        breaks = np.flatnonzero(ids == glue[0])
+        return np.delete(ids, breaks), np.diff(breaks, prepend=-1, append=len(ids)) - 1
+
+    def encode_others(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        return np.array(found.ids, np.int32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(pieces))
 
     def encode_pieces(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids, sizes = [np.empty(0, np.int32)], []
-        for at in range(0, len(pieces), TOGETHER):
-            some = [p.decode() for p in pieces[at : at + TOGETHER]]
-            found = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids.append(np.array(found.ids, np.int32))
-            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
-        return np.concatenate(ids), np.concatenate(sizes)
+        letters, others = [], []
+        for piece in pieces:
+            text = piece.decode()
+            (letters if joins and text[text[:1] == " " :].isalpha() else others).append(text)
+        pieces[:] = [text.encode() for text in letters + others]
+        found = [
+            encode(some[at : at + TOGETHER]) for encode, some in ((encode_joined, letters), (encode_others, others)) for at in range(0, len(some), TOGETHER)
+        ]
+        return np.concatenate([ids for ids, _ in found]), np.concatenate([sizes for _, sizes in found])
 
     memory = WordMemory(encode_pieces, REMEMBERED)
 
     def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        pieces, ends = text_pieces(pc.fill_null(texts, ""), whole)
+        pieces, ends = text_pieces(pc.fill_null(texts, ""), specials if cuts else [""])
         flat, bounds = memory.joined(memory.places(pieces.dictionary.to_pylist()).take(pieces.indices.to_numpy()))
         return flat, bounds[ends]
 
@@ -151,6 +179,7 @@ def coded_blocks(df: DataFrame, row_id: str, text: str, tokenizer_json: str, pat
             """Code the first ``count`` waiting ids."""
             nonlocal waiting, sizes, names, first_row, offset
             ids = np.concatenate(waiting)
+            waiting = []
             blocks = [ids[at : min(at + BLOCK_IDS, count)] for at in range(0, count, BLOCK_IDS)]
             ends = np.cumsum(np.array(sizes, np.int64))
             starts = ends - np.array(sizes, np.int64)
@@ -176,7 +205,7 @@ def coded_blocks(df: DataFrame, row_id: str, text: str, tokenizer_json: str, pat
 
         for batch in larger(batches):
             flat, ends = encode(batch.column(1))
-            waiting.append(np.insert(flat, ends, end_id))
+            waiting.append(np.insert(flat, ends, end_id).view(np.uint32))
             sizes += (np.diff(ends, prepend=0) + 1).tolist()
             names += batch.column(0).to_pylist()
             while sum(sizes) >= together:

@@ -224,9 +224,9 @@ def test_pieces_are_encoded_as_the_library_does_whole_texts():
 
 
 def test_pieces_are_looked_up_once():
-    pieces, ends = token_files.text_pieces(pa.array(["and, and. and", "", "And and  and\n x "]), [])
+    pieces, ends = token_files.text_pieces(pa.array(["and, and. and", "", "And and  and\n x ", "and.\nAnd\n"]), [])
     assert sorted(pieces.dictionary.to_pylist()) == [b"\n", b" ", b" and", b" x", b",", b".", b"And", b"and"]
-    assert len(pieces) == ends[-1] and b"".join(pieces.to_pylist()) == b"and, and. andAnd and  and\n x "
+    assert len(pieces) == ends[-1] and b"".join(pieces.to_pylist()) == b"and, and. andAnd and  and\n x and.\nAnd\n"
     # A worker keeps what it has encoded between tasks.
     assert token_files.text_encoder(token_files.default_tokenizer(), public_tokenizers.PATTERN) is token_files.text_encoder(token_files.default_tokenizer(), public_tokenizers.PATTERN)
 
